@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import bpe, fingerprint, htmltext, langid, mixing, tokenfile, toxicity
-from framelake.llm.common import remainder, table
+from framelake.llm import bpe, fingerprint, htmltext, langid, mixing, neardup, recompress, tokenfile, topk, toxicity
+from framelake.llm.common import remainder, table, unkey
 
 #: The end id that op6 appends.
 END_ID = 2
@@ -20,6 +20,14 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.clusters(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extracted(table(spark, sf_dir, "pages"))
 
@@ -42,6 +50,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model).select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = recompress.deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(unkey("k").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -53,9 +66,59 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op3_html_text, op4_iblt_fingerprints, op5_bpe_tree, op6_token_files, op7_toxicity, op9_source_mix, op10_language_id]
-    return {f.__name__: f for f in own}
+    own = [op1_ball_tree_topk, op2_minhash_neardup, op3_html_text, op4_iblt_fingerprints, op5_bpe_tree, op6_token_files, op7_toxicity, op8_substring_dedup, op9_source_mix, op10_language_id]
+    import corpus_pipeline
+
+    return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
+
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+ORACLES = {
+    "op1_ball_tree_topk": """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0
+), r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::integer as rank, vec_id, score from r where rank <= 5""",
+    "op2_minhash_neardup": f"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as w from documents
+), s as (
+  select distinct doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') as g
+  from w, unnest(range(1, len(w) - least(5, len(w)) + 2)) as t(i) where len(w) > 0
+), n as (select doc_id, count(*) as n from s group by doc_id),
+l as (
+  select a, b from (select x.doc_id as a, y.doc_id as b, count(*) as c from s x join s y on x.g = y.g and x.doc_id <> y.doc_id group by all) p
+  join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 85 * (na.n + nb.n - c)
+), c as (
+  select doc_id as node, doc_id as reach from documents
+  union
+  select c.node, l.b from c join l on c.reach = l.a
+), m as (select node, min(reach) as component_id from c group by node)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, m.component_id, d.doc_id = m.component_id as kept,
+  (select min(e.doc_id) from w e where n.n is not null and e.w = ww.w) as class_id
+from documents d join m on m.node = d.doc_id join w ww on ww.doc_id = d.doc_id left join n on n.doc_id = d.doc_id""",
+    "op8_substring_dedup": f"""
+with w as (select doc_id, coalesce(regexp_extract_all(text, '{_WORD}'), []) as w from documents),
+g as (select doc_id, i, array_to_string(w[i : i + 19], ' ') as g from w, unnest(range(1, greatest(len(w) - 18, 1))) as t(i)),
+f as (select doc_id, i, row_number() over (partition by g order by doc_id, i) as rn from g),
+c as (select distinct doc_id, i + o as j from f, unnest(range(0, 20)) as t(o) where rn > 1),
+k as (
+  select w.doc_id, t.j, w.w[t.j] as word, c.j is not null as gone
+  from w, unnest(range(1, len(w.w) + 1)) as t(j) left join c on c.doc_id = w.doc_id and c.j = t.j
+), r as (
+  select doc_id, count(*) filter (where gone) as n_removed, coalesce(string_agg(word, ' ' order by j) filter (where not gone), '') as kept from k group by doc_id
+)
+select w.doc_id, len(w.w)::bigint as n_words, coalesce(r.n_removed, 0)::bigint as n_removed, sha256(coalesce(r.kept, '')) as kept_sha256
+from w left join r on r.doc_id = w.doc_id""",
+}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    import corpus_pipeline
+
+    return dict(ORACLES) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
