@@ -72,16 +72,13 @@ def shingle_hashes(text: bytes) -> tuple[np.ndarray, int]:
     return np.unique(h), n
 
 
-def signature(hashes: np.ndarray, chunk: int = 1 << 15) -> np.ndarray:
-    """The circulant MinHash signature of a set."""
+def signature(hashes: np.ndarray, chunk: int = 1024) -> np.ndarray:
+    """The circulant MinHash signature of a set: all coordinates of a chunk of shingles at once."""
     best = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
     scattered = _permute((hashes ^ (hashes >> np.uint64(32))).astype(np.uint32), MIX[0], MIX[1])
     for i in range(0, len(scattered), chunk):
-        part = scattered[i : i + chunk]
-        x = np.empty_like(part)
-        for k in range(COORDINATES):
-            np.subtract(part, _SHIFTS[k], out=x)
-            best[k] = min(best[k], _permute(x, MIX[2], MIX[3]).min())
+        shifted = scattered[None, i : i + chunk] - _SHIFTS[:, None]
+        np.minimum(best, _permute(shifted, MIX[2], MIX[3]).min(axis=1), out=best)
     return best
 
 
