@@ -7,9 +7,10 @@ similarity 0.85 with probability 6e-11.
 
 Documents with equal word sequences are one class and are compared once.  In each bucket of each band, classes are
 compared with the bucket's smallest class first (a star: as many pairs as members).  Links are confirmed on the full
-sets.  Pairs of one bucket that are still in different components are then compared with each other, if their
-signatures agree in enough coordinates (a pair above the threshold fails this with probability below 1e-9); large
-buckets are dealt out as pairs of blocks.  So no link that joins two components is lost, no bucket is capped, and the
+sets.  Pairs of one bucket that are still in different components are then compared with each other on their sets, if
+their signatures agree in enough coordinates (a pair above the threshold fails this with probability below 1e-9);
+large buckets are dealt out as pairs of blocks, and each block gives at most a spanning forest of its links, which are
+confirmed on the texts.  So no link that joins two components is lost, no bucket is capped, and the
 links and components stay in tables.
 
 Nulls: a null text and a text without words have an empty set and no links.  A null doc_id is an id of its own, the
@@ -138,33 +139,60 @@ def linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def rest_pairs(buckets: DataFrame, least_equal: int, block: int = 512) -> DataFrame:
-    """Pairs (a, b) of one bucket in different components whose signatures agree in least_equal coordinates or more.
+def with_sets(texts: DataFrame) -> DataFrame:
+    """k, full: the sorted 64-bit hashes of each text's full set."""
 
-    buckets: bucket, k, comp, sig.  A bucket of many members is dealt out as pairs of blocks, each one group.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches):
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle_hashes(normal(t))[0].tobytes() for t in b.column(1).to_pylist()], pa.binary())], ["k", "full"])
+
+    return texts.select("k", "text").mapInArrow(run, "k long, full binary")
+
+
+def _alike(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(s), len(t)) < percent * max(len(s), len(t)):
+        return False
+    at = np.searchsorted(t, s)
+    common = int((t[np.minimum(at, len(t) - 1)] == s).sum())
+    return 100 * common >= percent * (len(s) + len(t) - common)
+
+
+def rest_links(buckets: DataFrame, least_equal: int, percent: int, block: int = 512) -> DataFrame:
+    """Links (a, b) of one bucket that join components which the stars left apart.
+
+    buckets: bucket, k, comp, sig, full.  A bucket of many members is dealt out as pairs of blocks, each one group.
+    Pairs whose signatures agree in least_equal coordinates are compared on their sets, unless links found before
+    have joined their components; so a group gives fewer links than it has members.
     """
     sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     rows = buckets.join(sizes, "bucket")
     own = F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("own", own).withColumn("other", other).select("bucket", "k", "comp", "sig", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = rows.withColumn("own", own).withColumn("other", other).select("bucket", "k", "comp", "sig", "full", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
     def run(t: pa.Table) -> pa.Table:
         k, comp, own, i = (t.column(c).to_numpy() for c in ("k", "comp", "own", "i"))
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(len(k), -1)
-        bucket, j = t.column("bucket")[0].as_py(), int(t.column("j")[0].as_py())
+        full = [np.frombuffer(x, np.uint64) for x in t.column("full").to_pylist()]
+        band, j = int(t.column("bucket")[0].as_py().split(":")[0]), int(t.column("j")[0].as_py())
         left = np.flatnonzero(own == i)
         right = left if i[0] == j else np.flatnonzero(own == j)
+        label = np.unique(comp, return_inverse=True)[1]  # of each member; joined components get one label
         out_a, out_b = [], []
         for x in left:
-            c = right[(comp[right] != comp[x]) & ((k[right] > k[x]) if i[0] == j else True)]
+            c = right[(label[right] != label[x]) & ((k[right] > k[x]) if i[0] == j else True)]
+            if not len(c):
+                continue
             c = c[(sig[c] == sig[x]).sum(axis=1) >= least_equal]
-            if len(c):
-                # a pair belongs to the first band in which it meets
-                meets = (sig[c].reshape(len(c), BANDS, ROWS) == sig[x].reshape(BANDS, ROWS)).all(axis=2)
-                c = c[meets.argmax(axis=1) == int(bucket.split(":")[0])]
-                out_a += np.minimum(k[x], k[c]).tolist()
-                out_b += np.maximum(k[x], k[c]).tolist()
+            if not len(c):
+                continue
+            # a pair belongs to the first band in which it meets
+            meets = (sig[c].reshape(len(c), BANDS, ROWS) == sig[x].reshape(BANDS, ROWS)).all(axis=2)
+            for y in c[meets.argmax(axis=1) == band]:
+                if label[y] != label[x] and _alike(full[x], full[y], percent):
+                    out_a.append(min(int(k[x]), int(k[y])))
+                    out_b.append(max(int(k[x]), int(k[y])))
+                    label[label == label[y]] = label[x]
         return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
 
     return rows.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
@@ -175,13 +203,14 @@ def clusters(docs: DataFrame, percent: int = 85, key_of: str = "doc_id") -> Data
     spark = docs.sparkSession
     base = docs.select(key(key_of).alias("k"), "text")
     sigs = written(signed(base), "signatures")
-    reps = sigs.where("cls is not null").groupBy("cls").agg(F.min("k").alias("rep"))
+    # written, so that both sides of the joins below are dealt anew and a hot class can be split
+    reps = written(sigs.where("cls is not null").groupBy("cls").agg(F.min("k").alias("rep")), "representatives")
     # the class of every document, and links between classes of one repeated id
     classes = written(sigs.select("k", "n", "cls").join(reps, "cls", "left"), "classes")
     distinct = written(sigs.join(reps, (sigs["cls"] == reps["cls"]) & (sigs["k"] == reps["rep"]), "left_semi").select("k", "sig").dropDuplicates(["k"]), "distinct")
     coordinates = lambda r: F.substring("sig", r * 4 * ROWS + 1, 4 * ROWS)
     bands = distinct.select("k", F.explode(F.array(*[F.concat(F.lit(f"{r}:"), F.base64(coordinates(r))) for r in range(BANDS)])).alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("k").alias("first"), F.count("*").alias("m")).where("m > 1").select("bucket", "first")
+    shared = bands.groupBy("bucket").agg(F.min("k").alias("first"), F.count("*").alias("m")).where("m > 1")
     members = written(bands.join(shared, "bucket"), "buckets")
     texts = base.join(members.select("k").distinct(), "k", "left_semi")
     # one text of each class is enough: the representative's
@@ -189,13 +218,17 @@ def clusters(docs: DataFrame, percent: int = 85, key_of: str = "doc_id") -> Data
     star = members.where("k != first").select(F.col("first").alias("a"), F.col("k").alias("b")).distinct()
     links = written(linked(star, texts, percent), "linked")
     found = components(links)
-    placed = members.join(found.withColumnRenamed("node", "k"), "k", "left").select("bucket", "k", F.coalesce("component", "k").alias("comp"))
+    # the smallest member of a bucket has been compared with all others; what is left are pairs of these
+    others = members.where("m > 2 and k != first").select("bucket", "k")
+    placed = others.join(found.withColumnRenamed("node", "k"), "k", "left").select("bucket", "k", F.coalesce("component", "k").alias("comp"))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
-    rest = placed.join(mixed, "bucket").join(distinct, "k")
+    rest = written(placed.join(mixed, "bucket"), "rest")
+    needed = distinct.join(rest.select("k").distinct(), "k", "left_semi").join(with_sets(texts.join(rest.select("k").distinct(), "k", "left_semi")), "k")
+    rest = rest.join(needed, "k")
     # six standard deviations below the threshold's expectation
     p = percent / 100
     least = int(COORDINATES * p - 6 * (COORDINATES * p * (1 - p)) ** 0.5)
-    more = linked(rest_pairs(rest, least), texts, percent)
+    more = linked(written(rest_links(rest, least, percent).distinct(), "rest-links"), texts, percent)
     again = classes.where("rep is not null and rep != k").select(F.col("k").alias("a"), F.col("rep").alias("b"))
     repeated = classes.groupBy("k").agg(F.count("*").alias("m")).where("m > 1").select("k")
     again = again.join(repeated, "k" if "k" in again.columns else again["a"] == repeated["k"], "left_semi")
