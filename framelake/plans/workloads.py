@@ -1,9 +1,299 @@
-"""The registered queries and their SQL."""
+"""The registered queries and their SQL.
 
+The given tables hold no videos, so each query runs an operator over an analogue: sessions are customers, frames their
+orders by (date, key), markers an order's lines by (line number, part, supplier); events of a user are an ordered signal;
+embeddings are 8 x 8 rasters; pages are containers' bytes and event properties JSON documents.
+"""
 
-def queries() -> dict:
-    return {}
+from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Callable
 
-def oracle_sql() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from framelake import settings
+from framelake.functions import geometry, probe, records
+from framelake.operators import documents, quality, selection, tracking
+
+WHITELIST = list(range(0, 50, 3))
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.round(n, 6) for n in names})
+
+
+# --- analogues ---------------------------------------------------------------------------------------------------
+
+
+def frames(spark: SparkSession, d: str) -> DataFrame:
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("session_id"), "o_orderkey", "o_orderdate", "o_totalprice")
+    out = selection.numbered(o, ["session_id"], ["o_orderdate", "o_orderkey"])
+    return out.withColumn("filename", F.concat(F.lit("frame_"), F.col("o_orderkey").cast("string"), F.lit(".jpg")))
+
+
+def lines(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("l_partkey") % 50).cast("int").alias("id"), F.col("l_quantity").alias("cx"), (F.col("l_discount") * 100).alias("cy"), (F.col("l_tax") + 1).alias("side"), F.col("l_tax").alias("score"))
+
+
+def square(cx, cy, side):
+    h = side / 2
+    return F.array(F.array(cx - h, cy - h), F.array(cx + h, cy - h), F.array(cx + h, cy + h), F.array(cx - h, cy + h))
+
+
+def markers(spark: SparkSession, d: str) -> DataFrame:
+    """l_orderkey, markers: array of struct(id, corners), in the lines' order."""
+    m = F.struct("l_linenumber", "l_partkey", "l_suppkey", "id", square(F.col("cx"), F.col("cy"), F.col("side")).alias("corners"), "score")
+    own = lines(spark, d).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(m)).alias("a"))
+    return own.select(F.col("l_orderkey").alias("o_orderkey"), F.transform("a", lambda x: F.struct(x["id"].alias("id"), x["corners"].alias("corners"))).alias("markers"), F.transform("a", lambda x: x["score"]).alias("scores"))
+
+
+def corners_of(name: str):
+    return F.transform(name, lambda m: m["corners"])
+
+
+def detected(spark: SparkSession, d: str) -> DataFrame:
+    return selection.detections(frames(spark, d), markers(spark, d).drop("scores"), ["o_orderkey"])
+
+
+def event_scores(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", "event_type", F.log(F.col("value") + 1).alias("score"))
+
+
+# --- queries -----------------------------------------------------------------------------------------------------
+
+
+def robust_fence_stats(spark: SparkSession, d: str) -> DataFrame:
+    s = event_scores(spark, d)
+    f = quality.fence(s, ["event_type"])
+    n = quality.rejects(s, f, ["event_type"]).groupBy("event_type").agg(F.count("*").alias("n"))
+    return rounded(f.join(n, "event_type", "left").select("event_type", "frames_scored", "median", "mad", "threshold", F.coalesce("n", F.lit(0)).alias("frames_rejected")), "median", "mad", "threshold")
+
+
+def robust_fence_rejects(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", F.log("l_extendedprice").alias("score"))
+    return quality.rejects(s, quality.fence(s, ["l_returnflag"]), ["l_returnflag"]).drop("score")
+
+
+def stride_sample(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select(F.col("event_id").alias("i"), "user_id")
+    total = e.agg(F.count("*").alias("total"))  # one row
+    some = selection.strided(e, 7, "i").crossJoin(F.broadcast(total))
+    return some.select("user_id", F.col("i").alias("frame_index"), records.timestamp_s(F.col("i"), F.lit(29.97)).alias("timestamp_s"), records.frame_filename(F.col("i"), F.col("total")).alias("filename"))
+
+
+def frames_left_detections(spark: SparkSession, d: str) -> DataFrame:
+    out = detected(spark, d).groupBy("session_id")
+    return out.agg(F.count("*").alias("total_frames"), F.count_if(F.col("markers_detected") > 0).alias("frames_with_detections"), F.sum("markers_detected").alias("markers"))
+
+
+def whitelist_markers(spark: SparkSession, d: str) -> DataFrame:
+    m = markers(spark, d).select("o_orderkey", F.size("markers").alias("before"), records.whitelisted(F.col("markers"), WHITELIST).alias("m"))
+    return m.select("o_orderkey", F.col("before").cast("long").alias("before"), F.size("m").cast("long").alias("after"), F.array_join(F.transform("m", lambda x: x["id"].cast("string")), ",").alias("ids"))
+
+
+def zip_shorter(spark: SparkSession, d: str) -> DataFrame:
+    m = markers(spark, d).select("o_orderkey", F.transform("markers", lambda x: x["id"]).alias("ids"), F.transform("markers", lambda x: x["corners"]).alias("corners"))
+    z = records.zipped(F.col("ids"), F.slice("corners", 1, 3))
+    return m.select("o_orderkey", F.size(z).cast("long").alias("n"), F.array_join(F.transform(z, lambda x: x["id"].cast("string")), ",").alias("ids"))
+
+
+def min_marker_filter(spark: SparkSession, d: str) -> DataFrame:
+    return selection.select(detected(spark, d), 3, on=["o_orderkey"]).select("session_id", "frame_index", "filename", F.col("markers_detected").cast("long").alias("markers_detected"))
+
+
+def _rejected(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", F.log("o_totalprice").alias("score"))
+    return quality.rejects(s, quality.fence(s, ["o_orderpriority"]), ["o_orderpriority"]).select("o_orderkey").distinct()
+
+
+def anti_reject_set(spark: SparkSession, d: str) -> DataFrame:
+    return frames(spark, d).join(_rejected(spark, d), "o_orderkey", "left_anti").select("o_orderkey", "session_id", "frame_index")
+
+
+def semi_exists(spark: SparkSession, d: str) -> DataFrame:
+    there = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    return frames(spark, d).join(there, "o_orderkey", "left_semi").select("o_orderkey", "session_id", "frame_index")
+
+
+def _kept(spark: SparkSession, d: str) -> DataFrame:
+    there = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return selection.select(detected(spark, d), 1, WHITELIST, _rejected(spark, d), there, ["o_orderkey"])
+
+
+def selection_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain: blur fence over all frames, whitelist, least count, existing files; one row for each session."""
+    total = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("session_id")).agg(F.count("*").alias("total_frames_input"))
+    kept = _kept(spark, d).groupBy("session_id").agg(F.count("*").alias("kept"), F.sum("markers_detected").alias("markers"), F.min("frame_index").cast("long").alias("first_frame"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("frame_index", "filename"))), lambda x: x["filename"]), ",").alias("frames"))
+    out = total.join(kept, "session_id", "left")
+    n = F.coalesce("kept", F.lit(0))
+    return out.select("session_id", "total_frames_input", (F.col("total_frames_input") - n).alias("frames_filtered_out"), F.coalesce("markers", F.lit(0)).alias("markers"), "first_frame", F.coalesce("frames", F.lit("")).alias("frames"))
+
+
+def manifest_document(spark: SparkSession, d: str) -> DataFrame:
+    """JSON text of each session's manifest (rows only: SQL engines print JSON differently)."""
+    o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("session_id")).agg(F.count("*").alias("total_frames_input"))
+    kept = _kept(spark, d)
+    video = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("session_id"), F.lit(None).cast("double").alias("focal_length_35mm"), F.lit(640).alias("width"), F.lit(480).alias("height"))
+    m = documents.selection_document(kept, o, "DICT_4X4_250", 1, cameras=documents.camera(o, video))
+    return m.select("session_id", records.encoded(F.col("manifest").dropFields("tool_versions").withField("tool_versions", F.lit(None).cast("struct<python:string>")), "SELECTION").alias("json"))
+
+
+def camera_left_join(spark: SparkSession, d: str) -> DataFrame:
+    s = table(spark, d, "orders").select(F.col("o_custkey").alias("session_id"))
+    v = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("session_id"), F.when(F.col("c_acctbal") > 5000, F.col("c_acctbal")).alias("focal_length_35mm"), F.col("c_nationkey").alias("width"), F.length("c_name").alias("height"))
+    c = documents.camera(s, v)
+    return c.select("session_id", F.col("camera").isNotNull().alias("has_camera"), F.col("camera.focal_length_35mm").alias("focal_length_35mm"), F.col("camera.width_px").cast("long").alias("width_px"), F.col("camera.height_px").cast("long").alias("height_px"))
+
+
+def map_last_wins(spark: SparkSession, d: str) -> DataFrame:
+    m = documents.last_wins(table(spark, d, "conversations"), ["conv_id"], "role", "text", "turn")
+    return m.select("conv_id", F.explode("entries").alias("role", "text"))
+
+
+def box_prompt(spark: SparkSession, d: str) -> DataFrame:
+    b = markers(spark, d).select("o_orderkey", geometry.marker_box(corners_of("markers"), F.lit(60), F.lit(20)).alias("b")).where("b is not null")
+    return rounded(b.select("o_orderkey", "b.*"), "x0", "y0", "x1", "y1")
+
+
+def marker_centers_sides(spark: SparkSession, d: str) -> DataFrame:
+    m = markers(spark, d).select("o_orderkey", geometry.centers(corners_of("markers")).alias("c"), geometry.median_side(corners_of("markers")).alias("median_side"))
+    total = lambda k: F.aggregate("c", F.lit(0.0), lambda a, p: a + p[k])
+    return rounded(m.select("o_orderkey", total("x").alias("sum_x"), total("y").alias("sum_y"), "median_side"), "sum_x", "sum_y", "median_side")
+
+
+def point_in_box_top1(spark: SparkSession, d: str) -> DataFrame:
+    m = markers(spark, d).select("o_orderkey", F.zip_with("markers", "scores", lambda x, s: F.struct(geometry.center(x["corners"]).alias("c"), s.alias("s"))).alias("z"))
+    boxes = F.transform("z", lambda x: F.struct((x["c"]["x"] - 10).alias("x0"), (x["c"]["y"] - 3).alias("y0"), (x["c"]["x"] + 10).alias("x1"), (x["c"]["y"] + 3).alias("y1"), x["s"].alias("score")))
+    b = m.select("o_orderkey", geometry.best_box(boxes, F.transform("z", lambda x: x["c"])).alias("b")).where("b is not null")
+    return rounded(b.select("o_orderkey", "b.x0", "b.y0", "b.score"), "x0", "y0", "score")
+
+
+def rasters(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "embeddings").where("size(embedding) = 64").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+
+
+def coverage_and_area(spark: SparkSession, d: str) -> DataFrame:
+    points = F.array(*[F.struct(F.lit(2.5 * i).alias("x"), ((F.col("label") + i) % 9).cast("double").alias("y")) for i in range(3)])
+    r = rasters(spark, d).withColumn("mask", F.transform("v", lambda x: x > 0))
+    return rounded(r.select("vec_id", geometry.coverage(F.col("mask"), points, 8, 8).alias("coverage"), geometry.normal_area(F.col("mask"), (F.col("label") % 3 + 1).cast("double")).alias("area"), F.exists("mask", lambda b: b).alias("any_pixel")), "coverage", "area")
+
+
+def laplacian_sharpness(spark: SparkSession, d: str) -> DataFrame:
+    at = lambda r, c: F.element_at("v", (r * 8 + c + 1).cast("int"))
+    mirror = lambda x: F.when(x < 0, 1).when(x > 7, 6).otherwise(x)
+
+    def lap(i):
+        r, c = F.floor(i / 8), i % 8
+        return at(mirror(r - 1), c) + at(mirror(r + 1), c) + at(r, mirror(c - 1)) + at(r, mirror(c + 1)) - 4 * at(r, c)
+
+    rows = rasters(spark, d).select("vec_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(63)), lap)).alias("x"))
+    return rounded(rows.groupBy("vec_id").agg(F.var_pop("x").alias("sharpness")), "sharpness")
+
+
+def pixel_union_dilate(spark: SparkSession, d: str) -> DataFrame:
+    """The raster's mask and a filled square, grown by a disk of radius 1."""
+    r = rasters(spark, d)
+    corner = (F.col("label") % 5).cast("int")
+
+    def on(i):
+        y, x = F.floor(i / 8).cast("int"), i % 8
+        return (F.element_at("v", i + 1) > 1.0) | (y.between(corner, corner + 2) & x.between(corner, corner + 2))
+
+    r = r.withColumn("u", F.transform(F.sequence(F.lit(0), F.lit(63)), on))
+    near = lambda i: F.element_at("u", i + 1) | ((i % 8 > 0) & F.element_at("u", F.greatest(i, F.lit(1)))) | ((i % 8 < 7) & F.element_at("u", F.least(i + 2, F.lit(64)))) | ((i > 7) & F.element_at("u", F.greatest(i - 7, F.lit(1)))) | ((i < 56) & F.element_at("u", F.least(i + 9, F.lit(64))))
+    r = r.withColumn("g", F.transform(F.sequence(F.lit(0), F.lit(63)), near))
+    n = lambda c: F.size(F.filter(c, lambda b: b)).cast("long")
+    return r.select("vec_id", n("u").alias("n_union"), n("g").alias("n_grown"), F.array_join(F.transform("g", lambda b: F.when(b, "1").otherwise("0")), "").alias("bits"))
+
+
+def signal(e: DataFrame) -> DataFrame:
+    k = F.get_json_object("props", "$.k").cast("double")
+    kind = F.col("event_type")
+    return e.select("user_id", "ts", "event_id", F.col("value").alias("area"), (k / 100).alias("cov"), (kind != "signup").alias("marked"), F.when(kind.isin("click", "view"), F.lit(20.0)).alias("a1"), F.when(kind.isin("click", "purchase"), k + 40).alias("a2"))
+
+
+def tracking_fold(spark: SparkSession, d: str) -> DataFrame:
+    return tracking.fold(signal(table(spark, d, "events")), "user_id", ["ts", "event_id"])
+
+
+def tracking_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The same machine over a stream; its counters are the batch fold's."""
+    from framelake.streaming import tracker
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        import tempfile
+
+        base = tempfile.mkdtemp(prefix="framelake-")
+        spark.sparkContext.setCheckpointDir(base)
+    at = os.path.join(base, f"tracker-{uuid.uuid4().hex}")
+    stream = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")  # a pattern, as a stream's plain path must be a folder
+    out = tracker.drained(spark, signal(stream), f"{at}/out", f"{at}/state")
+    n = [F.count_if(F.col("source") == i).alias(f"frames_{s}") for i, s in enumerate(tracking.SOURCES)]
+    return out.groupBy("user_id").agg(*n, F.sum("reanchor").alias("reanchors"), F.sum("track_reset").alias("track_resets"))
+
+
+def source_counts(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select("user_id", F.when(F.col("event_type") == "click", "tracked").when(F.col("event_type") == "view", "dino").when(F.col("event_type") == "purchase", "aruco_box").otherwise("fallback_full").alias("source"))
+    return documents.source_counts(e, ["user_id"])
+
+
+def regex_probe(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "pages").select("page_id", F.concat_ws(" ", "url", "html").alias("t"))
+    every = probe.candidates(F.col("t"), r"(?:page=|track\(|/)(\d+)(?:/(\d+))?")
+    return p.select("page_id", F.size(every).cast("long").alias("hits"), F.try_element_at(F.filter(every, probe.plausible), F.lit(1)).alias("focal_35mm"))
+
+
+def json_required_keys(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events")
+    miss = records.missing_keys(F.col("props"), ["k", "fps", "stride"])
+    return e.select("event_id", F.array_join(miss, ",").alias("missing"), F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+def config_precedence(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey")).alias("cli"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey") + 100).alias("yaml"), F.when(F.col("c_custkey") % 5 == 0, "").when(F.col("c_custkey") % 7 == 0, F.col("c_mktsegment")).alias("prompt"))
+    return c.select("c_custkey", settings.first_given_column(F.col("cli"), F.col("yaml"), F.lit(1)).cast("long").alias("stride"), settings.first_filled_column(F.col("prompt"), F.lit("head.")).alias("prompt"))
+
+
+def sheet_layout(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "part").select("p_partkey", F.col("p_partkey").alias("i"))
+    side = records.mm(F.lit(236), F.lit(300))
+    out = documents.pages_layout(p, 236 / 300 * 25.4, settings.page_size("A4"))
+    out = out.select("p_partkey", F.col("page").cast("long").alias("page"), F.col("col").cast("long").alias("col"), F.col("row").cast("long").alias("row"), "x", "y", F.lit(236 + 2 * 59).cast("long").alias("total_pixels"), side.alias("side_mm"), records.label(F.concat(F.lit("out/marker_"), "p_partkey", F.lit(".png"))).alias("label"))
+    return out.withColumns({c: F.round(c, 3) for c in ("x", "y", "side_mm")})
+
+
+def dictionary_lookup(spark: SparkSession, d: str) -> DataFrame:
+    known = spark.createDataFrame([(k, v[0]) for k, v in settings.DICTIONARIES.items()], "name string, code int")
+    names = sorted(settings.DICTIONARIES)
+    p = table(spark, d, "part").select("p_partkey", F.element_at(F.array(*map(F.lit, [*names, "DICT_7X7_50"])), (F.col("p_partkey") % 7 + 1).cast("int")).alias("name"))
+    return p.join(F.broadcast(known), "name", "left").select("p_partkey", "name", F.col("code").cast("long").alias("code"))  # six rows
+
+
+def last_reference(spark: SparkSession, d: str) -> DataFrame:
+    """Last known reference carried over frames without markers, were every frame accepted."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
+    e = table(spark, d, "events").withColumn("ref", F.when(F.col("event_type") != "signup", F.col("value")))
+    return e.select("event_id", F.last("ref", True).over(w).alias("reference")).withColumn("reference", F.round("reference", 6))
+
+
+OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_stream, source_counts, last_reference, regex_probe, json_required_keys, config_precedence, sheet_layout, dictionary_lookup)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in OWN}
+
+
+def oracle_sql() -> dict[str, str]:
+    from framelake.plans.oracles import ORACLES
+
+    return dict(ORACLES)
