@@ -47,7 +47,7 @@ def header(path: str) -> Header:
                 h = struct.unpack("<14I", f.read(56))
                 fps, width, height = 1e6 / h[0] if h[0] else 0.0, h[8], h[9]
             elif kind == b"strh":
-                h = struct.unpack("<4s4sIHHIII", f.read(32))
+                h = struct.unpack("<4s4sIHHIII", f.read(28))
                 if h[0] == b"vids" and h[6]:
                     fps = h[7] / h[6]
             elif kind[2:] in (b"dc", b"db"):
