@@ -33,7 +33,7 @@ from framelake.llm.bpe import Fingerprints, gather
 from framelake.llm.common import key
 
 #: Words of a window; rounds of recompression; bytes of text in a group of documents.
-WINDOW, ROUNDS, GROUP_BYTES = 20, 2, 6_000_000
+WINDOW, ROUNDS, GROUP_BYTES = 20, 2, 3_000_000
 #: Stands for a witness that reaches beyond the document.
 _FAR = 1 << 40
 _NONE = np.uint64(2**64 - 1)
