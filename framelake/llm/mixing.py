@@ -77,7 +77,7 @@ def mix(docs: DataFrame, block: int = 64, slots: int = 4096, seed: int = 17, per
     n_buckets = max(1, -(-total // per_bucket))
     sized = sized.withColumn("bucket", F.pmod(F.xxhash64("k"), F.lit(n_buckets)))
     sums = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    sources = F.broadcast(targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size"))))
+    sources = targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("bucket_lo", F.coalesce(F.sum("bucket_size").over(before), F.lit(0))).drop("bucket_size")
     inside = Window.partitionBy("source", "bucket").orderBy("k", "tie").rowsBetween(Window.unboundedPreceding, -1)
