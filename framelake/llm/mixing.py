@@ -101,6 +101,8 @@ def used(sources: DataFrame, block: int, slots: int, seed: int) -> DataFrame:
     shards = shards.withColumn("n_slots", edge(F.col("hi")) - edge(F.col("hi") - F.col("target")))
     before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.withColumn("first", F.coalesce(F.sum("n_slots").over(before), F.lit(0))).where("n_slots > 0")
+    # few rows become very many here: dealt out first, and never taken for small by the planner (see the merge hints)
+    shards = shards.repartition("rank", "shard")
     i = shards.select("rank", "n", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n_slots") - 1)).alias("i")).where("i < 2 * n")
     turn = F.floor(F.col("i") / F.col("n")).cast("long")
     return i.select("rank", permuted(F.col("i") % F.col("n"), F.col("n"), F.col("rank"), turn, seed).alias("b"), turn.alias("turn"))
@@ -117,7 +119,7 @@ def taken(docs: DataFrame, block: int = 64, slots: int = 4096, seed: int = 17) -
     """doc_id, source, size, source_size, target, taken of every document."""
     placed, _, use = mix(docs, block, slots, seed)
     times = use.groupBy("rank", "b").agg(F.count("*").alias("times"))
-    got = spread(placed, block).join(times, ["rank", "b"]).groupBy("rank", "k", "tie", "lo").agg(F.sum((F.col("z") - F.col("a")) * F.col("times")).alias("taken"))
+    got = spread(placed, block).join(times.hint("merge"), ["rank", "b"]).groupBy("rank", "k", "tie", "lo").agg(F.sum((F.col("z") - F.col("a")) * F.col("times")).alias("taken"))
     out = placed.join(got, ["rank", "k", "tie", "lo"], "left")
     return out.select(unkey("k").alias("doc_id"), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -125,7 +127,7 @@ def taken(docs: DataFrame, block: int = 64, slots: int = 4096, seed: int = 17) -
 def mixed(docs: DataFrame, block: int = 64, slots: int = 4096, seed: int = 17) -> DataFrame:
     """The mix as documents: a row for each document and pass with the words that were taken, white space as one space."""
     placed, _, use = mix(docs, block, slots, seed)
-    cut = spread(placed, block).join(use, ["rank", "b"]).groupBy("k", "tie", "lo", "turn").agg(F.array_sort(F.collect_list(F.struct("a", "z"))).alias("cuts"), F.sum(F.col("z") - F.col("a")).alias("n"))
+    cut = spread(placed, block).join(use.hint("merge"), ["rank", "b"]).groupBy("k", "tie", "lo", "turn").agg(F.array_sort(F.collect_list(F.struct("a", "z"))).alias("cuts"), F.sum(F.col("z") - F.col("a")).alias("n"))
     cut = cut.dropDuplicates(["k", "tie", "turn"])  # repeated rows are one text
     names = docs.columns
     text = docs.withColumns({"__k": key(), "__tie": F.xxhash64(F.coalesce("text", F.lit("")))})
