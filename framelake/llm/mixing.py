@@ -66,12 +66,17 @@ def permuted(i: Column, n: Column, rank: Column, turn: Column, seed: int) -> Col
     return ((wide(a % n) * wide(i) + wide(shift)) % wide(n)).cast("long")
 
 
+def tie() -> Column:
+    """Tells rows of one id apart by text and source."""
+    return F.xxhash64(F.coalesce("text", F.lit("")), F.coalesce("source", F.lit("")), F.col("source").isNull())
+
+
 def mix(docs: DataFrame, block: int = 64, slots: int = 4096, seed: int = 17, per_bucket: int = 2000) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The documents (k, tie, source, size, lo, ...), the sources' targets, and how often each block is used.
 
     lo is the document's first word in its source's order, blocks are (rank, b, turn).
     """
-    sized = docs.select(key().alias("k"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"), F.col("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    sized = docs.select(key().alias("k"), tie().alias("tie"), F.col("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
     sized = written(sized, "sizes")  # 30 bytes a document; the texts are not read again
     total = sized.agg(F.count("*")).first()[0]
     n_buckets = max(1, -(-total // per_bucket))
@@ -128,10 +133,9 @@ def mixed(docs: DataFrame, block: int = 64, slots: int = 4096, seed: int = 17) -
     """The mix as documents: a row for each document and pass with the words that were taken, white space as one space."""
     placed, _, use = mix(docs, block, slots, seed)
     cut = spread(placed, block).join(use.hint("merge"), ["rank", "b"]).groupBy("k", "tie", "lo", "turn").agg(F.array_sort(F.collect_list(F.struct("a", "z"))).alias("cuts"), F.sum(F.col("z") - F.col("a")).alias("n"))
-    cut = cut.dropDuplicates(["k", "tie", "turn"])  # repeated rows are one text
     names = docs.columns
-    text = docs.withColumns({"__k": key(), "__tie": F.xxhash64(F.coalesce("text", F.lit("")))})
-    text = text.dropDuplicates(["__k", "__tie"])
+    text = docs.withColumns({"__k": key(), "__tie": tie()})
+    text = text.dropDuplicates(["__k", "__tie"])  # repeated rows share the text; each has cuts of its own
     rows = text.join(cut, (text["__k"] == cut["k"]) & (text["__tie"] == cut["tie"]))
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     whole = F.size("__w") == F.col("n")

@@ -278,6 +278,13 @@ def test_mixing(spark, docs, empty):
     assert all(n[r.doc_id] == r.taken for r in got)
     assert len(mixing.taken(docs).collect()) == len(corpus()) and mixing.taken(empty).count() == 0 and mixing.mixed(empty).count() == 0
     assert mixing.mixed(docs).columns == docs.columns
+    words = Counter()  # repeated rows and ids
+    for r in mixing.mixed(docs).collect():
+        words[r.doc_id, r.source] += len(W.findall(r.text))
+    took = Counter()
+    for r in mixing.taken(docs).collect():
+        took[r.doc_id, r.source] += r.taken
+    assert +words == +took
 
 
 def test_permutation_is_one_to_one(spark):
@@ -290,6 +297,13 @@ def test_permutation_is_one_to_one(spark):
 # --- pipeline
 
 
+def test_one_row_of_each_group_stays(spark, docs):
+    want = brute_components(corpus(), 80)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(-(2**63) if r.doc_id is None else r.doc_id for r in got.collect()) == sorted(set(want.values()))
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF)
     assert set(out.columns) == {"doc_id", "source", "lang", "n_tokens", "ids_sha256", "decoded_sha256", "ids"} and out.count() > 0
