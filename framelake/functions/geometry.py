@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,21 +22,30 @@ def _xy(p: Column) -> tuple[Column, Column]:
     return F.element_at(p, 1), F.element_at(p, 2)
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once; lambdas run interpreted, where equal parts are not shared."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def sides(corners: Column) -> Column:
     """Lengths of the four edges, from each corner to the next (cyclic)."""
 
-    def edge(i: Column) -> Column:
+    def edge(i: int) -> Column:
         (x0, y0), (x1, y1) = _xy(F.element_at(corners, i + 1)), _xy(F.element_at(corners, (i + 1) % 4 + 1))
         return F.sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(3)), edge)
+    return F.array(*map(edge, range(4)))
 
 
 def median(values: Column) -> Column:
-    """Exact median of an array: the mean of the middle two, if the count is even; null for an empty array."""
-    s, n = F.array_sort(values), F.size(values)
-    lo, hi = F.floor((n + 1) / 2).cast("int"), (F.floor(n / 2) + 1).cast("int")
-    return F.when(n > 0, (F.try_element_at(s, F.greatest(lo, F.lit(1))) + F.try_element_at(s, F.greatest(hi, F.lit(1)))) / 2)
+    """Exact median of an array without nulls: the mean of the middle two, if the count is even; null for an empty array."""
+
+    def middle(s: Column) -> Column:
+        n = F.size(s)
+        lo, hi = F.floor((n + 1) / 2).cast("int"), (F.floor(n / 2) + 1).cast("int")
+        return F.when(n > 0, (F.try_element_at(s, F.greatest(lo, F.lit(1))) + F.try_element_at(s, F.greatest(hi, F.lit(1)))) / 2)
+
+    return bound(F.sort_array(values), middle)
 
 
 def median_side(markers: Column) -> Column:
@@ -55,10 +66,14 @@ def marker_box(markers: Column, width: Column, height: Column) -> Column:
     """Box around all corners, two median sides wider, clipped to the image; null for fewer than three markers."""
     xs = F.flatten(F.transform(markers, lambda m: F.transform(m, lambda p: F.element_at(p, 1))))
     ys = F.flatten(F.transform(markers, lambda m: F.transform(m, lambda p: F.element_at(p, 2))))
-    pad = REACH * median_side(markers)
     clip = lambda v, top: F.least(F.greatest(v, F.lit(0.0)), (top - 1).cast("double"))
-    box = F.struct(clip(F.array_min(xs) - pad, width).alias("x0"), clip(F.array_min(ys) - pad, height).alias("y0"), clip(F.array_max(xs) + pad, width).alias("x1"), clip(F.array_max(ys) + pad, height).alias("y1"))
-    return F.when(F.size(markers) >= LEAST_MARKERS, box)
+
+    def box(v: Column) -> Column:
+        pad = v["pad"]
+        return F.struct(clip(F.array_min(v["xs"]) - pad, width).alias("x0"), clip(F.array_min(v["ys"]) - pad, height).alias("y0"), clip(F.array_max(v["xs"]) + pad, width).alias("x1"), clip(F.array_max(v["ys"]) + pad, height).alias("y1"))
+
+    parts = F.struct(xs.alias("xs"), ys.alias("ys"), (REACH * median_side(markers)).alias("pad"))
+    return F.when(F.size(markers) >= LEAST_MARKERS, bound(parts, box))
 
 
 def contained(box: Column, points: Column) -> Column:
@@ -71,9 +86,12 @@ def best_box(boxes: Column, points: Column) -> Column:
 
     Without points the highest score decides alone.  boxes: array of struct(x0, y0, x1, y1, score).
     """
-    rated = F.transform(boxes, lambda b, i: F.struct(contained(b, points).alias("n"), b["score"].alias("score"), (-i).alias("order"), b.alias("box")))
-    best = F.array_max(rated)
-    return F.when((F.size(boxes) > 0) & ((F.size(points) == 0) | (best["n"] > 0)), best["box"])
+
+    def best_of(v: Column) -> Column:
+        rated = F.transform(v["boxes"], lambda b, i: F.struct(contained(b, v["points"]).alias("n"), b["score"].alias("score"), (-i).alias("order"), b.alias("box")))
+        return bound(F.array_max(rated), lambda best: F.when((F.size(v["boxes"]) > 0) & ((F.size(v["points"]) == 0) | (best["n"] > 0)), best["box"]))
+
+    return bound(F.struct(boxes.alias("boxes"), points.alias("points")), best_of)
 
 
 def pixel(v: Column, size: Column | int) -> Column:

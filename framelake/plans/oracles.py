@@ -12,7 +12,7 @@ fr as (select o_custkey as session_id, o_orderkey, row_number() over (partition
 
 _LINES = """
 li as (select l_orderkey as o_orderkey, (l_partkey % 50)::int as id, l_quantity as cx, l_discount * 100 as cy, l_tax + 1 as side, l_tax as score,
-  row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as k from lineitem)"""
+  row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax) as k from lineitem)"""
 
 _REJECTED = "s as (select o_orderkey, o_orderpriority, ln(o_totalprice) as score from orders)," + _FENCE.format(by="o_orderpriority") + """,
 rej as (select distinct o_orderkey from s join f using (o_orderpriority) where score < threshold)"""

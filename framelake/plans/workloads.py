@@ -49,8 +49,9 @@ def square(cx, cy, side):
 
 def markers(spark: SparkSession, d: str) -> DataFrame:
     """l_orderkey, markers: array of struct(id, corners), in the lines' order."""
-    m = F.struct("l_linenumber", "l_partkey", "l_suppkey", "id", square(F.col("cx"), F.col("cy"), F.col("side")).alias("corners"), "score")
-    own = lines(spark, d).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(m)).alias("a"))
+    # line number, part and supplier repeat; position and size make the order total
+    m = F.struct("l_linenumber", "l_partkey", "l_suppkey", "cx", "cy", "side", "id", square(F.col("cx"), F.col("cy"), F.col("side")).alias("corners"), "score")
+    own = lines(spark, d).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(m)).alias("a"))
     return own.select(F.col("l_orderkey").alias("o_orderkey"), F.transform("a", lambda x: F.struct(x["id"].alias("id"), x["corners"].alias("corners"))).alias("markers"), F.transform("a", lambda x: x["score"]).alias("scores"))
 
 
@@ -158,12 +159,14 @@ def map_last_wins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def box_prompt(spark: SparkSession, d: str) -> DataFrame:
-    b = markers(spark, d).select("o_orderkey", geometry.marker_box(corners_of("markers"), F.lit(60), F.lit(20)).alias("b")).where("b is not null")
+    m = markers(spark, d).select("o_orderkey", corners_of("markers").alias("c")).where(F.size("c") >= geometry.LEAST_MARKERS)
+    b = m.select("o_orderkey", geometry.marker_box(F.col("c"), F.lit(60), F.lit(20)).alias("b"))
     return rounded(b.select("o_orderkey", "b.*"), "x0", "y0", "x1", "y1")
 
 
 def marker_centers_sides(spark: SparkSession, d: str) -> DataFrame:
-    m = markers(spark, d).select("o_orderkey", geometry.centers(corners_of("markers")).alias("c"), geometry.median_side(corners_of("markers")).alias("median_side"))
+    m = markers(spark, d).select("o_orderkey", corners_of("markers").alias("m"))
+    m = m.select("o_orderkey", geometry.centers(F.col("m")).alias("c"), geometry.median_side(F.col("m")).alias("median_side"))
     total = lambda k: F.aggregate("c", F.lit(0.0), lambda a, p: a + p[k])
     return rounded(m.select("o_orderkey", total("x").alias("sum_x"), total("y").alias("sum_y"), "median_side"), "sum_x", "sum_y", "median_side")
 
