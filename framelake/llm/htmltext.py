@@ -4,11 +4,12 @@ Every page is tokenised into elements.  For each element outside the main conten
 a hash of its whole subtree is emitted; Spark counts them for each host, once for each page, and the subtrees that
 recur on many pages of a host are that site's template and are deleted.  Elements that are no article text by their
 nature (scripts, styles, menus, headers, footers, asides, forms, adverts, notices, comments) go as well, by tag, role,
-or words of class and id, as a site may have too few pages for counting.
+or words of class and id, as a site may have too few pages for counting.  Pages of a host whose main content has the
+same text (mirrors, print views) count once.
 
 The main content is the page's article elements, else its main element or one with that role, else the body.
-Plain text blocks of the main content (paragraphs, headings, list items, quotes) are never template: a passage that
-many articles share is still text of each.
+Plain text blocks of the main content (paragraphs, headings, list items, quotes) and containers that hold such blocks
+with text besides links are never template: a passage, list or table that many articles share is still text of each.
 
 Null pages are empty and give an empty text.  Null or broken urls belong to one host without a name.  Repeated rows
 count as one page for the template and get equal rows.  Unclosed and stray tags are closed and skipped; of a page cut
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelake.llm.bpe import pieces
+from framelake.llm.common import written
 
 #: A token: comment, declaration, or tag with its attributes.
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
@@ -37,6 +39,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template iframe textarea title svg math object canvas xmp noembed noframes".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th tr figcaption b i em strong span a u s code br sub sup small mark q cite abbr time".split())
+#: Blocks whose text, links aside, makes a container part of the article.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption".split())
 CLOSES_P = BLOCK - {"caption", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "option", "legend", "summary", "body", "html"} | {"li", "dd", "dt"}
 #: What an opening tag closes among its open siblings, and where the search for them ends.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -163,9 +167,23 @@ def digest(node: Node, out: list[tuple[Node, int]]) -> int:
     return v
 
 
-def candidates(page: str) -> list[int]:
+def prose(node: Node, inside: bool = False) -> bool:
+    """Whether the subtree holds a text block with text besides links."""
+    for c in node.children:
+        if isinstance(c, str):
+            if inside and c.strip():
+                return True
+        elif c.tag != "a" and not unwanted(c, True) and prose(c, inside or c.tag in PROSE):
+            return True
+    return False
+
+
+def signed(h: int) -> int:
+    return h - 2**64 if h >= 2**63 else h
+
+
+def candidates(root: Node) -> list[int]:
     """Distinct subtree hashes of what could be template, as signed 64-bit integers."""
-    root = parse(page)
     main = {id(x) for x in mains(root)}
     hashes: set[int] = set()
 
@@ -180,16 +198,27 @@ def candidates(page: str) -> list[int]:
                 own = walk(c, inside) or id(c) in main
                 if own:
                     holds = True
-                elif c.tag not in RAW and c.tag not in VOID:
+                elif c.tag not in RAW and c.tag not in VOID and not (inside and prose(c)):
                     hashes.add(digest(c, []))
         return holds
 
     walk(root, False)
-    return [h - 2**64 if h >= 2**63 else h for h in hashes]
+    return [signed(h) for h in hashes]
 
 
-def extract(page: str, template: frozenset[int] = frozenset()) -> str:
+def seen_on(page: str | None) -> tuple[int, list[int]]:
+    """Hash of the main content's text, and the candidates."""
+    if not page:
+        return 0, []
     root = parse(page)
+    return signed(xxhash.xxh64_intdigest(text_of(root).encode("utf-8", "replace"))), candidates(root)
+
+
+def extract(page: str, template: frozenset[int] = frozenset()) -> str:
+    return text_of(parse(page), template)
+
+
+def text_of(root: Node, template: frozenset[int] = frozenset()) -> str:
     blocks: list[str] = []
     line: list[str] = []
 
@@ -208,11 +237,9 @@ def extract(page: str, template: frozenset[int] = frozenset()) -> str:
                 if c.tag in BLOCK:
                     flush()
                 continue
-            if template and c.tag not in TEXT_BLOCKS:
-                h = digest(c, [])
-                if (h - 2**64 if h >= 2**63 else h) in template:
-                    flush()
-                    continue
+            if template and c.tag not in TEXT_BLOCKS and signed(digest(c, [])) in template and not prose(c):
+                flush()
+                continue
             if c.tag == "br":
                 line.append("\n")
             elif c.tag in BLOCK:
@@ -236,18 +263,20 @@ def host_of(url: str = "url"):
 def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2) -> DataFrame:
     """page key -> the template subtrees on that page: pk, template (array).
 
-    A subtree is template if it is on least_pages pages of the host at least and on least_share of them.
+    A subtree is template if it is on least_pages pages of the host at least and on least_share of them, pages with the
+    same main text counted once.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            hs = [candidates(p) if p else [] for p in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hs, pa.list_(pa.int64()))], ["pk", "host", "hashes"])
-
-    seen = pages.select("pk", "host", "html").mapInArrow(run, "pk long, host string, hashes array<long>").dropDuplicates(["pk"])
-    rows = seen.select("pk", "host", F.explode("hashes").alias("h"))
-    per_host = pages.select("pk", "host").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    often = rows.groupBy("host", "h").agg(F.count("*").alias("n")).where(f"n >= {least_pages}")
+            got = [seen_on(p) for p in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.list_(pa.int64()))], ["pk", "host", "main", "hashes"])
+
+    seen = pages.select("pk", "host", "html").mapInArrow(run, "pk long, host string, main long, hashes array<long>").dropDuplicates(["pk"])
+    seen = written(seen, "page-hashes")  # pages are parsed once for the uses below
+    rows = seen.select("pk", "host", "main", F.explode("hashes").alias("h"))
+    per_host = seen.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    often = rows.select("host", "h", "main").distinct().groupBy("host", "h").agg(F.count("*").alias("n")).where(f"n >= {least_pages}")
     often = often.join(per_host, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "h")
     return rows.join(often, ["host", "h"]).groupBy("pk").agg(F.collect_set("h").alias("template"))
 

@@ -117,6 +117,24 @@ def test_site_template(spark):
     assert got[3] == "text 3\n\nshared by all" and got[8] == "follow us everywhere\n\nalone" and got[9] == ""
 
 
+def test_copies_and_shared_blocks_stay(spark):
+    table = "<table><tr><td>cell</td></tr></table>"
+    rows, want = [], {}
+
+    def add(host, html, text):
+        want[len(rows)] = text
+        rows.append((len(rows), f"https://{host}/{len(rows)}", html))
+
+    for n in (5, 25, 1000):  # mirrors of one article: with paragraphs, and with bare text
+        for i in range(n):
+            add(f"p{n}.org", f"<body><!-- {i} --><article><div class='entry'><p>one</p><p>two</p></div></article></body>", "one\n\ntwo")
+            add(f"b{n}.org", f"<body><div data-n={i}><div>bare text</div></div></body>", "bare text")
+    for i in range(8):
+        add("t.org", f"<article><p>text {i}</p>{table}<ul><li>item</ul><div><a href=/>link</a></div></article>", f"text {i}\n\ncell\n\nitem")
+    got = {r.page_id: r.text for r in htmltext.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+
+
 # --- fingerprints
 
 
