@@ -14,8 +14,8 @@ confirmed on the texts.  So no link that joins two components is lost, no bucket
 links and components stay in tables.
 
 Nulls: a null text and a text without words have an empty set and no links.  A null doc_id is an id of its own, the
-smallest.  Repeated ids: the rows' texts are compared as the texts of one id, rows of one id share a component.  An
-empty table gives an empty result.  Further columns are left out.
+smallest.  Repeated ids: each of the rows' texts is a class of its own and is compared with all others; the rows
+of one id share a component.  An empty table gives an empty result.  Further columns are left out.
 """
 
 from __future__ import annotations
@@ -98,20 +98,20 @@ def shingles(text: str | None) -> set[tuple[bytes, ...]]:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """k, n (set size), cls (hash of the word sequence), sig (signature; null without words) of every document."""
+    """k, t, n (set size), cls (hash of the word sequence), sig (signature; null without words) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             ns, cls, sigs = [], [], []
-            for t in b.column(1).to_pylist():
+            for t in b.column(2).to_pylist():
                 words = normal(t)
                 h, _ = shingle_hashes(words)
                 ns.append(len(h))
                 cls.append(xxhash.xxh3_128_digest(words) if len(h) else None)
                 sigs.append(signature(h).tobytes() if len(h) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ns, pa.int64()), pa.array(cls, pa.binary()), pa.array(sigs, pa.binary())], ["k", "n", "cls", "sig"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ns, pa.int64()), pa.array(cls, pa.binary()), pa.array(sigs, pa.binary())], ["k", "t", "n", "cls", "sig"])
 
-    return docs.select("k", "text").mapInArrow(run, "k long, n long, cls binary, sig binary")
+    return docs.select("k", "t", "text").mapInArrow(run, "k long, t long, n long, cls binary, sig binary")
 
 
 def linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -198,23 +198,29 @@ def rest_links(buckets: DataFrame, least_equal: int, percent: int, block: int =
     return rows.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def clusters(docs: DataFrame, percent: int = 85, key_of: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, class_id of every document."""
-    spark = docs.sparkSession
-    base = docs.select(key(key_of).alias("k"), "text")
+def joined(docs: DataFrame, percent: int, key_of: str, by_id: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (k, t, n, rep, node, v), classes (cls, rep, node), and the components of the vertices (node, component).
+
+    t is the text's hash, rep the smallest id of the row's class, node the class's vertex (null without words), v the
+    row's: its class, or the id where there is none.  by_id links the vertices of one id to each other.
+    """
+    base = docs.select(key(key_of).alias("k"), F.xxhash64("text").alias("t"), "text")
     sigs = written(signed(base), "signatures")
     # written, so that both sides of the joins below are dealt anew and a hot class can be split
-    reps = written(sigs.where("cls is not null").groupBy("cls").agg(F.min("k").alias("rep")), "representatives")
-    # the class of every document, and links between classes of one repeated id
-    classes = written(sigs.select("k", "n", "cls").join(reps, "cls", "left"), "classes")
-    distinct = written(sigs.join(reps, (sigs["cls"] == reps["cls"]) & (sigs["k"] == reps["rep"]), "left_semi").select("k", "sig").dropDuplicates(["k"]), "distinct")
+    least_ids = written(sigs.where("cls is not null").groupBy("cls").agg(F.min("k").alias("rep")).withColumn("h", F.xxhash64("cls")), "smallest-ids")
+    # a class goes by its smallest id; where that is the smallest of several classes, all but one go by their hash
+    several = least_ids.groupBy("rep").agg(F.min("h").alias("lead"), F.count("*").alias("m")).where("m > 1").select("rep", "lead")
+    reps = written(least_ids.join(several, "rep", "left").select("cls", "rep", F.when(F.col("lead") != F.col("h"), F.col("h")).otherwise(F.col("rep")).alias("node")), "representatives")
+    rows = written(sigs.select("k", "t", "n", "cls").join(reps, "cls", "left").select("k", "t", "n", "rep", "node", F.coalesce("node", "k").alias("v")), "classes")
+    # from here to the links k is the class's vertex; (id, t) names one of its texts
+    distinct = sigs.join(reps.withColumnRenamed("rep", "k"), ["cls", "k"]).select(F.col("node").alias("k"), F.col("k").alias("id"), "t", "sig")
+    distinct = written(distinct.dropDuplicates(["k"]), "distinct")
     coordinates = lambda r: F.substring("sig", r * 4 * ROWS + 1, 4 * ROWS)
     bands = distinct.select("k", F.explode(F.array(*[F.concat(F.lit(f"{r}:"), F.base64(coordinates(r))) for r in range(BANDS)])).alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.min("k").alias("first"), F.count("*").alias("m")).where("m > 1")
     members = written(bands.join(shared, "bucket"), "buckets")
-    texts = base.join(members.select("k").distinct(), "k", "left_semi")
-    # one text of each class is enough: the representative's
-    texts = written(texts.withColumn("cls", F.xxhash64("text")).groupBy("k").agg(F.min_by("text", "cls").alias("text")), "texts")
+    used = distinct.join(members.select("k").distinct(), "k", "left_semi").select(F.col("k").alias("node"), F.col("id").alias("k"), "t")
+    texts = written(base.join(used, ["k", "t"]).groupBy("node").agg(F.first("text").alias("text")).select(F.col("node").alias("k"), "text"), "texts")
     star = members.where("k != first").select(F.col("first").alias("a"), F.col("k").alias("b")).distinct()
     links = written(linked(star, texts, percent), "linked")
     found = components(links)
@@ -223,17 +229,25 @@ def clusters(docs: DataFrame, percent: int = 85, key_of: str = "doc_id") -> Data
     placed = others.join(found.withColumnRenamed("node", "k"), "k", "left").select("bucket", "k", F.coalesce("component", "k").alias("comp"))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
     rest = written(placed.join(mixed, "bucket"), "rest")
-    needed = distinct.join(rest.select("k").distinct(), "k", "left_semi").join(with_sets(texts.join(rest.select("k").distinct(), "k", "left_semi")), "k")
+    needed = distinct.select("k", "sig").join(rest.select("k").distinct(), "k", "left_semi").join(with_sets(texts.join(rest.select("k").distinct(), "k", "left_semi")), "k")
     rest = rest.join(needed, "k")
     # six standard deviations below the threshold's expectation
     p = percent / 100
     least = int(COORDINATES * p - 6 * (COORDINATES * p * (1 - p)) ** 0.5)
     more = linked(written(rest_links(rest, least, percent).distinct(), "rest-links"), texts, percent)
-    again = classes.where("rep is not null and rep != k").select(F.col("k").alias("a"), F.col("rep").alias("b"))
-    repeated = classes.groupBy("k").agg(F.count("*").alias("m")).where("m > 1").select("k")
-    again = again.join(repeated, "k" if "k" in again.columns else again["a"] == repeated["k"], "left_semi")
-    found = written(components(links.unionByName(written(more, "linked")).unionByName(again)), "components")
-    by_rep = found.select(F.col("node").alias("rep"), "component")
-    out = classes.join(by_rep, "rep", "left")
+    links = links.unionByName(written(more, "linked"))
+    if by_id:
+        repeated = rows.groupBy("k").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x != y").select("k")
+        links = links.unionByName(rows.select("k", "v").join(repeated, "k", "left_semi").select(F.col("k").alias("a"), F.col("v").alias("b")).distinct())
+    return rows, reps, written(components(links), "components")
+
+
+def clusters(docs: DataFrame, percent: int = 85, key_of: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, class_id of every document."""
+    rows, reps, found = joined(docs, percent, key_of, by_id=True)
+    # a component goes by its smallest id; vertices that are no class are ids
+    least = found.join(reps.select("node", "rep"), "node", "left").groupBy("component").agg(F.min(F.coalesce("rep", "node")).alias("least"))
+    named = found.join(least, "component").select(F.col("node").alias("v"), F.col("least").alias("component"))
+    out = rows.join(named, "v", "left")
     comp = F.coalesce("component", "rep", "k")
     return out.select(unkey("k").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(comp != -(2**63), comp).alias("component_id"), (F.col("k") == comp).alias("kept"), F.coalesce("rep", "k").alias("class_id"))

@@ -90,6 +90,27 @@ def test_neardup_cluster_without_a_hub(spark):
     assert got == brute_components(rows, 85)
 
 
+def several_texts():
+    """Ids, and missing ids, with several unlike texts, whose near and exact copies have other ids."""
+    rows = []
+    for i in range(12):
+        base = prose(100 + i, 80)
+        near = base.split(" ")
+        near[40] = f"other{i}"
+        rows += [(i // 4 if i < 8 else None, base, "en", "s"), (50 + i, " ".join(near), "en", "s"), (70 + i, base, "en", "s")]
+    return [*rows, (60, None, "en", "s"), (60, prose(100, 80), "en", "s"), (None, None, "en", "s"), (1, "", "en", "s"), rows[0]]
+
+
+def test_neardup_ids_with_several_texts(spark):
+    rows = several_texts()
+    want = brute_components(rows, 85)
+    got = neardup.clusters(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        i = -(2**63) if r.doc_id is None else r.doc_id
+        assert (-(2**63) if r.component_id is None else r.component_id) == want[i] and r.kept == (want[i] == i)
+
+
 # --- HTML
 
 
