@@ -27,11 +27,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the smallest id, of each group of near-duplicates; of rows that repeat its id, the first by text hash, source and lang."""
-    kept = neardup.clusters(docs, percent=SIMILAR).where("kept").select(key().alias("__k")).distinct()
-    rows = docs.withColumn("__k", key()).join(kept, "__k", "left_semi")
-    first = F.struct(F.xxhash64("text"), "source", "lang")
-    return rows.groupBy("__k").agg(F.min_by(F.struct(*docs.columns), first).alias("__row")).select("__row.*")
+    """Keeps one text, that of the smallest id, of each group of near-duplicates; of rows that repeat its id and text, the first by source and lang."""
+    kept = neardup.representatives(docs, percent=SIMILAR).select(F.col("k").alias("__k"), F.col("t").alias("__t"))
+    rows = docs.withColumns({"__k": key(), "__t": F.xxhash64("text")}).join(kept, ["__k", "__t"], "left_semi")
+    return rows.groupBy("__k", "__t").agg(F.min_by(F.struct(*docs.columns), F.struct("source", "lang")).alias("__row")).select("__row.*")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

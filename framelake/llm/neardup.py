@@ -14,8 +14,9 @@ confirmed on the texts.  So no link that joins two components is lost, no bucket
 links and components stay in tables.
 
 Nulls: a null text and a text without words have an empty set and no links.  A null doc_id is an id of its own, the
-smallest.  Repeated ids: each of the rows' texts is a class of its own and is compared with all others; the rows
-of one id share a component.  An empty table gives an empty result.  Further columns are left out.
+smallest.  Repeated ids: each of the rows' texts is a class of its own and is compared with all others; clusters() gives
+the rows of one id one component, representatives() joins only texts that are alike.  An empty table gives an empty
+result.  Further columns are left out.
 """
 
 from __future__ import annotations
@@ -251,3 +252,11 @@ def clusters(docs: DataFrame, percent: int = 85, key_of: str = "doc_id") -> Data
     out = rows.join(named, "v", "left")
     comp = F.coalesce("component", "rep", "k")
     return out.select(unkey("k").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(comp != -(2**63), comp).alias("component_id"), (F.col("k") == comp).alias("kept"), F.coalesce("rep", "k").alias("class_id"))
+
+
+def representatives(docs: DataFrame, percent: int = 85, key_of: str = "doc_id") -> DataFrame:
+    """k, t (id and text hash) of one text, that of the smallest id, of each group of texts that are alike, and of all texts without words."""
+    rows, _, found = joined(docs, percent, key_of, by_id=False)
+    placed = rows.where("node is not null").join(found, "node", "left").select(F.coalesce("component", "node").alias("c"), "k", "t")
+    first = placed.groupBy("c").agg(F.min(F.struct("k", "t")).alias("r")).select("r.k", "r.t")
+    return first.unionByName(rows.where("node is null").select("k", "t").distinct())

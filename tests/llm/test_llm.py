@@ -343,6 +343,14 @@ def test_one_row_of_each_group_stays(spark, docs):
     assert sorted(-(2**63) if r.doc_id is None else r.doc_id for r in got.collect()) == sorted(set(want.values()))
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    rows = several_texts()
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), SF).collect()
+    # the smallest id's text of each of the twelve groups, and the texts without words
+    want = [(r[0], r[1]) for r in rows[:36:3]] + [(60, None), (None, None), (1, "")]
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(want)
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF)
     assert set(out.columns) == {"doc_id", "source", "lang", "n_tokens", "ids_sha256", "decoded_sha256", "ids"} and out.count() > 0
