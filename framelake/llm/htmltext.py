@@ -4,7 +4,8 @@ Every page is tokenised into elements.  For each element outside the main conten
 a hash of its whole subtree is emitted; Spark counts them for each host, once for each page, and the subtrees that
 recur on many pages of a host are that site's template and are deleted.  Elements that are no article text by their
 nature (scripts, styles, menus, headers, footers, asides, forms, adverts, notices, comments) go as well, by tag, role,
-or words of class and id, as a site may have too few pages for counting.  Pages of a host whose main content has the
+or by class and id, as a site may have too few pages for counting.  Outside the main content one word of a class or id
+is enough; inside it takes a name that says it in full, or such a word on a container of links.  Pages of a host whose main content has the
 same text (mirrors, print views) count once.
 
 The main content is the page's article elements, else its main element or one with that role, else the body.
@@ -34,9 +35,10 @@ from framelake.llm.common import written
 #: A token: comment, declaration, or tag with its attributes.
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
 ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-#: Elements by kind (fixed values of the HTML standard).
+#: Elements by kind (fixed values of the HTML standard).  RAW content is skipped; of NESTED elements up to their own end.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea title svg math object canvas xmp noembed noframes".split())
+RAW = frozenset("script style noscript template iframe textarea title svg object canvas xmp noembed noframes".split())
+NESTED = frozenset("noscript template svg object canvas".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th thead tr ul".split())
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th tr figcaption b i em strong span a u s code br sub sup small mark q cite abbr time".split())
 #: Blocks whose text, links aside, makes a container part of the article.
@@ -44,7 +46,7 @@ PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption"
 CLOSES_P = BLOCK - {"caption", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "option", "legend", "summary", "body", "html"} | {"li", "dd", "dt"}
 #: What an opening tag closes among its open siblings, and where the search for them ends.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-DROPPED_TAGS = frozenset("nav footer aside form button select dialog menu head search".split()) | RAW
+DROPPED_TAGS = frozenset("nav footer aside form button select dialog menu head search annotation annotation-xml".split()) | RAW
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form note".split())
 #: Words of class and id that mark what is not the article (fixed values).
 DROPPED_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored sponsors promo promos promotion
@@ -52,6 +54,15 @@ nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars side ra
 cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login paywall disclaimer
 comment comments commentlist disqus respond reply replies discussion share sharing social related recommended recommendations
 trending widget widgets tags pagination pager toolbar skip form forms search""".split())
+#: Whole names of class and id, and first words of them, that mark it inside the main content too (fixed values).
+DROPPED_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner-ad adsense sponsored sponsored-content promo-box navbar nav-bar main-nav
+site-nav navigation main-menu breadcrumb breadcrumbs sidebar sidebars side-bar site-header masthead topbar footer site-footer page-footer article-footer bottombar
+cookie-banner cookie-notice cookie-bar cookie-consent consent-banner gdpr-banner popup newsletter newsletter-signup newsletter-box newsletter-form
+subscribe subscribe-box paywall comments comment-list commentlist comments-area comments-section comment-section comment-form comment-respond
+respond disqus disqus-thread share-buttons share-bar share-box share-links social-share social-links social-buttons social-media
+related related-posts related-articles related-content related-links related-stories recommended recommendations trending widget widgets
+pagination pager toolbar search-form login-form skip-link""".split())
+DROPPED_STARTS = frozenset("ad ads advert adverts advertisement adsense".split())
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -104,14 +115,33 @@ def parse(page: str) -> Node:
                     break
         node = Node(tag, m[3] or "")
         stack[-1].children.append(node)
-        if tag in RAW:
+        if tag in NESTED:
+            if tag in ("svg", "object") and node.attrs.endswith("/"):
+                continue
+            at = nested_end(page, at, tag, stack[-1].tag)
+        elif tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else n
+            at = end.end() if end else n if tag in ("script", "style") else parent_end(page, at, stack[-1].tag)
         elif tag not in VOID and not (m[3] or "").endswith("/") or tag in ("p", "div", "span", "a"):
             stack.append(node)
     return root
 
 
+def parent_end(page: str, at: int, parent: str) -> int:
+    end = re.compile(rf"</{re.escape(parent)}\s*>", re.I).search(page, at)
+    return end.start() if end else len(page) if parent == "#root" else at
+
+
+def nested_end(page: str, at: int, tag: str, parent: str) -> int:
+    """Where the element that starts before at ends: after its own end tag, or else at its parent's."""
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.I).finditer(page, at):
+        depth += -1 if m[1] else not m[0].endswith("/>")
+        if not depth:
+            return m.end()
+    return parent_end(page, at, parent)
+
+
 def attributes(node: Node) -> dict[str, str]:
     return {m[1].lower(): entities.unescape(m[2] or m[3] or m[4] or "") for m in ATTR.finditer(node.attrs)} if node.attrs.strip(" /") else {}
 
@@ -128,7 +158,33 @@ def unwanted(node: Node, in_main: bool) -> bool:
         return True
     if node.tag in ("html", "body", "article", "main"):
         return False
-    return any(w.lower() in DROPPED_WORDS for k in ("class", "id") if a.get(k) for w in SPLIT.split(a[k]))
+    loose = any(w.lower() in DROPPED_WORDS for k in ("class", "id") if a.get(k) for w in SPLIT.split(a[k]))
+    if not loose or not in_main:
+        return loose
+    for name in f"{a.get('class', '')} {a.get('id', '')}".split():
+        parts = [w.lower() for w in SPLIT.split(name) if w]
+        if "-".join(parts) in DROPPED_NAMES or (parts and parts[0] in DROPPED_STARTS and node.tag not in TEXT_BLOCKS):
+            return True
+    return node.tag not in TEXT_BLOCKS and mostly_links(node)
+
+
+def mostly_links(node: Node) -> bool:
+    """Whether links hold at least three quarters of the text, and no heading or paragraph has text outside them."""
+    n = [0, 0]
+    own = False
+
+    def walk(x: Node, in_link: bool, in_block: bool) -> None:
+        nonlocal own
+        for c in x.children:
+            if isinstance(c, str):
+                if m := len("".join(c.split())):
+                    n[in_link] += m
+                    own |= in_block and not in_link
+            elif c.tag not in RAW:
+                walk(c, in_link or c.tag == "a", in_block or c.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"))
+
+    walk(node, False, False)
+    return not own and n[1] >= 3 * n[0]
 
 
 def mains(root: Node) -> list[Node]:

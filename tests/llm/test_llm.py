@@ -130,6 +130,26 @@ def test_extract(html, want):
     assert htmltext.extract(html) == want
 
 
+@pytest.mark.parametrize("name", ["id=discussion", "id=related-work", "id=head-injury", "class=share-price", "class=social-history", "class=side-effects", "class=tags"])
+@pytest.mark.parametrize("tag", ["section", "div", "h2", "p", "span"])
+def test_one_word_drops_no_article_text(name, tag):
+    inner = "<p>kept</p>" if tag in ("section", "div") else "kept"
+    assert htmltext.extract(page(f"<article><{tag} {name}>{inner}</{tag}></article>")) == "kept"
+    assert htmltext.extract(page("<article><p>x</p><div class='share-tools'><a href=/>Share</a></div><div class=comment-list><p>bad</p></div></article>")) == "x"
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ("<article><p>a <svg class='i'/> b</p><p>c</p></article>", "a b\n\nc"),
+    ("<article><p>a <svg/> b</p><p>c <svg><g>no</g></svg> d</p></article>", "a b\n\nc d"),
+    ("<article><p>a <object data=x /> b</p><p>c</p></article>", "a b\n\nc"),
+    ("<article><p>a</p><div><svg><g></div><p>b</p><p>c <svg>no</svg> d</p></article>", "a\n\nb\n\nc d"),
+    ("<article><p>a</p><div><iframe src=x></div><p>b</p></article>", "a\n\nb"),
+    ("<article><p>a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> b <math/> c</p></article>", "a x=1 b c"),
+])
+def test_unclosed_and_self_closed(html, want):
+    assert htmltext.extract(html) == want
+
+
 def test_site_template(spark):
     bar = "<div><span>follow us everywhere</span></div>"
     rows = [(i, f"https://a.org/{i}", f"<body>{bar}<div><p>text {i}</p><p>shared by all</p></div></body>") for i in range(8)]
