@@ -11,6 +11,8 @@ same text (mirrors, print views) count once.
 The main content is the page's article elements, else its main element or one with that role, else the body.
 Plain text blocks of the main content (paragraphs, headings, list items, quotes) and containers that hold such blocks
 with text besides links are never template: a passage, list or table that many articles share is still text of each.
+So the counts change the text only through other containers inside the main content, as on pages without an article or
+main element; what lies outside is left out by the choice of the main content.
 
 Null pages are empty and give an empty text.  Null or broken urls belong to one host without a name.  Repeated rows
 count as one page for the template and get equal rows.  Unclosed and stray tags are closed and skipped; of a page cut
