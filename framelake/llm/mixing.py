@@ -98,12 +98,14 @@ def used(sources: DataFrame, block: int, slots: int, seed: int) -> DataFrame:
     """rank, b, turn: block b of the source is used in pass turn (0 or 1)."""
     all_ = Window.partitionBy()
     upto = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    s = sources.where("source_size > 0").select("rank", F.ceil(F.col("source_size") / block).cast("long").alias("n"), "source_size", "target", F.sum("target").over(upto).alias("hi"), F.sum("target").over(all_).alias("sum"))
-    n_slots = F.ceil(F.col("sum") / block)
+    # a source's slots are counted by the words that its blocks hold on average, as its last block may be short
+    s = sources.where("source_size > 0").withColumn("n", F.ceil(F.col("source_size") / block).cast("long")).withColumn("want", F.col("target") * F.col("n") / F.col("source_size"))
+    s = s.select("rank", "n", "want", F.sum("want").over(upto).alias("hi"), F.sum("want").over(all_).alias("sum"))
+    n_slots = F.ceil("sum")
     shards = s.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n_slots - 1) / slots).cast("long"))))
     size = F.least(F.lit(float(slots)), n_slots - F.col("shard") * slots)
     edge = lambda c: F.floor(c / F.col("sum") * size + uniform(F.col("shard"), F.lit(seed)))
-    shards = shards.withColumn("n_slots", edge(F.col("hi")) - edge(F.col("hi") - F.col("target")))
+    shards = shards.withColumn("n_slots", edge(F.col("hi")) - edge(F.col("hi") - F.col("want")))
     before = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.withColumn("first", F.coalesce(F.sum("n_slots").over(before), F.lit(0))).where("n_slots > 0")
     # few rows become very many here: dealt out first, and never taken for small by the planner (see the merge hints)

@@ -346,6 +346,14 @@ def test_mixing(spark, docs, empty):
     assert +words == +took
 
 
+def test_small_sources_meet_their_targets(spark):
+    sizes = {f"{n}-{i}": n for n in (10, 30, 65, 200) for i in range(60)} | {"hot": 40000}
+    got = mixing.taken(spark.createDataFrame([(i, prose(i, n), None, s) for i, (s, n) in enumerate(sizes.items())], SCHEMA)).collect()
+    for n in (10, 30, 65, 200, 40000):
+        own = [r for r in got if r.size == n]
+        assert sum(r.taken for r in own) == pytest.approx(sum(r.target for r in own), rel=0.05)
+
+
 def test_permutation_is_one_to_one(spark):
     for n in (1, 2, 97, 1000, 2147483647 * 2):
         k = min(n, 1000)
