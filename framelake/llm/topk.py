@@ -1,13 +1,14 @@
 """Exact top-k search by inner product: ball trees in shards, branch and bound.
 
 Vectors are turned into integers (floor(256 * x)), so scores are exact.  Vectors are dealt into shards by a hash of
-their id; each shard's ball tree is built once and stored as one row.  A query opens a tree's nodes in the order of
+their id and components; each shard's ball tree is built once and stored as one row.  A query opens a tree's nodes in the order of
 their upper bounds q.c + |q| r and stops when the best bound left is below its current k-th score.  That score is shared:
 the first shard is searched alone, and its k-th scores are the starting bounds in all others.  Queries travel in
 blocks to every shard.
 
-Vectors that are null, empty, or hold a null or a non-finite component take no part, nor do null ids.  Rows that repeat
-an id count as one (the smallest vector).  A query meets only vectors of its own length.  Ties go to smaller ids.  An
+Vectors that are null, empty, or hold a null or a non-finite component take no part, nor do null ids.  Each distinct vector of
+an id is a candidate and, where the id is a query, a query; a query meets no vector of its own id, and its rows share
+one list.  A query meets only vectors of its own length.  Ties go to smaller ids.  An
 empty table gives an empty result.  Further columns are left out.
 """
 
@@ -30,12 +31,12 @@ _LONG = 2**63 - 1
 
 
 def integers(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """id, dim, v (array of double, whole numbers) of the vectors that take part."""
+    """id, dim, v (array of double, whole numbers) of the distinct vectors that take part."""
     ok = F.col("v").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x * scale) == float("inf")))
     v = vectors.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")).where(F.col("id").isNotNull()).where(ok)
     whole = F.transform("v", lambda x: F.rint(x * scale - 0.5 + F.when(F.rint(x * scale) == x * scale, 0.5).otherwise(0.0)))
     v = v.select("id", whole.alias("v"))
-    return v.groupBy("id").agg(F.min("v").alias("v")).select("id", F.size("v").alias("dim"), "v")
+    return v.distinct().select("id", F.size("v").alias("dim"), "v")
 
 
 class BallTree:
@@ -111,14 +112,14 @@ def trees(vectors: DataFrame, n_shards: int) -> DataFrame:
         tree = BallTree(t.column("id").to_numpy(), v)
         return pa.table({"dim": t.column("dim").slice(0, 1), "shard": t.column("shard").slice(0, 1), "tree": pa.array([pickle.dumps(tree, 5)], pa.binary())})
 
-    return vectors.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(n_shards)).cast("int")).groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, tree binary")
+    return vectors.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(n_shards)).cast("int")).groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, tree binary")
 
 
 def search(index: DataFrame, queries: DataFrame, shards: list[int], k: int, blocks: int) -> DataFrame:
     """query_id, score, vec_id: each query's k best of every shard in shards; queries: id, dim, v, floor."""
     if not shards:
         return queries.sparkSession.createDataFrame([], "query_id long, score long, vec_id long")
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    block = F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")
     sent = queries.withColumn("block", block).withColumn("shard", F.explode(F.array(*map(F.lit, shards)))) if len(shards) <= 4096 else queries.withColumn("block", block).withColumn("shard", F.explode(F.sequence(F.lit(min(shards)), F.lit(max(shards)))))
     held = index.where(F.col("shard").isin(shards) if len(shards) <= 64 else F.col("shard") >= min(shards)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 

@@ -37,6 +37,14 @@ def test_topk_against_brute_force(spark):
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_topk_repeated_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [9.0, 0.0]), (1, [5.0, 0.0]), (2, [4.0, 0.0]), (3, [3.0, 0.0]), (50, [1.0, 0.0]), (50, [2.0, 0.0])]
+    v = [(i, [int(256 * c) for c in x]) for i, x in rows]
+    want = sorted(((sum(a * b for a, b in zip(x, y)), -j) for i, x in v if i == 50 for j, y in v if j != 50), reverse=True)[:5]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 50, 5, per_shard=2, per_block=1).collect()
+    assert [(r.score, -r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == want
+
+
 # --- near-duplicates
 
 
