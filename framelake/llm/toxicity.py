@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
-Voters are words and word beginnings (lexicon), which labelled rows single out, a short list of insults, and
-patterns; each votes toxic or abstains, and one votes clean where no other speaks.  A generative label model takes
+Voters are words and word beginnings (lexicon), which labelled rows single out, and a short list of insults.  Word
+beginnings are the only patterns: no expression over the whole text votes, so an insult with masked or repeated letters
+(id1ot, i.d.i.o.t) that labelled rows do not single out is no hit.  Each votes toxic or abstains, and one votes clean where no other speaks.  A generative label model takes
 the true label as hidden, estimates each voter's rate for either label by expectation maximisation, and estimates
 the voters' correlations given the label: voters of a correlated cluster share their evidence.  A linear classifier
 is trained on the posterior labels and scores every whole text.
