@@ -1,17 +1,25 @@
 """Byte-level BPE: encoding by tree concatenation, and decoding.
 
-A text is cut only where the tokenizer's own pre-tokenizer must cut: before a run of non-space characters (with
-the one space that belongs to it), around white space, and between an ASCII letter and ASCII punctuation.  Such units
-are encoded by the tokenizers library once for each Python worker; further ones are found by a 64-bit fingerprint,
-whole Arrow batches at a time.  A stretch that the pre-tokenizer leaves whole and that is longer than
-``leaf`` is encoded as a tree: its leaves go to the library in parallel, and neighbours are joined by re-encoding
-a window around the join.  The window grows until its first token is the left side's token at that place and its
-last token the right side's.  A token sequence is the BPE encoding of its text exactly if each neighbouring pair is
-the encoding of the pair's text; every pair then lies within one of three encodings (left, window, right), so the
-joined sequence is exact.
+A text of more than ``leaf`` bytes is halved until its parts are at most that long, wherever the halves happen to
+meet.  The leaves of a whole Arrow batch are encoded together; then neighbours are joined, level by level, by encoding
+a window around the join again.  The window grows until it agrees with both sides: its first tokens are the left
+side's and its last tokens the right side's, in each case up to a place that the pre-tokenizer must cut (behind a
+non-space before white space, or between an ASCII letter and ASCII punctuation).  Nothing before such a place
+depends on what follows it, nor the other way round, so the joined sequence is exact.
+
+A stretch without such a place that is longer than ``leaf`` (a very long word) is first cut by the pre-tokenizer; a
+pre-token that is still longer is a tree of its own, in which a window agrees if its first token is the left side's at
+that place and its last token the right side's.  A token sequence is the BPE encoding of a pre-token exactly if each
+neighbouring pair is the encoding of the pair's text; every pair lies within one of three encodings (left, window,
+right), so this is exact too.
+
+Leaves are encoded by units between such cuts: the tokenizers library encodes a unit once for each Python worker, and
+further ones are found by a 64-bit hash and compared byte by byte; where a hash stands for two units the batch goes to
+the library as it is.
 
 Nulls count as empty texts (no tokens).  Rows are independent: repeated rows and ids give equal result rows, an
-empty table an empty result, and further input columns are left out.
+empty table an empty result, and further input columns are left out.  The result's own names (n_tokens, ids_sha256,
+decoded_sha256, ids) win over kept columns of the same name.
 """
 
 from __future__ import annotations
@@ -27,41 +35,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from framelake.llm.hashing import equal, hashes
+
 #: White space of the byte-level pre-tokenizer's pattern (fixed value: Unicode White_Space).
 SPACE = "\t-\r \x85\xa0\N{OGHAM SPACE MARK}\N{EN QUAD}-\N{HAIR SPACE}\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}\N{NARROW NO-BREAK SPACE}\N{MEDIUM MATHEMATICAL SPACE}\N{IDEOGRAPHIC SPACE}"
 UNIT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 #: Units kept in a worker's cache, and bytes of text encoded together.
-CACHE, TOGETHER_BYTES, TOGETHER = 1_500_000, 4_000_000, 2048
-#: Longest text that goes the batched way.
+CACHE, TOGETHER_BYTES, TOGETHER = 400_000, 4_000_000, 2048
+#: Longest text that is cut into units by whole arrays; a longer one is cut by the pattern, a unit at a time.
 LONGEST = 16_000_000
-
-
-def _powers(n: int, step: int) -> np.ndarray:
-    out = np.full(n, step, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
-
-
-class Fingerprints:
-    """64-bit fingerprints of byte ranges: a polynomial over random values of the bytes, by prefix sums."""
-
-    def __init__(self, seed: int = 20) -> None:
-        r = np.random.default_rng(seed)
-        self.value = r.integers(1, 2**63, 256, dtype=np.uint64)
-        self.step = int(r.integers(2**62, 2**63)) | 1
-        self.back = pow(self.step, -1, 2**64)
-        self.n = 0
-
-    def ranges(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if len(raw) + 1 > self.n:
-            self.n = len(raw) + 1
-            self.up, self.down = _powers(self.n, self.step), _powers(self.n, self.back)
-        pre = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(self.value[raw] * self.up[: len(raw)], out=pre[1:])
-        h = (pre[ends] - pre[starts]) * self.down[starts]
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0x9E3779B97F4A7C15)
-        return h ^ (h >> np.uint64(32)) ^ (ends - starts).astype(np.uint64)
+#: Tokens on either side of a join that the first window takes.
+REACH = 8
 
 
 def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -87,6 +71,13 @@ _IS_PUNCT = np.array([32 < b < 127 and not chr(b).isalnum() for b in _BYTE])
 _WIDE_SPACE = re.compile("|".join(re.escape(c) for c in ["\x85", "\xa0", *"\N{OGHAM SPACE MARK}\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}\N{NARROW NO-BREAK SPACE}\N{MEDIUM MATHEMATICAL SPACE}\N{IDEOGRAPHIC SPACE}", *map(chr, range(0x2000, 0x200B))]).encode())
 
 
+def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The longest common start."""
+    n = min(len(a), len(b))
+    other = a[:n] != b[:n]
+    return a[: int(other.argmax()) if other.any() else n]
+
+
 class Encoder:
     """The tokenizer of a file, with a cache of units."""
 
@@ -110,21 +101,32 @@ class Encoder:
         self.flat = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.length = np.array([len(b) for b in self.bytes_of], np.int64)
         self.at = np.cumsum(self.length) - self.length
-        self.prints = Fingerprints()
+        first, last = (np.array([b[at] if b else 0 for b in self.bytes_of], np.uint8) for at in (0, -1))
+        #: Of each id: whether it starts inside a character, and what its edges are.
+        self.inner = (first & 0xC0) == 0x80
+        self.from_space, self.from_punct = _IS_SPACE[first], _IS_PUNCT[first]
+        self.to_plain, self.to_letter = (last < 128) & ~_IS_SPACE[last], _IS_LETTER[last]
+        #: How many joins were made, and how many windows they took.
+        self.joins = self.windows = 0
         self._forget()
 
     def _forget(self) -> None:
-        """The cache: sorted fingerprints of units, with where their ids lie in known."""
-        self.keys, self.where, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.known = np.zeros(0, np.uint32)
+        """The cache: sorted hashes of units, with where their bytes lie in text and their ids in known."""
+        self.keys = np.zeros(0, np.uint64)
+        self.where, self.count, self.at_text, self.n_text = (np.zeros(0, np.int64) for _ in range(4))
+        self.known, self.text = np.zeros(0, np.uint32), np.zeros(0, np.uint8)
 
-    def _learn(self, keys: np.ndarray, ids: list[list[int]]) -> None:
+    def _learn(self, keys: np.ndarray, ids: list[list[int]], raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
         n = np.array([len(x) for x in ids], np.int64)
         keys = np.concatenate([self.keys, keys])
-        where = np.concatenate([self.where, len(self.known) + np.cumsum(n) - n])
-        self.known = np.concatenate([self.known, np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum()))])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.where, self.count = keys[order], where[order], np.concatenate([self.count, n])[order]
+        self.keys = keys[order]
+        self.where = np.concatenate([self.where, len(self.known) + np.cumsum(n) - n])[order]
+        self.count = np.concatenate([self.count, n])[order]
+        self.at_text = np.concatenate([self.at_text, len(self.text) + np.cumsum(lengths) - lengths])[order]
+        self.n_text = np.concatenate([self.n_text, lengths])[order]
+        self.known = np.concatenate([self.known, np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum()))])
+        self.text = np.concatenate([self.text, gather(raw, starts, lengths)])
 
     def _table(self) -> list[bytes]:
         """The bytes of each id, by the byte-level alphabet: printable Latin-1 stands for itself, the rest follows from 256 on."""
@@ -151,54 +153,99 @@ class Encoder:
 
     def tree(self, text: str) -> list[int]:
         """The ids of one pre-token of any length."""
-        level = self._library([text[i : i + self.leaf] for i in range(0, len(text), self.leaf)])
+        level = [np.asarray(x, np.uint32) for x in self._library([text[i : i + self.leaf] for i in range(0, len(text), self.leaf)])]
+        return self._joined(level, pre_token=True).tolist()
+
+    def _joined(self, level: list[np.ndarray], pre_token: bool = False) -> np.ndarray:
+        """The ids of a text from those of its leaves."""
         while len(level) > 1:
-            level = [self._join(*level[i : i + 2]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
+            level = [self._join(*level[i : i + 2], pre_token) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
         return level[0]
 
-    def _join(self, left: list[int], right: list[int]) -> list[int]:
-        def starts_char(i: int) -> bool:
-            return i >= len(right) or self.bytes_of[right[i]][0] & 0xC0 != 0x80
-
-        reach = 8
+    def _join(self, left: np.ndarray, right: np.ndarray, pre_token: bool) -> np.ndarray:
+        if not len(left) or not len(right):
+            return left if len(left) else right
+        self.joins += 1
+        reach = REACH
         while True:
             i, j = max(0, len(left) - reach), min(len(right), reach)
-            while i and self.bytes_of[left[i]][0] & 0xC0 == 0x80:
+            while i and self.inner[left[i]]:
                 i -= 1
-            while not starts_char(j):
+            while j < len(right) and self.inner[right[j]]:
                 j += 1
-            mid = self._library([b"".join(self.bytes_of[t] for t in left[i:] + right[:j]).decode()])[0]
-            if (not i or mid[0] == left[i]) and (j == len(right) or mid[-1] == right[j - 1]):
-                return left[:i] + mid + right[j:]
+            self.windows += 1
+            a, b = left[i:], right[:j]
+            mid = np.asarray(self._library([b"".join(self.bytes_of[t] for t in chain(a.tolist(), b.tolist())).decode()])[0], np.uint32)
+            if pre_token:
+                agree = (not i or mid[0] == a[0]) and (j == len(right) or mid[-1] == b[-1])
+            else:
+                agree = (not i or self._cut_in(a, len(_common(a, mid)), front=True)) and (j == len(right) or self._cut_in(b, len(_common(b[::-1], mid[::-1])), front=False))
+            if agree:
+                return np.concatenate([left[:i], mid, right[j:]])
             reach *= 2
 
-    def _long(self, unit: str) -> bytes:
+    def _cut_in(self, ids: np.ndarray, n: int, front: bool) -> bool:
+        """Whether the pre-tokenizer must cut at an edge of the first (or last) n tokens, the outermost edge left out."""
+        part = ids[: n + 1] if front else ids[max(0, len(ids) - n - 1) :]
+        x, y = part[:-1], part[1:]
+        return bool(((self.to_plain[x] & self.from_space[y]) | (self.to_letter[x] & self.from_punct[y])).any())
+
+    def _long(self, unit: str) -> list[int]:
         parts = [unit[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(unit)]
         if "".join(parts) != unit:
-            return np.asarray(self._library([unit])[0], "<u4").tobytes()
-        return np.asarray([t for p in parts for t in (self.tree(p) if len(p) > self.leaf else self._library([p])[0])], "<u4").tobytes()
+            return self._library([unit])[0]
+        return [t for p in parts for t in (self.tree(p) if len(p) > self.leaf else self._library([p])[0])]
 
     def _segments(self, text: str) -> list[str]:
         return [x for x in self.split.split(text) if x] if self.split and any(s in text for s in self.special) else [text]
 
     def _plain(self, text: str) -> np.ndarray:
-        """One text, without the cache."""
-        out: list[int] = []
+        """One text with special tokens, wide white space or very long units, without the cache."""
+        out = [np.zeros(0, np.uint32)]
         for s in self._segments(text):
             if s in self.special:
-                out.append(self.special[s])
+                out.append(np.array([self.special[s]], np.uint32))
                 continue
-            units = UNIT.findall(s)
-            for long, own in groupby(units, lambda u: len(u) > self.leaf):
+            for long, own in groupby(UNIT.findall(s), lambda u: len(u) > self.leaf):
                 if long:
-                    for u in own:
-                        out += np.frombuffer(self._long(u), "<u4").tolist()
+                    out += [np.asarray(self._long(u), np.uint32) for u in own]
                 else:
-                    out += self._library(["".join(own)])[0]
-        return np.asarray(out, np.uint32)
+                    whole = "".join(own)  # the units around it are cut off by what the pre-tokenizer must cut
+                    parts = [whole[i : i + self.leaf] for i in range(0, len(whole), self.leaf)]
+                    out.append(self._joined([np.asarray(x, np.uint32) for x in self._library(parts)]))
+        return np.concatenate(out)
+
+    def _leaves(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the leaves of the texts start and end (offsets), and the first leaf of each text."""
+        n = np.diff(offsets)
+        parts = np.ones(len(n), np.int64)
+        big = n > self.leaf
+        parts[big] = 2 ** np.ceil(np.log2(n[big] / self.leaf)).astype(np.int64)  # by halves
+        first = np.append(0, np.cumsum(parts))
+        doc = np.repeat(np.arange(len(n)), parts)
+        at = offsets[doc] + (np.arange(len(doc)) - first[doc]) * n[doc] // parts[doc]
+        todo = np.flatnonzero(big[doc])
+        while len(todo):  # on to the start of a character
+            todo = todo[(at[todo] < len(raw)) & ((raw[np.minimum(at[todo], len(raw) - 1)] & 0xC0) == 0x80)]
+            at[todo] += 1
+        return np.append(at, offsets[-1]), first
+
+    def _texts(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts raw[offsets[i] : offsets[i + 1]] in a row, and how many each has."""
+        at, first = self._leaves(raw, offsets)
+        ids, n = self._batch(raw, at)
+        if len(n) == len(offsets) - 1:
+            return ids, n
+        ends = np.append(0, np.cumsum(n))
+        out, counts = [], []
+        for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            own = ids[ends[a] : ends[b]] if b == a + 1 else self._joined([ids[ends[i] : ends[i + 1]] for i in range(a, b)])
+            out.append(own)
+            counts.append(len(own))
+        return np.concatenate(out), np.array(counts, np.int64)
 
     def _batch(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the texts raw[offsets[i] : offsets[i + 1]] in a row, and how many each has."""
+        """The same for texts that are leaves."""
         n_docs = len(offsets) - 1
         if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(n_docs, np.int64)
@@ -212,20 +259,23 @@ class Encoder:
         cut[1:] |= _IS_PUNCT[raw[1:]] & _IS_LETTER[raw[:-1]]
         starts = np.flatnonzero(cut)
         ends = np.append(starts[1:], len(raw))
-        keys, back = np.unique(self.prints.ranges(raw, starts, ends), return_inverse=True)
+        length = ends - starts
+        keys, back = np.unique(hashes(raw, starts, ends, 20), return_inverse=True)
         one = np.empty(len(keys), np.int64)
         one[back] = np.arange(len(starts))  # a place of each distinct unit
         if len(self.keys) > CACHE:
             self._forget()
         new = self._lookup(keys)[1]
         if len(new):
-            texts = [raw[starts[i] : ends[i]].tobytes().decode() for i in one[new]]
-            long = {i: t for i, t in enumerate(texts) if len(t) > self.leaf}
-            ids = self._units(["" if i in long else t for i, t in enumerate(texts)])
-            for i, t in long.items():
-                ids[i] = np.frombuffer(self._long(t), "<u4").tolist()
-            self._learn(keys[new], ids)
-        found = self._lookup(keys)[0][back]
+            own = one[new]
+            self._learn(keys[new], self._units([raw[starts[i] : ends[i]].tobytes().decode() for i in own]), raw, starts[own], length[own])
+        found = self._lookup(keys)[0]
+        same = (length == length[one][back]).all() and (length[one] == self.n_text[found]).all()
+        if not (same and equal(raw, starts, raw, starts[one][back], length) and equal(raw, starts[one], self.text, self.at_text[found], length[one])):
+            self._forget()  # one hash stands for two units
+            ids = self._library([raw[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+            return np.fromiter(chain.from_iterable(ids), np.uint32), np.array([len(x) for x in ids], np.int64)
+        found = found[back]
         n = self.count[found]
         total = np.append(0, np.cumsum(n))
         edge = total[np.searchsorted(starts, offsets)]
@@ -252,25 +302,32 @@ class Encoder:
         marks = re.compile(b"|".join([_WIDE_SPACE.pattern, *(re.escape(s.encode()) for s in self.special)]))
         while i < len(texts):
             j = max(i + 1, int(np.searchsorted(at, at[i] + TOGETHER_BYTES)) - 1)
-            part = raw[at[i] : at[j]]
-            odd = marks.search(part)
-            if odd or len(part) > LONGEST:
-                odd_at = np.fromiter((m.start() for m in marks.finditer(part)), np.int64)
-                plain = np.zeros(j - i, bool)
-                plain[np.searchsorted(at[i : j + 1] - at[i], odd_at, "right") - 1] = True
-                plain |= np.diff(at[i : j + 1]) > LONGEST
-                for k in range(i, j):
-                    own = raw[at[k] : at[k + 1]]
-                    x = self._plain(own.tobytes().decode()) if plain[k - i] else self._batch(own, np.array([0, len(own)]))[0]
+            part, edges = raw[at[i] : at[j]], at[i : j + 1] - at[i]
+            plain = np.diff(edges) > LONGEST
+            if j > i + 1 or not plain[0]:
+                odd = [np.fromiter((m.start() for m in marks.finditer(part)), np.int64), self._long_runs(part)]
+                plain[np.minimum(np.searchsorted(edges, np.concatenate(odd), "right") - 1, j - i - 1)] = True
+            k = 0
+            while k < j - i:  # stretches of plain texts and of others
+                m = k + int(np.argmax(np.append(plain[k:] != plain[k], True)))
+                if plain[k]:
+                    found = [self._plain(part[a:b].tobytes().decode()) for a, b in zip(edges[k:m], edges[k + 1 : m + 1], strict=True)]
+                    ids += found
+                    counts.append(np.array([len(x) for x in found], np.int64))
+                else:
+                    x, n = self._texts(part[edges[k] : edges[m]], edges[k : m + 1] - edges[k])
                     ids.append(x)
-                    counts.append(np.array([len(x)]))
-            else:
-                x, n = self._batch(part, at[i : j + 1] - at[i])
-                ids.append(x)
-                counts.append(n)
+                    counts.append(n)
+                k = m
             i = j
         return np.concatenate(ids), np.concatenate(counts)
 
+    def _long_runs(self, raw: np.ndarray) -> np.ndarray:
+        """Where runs of more than leaf bytes without white space, or of white space, start."""
+        change = np.flatnonzero(np.diff(_IS_SPACE[raw])) + 1
+        starts = np.append(0, change)
+        return starts[np.diff(np.append(starts, len(raw))) > self.leaf]
+
     def encode(self, texts: list[str | None]) -> list[list[int]]:
         ids, n = self.encode_array(pa.array(texts, pa.large_string()))
         return [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] if texts else []
@@ -294,6 +351,7 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = TOGETHER) -> Iterator[
 
 def encoded(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", with_ids: bool = False) -> DataFrame:
     """Columns of keep, n_tokens, ids_sha256, decoded_sha256, and with with_ids the ids as an array."""
+    keep = tuple(c for c in keep if c not in ("n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] * with_ids)))
     kept = docs.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 

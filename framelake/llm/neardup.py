@@ -29,9 +29,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from framelake.llm.bpe import Fingerprints, pieces
+from framelake.llm.bpe import pieces
 from framelake.llm.common import WORDS_B, key, unkey, written
 from framelake.llm.components import components
+from framelake.llm.hashing import hashes
 
 #: Words of a shingle, bands, coordinates of a band.
 SHINGLE, BANDS, ROWS = 5, 32, 4
@@ -53,7 +54,6 @@ def _permute(x: np.ndarray, a: int, b: int) -> np.ndarray:
 
 
 _SHIFTS = (np.arange(COORDINATES, dtype=np.uint64) * STEP % 2**32).astype(np.uint32)
-_PRINTS = Fingerprints(5)
 
 
 def shingle_hashes(text: bytes) -> tuple[np.ndarray, int]:
@@ -65,7 +65,7 @@ def shingle_hashes(text: bytes) -> tuple[np.ndarray, int]:
     n = len(starts)
     if not n:
         return np.zeros(0, np.uint64), 0
-    w = _PRINTS.ranges(raw, starts, ends)
+    w = hashes(raw, starts, ends, 5)
     k = min(SHINGLE, n)
     h = np.zeros(n - k + 1, np.uint64)
     for i in range(k):

@@ -29,16 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.bpe import Fingerprints, gather
+from framelake.llm.bpe import gather
 from framelake.llm.common import key
+from framelake.llm.hashing import hashes
 
 #: Words of a window; rounds of recompression; bytes of text in a group of documents.
 WINDOW, ROUNDS, GROUP_BYTES = 20, 2, 3_000_000
 #: Stands for a witness that reaches beyond the document.
 _FAR = 1 << 40
 _NONE = np.uint64(2**64 - 1)
-_PRINTS = Fingerprints(8)
-_SECOND = Fingerprints(9)
 
 
 def _mix(*parts: np.ndarray) -> np.ndarray:
@@ -77,7 +76,7 @@ class Words:
         while i < len(self.starts):
             j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + part)))
             lo, hi = self.starts[i], self.ends[j - 1]
-            names.append(_PRINTS.ranges(raw[lo:hi], self.starts[i:j] - lo, self.ends[i:j] - lo))
+            names.append(hashes(raw[lo:hi], self.starts[i:j] - lo, self.ends[i:j] - lo, 8))
             i = j
         self.name = np.concatenate(names)
         self.doc_lo, self.doc_hi = self.first[self.doc], (self.first + self.count)[self.doc]
