@@ -1,9 +1,13 @@
 """Language ID by compression.
 
-A raw-content zstandard dictionary is made for each language from a bounded sample of labelled documents.  Texts and
-samples are lower-cased and every run of other characters than letters becomes one space.  A text is cut into slices, each slice is compressed with every dictionary, and the language with the smallest total wins.  The
+A raw-content zstandard dictionary is made for each language from a bounded sample of labelled documents, whole texts
+only.  Texts and samples are lower-cased and every run of other characters than letters becomes one space.  A text is
+cut into slices, each slice is compressed with every dictionary, and the language with the smallest total wins.  The
 score tells how much smaller its total is than the next one's; ``rejected`` marks narrow margins.
 
+Bounds of the sample, all parameters: ``per_lang`` documents of each language in expectation, none of more than
+``longest`` bytes, and ``lang_bytes`` bytes of them together.  Every text is read whole for its prediction.
+
 A text that is null or has no letter gets ``und`` with score 0.  With no labelled document at all every text is
 ``und``.  Ties go to the smaller language name.  Rows are independent: repeated rows give equal result rows, and
 columns other than doc_id and text are never read for a prediction.
@@ -25,23 +29,21 @@ LETTER = re.compile(r"[^\W\d_]")
 OTHER = re.compile(r"[\W\d_]+")
 
 
-def dictionaries(docs: DataFrame, usable: Column, per_lang: int = 160, doc_bytes: int = 2048) -> dict[str, bytes]:
-    """For each language, up to 2 * per_lang documents chosen by the hash of their id, doc_bytes of each at most.
-
-    The sample's bound is per_lang * doc_bytes bytes for each language in expectation, twice that at most.
-    """
-    known = docs.where(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+def dictionaries(docs: DataFrame, usable: Column, per_lang: int = 320, longest: int = 16384, lang_bytes: int = 400_000) -> dict[str, bytes]:
+    """The dictionary of each language: whole texts in the order of the hash of their id."""
+    known = docs.where(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.octet_length("text") <= longest))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not counts:
         return {}
     rate = F.element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, per_lang / n)))]), F.col("lang"))
     drawn = known.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(10)), F.lit(1 << 30)) < rate * (1 << 30))
-    rows = drawn.select("lang", "doc_id", F.substring("text", 1, doc_bytes).alias("t")).where("t is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * per_lang * len(counts)).collect()
-    out: dict[str, list[str]] = {}
+    rows = drawn.select("lang", "text").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(2 * per_lang * len(counts)).collect()
+    out: dict[str, list[bytes]] = {}
     for r in rows:
-        if LETTER.search(r["t"]) and len(own := out.setdefault(r["lang"], [])) < 2 * per_lang:
-            own.append(r["t"])
-    return {k: b" ".join(map(letters, v)) for k, v in sorted(out.items())}
+        own, new = out.setdefault(r["lang"], []), letters(r["text"])
+        if new.strip() and sum(map(len, own)) + len(new) <= lang_bytes:
+            own.append(new)
+    return {k: b" ".join(v) for k, v in sorted(out.items()) if v}
 
 
 def letters(text: str) -> bytes:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm import bpe, fingerprint, htmltext, langid, mixing, neardup, recompress, tokenfile, topk, toxicity
-from framelake.llm.common import remainder, table, unkey
+from framelake.llm.common import remainder, table
 
 #: The end id that op6 appends.
 END_ID = 2
@@ -52,11 +52,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = recompress.deduped(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select(unkey("k").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "first_shard")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

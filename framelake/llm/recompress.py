@@ -3,29 +3,36 @@
 A word that is covered by a window of 20 consecutive words is removed if the window's word sequence also starts
 earlier (in a document of smaller id, or earlier in the same document).
 
-Recompression rounds rename runs of one symbol and then pairs of neighbouring symbols.  A name is a fingerprint of
-what it replaces and a pair is replaced or not by a bit of its two names, so names agree everywhere without a
-dictionary, and equal substrings get equal symbols in their interior.  Each symbol carries its witness: the range of
-words on which its being there depends.  A symbol whose witness lies within a window is there in every equal window.
-Each window is stood for by the smallest fingerprint (symbol with witness) among such symbols; a window without one
-(long runs of a word, say) stands for itself.  Spark counts these names over all documents.  A window whose name
-occurs once is unique; only the windows with shared names are then compared, by a 96-bit fingerprint, and the first
-start of each is found.
-
-Documents are dealt into groups of bounded size by a hash of their id.  A group sends each reducer one packed row of
-distinct entries (its own repeats are combined before the shuffle, so a passage in a third of all documents gives one
-entry for each group) and gets back one bit for each entry.
+A recompression turn renames runs of one symbol and then pairs of neighbouring symbols.  A name is a hash of what it
+replaces and a pair is replaced or not by a bit of its two names, so one name holds in all documents, and equal
+substrings get equal symbols in their interior.  Each symbol carries its witness: the range of words on which its being
+there depends.  A symbol whose witness lies within a window is there in every equal window.  A window is stood for by
+the smallest name (symbol with witness) among such symbols.
+
+Each Spark round takes one more turn, gathers the names that stand for the windows still open, and counts them over all
+documents: a window whose name occurs once in the whole table is unique and closed.  In the first round, a window
+without a symbol of its own (a long run of one word, say) stands for itself; in later ones it stays open.  The windows
+that stay open to the end share their symbols with others; these are then compared on their words, by two hashes that
+are independent of each other from the words' bytes on (64 and 32 bits, so two unlike windows of a table of 10^10 open
+windows are taken for equal with a probability of about 1e-9), and the first start of each is found.
+
+Documents are dealt into groups of bounded size by a hash of id and text, so an id on many rows (all null ids, say) is
+spread; only rows that repeat both are one group.  A group sends each reducer one packed row of distinct entries (its own repeats are combined before the
+shuffle, so a passage in a third of all documents gives one entry for each group) and gets back one bit for each entry.
+The number of reducers goes by the size of the table, not by the number of groups; a packed row holds one entry at
+least, so rows and bytes of a round are at most in proportion to the words.
 
 Nulls: a null text has no words; a null doc_id is an id of its own, the smallest.  Rows that repeat an id are read as
 one document each with the same id: equal starts are not earlier, so exact repeats get equal rows.  An empty table
-gives an empty result.
+gives an empty result.  Very long texts are a group of their own.  Input columns named like the result's new columns are
+replaced by them; all others are kept, whatever their names.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +40,8 @@ from framelake.llm.bpe import gather
 from framelake.llm.common import key
 from framelake.llm.hashing import hashes
 
-#: Words of a window; rounds of recompression; bytes of text in a group of documents.
-WINDOW, ROUNDS, GROUP_BYTES = 20, 2, 3_000_000
+#: Words of a window; Spark rounds, each of one more turn; bytes of text for each group of documents and each reducer.
+WINDOW, ROUNDS, GROUP_BYTES, REDUCER_BYTES = 20, 2, 3_000_000, 12_000_000
 #: Stands for a witness that reaches beyond the document.
 _FAR = 1 << 40
 _NONE = np.uint64(2**64 - 1)
@@ -51,7 +58,7 @@ def _mix(*parts: np.ndarray) -> np.ndarray:
 class Words:
     """The words of a group of texts: where they are, their fingerprints, and the document of each."""
 
-    def __init__(self, texts: pa.ChunkedArray | pa.Array, part: int = 2_000_000) -> None:
+    def __init__(self, texts: pa.ChunkedArray | pa.Array) -> None:
         texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
         texts = texts.cast(pa.large_string())
         texts = texts.fill_null("") if texts.null_count else texts
@@ -71,19 +78,13 @@ class Words:
         # words of one document that end at its edge are cut there, as edge is in both
         self.first = np.searchsorted(self.doc, np.arange(self.n_docs))
         self.count = np.diff(np.append(self.first, len(self.starts)))
-        names = [np.zeros(0, np.uint64)]
-        i = 0
-        while i < len(self.starts):
-            j = max(i + 1, int(np.searchsorted(self.ends, self.starts[i] + part)))
-            lo, hi = self.starts[i], self.ends[j - 1]
-            names.append(hashes(raw[lo:hi], self.starts[i:j] - lo, self.ends[i:j] - lo, 8))
-            i = j
-        self.name = np.concatenate(names)
+        self.name = hashes(raw, self.starts, self.ends, 8)
         self.doc_lo, self.doc_hi = self.first[self.doc], (self.first + self.count)[self.doc]
 
-    def sequence_prints(self, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
-        """Fingerprints of word sequences, by prefix sums over the words' names."""
-        n = len(self.name)
+    def sequence_prints(self, starts: np.ndarray, ends: np.ndarray, salt: int, name: np.ndarray | None = None) -> np.ndarray:
+        """Fingerprints of word sequences (of a window at most), by prefix sums over the words' names."""
+        name = self.name if name is None else name
+        n = len(name)
         step = (0x9E3779B97F4A7C15 + 2 * salt) | 1
         back = pow(step, -1, 2**64)
         up, down = np.full(n + 1, step, np.uint64), np.full(n + 1, back, np.uint64)
@@ -91,7 +92,7 @@ class Words:
         np.cumprod(up, out=up)
         np.cumprod(down, out=down)
         pre = np.zeros(n + 1, np.uint64)
-        np.cumsum(_mix(self.name, np.uint64(salt)) * up[:-1], out=pre[1:])
+        np.cumsum(_mix(name, np.uint64(salt)) * up[:-1], out=pre[1:])
         return _mix((pre[ends] - pre[starts]) * down[starts], (ends - starts).astype(np.uint64))
 
     def windows(self) -> np.ndarray:
@@ -99,11 +100,11 @@ class Words:
         i = np.arange(len(self.name))
         return i[i + WINDOW <= self.doc_hi]
 
-    def symbols(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Name, start, and witness (lo, hi) of each symbol after the last round."""
+    def symbols(self, turns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Name, start, and witness (lo, hi) of each symbol after some turns."""
         sym, start = self.name, np.arange(len(self.name))
         lo, hi = start.copy(), start + 1
-        for turn in range(ROUNDS):
+        for turn in range(turns):
             if not len(sym):
                 break
             doc = self.doc[start]
@@ -140,33 +141,38 @@ class Words:
         right = np.where((tail < last) & (doc[nxt] == doc[tail]), np.maximum(hi[nxt], hi[tail]), _FAR)
         return left, right
 
-    def names(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Windows, the name that stands for each, and the names once for each place they stem from."""
-        w = self.windows()
+    def names(self, turns: int, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The name that stands for each of the windows w (_NONE: none), and the names once for each place they stem from."""
         best = np.full(len(self.name) + 1, _NONE)
-        sym, start, lo, hi = self.symbols()
+        sym, start, lo, hi = self.symbols(turns)
         ok = (lo >= 0) & (hi < _FAR) & (hi - lo <= WINDOW)
         sym, start, lo, hi = sym[ok], start[ok], lo[ok], hi[ok]
         name = _mix(self.sequence_prints(lo, hi, 3), sym, (start - lo).astype(np.uint64)) & ~np.uint64(1)
-        for back in range(WINDOW):
-            fits = np.flatnonzero((lo - back + WINDOW >= hi) & (lo >= back))
-            np.minimum.at(best, lo[fits] - back, name[fits])
-        used = np.zeros(len(name), bool)
-        valid = np.zeros(len(self.name) + 1, bool)
+        fits = [np.flatnonzero((lo - back + WINDOW >= hi) & (lo >= back)) for back in range(WINDOW)]
+        for back, f in enumerate(fits):
+            np.minimum.at(best, lo[f] - back, name[f])
+        used, valid = np.zeros(len(name), bool), np.zeros(len(self.name) + 1, bool)
         valid[w] = True
-        for back in range(WINDOW):
-            fits = np.flatnonzero((lo - back + WINDOW >= hi) & (lo >= back))
-            p = lo[fits] - back
-            used[fits[(best[p] == name[fits]) & valid[p]]] = True
-        own = best[w]
+        for back, f in enumerate(fits):
+            p = lo[f] - back
+            used[f[(best[p] == name[f]) & valid[p]]] = True
+        own, places = best[w], name[used]
         alone = own == _NONE
-        if alone.any():
+        if turns == 1 and alone.any():
             own[alone] = self.sequence_prints(w[alone], w[alone] + WINDOW, 3) | np.uint64(1)
-        return w, own, np.concatenate([name[used], own[alone]])
-
+            places = np.concatenate([places, own[alone]])
+        return own, places
 
-def _group(t: pa.Table) -> Words:
-    return Words(t.column("text"))
+    def open(self, answers: Answers, turns: int) -> np.ndarray:
+        """The windows that are still open after the answers of some rounds."""
+        w = self.windows()
+        for turn in range(turns):
+            own, places = self.names(turn + 1, w)
+            keys = np.unique(places)
+            shared = keys[answers.bits(turn, keys)]
+            at = np.minimum(np.searchsorted(shared, own), max(0, len(shared) - 1))
+            w = w[(own == _NONE) | (shared[at] == own if len(shared) else False)]
+        return w
 
 
 def _by_reducer(keys: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
@@ -177,29 +183,35 @@ def _by_reducer(keys: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
     return [(i, order[cut[i] : cut[i + 1]]) for i in range(n) if cut[i] < cut[i + 1]]
 
 
-def _bits(t: pa.Table, kind: int, keys: np.ndarray, n: int) -> np.ndarray:
-    """The flags that reducers sent back for the group's distinct keys."""
-    out = np.zeros(len(keys), bool)
-    rows = {r: b for k, r, b in zip(t.column("kind").to_pylist(), t.column("r").to_pylist(), t.column("bits").to_pylist(), strict=True) if k == kind}
-    if rows:
-        for r, at in _by_reducer(keys, n):
+class Answers:
+    """The flags that n reducers sent back for a group's distinct keys, by round."""
+
+    def __init__(self, t: pa.Table, n: int) -> None:
+        self.n = n
+        self.rows: dict[int, dict[int, bytes]] = {}
+        for kind, r, b in zip(t.column("kind").to_pylist(), t.column("r").to_pylist(), t.column("bits").to_pylist(), strict=True):
+            self.rows.setdefault(kind, {})[r] = b
+
+    def bits(self, kind: int, keys: np.ndarray) -> np.ndarray:
+        out, rows = np.zeros(len(keys), bool), self.rows.get(kind)
+        for r, at in _by_reducer(keys, self.n) if rows else ():
             if r in rows:
                 out[at] = np.unpackbits(np.frombuffer(rows[r], np.uint8), count=len(at)).astype(bool)
-    return out
+        return out
 
 
-_KEYS = "g int, r int, n int, keys binary, more binary"
-_BACK = "g int, kind int, r int, bits binary"
+_KEYS = "__g int, r int, n int, keys binary, more binary"
+_BACK = "__g int, kind int, r int, bits binary"
 
 
 def _rows(g: int, found: list[tuple[int, bytes, bytes, int]]) -> pa.Table:
-    return pa.table({"g": pa.array([g] * len(found), pa.int32()), "r": pa.array([x[0] for x in found], pa.int32()), "n": pa.array([x[3] for x in found], pa.int32()), "keys": pa.array([x[1] for x in found], pa.binary()), "more": pa.array([x[2] for x in found], pa.binary())})
+    return pa.table({"__g": pa.array([g] * len(found), pa.int32()), "r": pa.array([x[0] for x in found], pa.int32()), "n": pa.array([x[3] for x in found], pa.int32()), "keys": pa.array([x[1] for x in found], pa.binary()), "more": pa.array([x[2] for x in found], pa.binary())})
 
 
 def _answers(t: pa.Table, kind: int, flags: np.ndarray) -> pa.Table:
     cut = np.append(0, np.cumsum(t.column("n").to_numpy()))
-    rows = [(g, r, np.packbits(flags[i:j]).tobytes()) for g, r, i, j in zip(t.column("g").to_pylist(), t.column("r").to_pylist(), cut[:-1], cut[1:], strict=True) if flags[i:j].any()]
-    return pa.table({"g": pa.array([x[0] for x in rows], pa.int32()), "kind": pa.array([kind] * len(rows), pa.int32()), "r": pa.array([x[1] for x in rows], pa.int32()), "bits": pa.array([x[2] for x in rows], pa.binary())})
+    rows = [(g, r, np.packbits(flags[i:j]).tobytes()) for g, r, i, j in zip(t.column("__g").to_pylist(), t.column("r").to_pylist(), cut[:-1], cut[1:], strict=True) if flags[i:j].any()]
+    return pa.table({"__g": pa.array([x[0] for x in rows], pa.int32()), "kind": pa.array([kind] * len(rows), pa.int32()), "r": pa.array([x[1] for x in rows], pa.int32()), "bits": pa.array([x[2] for x in rows], pa.binary())})
 
 
 def _joined(t: pa.Table, column: str, dtype: str) -> np.ndarray:
@@ -212,34 +224,38 @@ class Steps:
     def __init__(self, n: int) -> None:
         self.n = n
 
-    def name(self, t: pa.Table) -> pa.Table:
-        """A group's names, each with a bit that tells whether it stems from several places in the group."""
-        keys, counts = np.unique(_group(t).names()[2], return_counts=True)
-        return _rows(t.column("g")[0].as_py(), [(r, keys[at].tobytes(), np.packbits(counts[at] > 1).tobytes(), len(at)) for r, at in _by_reducer(keys, self.n)])
+    def name(self, turn: int, t: pa.Table, answers: pa.Table | None = None) -> pa.Table:
+        """A group's names after one more turn, each with a bit that tells whether it stems from several places in the group."""
+        if not t.num_rows:
+            return _rows(0, [])
+        words = Words(t.column("text"))
+        w = words.open(Answers(answers, self.n), turn) if answers is not None else words.windows()
+        keys, counts = np.unique(words.names(turn + 1, w)[1], return_counts=True)
+        return _rows(t.column("__g")[0].as_py(), [(r, keys[at].tobytes(), np.packbits(counts[at] > 1).tobytes(), len(at)) for r, at in _by_reducer(keys, self.n)])
+
+    def named(self, own: GroupedData, answers: DataFrame, turn: int) -> DataFrame:
+        return own.cogroup(answers.groupBy("__g")).applyInArrow(lambda t, bits: self.name(turn, t, bits), _KEYS)
+
+    def counted(self, names: DataFrame, turn: int) -> DataFrame:
+        return names.groupBy("r").applyInArrow(lambda t: self.share(turn, t), _BACK)
 
-    def share(self, t: pa.Table) -> pa.Table:
+    def share(self, turn: int, t: pa.Table) -> pa.Table:
         """Which names are shared."""
         keys = _joined(t, "keys", "u8")
         several = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) for b, n in zip(t.column("more").to_pylist(), t.column("n").to_pylist(), strict=True)])
         distinct, back, counts = np.unique(keys, return_inverse=True, return_counts=True)
         often = counts > 1
         often[back[several]] = True
-        return _answers(t, 0, often[back])
-
-    def candidates(self, t: pa.Table, bits: pa.Table) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The group's words; for the windows with shared names: start, document id, position; distinct prints and the windows' places among them."""
-        words = _group(t)
-        w, own, names = words.names()
-        keys = np.unique(names)
-        shared = keys[_bits(bits, 0, keys, self.n)]
-        if len(shared):
-            at = np.minimum(np.searchsorted(shared, own), len(shared) - 1)
-            w = w[shared[at] == own]
-        else:
-            w = w[:0]
-        k = t.column("k").to_numpy()[words.doc[w]]
+        return _answers(t, turn, often[back])
+
+    def candidates(self, t: pa.Table, answers: Answers) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The group's words; for the open windows: start, document id, position; distinct prints and the windows' places among them."""
+        words = Words(t.column("text"))
+        w = words.open(answers, ROUNDS)
+        k = t.column("__k").to_numpy()[words.doc[w]]
         pos = w - words.doc_lo[w]
-        one, two = words.sequence_prints(w, w + WINDOW, 5), words.sequence_prints(w, w + WINDOW, 6) >> np.uint64(32)
+        one = words.sequence_prints(w, w + WINDOW, 5)
+        two = words.sequence_prints(w, w + WINDOW, 6, hashes(words.raw, words.starts, words.ends, 9)) >> np.uint64(32)
         order = np.lexsort((pos, k, two, one))
         w, k, pos, one, two = w[order], k[order], pos[order], one[order], two[order]
         new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])) if len(w) else np.zeros(0, bool)
@@ -249,10 +265,10 @@ class Steps:
         """A group's distinct windows with the first place of each."""
         if not t.num_rows or not bits.num_rows:
             return _rows(0, [])
-        _, _, k, pos, head, _, one, two = self.candidates(t, bits)
+        _, _, k, pos, head, _, one, two = self.candidates(t, Answers(bits, self.n))
         packed = np.zeros(len(head), "u8,u4,i8,u4")
         packed["f0"], packed["f1"], packed["f2"], packed["f3"] = one[head], two[head], k[head], pos[head]
-        return _rows(t.column("g")[0].as_py(), [(r, packed[at].tobytes(), b"", len(at)) for r, at in _by_reducer(one[head], self.n)])
+        return _rows(t.column("__g")[0].as_py(), [(r, packed[at].tobytes(), b"", len(at)) for r, at in _by_reducer(one[head], self.n)])
 
     def first(self, t: pa.Table) -> pa.Table:
         """Which windows also start earlier in another group."""
@@ -264,12 +280,16 @@ class Steps:
         later = (y["f2"] != y["f2"][head]) | (y["f3"] != y["f3"][head])
         flags = np.zeros(len(x), bool)
         flags[order] = later
-        return _answers(t, 1, flags)
-
-    def remove(self, t: pa.Table, bits: pa.Table) -> pa.Table:
-        """The group's rows with n_words, n_removed and kept."""
-        words, w, k, pos, head, place, one, _ = self.candidates(t, bits)
-        elsewhere = _bits(bits, 1, one[head], self.n)
+        return _answers(t, ROUNDS, flags)
+
+    def remove(self, t: pa.Table, bits: pa.Table, names: tuple[str, str, str]) -> pa.Table:
+        """The group's rows with the number of words, of removed ones, and the kept text."""
+        out = t.drop_columns(["__g", "__k"])
+        if not t.num_rows:
+            return out.append_column(names[0], pa.array([], pa.int64())).append_column(names[1], pa.array([], pa.int64())).append_column(names[2], pa.array([], pa.string()))
+        answers = Answers(bits, self.n)
+        words, w, k, pos, head, place, one, _ = self.candidates(t, answers)
+        elsewhere = answers.bits(ROUNDS, one[head])
         repeated = elsewhere[place] | (k != k[head][place]) | (pos != pos[head][place]) if len(w) else np.zeros(0, bool)
         cover = np.zeros(len(words.name) + 1, np.int64)
         np.add.at(cover, w[repeated], 1)
@@ -283,27 +303,23 @@ class Steps:
         size = np.bincount(words.doc[kept], weights=n, minlength=words.n_docs).astype(np.int64)
         hi = np.cumsum(size)
         texts = [flat[i : max(i, j - 1)].tobytes() for i, j in zip(hi - size, hi, strict=True)]
-        out = t.drop_columns(["g"])
-        out = out.append_column("n_words", pa.array(words.count.astype(np.int64))).append_column("n_removed", pa.array((words.count - kept_n).astype(np.int64)))
-        return out.append_column("kept", pa.array(texts, pa.binary()).cast(pa.string()))
+        out = out.append_column(names[0], pa.array(words.count.astype(np.int64))).append_column(names[1], pa.array((words.count - kept_n).astype(np.int64)))
+        return out.append_column(names[2], pa.array(texts, pa.binary()).cast(pa.string()))
 
 
-def deduped(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """All columns of docs (doc_id, text, ...) with n_words, n_removed, and kept (the words that stay, one space between)."""
+def deduped(docs: DataFrame, group_bytes: int = GROUP_BYTES, names: tuple[str, str, str] = ("n_words", "n_removed", "kept")) -> DataFrame:
+    """All columns of docs (doc_id, text, ...) with n_words, n_removed, and kept (the words that stay, one space between), or as names says."""
+    docs = docs.drop(*names)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = int(max(24, -(-total // group_bytes)))
-    steps = Steps(n)
-    base = docs.withColumn("k", key()).withColumn("g", F.pmod(F.xxhash64("k"), F.lit(n)).cast("int"))
-    slim = base.select("g", "k", "text") if {"doc_id", "text"} == set(docs.columns) else base
-    names = slim.groupBy("g").applyInArrow(lambda t: steps.name(t), _KEYS)
-    shared = names.groupBy("r").applyInArrow(lambda t: steps.share(t), _BACK)
-    entries = slim.groupBy("g").cogroup(shared.groupBy("g")).applyInArrow(lambda t, bits: steps.compare(t, bits), _KEYS)
-    later = entries.groupBy("r").applyInArrow(lambda t: steps.first(t), _BACK)
-    both = shared.unionByName(later)
-    fields = [f for f in slim.schema if f.name != "g"]
-    schema = T.StructType([*fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
-
-    def remove(t: pa.Table, bits: pa.Table) -> pa.Table:
-        return steps.remove(t, bits) if t.num_rows else t.drop_columns(["g"]).append_column("n_words", pa.array([], pa.int64())).append_column("n_removed", pa.array([], pa.int64())).append_column("kept", pa.array([], pa.string()))
-
-    return slim.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(remove, schema)
+    n_groups = int(max(24, -(-total // group_bytes)))
+    steps = Steps(int(max(24, -(-total // REDUCER_BYTES))))
+    dealt = F.pmod(F.xxhash64(key(), "text"), F.lit(n_groups)).cast("int")
+    slim = docs.withColumns({"__g": dealt, "__k": key()})
+    own = slim.groupBy("__g")
+    answers = steps.counted(own.applyInArrow(lambda t: steps.name(0, t), _KEYS), 0)
+    for turn in range(1, ROUNDS):
+        answers = answers.unionByName(steps.counted(steps.named(own, answers, turn), turn))
+    entries = own.cogroup(answers.groupBy("__g")).applyInArrow(lambda t, bits: steps.compare(t, bits), _KEYS)
+    answers = answers.unionByName(entries.groupBy("r").applyInArrow(lambda t: steps.first(t), _BACK))
+    schema = T.StructType([*docs.schema, T.StructField(names[0], T.LongType()), T.StructField(names[1], T.LongType()), T.StructField(names[2], T.StringType())])
+    return own.cogroup(answers.groupBy("__g")).applyInArrow(lambda t, bits: steps.remove(t, bits, names), schema)

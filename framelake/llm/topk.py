@@ -1,15 +1,17 @@
 """Exact top-k search by inner product: ball trees in shards, branch and bound.
 
-Vectors are turned into integers (floor(256 * x)), so scores are exact.  Vectors are dealt into shards by a hash of
-their id and components; each shard's ball tree is built once and stored as one row.  A query opens a tree's nodes in the order of
-their upper bounds q.c + |q| r and stops when the best bound left is below its current k-th score.  That score is shared:
-the first shard is searched alone, and its k-th scores are the starting bounds in all others.  Queries travel in
-blocks to every shard.
-
-Vectors that are null, empty, or hold a null or a non-finite component take no part, nor do null ids.  Each distinct vector of
-an id is a candidate and, where the id is a query, a query; a query meets no vector of its own id, and its rows share
-one list.  A query meets only vectors of its own length.  Ties go to smaller ids.  An
-empty table gives an empty result.  Further columns are left out.
+Vectors are turned into integers (floor(256 * x)), so scores are exact.  Rows are dealt into shards of bounded bytes by
+a hash of their place in the table; each shard's ball tree is built once and stored as one row.  A query opens a tree's
+nodes in the order of their upper bounds q.c + |q| r and stops when the best bound left is below its current k-th score.
+
+That score is shared as it grows: the shards are searched in rounds of 1, 1, 2, 4, ... of them, each starting from
+the k-th scores of all rounds before, and within a round a task hands the k-th scores of one shard on to its next ones.
+Queries travel in packed blocks, a row for each block and shard; a tree travels once a round.
+
+Vectors that are null, empty, or hold a null or a non-finite component take no part, nor do null ids.  Every row is a
+candidate, repeated rows too, and, where its id is a query's, a query (equal rows are one query): a query meets no row
+of its own id, and the rows of one id share one list of the k best of all their scores.  A query meets only vectors of its own length.  Ties go to smaller ids.  Scores
+beyond 64 bits are given as the nearest long.  An empty table gives an empty result.  Further columns are left out.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framelake.llm.common import written
@@ -31,12 +33,14 @@ _LONG = 2**63 - 1
 
 
 def integers(vectors: DataFrame, scale: int = 256) -> DataFrame:
-    """id, dim, v (array of double, whole numbers) of the distinct vectors that take part."""
+    """id, dim, v (array of double, whole numbers), at (the row's place) of the rows that take part; at changes between runs."""
     ok = F.col("v").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x * scale) == float("inf")))
-    v = vectors.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v")).where(F.col("id").isNotNull()).where(ok)
-    whole = F.transform("v", lambda x: F.rint(x * scale - 0.5 + F.when(F.rint(x * scale) == x * scale, 0.5).otherwise(0.0)))
-    v = v.select("id", whole.alias("v"))
-    return v.distinct().select("id", F.size("v").alias("dim"), "v")
+    v = vectors.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("v")).where(F.col("id").isNotNull()).where(ok)
+
+    def floor(y: Column) -> Column:  # floor() itself ends at 64 bits
+        return F.rint(y) - F.when(F.rint(y) > y, 1.0).otherwise(0.0) + 0.0
+
+    return v.select("id", F.size("v").alias("dim"), F.transform("v", lambda x: floor(x * scale)).alias("v"), F.monotonically_increasing_id().alias("at"))
 
 
 class BallTree:
@@ -112,46 +116,81 @@ def trees(vectors: DataFrame, n_shards: int) -> DataFrame:
         tree = BallTree(t.column("id").to_numpy(), v)
         return pa.table({"dim": t.column("dim").slice(0, 1), "shard": t.column("shard").slice(0, 1), "tree": pa.array([pickle.dumps(tree, 5)], pa.binary())})
 
-    return vectors.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(n_shards)).cast("int")).groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, tree binary")
+    return vectors.withColumn("shard", F.pmod(F.xxhash64("at"), F.lit(n_shards)).cast("int")).groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, tree binary")
+
+
+def packed(queries: DataFrame, blocks: int) -> DataFrame:
+    """dim, block, ids, v, floor: the queries of a block as one row."""
+
+    def pack(t: pa.Table) -> pa.Table:
+        floor = np.array([-np.inf if x is None else x for x in t.column("floor").to_pylist()], float)
+        cols = [t.column("id").to_numpy(), np.array(t.column("v").to_pylist(), float), floor]
+        return pa.table({"dim": t.column("dim").slice(0, 1), "block": t.column("block").slice(0, 1)} | {n: pa.array([c.tobytes()], pa.binary()) for n, c in zip(("ids", "v", "floor"), cols, strict=True)})
 
+    return queries.withColumn("block", F.pmod(F.xxhash64("at"), F.lit(blocks)).cast("int")).groupBy("dim", "block").applyInArrow(pack, "dim int, block int, ids binary, v binary, floor binary")
 
-def search(index: DataFrame, queries: DataFrame, shards: list[int], k: int, blocks: int) -> DataFrame:
-    """query_id, score, vec_id: each query's k best of every shard in shards; queries: id, dim, v, floor."""
-    if not shards:
-        return queries.sparkSession.createDataFrame([], "query_id long, score long, vec_id long")
-    block = F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")
-    sent = queries.withColumn("block", block).withColumn("shard", F.explode(F.array(*map(F.lit, shards)))) if len(shards) <= 4096 else queries.withColumn("block", block).withColumn("shard", F.explode(F.sequence(F.lit(min(shards)), F.lit(max(shards)))))
-    held = index.where(F.col("shard").isin(shards) if len(shards) <= 64 else F.col("shard") >= min(shards)).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
-    def run(trees_: pa.Table, qs: pa.Table) -> pa.Table:
-        out: tuple[list, list, list] = ([], [], [])
-        if trees_.num_rows and qs.num_rows:
-            tree: BallTree = pickle.loads(trees_.column("tree")[0].as_py())
-            for own, v, floor in zip(qs.column("id").to_pylist(), qs.column("v").to_pylist(), qs.column("floor").to_pylist(), strict=True):
-                for s, i in tree.search(np.array(v, float), own, k, -np.inf if floor is None else floor):
-                    out[0].append(own)
-                    out[1].append(max(-_LONG - 1, min(_LONG, s)))
-                    out[2].append(i)
-        return pa.table({"query_id": pa.array(out[0], pa.int64()), "score": pa.array(out[1], pa.int64()), "vec_id": pa.array(out[2], pa.int64())})
+def search(index: DataFrame, blocks: DataFrame, first: int, end: int, k: int, handed: int = 64) -> DataFrame:
+    """query_id, score, vec_id: each query's k best of every shard from first to before end."""
+    sent = blocks.withColumn("shard", F.explode(F.sequence(F.lit(first), F.lit(end - 1))))
 
-    keys = ["dim", "shard", "block"]
-    return held.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(run, "query_id long, score long, vec_id long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+        floors: dict[tuple[int, int], np.ndarray] = {}  # of the blocks seen last
+        for b in batches:
+            for dim, shard, block, ids, v, floor, tree in zip(*(b.column(c).to_pylist() for c in range(7)), strict=True):
+                if held is None or held[0] != (dim, shard):
+                    held = ((dim, shard), pickle.loads(tree))
+                ids, v = np.frombuffer(ids, np.int64), np.frombuffer(v, float).reshape(-1, dim)
+                least = floors.pop((dim, block), None)
+                least = np.frombuffer(floor, float).copy() if least is None else least
+                out: tuple[list, list, list] = ([], [], [])
+                for i, own in enumerate(ids.tolist()):
+                    got = held[1].search(v[i], own, k, least[i])
+                    if len(got) == k:
+                        least[i] = max(least[i], _below(min(s for s, _ in got)))
+                    out[0].extend([own] * len(got))
+                    out[1].extend(max(-_LONG - 1, min(_LONG, s)) for s, _ in got)
+                    out[2].extend(x for _, x in got)
+                floors[dim, block] = least
+                if len(floors) > handed:
+                    del floors[next(iter(floors))]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["query_id", "score", "vec_id"])
+
+    both = sent.join(index, ["dim", "shard"]).select("dim", "shard", "block", "ids", "v", "floor", "tree")
+    return both.mapInArrow(run, "query_id long, score long, vec_id long")
+
+
+def _below(score: int) -> float:
+    """A double that is not above the score."""
+    return float(score) - abs(float(score)) * 1e-15
 
 
 def _best(rows: DataFrame, k: int) -> DataFrame:
-    """The k best rows of each query; a query has k rows for each shard at most."""
+    """The k best rows of each query id; a query has k rows for each shard at most."""
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def top_k(vectors: DataFrame, every: int = 50, k: int = 5, per_shard: int = 8192, per_block: int = 4096) -> DataFrame:
-    """query_id, rank, vec_id, score for the vectors whose id is divisible by every, against all."""
+def top_k(vectors: DataFrame, every: int = 50, k: int = 5, per_shard: int = 8192, per_block: int = 4096, most_bytes: int = 16_000_000) -> DataFrame:
+    """query_id, rank, vec_id, score for the vectors whose id is divisible by every, against all.
+
+    A shard has per_shard rows, a block per_block queries, fewer where their vectors take more than most_bytes.
+    """
     v = written(integers(vectors), "vectors")
-    n, n_queries = v.agg(F.count("*"), F.coalesce(F.sum((F.col("id") % every == 0).cast("long")), F.lit(0))).first()
+    n, n_queries, dim = v.agg(F.count("*"), F.coalesce(F.sum((F.col("id") % every == 0).cast("long")), F.lit(0)), F.coalesce(F.max("dim"), F.lit(1))).first()
+    per_shard, per_block = (max(1, min(x, most_bytes // (8 * dim))) for x in (per_shard, per_block))
     n_shards, blocks = max(1, -(-n // per_shard)), max(1, -(-n_queries // per_block))
     index = written(trees(v, n_shards), "trees")
-    queries = v.where(F.col("id") % every == 0)
-    first = written(search(index, queries.withColumn("floor", F.lit(None).cast("double")), [0], k, blocks), "first")
-    floors = first.groupBy("query_id").agg(F.count("*").alias("m"), F.min("score").alias("s")).where(F.col("m") >= k).select(F.col("query_id").alias("id"), (F.col("s").cast("double") - F.abs(F.col("s").cast("double")) * 1e-15).alias("floor"))
-    rest = search(index, queries.join(floors, "id", "left"), list(range(1, n_shards)), k, blocks)
-    return _best(first.unionByName(rest), k).select("query_id", "rank", "vec_id", "score")
+    queries = v.where(F.col("id") % every == 0).groupBy("id", "dim", "v").agg(F.min("at").alias("at"))  # equal rows are one query
+    best, first, end = None, 0, 1
+    while first < n_shards:
+        if best is None:
+            own = queries.withColumn("floor", F.lit(None).cast("double"))
+        else:
+            floors = best.where(F.col("rank") == k).select(F.col("query_id").alias("id"), (F.col("score").cast("double") - F.abs(F.col("score").cast("double")) * 1e-15).alias("floor"))
+            own = queries.join(floors, "id", "left")
+        found = search(index, packed(own, blocks), first, end, k)
+        best = written(_best(found if best is None else found.unionByName(best.drop("rank")), k), "best")
+        first, end = end, min(n_shards, 2 * end)
+    return best.select("query_id", "rank", "vec_id", "score")

@@ -1,15 +1,20 @@
 """Toxicity by weak supervision.
 
-Voters are words and word beginnings (lexicon), which labelled rows single out, and a short list of insults.  Word
-beginnings are the only patterns: no expression over the whole text votes, so an insult with masked or repeated letters
-(id1ot, i.d.i.o.t) that labelled rows do not single out is no hit.  Each votes toxic or abstains, and one votes clean where no other speaks.  A generative label model takes
-the true label as hidden, estimates each voter's rate for either label by expectation maximisation, and estimates
-the voters' correlations given the label: voters of a correlated cluster share their evidence.  A linear classifier
-is trained on the posterior labels and scores every whole text.
+Voters are words and word beginnings (lexicon), which labelled rows single out, a short list of insults, and patterns
+over the whole text: a lexicon word with masked letters (id1ot, i.d.i.o.t), with stretched ones (idiooot), after an
+address to the reader (you are such an idiot), or shouted.  Each votes toxic or abstains, and one votes clean where no
+other speaks.  A generative label model takes the true label as hidden, estimates each voter's rate for either label by
+expectation maximisation, and estimates the voters' correlations given the label: voters of a correlated cluster share
+their evidence.  A linear classifier is trained on the posterior labels and scores every whole text; besides the voters
+it sees the logarithm of how many words spoke.
+
+Bounds of the fit, both parameters: ``sample`` labelled rows in expectation (twice that at most), drawn by the hash of
+their id, and ``most`` learnt voters, the ones with the strongest evidence.
 
 Labels are read only from rows for which ``usable`` holds.  Null and empty texts have no words and get the score of a
-text without any hit.  Conflicting labels of one document count as they come.  Without labels only the given list
-votes.  Rows are independent; repeated rows give equal result rows.
+text without any hit.  Conflicting labels of one document count as toxic.  Without labels only the given list and the
+patterns vote.  Rows are independent; repeated rows give equal result rows.  Very long texts are read whole, a text at
+a time.  Other columns are kept as asked for; a kept column named score or predicted is replaced by the result's.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm.bpe import pieces
@@ -30,42 +35,74 @@ LETTERS = re.compile(r"[^\W\d_]+")
 INSULTS = ("idiot", "moron", "stupid", "dumb", "pathetic", "worthless", "trash", "scum", "loser", "clown", "disgusting", "garbage", "imbecile", "retard", "bastard", "vermin", "filth")
 #: Lengths of word beginnings that can vote.
 STEMS = (4, 5, 6, 7)
+#: Score from which a text counts as toxic.
+THRESHOLD = 0.3
+
+
+#: Look-alikes of letters (fixed values).
+ALIKE = str.maketrans("013457@$!|", "oieastasil")
+MASKED = re.compile(r"[^\W\d_]+(?:[0-9@$!|*._-]+[^\W\d_]+)+")
+TRIPLE = re.compile(r"([^\W\d_])\1\1+")
+#: Addresses to the reader, and what may stand between one and the word (fixed values).
+ADDRESS = re.compile(r"\b(?:you|du|ihr|tu|vous|usted|ustedes|vosotros)\b(?:\W+(?:re|are|bist|seid|es|êtes|eres|son|a|an|such|so|ein|eine|un|une|una|tan)\b){0,3}\W+([^\W\d_]+)")
+SHOUT = re.compile(r"[^\W\d_a-zß-ÿ]{4,}")
+KINDS = ("masked", "stretched", "addressed", "shouted")
 
 
 def words(text: str | None) -> set[str]:
     return set(LETTERS.findall(text.lower())) if text else set()
 
 
-def keys_of(ws: set[str]) -> set[str]:
-    """A word votes as itself (=word) and by its beginnings (stem*)."""
-    out = {"=" + w for w in ws}
-    for n in STEMS:
-        out.update({w[:n] + "*" for w in ws if len(w) >= n})
+def odd(text: str | None, ws: set[str]) -> set[tuple[str, str]]:
+    """What the patterns find: kind and plain word, whether or not the lexicon has the word."""
+    if not text:
+        return set()
+    low = text.lower()
+    out = set()
+    for m in MASKED.findall(low):
+        out |= {("masked", m.translate(ALIKE)), ("masked", "".join(LETTERS.findall(m)))}
+    if TRIPLE.search(" ".join(ws)):
+        for w in ws:
+            if TRIPLE.search(w):
+                out |= {("stretched", TRIPLE.sub(r"\1", w)), ("stretched", TRIPLE.sub(r"\1\1", w))}
+    out.update(("addressed", w) for w in ADDRESS.findall(low))
+    out.update(("shouted", w.lower()) for w in SHOUT.findall(text))
     return out
 
 
 @dataclass
 class Model:
     voters: list[str]
-    weights: np.ndarray  # of the voters, then of the counts
+    weights: np.ndarray  # of the voters, then of the number of words that spoke
     bias: float
     rates: np.ndarray  # P(vote | clean), P(vote | toxic) of each voter
     cluster: np.ndarray  # size of each voter's correlated cluster
     prior: float
 
-    def features(self, ws: set[str]) -> tuple[list[int], float]:
-        index = self.__dict__.setdefault("_index", {v: i for i, v in enumerate(self.voters)})
-        heads = self.__dict__.setdefault("_heads", sorted({len(v) - 1 for v in self.voters if v[-1] == "*"}))
+    def __post_init__(self) -> None:
+        self.index = {v: i for i, v in enumerate(self.voters)}
+        self.heads = sorted({len(v) - 1 for v in self.voters if v[-1] == "*"})
+
+    def lexicon(self, w: str) -> list[int]:
+        return [i for i in [self.index.get("=" + w), *(self.index.get(w[:n] + "*") for n in self.heads if len(w) >= n)] if i is not None]
+
+    def features(self, ws: set[str], found: set[tuple[str, str]]) -> tuple[list[int], float]:
         hits, spoken = set(), 0
         for w in ws:
-            own = [i for i in [index.get("=" + w), *(index.get(w[:n] + "*") for n in heads if len(w) >= n)] if i is not None]
+            own = self.lexicon(w)
             hits.update(own)
             spoken += bool(own)
-        return sorted(hits), float(min(spoken, 8))
+        for kind, w in found:
+            if own := self.lexicon(w):
+                hits.add(self.index["~" + kind])
+                hits.update(own)
+                spoken += w not in ws
+        return sorted(hits), float(np.log1p(spoken))
 
     def score(self, text: str | None) -> float:
-        hits, n = self.features(words(text))
-        return float(1 / (1 + np.exp(-(self.bias + self.weights[hits].sum() + self.weights[-1] * n))))
+        ws = words(text)
+        hits, n = self.features(ws, odd(text, ws))
+        return float(1 / (1 + np.exp(-np.clip(self.bias + self.weights[hits].sum() + self.weights[-1] * n, -500, 500))))
 
 
 def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
@@ -121,10 +158,11 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 8000,
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            ks = [sorted(words(t)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(ks, pa.list_(pa.string()))], ["doc_id", "toxic", "words"])
+            ws = [words(t) for t in b.column(1).to_pylist()]
+            found = [[f"{k}:{w}" for k, w in sorted(odd(t, own))] for t, own in zip(b.column(1).to_pylist(), ws, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(map(sorted, ws), pa.list_(pa.string())), pa.array(found, pa.list_(pa.string()))], ["doc_id", "toxic", "words", "odd"])
 
-    seen = rows.mapInArrow(keyed, "doc_id long, toxic int, words array<string>").persist()
+    seen = rows.mapInArrow(keyed, "doc_id long, toxic int, words array<string>, odd array<string>").persist()
     try:
         counted = seen.select(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
         pos, total = int(counted[0]), int(counted[1])
@@ -148,13 +186,14 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 8000,
                 if r["k"][-1] == "*":
                     heads[stem] = r["p"]
         voters += ["=" + w for w in INSULTS if "=" + w not in voters]
+        voters += ["~" + kind for kind in KINDS]
         model = Model(voters, np.zeros(len(voters) + 1), 0.0, np.zeros((2, len(voters))), np.ones(len(voters)), prev)
         sent = docs.sparkSession.sparkContext.broadcast(voters)
 
         def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             m = Model(sent.value, np.zeros(1), 0.0, np.zeros((2, 1)), np.ones(1), 0.1)
             for b in batches:
-                got = [m.features(set(ws)) for ws in b.column(2).to_pylist()]
+                got = [m.features(set(ws), {tuple(x.split(":", 1)) for x in found}) for ws, found in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(1), pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.float64())], ["toxic", "hits", "n"])
 
         got = seen.mapInArrow(voted, "toxic int, hits array<int>, n double").collect()
@@ -167,23 +206,27 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 8000,
         votes[i, list(r["hits"])] = 1
         given[i], spoken[i] = r["toxic"], r["n"]
     votes[-1, [i for i, v in enumerate(voters) if v[1:] in INSULTS]] = 1  # so that the list speaks even without labels
-    given[-2], given[-1], spoken[-1] = 0, 1, 2
+    given[-2], given[-1], spoken[-1] = 0, 1, np.log1p(2)
     post, model.rates, model.cluster, model.prior = label_model(votes, given)
     w, model.bias = linear(np.c_[votes / np.sqrt(model.cluster), spoken], post)
     model.weights = np.r_[w[:-1] / np.sqrt(model.cluster), w[-1]]
     return model
 
 
-def scored(docs: DataFrame, model: Model, threshold: float = 0.3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns of keep, score, predicted."""
-    kept = docs.select(*keep)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", score double, predicted int"
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # some hundred voters
+def probability(model: Model, text: str | Column = "text") -> Column:
+    """The score of a text.  Only the text goes to Python and only the score comes back."""
+    sent = SparkSession.active().sparkContext.broadcast(model)  # some hundred voters
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        for b in pieces(batches):
-            s = [m.score(t) for t in b.column(b.num_columns - 1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(b.num_columns - 1)), pa.array(s, pa.float64()), pa.array([int(x >= threshold) for x in s], pa.int32())], [*keep, "score", "predicted"])
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for b in batches:
+            for_each = (sent.value.score(t.as_py()) for t in b)  # one text at a time
+            yield pa.array(for_each, pa.float64())
+
+    return score(text)
 
-    return docs.select(*keep, docs["text"].alias("__text")).mapInArrow(run, schema)
+
+def scored(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns of keep, score, predicted."""
+    kept = [c for c in keep if c not in ("score", "predicted")]
+    return docs.select(*kept, probability(model).alias("score")).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -45,6 +45,17 @@ def test_topk_repeated_ids(spark):
     assert [(r.score, -r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == want
 
 
+def test_topk_matches_sql_on_repeated_ids_and_small_negatives(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(i % 70, [float(x) for x in rng.normal(size=4).round(1)]) for i in range(120) if i % 70 != 50 or i < 70] + [(80, [-1e-20, -0.0, 1e-20, -2.0**-60]), (81, [-1e-20] * 4)]
+    d = spark.createDataFrame([*rows, rows[3], (None, [1.0] * 4)], "vec_id long, embedding array<double>").where("vec_id is null or vec_id % 50 <> 0 or vec_id = 50").unionByName(spark.createDataFrame([(100, [-3e-20, 9.0, 1.0, -1.0])], "vec_id long, embedding array<double>"))
+    import pyarrow.parquet as pq
+
+    pq.write_table(d.toArrow(), f"{tmp_path}/embeddings.parquet")
+    same(queries.op1_ball_tree_topk(spark, str(tmp_path)), queries.ORACLES["op1_ball_tree_topk"], str(tmp_path))
+    assert topk.integers(d).where("exists(v, x -> x = -1)").count() >= 2
+
+
 # --- near-duplicates
 
 
@@ -220,10 +231,26 @@ def library():
     return t
 
 
-def test_tree_is_exact(library):
-    enc = bpe.Encoder(queries.vocabulary(), leaf=7)
-    texts = [r[1] for r in corpus() if r[1]][:13] + ["thequick" * 99, "é漢字" * 80, "!?-" * 70 + "'s", " " * 90 + "x", "it's" * 40, "12٣½" * 30]
+@pytest.mark.parametrize("leaf", [5, 7, 64, 500, 4096])
+def test_tree_is_exact(library, leaf):
+    enc = bpe.Encoder(queries.vocabulary(), leaf=leaf)
+    texts = [r[1] for r in corpus() if r[1]] + ["thequick" * 990, "é漢字" * 800, "!?-" * 700 + "'s", " " * 9000 + "x", "it's" * 400 + " 's 'll " * 300, "12٣½" * 300, "don't we'll " * 500, "\n \n  x" * 300, "a" * 5000 + " " + "b" * 5000, "a\x1c b " * 99, "x <|endoftext|> " * 40, ""]
     assert enc.encode(texts) == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert enc.joins > 20 and enc.windows > enc.joins  # trees ran, and some windows had to grow
+
+
+def test_tree_without_whole_arrays(library, monkeypatch):
+    """Texts beyond LONGEST go by the pattern."""
+    monkeypatch.setattr(bpe, "LONGEST", 100)
+    enc = bpe.Encoder(queries.vocabulary(), leaf=64)
+    texts = [r[1] for r in corpus() if r[1]]
+    assert enc.encode(texts) == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)] and enc.joins
+
+
+def test_two_units_of_one_hash(library, monkeypatch):
+    monkeypatch.setattr(bpe, "hashes", lambda raw, starts, ends, seed: (ends - starts).astype(np.uint64))
+    texts = ["the cat and a dog sat", "red fox ran off"]
+    assert bpe.Encoder(queries.vocabulary()).encode(texts) == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_encoded(docs, empty, library):
@@ -266,6 +293,40 @@ def test_toxicity(spark, empty):
     assert s == {1: 1, 2: 0} and toxicity.scored(empty, none).count() == 0
 
 
+def test_toxicity_patterns(spark):
+    assert toxicity.odd("you are such an id1ot", {"you"}) >= {("masked", "idiot"), ("addressed", "id")}
+    assert ("masked", "idiot") in toxicity.odd("I.d.i.o.t", set()) and ("stretched", "idiot") in toxicity.odd("idiooot", {"idiooot"})
+    assert ("addressed", "idiot") in toxicity.odd("You are an idiot", set()) and ("shouted", "idiot") in toxicity.odd("an IDIOT", set())
+    none = toxicity.fit(spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int"), F.lit(True))
+    clean = none.score("a fine day, room 4b, mid-week, www.example.org, cooool")
+    assert all(none.score(t) > 0.3 > clean for t in ("so id1ot", "an i.d.i.o.t here", "stupiiiid thing", "you are a moron"))
+
+
+def test_toxicity_keeps_clashing_columns_and_long_texts(spark):
+    m = toxicity.fit(spark.createDataFrame([], "doc_id long, text string"), spark.createDataFrame([], "doc_id long, toxic int"), F.lit(True))
+    d = spark.createDataFrame([(1, "idiot " * 200000, 5, 6), (1, "idiot " * 200000, 5, 6), (None, None, None, 7)], "doc_id long, text string, score int, hits int")
+    got = toxicity.scored(d, m, keep=("doc_id", "score", "hits")).collect()
+    assert [(r.doc_id, r.hits, r.predicted) for r in got] == [(1, 6, 1), (1, 6, 1), (None, 7, 0)]
+
+
+def held_out(spark, name, truth):
+    """Rows of a query over the given table beside the truth, held-out ones with a truth only."""
+    sf = SF.replace("sf0.001", "sf0.1")  # the smaller tables have too few labels
+    t = spark.read.parquet(f"{sf}/{truth[0]}.parquet").where(f"{truth[1]} is not null").select("doc_id", F.col(truth[1]).alias("truth"))
+    return queries.queries()[name](spark, sf).where("held_out").join(t, "doc_id").collect()
+
+
+def test_toxicity_on_held_out_labels(spark):
+    rows = held_out(spark, "op7_toxicity", ("labels", "toxic"))
+    toxic, clean = [r for r in rows if r.truth == 1], [r for r in rows if r.truth == 0]
+    assert len(toxic) >= 100 and sum(r.predicted for r in toxic) >= 0.8 * len(toxic) and sum(r.predicted for r in clean) <= 0.005 * len(clean)
+
+
+def test_language_on_held_out_documents(spark):
+    rows = [r for r in held_out(spark, "op10_language_id", ("documents", "lang")) if r.lang_pred != "und"]
+    assert len(rows) >= 3000 and sum(r.lang_pred == r.truth for r in rows) >= 0.98 * len(rows)
+
+
 def test_language(spark, empty):
     a, b = "the of and with there where house when".split(), "der und nicht mit haus wenn eine sich".split()
     import random
@@ -276,6 +337,9 @@ def test_language(spark, empty):
     dicts = langid.dictionaries(d, F.col("doc_id") < 100)
     got = {x.doc_id: x for x in langid.predict(d, dicts).collect()}
     assert all(got[i].lang_pred == y for i, _, y in rows) and got[900].lang_pred == got[901].lang_pred == "und"
+    assert langid.predict(empty, dicts).count() == 0
+    clash = d.withColumns({"score": F.lit(1), "rejected": F.lit(2)}).unionByName(d.limit(1).withColumns({"text": F.lit("the house and there " * 100000), "score": F.lit(1), "rejected": F.lit(2)}))
+    assert langid.predict(clash, dicts).where("doc_id = 1 or length(lang_pred) > 9").count() == 1 and langid.predict(clash, dicts).count() == 204
     assert langid.dictionaries(empty, F.lit(True)) == {} and [x.lang_pred for x in langid.predict(d, {}).collect()] == ["und"] * 203
 
 
@@ -304,9 +368,13 @@ def brute_removed(rows, n=20):
 @pytest.mark.parametrize("group_bytes", [2_000, 6_000_000])
 def test_recompression_against_brute_force(docs, empty, group_bytes):
     want = brute_removed(corpus())
-    for r in recompress.deduped(docs.drop("kept", "g"), group_bytes).collect():
-        assert (r.n_words, r.n_removed, r.kept) == want[-(2**63) if r.doc_id is None else r.doc_id]
+    clashing = docs.withColumns({c: F.lit(2) for c in ("k", "n_words", "r", "n", "keys", "kind", "bits")})
+    got = recompress.deduped(clashing, group_bytes)
+    assert set(got.columns) == set(clashing.columns) | {"n_words", "n_removed", "kept"}
+    for r in got.collect():
+        assert (r.n_words, r.n_removed, r.kept) == want[-(2**63) if r.doc_id is None else r.doc_id] and (r.k, r.g) == (2, 1)
     assert recompress.deduped(empty).count() == 0
+    assert recompress.deduped(docs.select("doc_id", "text"), group_bytes).columns == ["doc_id", "text", "n_words", "n_removed", "kept"]
 
 
 def test_recompression_on_few_words(spark):
@@ -319,6 +387,40 @@ def test_recompression_on_few_words(spark):
     assert all((x.n_words, x.n_removed, x.kept) == want[x.doc_id] for x in got) and len(got) == 60
 
 
+def morse(n, a, b):
+    """The Thue-Morse word over a and b: with its swap, the pair that polynomials modulo a power of two take for equal."""
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_thue_morse_words_are_told_apart(spark, library):
+    rows = []
+    for n in (256, 512, 1024, 4096):
+        for k, x in enumerate((morse(n, "a", "b"), morse(n, "b", "a"))):
+            rows.append((n * 10 + k, " ".join([f"w{n}.{i}" for i in range(10)] + [x] + [f"v{n}.{i}" for i in range(9)]), None, None))
+    d = spark.createDataFrame(rows, SCHEMA)
+    assert all(r.n_removed == 0 for r in recompress.deduped(d).collect())
+    assert all(r.n_shingles == len(sets(dict((i, t) for i, t, *_ in rows)[r.doc_id])) for r in neardup.clusters(d).collect())
+    enc = bpe.Encoder(queries.vocabulary())
+    texts = [t for _, t, *_ in rows] + [t.split(" ")[10] for _, t, *_ in rows]
+    assert enc.encode(texts) == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert recompress.deduped(spark.createDataFrame([(1, morse(2048, "a ", "b "), None, None), (2, morse(2048, "b ", "a "), None, None)], SCHEMA)).count() == 2
+
+
+def test_few_windows_stay_open(spark):
+    """The rounds close the windows that occur once."""
+    import pyarrow as pa
+
+    texts = [prose(i, 400) for i in range(40)] + [prose(50, 100)] * 2
+    steps, t = recompress.Steps(1), pa.table({"__g": pa.array([0] * 42, pa.int32()), "__k": pa.array(range(42)), "text": pa.array(texts)})
+    n, answers = [], None
+    for turn in range(recompress.ROUNDS):
+        share = steps.share(turn, steps.name(turn, t, answers))
+        answers = share if answers is None else pa.concat_tables([answers, share])
+        n.append(len(recompress.Words(t.column("text")).open(recompress.Answers(answers, 1), turn + 1)))
+    total = len(recompress.Words(t.column("text")).windows())
+    assert total > 15000 and 162 <= n[1] <= n[0] < total / 4
+
+
 # --- mixing
 
 
@@ -362,11 +464,66 @@ def test_small_sources_meet_their_targets(spark):
         assert sum(r.taken for r in own) == pytest.approx(sum(r.target for r in own), rel=0.05)
 
 
-def test_permutation_is_one_to_one(spark):
-    for n in (1, 2, 97, 1000, 2147483647 * 2):
+def test_each_small_source_meets_its_target(spark):
+    sizes = {"a": 10, "b": 30, "c": 1, "d": 333, "e": 70, "f": 3000, "g": 7}
+    d = spark.createDataFrame([(i, prose(i, n), None, s) for i, (s, n) in enumerate(sizes.items())], SCHEMA)
+    for r in mixing.taken(d).collect():
+        assert abs(r.taken - r.target) <= max(1, r.size / 64) and r.taken <= 2 * r.size
+
+
+def reference_places(n, keys, rounds):
+    """Swap-or-not by hand: the hashes come from the caller."""
+    places = list(range(n))
+    for own, heads in rounds:
+        places = [(own - x) % n if heads[max(x, (own - x) % n)] else x for x in places]
+    return places
+
+
+def test_permutations(spark):
+    for n in (1, 2, 97, 1000, 2**33 + 5):
         k = min(n, 1000)
         rows = spark.range(k).select(mixing.permuted(F.col("id"), F.lit(n), F.lit(3), F.lit(1), 17).alias("b")).distinct()
         assert rows.count() == k and rows.where(f"b < 0 or b >= {n}").count() == 0
+    n = 97
+    key = F.xxhash64(F.lit(3), F.lit(17))
+    rounds = []
+    for r in range(mixing.ROUNDS):
+        row = spark.range(n).select("id", F.pmod(F.xxhash64(key, F.lit(r)), F.lit(n)).alias("own"), F.xxhash64("id", F.lit(r), key).bitwiseAND(F.lit(1)).alias("heads")).orderBy("id").collect()
+        rounds.append((row[0].own, [x.heads for x in row]))
+    got = [x.b for x in spark.range(n).select("id", mixing.permuted(F.col("id"), F.lit(n), 3, 17).alias("b")).orderBy("id").collect()]
+    assert got == reference_places(n, None, rounds)
+    a, b = (spark.range(1000).select("id", mixing.permuted(F.col("id"), F.lit(1000), k).alias("b")).orderBy("id").toPandas()["b"].to_numpy() for k in (1, 2))
+    assert abs(np.corrcoef(a, np.arange(1000))[0, 1]) < 0.15 and abs(np.corrcoef(a, b)[0, 1]) < 0.15 and (a == b).sum() < 10
+
+
+def test_mix_against_brute_force(spark):
+    """From the blocks that the plan uses, in plain loops: each document's words, each source's blocks and each shard's counts."""
+    rows = [(i if i % 11 else None, prose(i, 5 + i * 7 % 190), None, f"s{min(i % 7, 3)}") for i in range(500)] + [(7, prose(7, 54), None, "s0")] * 3
+    d = spark.createDataFrame(rows, SCHEMA)
+    placed, sources, use = mixing.mix(d, block=16, slots=64)
+    use, placed, sources = use.collect(), placed.collect(), {r["rank"]: r for r in sources.collect()}
+    times = Counter((u["rank"], u.b) for u in use)
+    want = Counter()
+    for rank, src in sources.items():
+        own = sorted((p for p in placed if p["rank"] == rank and p.size), key=lambda p: p.lo)
+        assert [p.lo for p in own] == list(np.cumsum([0] + [p.size for p in own])[:-1]) and sum(p.size for p in own) == src.source_size
+        n = -(-src.source_size // 16)
+        slots = [u for u in use if u["rank"] == rank]
+        assert len(slots) == round(src.target * n / src.source_size) and {u.b for u in slots} <= set(range(n))
+        assert all(sum(u.b == b for u in slots if u.turn == t) <= 1 for t in (0, 1) for b in range(n))
+        for p in own:
+            want[p.k, p.tie, p.lo] = sum(times[rank, w // 16] for w in range(p.lo, p.lo + p.size))
+    key = lambda r: (-(2**63) if r.doc_id is None else r.doc_id, r.size, r.taken)
+    size = {(p.k, p.tie, p.lo): p.size for p in placed}
+    assert sorted(map(key, mixing.taken(d, block=16, slots=64).collect())) == sorted((k[0], size[k], n) for k, n in want.items())
+    shards = Counter(u.shard for u in use)
+    assert set(shards) == set(range(-(-len(use) // 64))) and all(n == 64 for s, n in shards.items() if s != max(shards))
+    by_shard = Counter((u.shard, u["rank"]) for u in use)
+    assert {(r.shard, r["rank"]): r.n for r in mixing.counts(spark.createDataFrame(use)).collect()} == by_shard
+    for rank in sources:  # a multinomial's spread, as far as the totals leave it
+        p = sum(u["rank"] == rank for u in use) / len(use)
+        got = [by_shard[s, rank] for s in shards if s != max(shards)]
+        assert abs(np.mean(got) - 64 * p) < 4 * (64 * p * (1 - p) / len(got)) ** 0.5 + 0.5 and np.var(got) < 4 * 64 * p * (1 - p) + 1
 
 
 # --- pipeline
