@@ -23,7 +23,7 @@ SIMILAR = 80
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose toxicity score is below the threshold."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
-    return toxicity.scored(docs, model, keep=tuple(docs.columns)).where("predicted = 0").select(*docs.columns)
+    return docs.where(toxicity.probability(model, "text") < toxicity.THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes words that are covered by 20-word windows that start earlier; documents without such words stay as they are."""
-    out = recompress.deduped(docs).withColumn("text", F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept")))
+    out = recompress.deduped(docs, names=("__n_words", "__n_removed", "__kept")).withColumn("text", F.when(F.col("__n_removed") == 0, F.col("text")).otherwise(F.col("__kept")))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
