@@ -3,9 +3,13 @@
 A text's paragraphs are its lines, long ones cut after every 256 code points.  Each distinct paragraph's 64-bit digest
 goes to one cell in each of three parts of a sketch; a cell holds a count, the exclusive or of the digests and that of
 their check values.  Subtracting two sketches leaves the digests in which the texts differ; cells that hold one
-digest are peeled until nothing is left.  Where peeling fails, sketches four times as large are tried, up to the
-largest size, and beyond that the digest sets themselves are compared, so the answer is always exact on digests.  The
-likeness of two texts is the Jaccard measure of their digest sets, got from the two counts and the peeled digests.
+digest are peeled until nothing is left.  Where peeling fails, sketches four times as large are tried, again and again
+until one succeeds: there is no largest size.  As a sketch of m cells gives m digests at most, sizes below the
+difference of the two counts, which the cells' counts tell, are passed over.  The likeness of two texts is the Jaccard
+measure of their digest sets, got from the two counts and the peeled digests.
+
+A sketch of m cells over n digests is filled, and peeled, in about n times the square root of m steps: entries are dealt
+into blocks of cells first.
 
 The fingerprint is the smallest sketch as hexadecimal text: a fixed size for any document, equal for equal texts.
 
@@ -21,12 +25,10 @@ from pyspark.sql import functions as F
 
 from framelake.llm.common import key, unkey, written
 
-#: Cells of the fingerprint, and of the sketches that are tried in turn.
-CELLS, SIZES = 18, (18, 72, 288)
-#: Peeling rounds of each attempt.
-ROUNDS = 8
-#: Paragraphs up to which each sketch size is tried at all (a sketch of m cells cannot hold many more than m / 1.3).
-_LOAD = 0.8
+#: Cells of the fingerprint, which is the first sketch tried; how much larger the next one is.
+CELLS, LARGER = 18, 4
+#: Sizes that there are (18 * 4^15 cells are beyond any text), and peeling rounds of each attempt.
+ATTEMPTS, ROUNDS = 16, 12
 
 
 def digests(text: Column) -> Column:
@@ -38,77 +40,87 @@ def _check(d: Column) -> Column:
     return F.xxhash64(d, F.lit(3)).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
-def _cell(d: Column, part: Column | int, m: int) -> Column:
-    """The cell of a digest in one of the three parts: other bits of the digest for each part."""
-    third = m // 3
-    part = F.lit(part) if isinstance(part, int) else part
-    bits = F.shiftrightunsigned(F.xxhash64(d, part), 20)
-    return (bits % third + part * third).cast("int")
+def _entries(d: Column, n: Column, m: Column) -> Column:
+    """The three entries (cell, count, key, check) of a digest: other bits of it for each part."""
+    third = (m / F.lit(3)).cast("long")
+
+    def entry(part: int) -> Column:
+        at = F.shiftrightunsigned(F.xxhash64(d, F.lit(part)), 20) % third + F.lit(part) * third
+        return F.struct(at.alias("c"), n.cast("long").alias("n"), d.alias("key"), _check(d).alias("check"))
+
+    return F.array(*map(entry, range(3)))
 
 
-def _xor(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+def _bound(value: Column, use) -> Column:
+    """use(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def sketch(d: Column, m: int) -> Column:
-    """Array of m cells (n, key, check) of the digests in array d."""
-    third = m // 3
+def _add(a: Column, x: Column) -> Column:
+    return F.struct((a["n"] + x["n"]).alias("n"), a["key"].bitwiseXOR(x["key"]).alias("key"), a["check"].bitwiseXOR(x["check"]).alias("check"))
 
-    def cells(part: int) -> Column:
-        tagged = F.transform(d, lambda x: F.struct(_cell(x, part, m).alias("c"), x.alias("d"), _check(x).alias("h")))
 
-        def fill(t: Column) -> Column:
-            def one(i: Column) -> Column:
-                own = F.filter(t, lambda x: x["c"] == i)
-                return F.aggregate(own, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).cast("long").alias("check")), lambda a, x: F.struct((a["n"] + 1).alias("n"), a["key"].bitwiseXOR(x["d"]).alias("key"), a["check"].bitwiseXOR(x["h"]).alias("check")))
+def cells(entries: Column, m: Column) -> Column:
+    """The m cells (n, key, check) of entries, which are dealt into blocks of cells first."""
+    zero = F.struct(*(F.lit(0).cast("long").alias(x) for x in ("n", "key", "check")))
+    width = F.ceil(F.sqrt(m)).cast("long")
 
-            return F.transform(F.sequence(F.lit(part * third), F.lit(part * third + third - 1)), one)
+    def block(all_: Column, b: Column) -> Column:
+        def one(own: Column) -> Column:
+            ends = F.least((b + 1) * width, m) - 1
+            return F.transform(F.sequence(b * width, ends), lambda c: F.aggregate(F.filter(own, lambda x: x["c"] == c), zero, _add))
 
-        return F.element_at(F.transform(F.array(tagged), fill), 1)  # binds the tagged digests, which are used m times
+        return _bound(F.filter(all_, lambda x: (x["c"] / width).cast("long") == b), one)
 
-    return F.concat(*(cells(p) for p in range(3)))
+    return _bound(entries, lambda all_: F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), F.ceil(m / width).cast("long") - 1), lambda b: block(all_, b))))
 
 
-def _pure(cells: Column) -> Column:
-    """Digests that stand alone in a cell, with their sign."""
-    alone = F.filter(cells, lambda c: (F.abs(c["n"]) == 1) & (_check(c["key"]) == c["check"]))
-    return F.array_distinct(F.transform(alone, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
+def sketch(d: Column, m: Column | int) -> Column:
+    """Array of m cells of the digests in array d."""
+    m = F.lit(m).cast("long") if isinstance(m, int) else m
+    return cells(F.flatten(F.transform(d, lambda x: _entries(x, F.lit(1), m))), m)
 
 
-def peel(a: Column, b: Column, m: int) -> Column:
+def peel(a: Column, b: Column, m: Column) -> Column:
     """Struct (ok, plus, minus): how many digests only a, only b has, from their sketches of m cells."""
-    diff = F.zip_with(a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"), x["check"].bitwiseXOR(y["check"]).alias("check")))
-    start = F.struct(diff.alias("cells"), F.array().cast("array<struct<n:bigint,key:bigint>>").alias("pure"), F.lit(0).cast("long").alias("plus"), F.lit(0).cast("long").alias("minus"))
+    less = lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"), x["check"].bitwiseXOR(y["check"]).alias("check"))
+    pure_type = "array<struct<n:bigint,key:bigint>>"
+    start = F.struct(F.zip_with(a, b, less).alias("cells"), F.array().cast(pure_type).alias("pure"), F.lit(0).cast("long").alias("plus"), F.lit(0).cast("long").alias("minus"), F.lit(False).alias("idle"))
 
     def step(s: Column, turn: Column) -> Column:
-        # even turns look for pure cells, odd ones take what was found out of its cells
-        placed = F.flatten(F.transform(s["pure"], lambda p: F.transform(F.sequence(F.lit(0), F.lit(2)), lambda k: F.struct(_cell(p["key"], k, m).alias("c"), p["n"].alias("n"), p["key"].alias("key"), _check(p["key"]).alias("check")))))
+        # even turns look for cells with one digest, odd ones take what was found out of its cells
+        alone = F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (_check(c["key"]) == c["check"]))
+        pure = F.array_distinct(F.transform(alone, lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key"))))
+        found = _bound(pure, lambda p: F.struct(s["cells"].alias("cells"), p.alias("pure"), s["plus"].alias("plus"), s["minus"].alias("minus"), (F.size(p) == 0).alias("idle")))
+        out = cells(F.flatten(F.transform(s["pure"], lambda p: _entries(p["key"], p["n"], m))), m)
+        plus, minus = F.size(F.filter(s["pure"], lambda p: p["n"] > 0)), F.size(F.filter(s["pure"], lambda p: p["n"] < 0))
+        done = F.struct(F.zip_with(s["cells"], out, less).alias("cells"), F.array().cast(pure_type).alias("pure"), (s["plus"] + plus).alias("plus"), (s["minus"] + minus).alias("minus"), F.lit(False).alias("idle"))
+        return F.when(s["idle"], s).when(turn % 2 == 0, found).otherwise(done)
 
-        def take(t: Column) -> Column:
-            return F.transform(s["cells"], lambda c, i: F.aggregate(F.filter(t, lambda p: p["c"] == i), c, lambda x, p: F.struct((x["n"] - p["n"]).alias("n"), x["key"].bitwiseXOR(p["key"]).alias("key"), x["check"].bitwiseXOR(p["check"]).alias("check"))))
+    end = F.aggregate(F.sequence(F.lit(0), F.lit(2 * ROUNDS - 1)), start, step)
+    return _bound(end, lambda s: F.struct((~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))).alias("ok"), s["plus"].alias("plus"), s["minus"].alias("minus")))
 
-        found = F.struct(s["cells"].alias("cells"), _pure(s["cells"]).alias("pure"), s["plus"].alias("plus"), s["minus"].alias("minus"))
-        done = F.struct(F.element_at(F.transform(F.array(placed), take), 1).alias("cells"), F.array().cast("array<struct<n:bigint,key:bigint>>").alias("pure"), (s["plus"] + F.size(F.filter(s["pure"], lambda p: p["n"] > 0))).alias("plus"), (s["minus"] + F.size(F.filter(s["pure"], lambda p: p["n"] < 0))).alias("minus"))
-        idle = (turn % 2 == 1) & (F.size(s["pure"]) == 0)
-        return F.when(idle, s).when(turn % 2 == 0, found).otherwise(done)
 
-    end = F.aggregate(F.sequence(F.lit(0), F.lit(2 * ROUNDS - 1)), start, step)
-    return F.element_at(F.transform(F.array(end), lambda s: F.struct((~F.exists(s["cells"], lambda c: (c["n"] != 0) | (c["key"] != 0) | (c["check"] != 0))).alias("ok"), s["plus"].alias("plus"), s["minus"].alias("minus"))), 1)
+def difference(a: Column, b: Column, sa: Column, sb: Column) -> Column:
+    """Struct (m, plus, minus) of two digest arrays: the size at which peeling succeeded, and what it recovered.
+
+    sa and sb are their sketches of CELLS cells.
+    """
+    least = F.abs(F.size(a) - F.size(b))
+    start = F.struct(F.lit(None).cast("long").alias("m"), F.lit(None).cast("long").alias("plus"), F.lit(None).cast("long").alias("minus"))
+
+    def attempt(m: Column) -> Column:
+        first = m == CELLS
+        got = peel(F.when(first, sa).otherwise(sketch(a, m)), F.when(first, sb).otherwise(sketch(b, m)), m)
+        return _bound(got, lambda g: F.when(g["ok"], F.struct(m.alias("m"), g["plus"].alias("plus"), g["minus"].alias("minus"))).otherwise(start))
+
+    return F.aggregate(F.array(*(F.lit(CELLS * LARGER**i).cast("long") for i in range(ATTEMPTS))), start, lambda s, m: F.when(s["m"].isNotNull() | (m < least), s).otherwise(attempt(m)))
 
 
-def likeness(a: Column, b: Column, sketches: dict[int, tuple[Column, Column]]) -> Column:
-    """Jaccard measure of two digest arrays, by peeling; the sketches of each size are computed where not given."""
+def likeness(a: Column, b: Column, sa: Column, sb: Column) -> Column:
+    """Jaccard measure of two digest arrays from their peeled difference."""
     na, nb = F.size(a).cast("long"), F.size(b).cast("long")
-    measure = lambda only_a, only_b: F.when(na + nb == 0, F.lit(1.0)).otherwise((na - only_a) / (na + only_b))
-    tries = []
-    for m in SIZES:
-        sa, sb = sketches.get(m, (None, None))
-        got = peel(sketch(a, m) if sa is None else sa, sketch(b, m) if sb is None else sb, m)
-        # digests beyond what m cells can hold in the difference cannot be peeled: the larger size is due at once
-        worth = F.abs(na - nb) <= _LOAD * m
-        tries.append(F.when(worth, F.element_at(F.transform(F.array(got), lambda g: F.when(g["ok"], measure(g["plus"], g["minus"]))), 1)))
-    exact = measure(F.size(F.array_except(a, b)).cast("long"), F.size(F.array_except(b, a)).cast("long"))
-    return F.coalesce(*tries, exact)
+    return _bound(difference(a, b, sa, sb), lambda x: F.when(na + nb == 0, F.lit(1.0)).otherwise((na - x["plus"]) / (na + x["minus"])))
 
 
 def as_text(cells: Column) -> Column:
@@ -148,5 +160,5 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows = rows.select("k", n.cast("long").alias("n_chars"), digests(F.col("text")).alias("d"), F.expr("concat(substring(text, 1, length(text) - cast(length(text) div 4 as int)), head)").alias("edited"), "dn")
     rows = rows.select("k", "n_chars", "d", "dn", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("edited")).alias("de"))
     rows = rows.select("*", sketch(F.col("d"), CELLS).alias("s"), sketch(F.col("de"), CELLS).alias("se"), sketch(F.col("dn"), CELLS).alias("sn"))
-    near = lambda other, cells: likeness(F.col("d"), F.col(other), {CELLS: (F.col("s"), F.col(cells))})
+    near = lambda other, cells: likeness(F.col("d"), F.col(other), F.col("s"), F.col(cells))
     return rows.select(unkey("k").alias("doc_id"), "n_chars", "edited_sha256", as_text(F.col("s")).alias("fingerprint"), as_text(F.col("se")).alias("edited_fingerprint"), near("de", "se").alias("near_edited"), near("dn", "sn").alias("near_next"))

@@ -218,6 +218,31 @@ def test_fingerprints(docs, empty):
     assert fingerprint.fingerprints(empty).count() == 0
 
 
+def test_larger_sketches_until_peeling_succeeds(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for only_a, only_b, both in ((0, 0, 0), (0, 0, 50), (1, 0, 0), (3, 2, 30), (9, 9, 5), (40, 35, 100), (180, 190, 10), (600, 0, 20), (900, 800, 300), (0, 3000, 1)):
+        x = rng.integers(-(2**63), 2**63, only_a + only_b + both, dtype=np.int64).tolist()
+        rows.append((sorted(x[: only_a + both]), sorted(x[only_a:]), only_a, only_b, both))
+    d = spark.createDataFrame(rows, "a array<long>, b array<long>, x long, y long, z long")
+    got = d.select("*", fingerprint.difference(F.col("a"), F.col("b"), fingerprint.sketch(F.col("a"), 18), fingerprint.sketch(F.col("b"), 18)).alias("g")).collect()
+    assert all((r.g.plus, r.g.minus) == (r.x, r.y) for r in got)
+    sizes = {(r.x, r.y): r.g.m for r in got}
+    assert sizes[1, 0] == 18 and sizes[180, 190] >= 370 and sizes[900, 800] >= 1700 and sizes[0, 3000] >= 3000
+
+
+def test_cells_by_hand(spark):
+    digests = [5, -7, 2**62, 11, 13]
+    row = spark.range(1).select(fingerprint.sketch(F.array(*map(F.lit, digests)), 18).alias("s"), F.transform(F.array(*map(F.lit, digests)), lambda x: fingerprint._entries(x, F.lit(1), F.lit(18))).alias("e")).first()
+    want = [[0, 0, 0] for _ in range(18)]
+    for own in row.e:
+        assert [x.c // 6 for x in own] == [0, 1, 2]
+        for x in own:
+            c = want[x.c]
+            c[0], c[1], c[2] = c[0] + 1, c[1] ^ x.key, c[2] ^ x.check
+    assert [[c.n, c.key, c.check] for c in row.s] == want
+
+
 # --- BPE and token files
 
 
