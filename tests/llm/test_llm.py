@@ -441,7 +441,7 @@ def test_few_windows_stay_open(spark):
     for turn in range(recompress.ROUNDS):
         share = steps.share(turn, steps.name(turn, t, answers))
         answers = share if answers is None else pa.concat_tables([answers, share])
-        n.append(len(recompress.Words(t.column("text")).open(recompress.Answers(answers, 1), turn + 1)))
+        n.append(len(recompress.Answers(answers, 1).state(recompress.Words(t.column("text")), turn + 1)))
     total = len(recompress.Words(t.column("text")).windows())
     assert total > 15000 and 162 <= n[1] <= n[0] < total / 4
 
@@ -573,3 +573,27 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF)
     assert set(out.columns) == {"doc_id", "source", "lang", "n_tokens", "ids_sha256", "decoded_sha256", "ids"} and out.count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "substring_dedup", "mix", "bpe"]
+
+
+def test_pipeline_on_odd_rows(spark, docs, empty):
+    """Nulls, repeated rows and ids, empty and long texts, clashing columns, through the whole chain; and no rows at all."""
+    first = docs.withColumns({c: F.lit(3) for c in ("k", "n", "text_", "component", "predicted", "n_removed", "cuts", "turn", "n_tokens")})
+    for rows in (first, empty):
+        got = rows
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, got, SF)
+            assert out.columns == got.columns, name
+            got = out
+        last = corpus_pipeline.STAGES[-1][1](spark, got, SF)
+        assert last.count() == got.count() and {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"} <= set(last.columns)
+    assert all(r.k == 3 and r.n_removed == 3 and r.kept == 1 for r in corpus_pipeline.STAGES[2][1](spark, first, SF).collect())
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from framelake.llm.common import shared_dir
+
+    session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared_dir(session)
