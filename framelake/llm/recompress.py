@@ -18,7 +18,8 @@ windows are taken for equal with a probability of about 1e-9), and the first sta
 
 Documents are dealt into groups of bounded size by a hash of id and text, so an id on many rows (all null ids, say) is
 spread; only rows that repeat both are one group.  A group sends each reducer one packed row of distinct entries (its own repeats are combined before the
-shuffle, so a passage in a third of all documents gives one entry for each group) and gets back one bit for each entry.
+shuffle, so a passage in a third of all documents gives one entry for each group) and gets back one bit for each entry,
+and with them the note, a bit a window, of what it knew to be open.
 The number of reducers goes by the size of the table, not by the number of groups; a packed row holds one entry at
 least, so rows and bytes of a round are at most in proportion to the words.
 
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framelake.llm.bpe import gather
+from framelake.llm.bpe import _IS_SPACE, gather
 from framelake.llm.common import key
 from framelake.llm.hashing import hashes
 
@@ -45,6 +46,11 @@ WINDOW, ROUNDS, GROUP_BYTES, REDUCER_BYTES = 20, 2, 3_000_000, 12_000_000
 #: Stands for a witness that reaches beyond the document.
 _FAR = 1 << 40
 _NONE = np.uint64(2**64 - 1)
+_STEP = 0x9E3779B97F4A7C15
+#: Words before and after a symbol's start that its witness may take, after each number of turns.
+_BEFORE, _AFTER = (0, 4, 7, 9), (0, 6, 8, 10)
+#: Kind of the rows that carry a group's own windows from one step to the next.
+_STATE = -1
 
 
 def _mix(*parts: np.ndarray) -> np.ndarray:
@@ -67,7 +73,7 @@ class Words:
         at = np.frombuffer(at, np.int64)[texts.offset : texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
         raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data else np.zeros(0, np.uint8)
         self.raw, at = raw, at - at[0]
-        space = np.isin(raw, np.array([32, 9, 10, 11, 12, 13], np.uint8))
+        space = _IS_SPACE[raw]
         edge = np.zeros(len(raw) + 1, bool)
         edge[at] = True  # a text starts here or all have ended
         before = np.append(True, space) | edge
@@ -80,20 +86,22 @@ class Words:
         self.count = np.diff(np.append(self.first, len(self.starts)))
         self.name = hashes(raw, self.starts, self.ends, 8)
         self.doc_lo, self.doc_hi = self.first[self.doc], (self.first + self.count)[self.doc]
+        self.up: np.ndarray | None = None
+        own = np.arange(len(self.name))
+        self.levels = [(self.name, own, own, own + 1)]
 
     def sequence_prints(self, starts: np.ndarray, ends: np.ndarray, salt: int, name: np.ndarray | None = None) -> np.ndarray:
         """Fingerprints of word sequences (of a window at most), by prefix sums over the words' names."""
         name = self.name if name is None else name
         n = len(name)
-        step = (0x9E3779B97F4A7C15 + 2 * salt) | 1
-        back = pow(step, -1, 2**64)
-        up, down = np.full(n + 1, step, np.uint64), np.full(n + 1, back, np.uint64)
-        up[0] = down[0] = 1
-        np.cumprod(up, out=up)
-        np.cumprod(down, out=down)
+        if self.up is None:
+            self.up, self.down = np.full(n + 1, _STEP, np.uint64), np.full(n + 1, pow(_STEP, -1, 2**64), np.uint64)
+            self.up[0] = self.down[0] = 1
+            np.cumprod(self.up, out=self.up)
+            np.cumprod(self.down, out=self.down)
         pre = np.zeros(n + 1, np.uint64)
-        np.cumsum(_mix(name, np.uint64(salt)) * up[:-1], out=pre[1:])
-        return _mix((pre[ends] - pre[starts]) * down[starts], (ends - starts).astype(np.uint64))
+        np.cumsum(_mix(name, np.uint64(salt)) * self.up[:-1], out=pre[1:])
+        return _mix((pre[ends] - pre[starts]) * self.down[starts], (ends - starts).astype(np.uint64))
 
     def windows(self) -> np.ndarray:
         """The starts of all windows, as indices of words."""
@@ -102,35 +110,38 @@ class Words:
 
     def symbols(self, turns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Name, start, and witness (lo, hi) of each symbol after some turns."""
-        sym, start = self.name, np.arange(len(self.name))
-        lo, hi = start.copy(), start + 1
-        for turn in range(turns):
-            if not len(sym):
-                break
-            doc = self.doc[start]
-            # runs
-            same = doc[1:] == doc[:-1]
-            new = np.append(True, ~(same & (sym[1:] == sym[:-1])))
-            head = np.flatnonzero(new)
-            n = np.diff(np.append(head, len(sym)))
-            tail = head + n - 1
-            left, right = self._beyond(doc, lo, hi, head, tail)
-            sym = np.where(n > 1, _mix(sym[head], n.astype(np.uint64), np.uint64(turn * 2 + 1)), sym[head])
-            start, doc, lo, hi = start[head], doc[head], left, right
-            # pairs
-            bit = (_mix(sym, np.uint64(77 + turn)) >> np.uint64(17)) & np.uint64(1) == 1
-            same = doc[1:] == doc[:-1]
-            pair = np.append(~bit[:-1] & bit[1:] & same, False)
-            second = np.append(False, pair[:-1])
-            at = np.arange(len(sym))
-            left, right = self._beyond(doc, lo, hi, at, at)
-            follow = np.minimum(at + 1, len(sym) - 1)
-            lo2 = np.where(bit, left, lo)  # a right symbol that stands alone depends on its left neighbour
-            hi2 = np.where(pair, hi[follow], np.where(bit, hi, right))  # and a left one on its right neighbour
-            sym = np.where(pair, _mix(sym, sym[follow], np.uint64(turn * 2 + 2)), sym)
-            keep = ~second
-            sym, start, lo, hi = sym[keep], start[keep], lo2[keep], hi2[keep]
-        return sym, start, lo, hi
+        while len(self.levels) <= turns:
+            self._turn(len(self.levels) - 1)
+        return self.levels[turns]
+
+    def _turn(self, turn: int) -> None:
+        sym, start, lo, hi = self.levels[-1]
+        if not len(sym):
+            self.levels.append(self.levels[-1])
+            return
+        doc = self.doc[start]
+        # runs
+        same = doc[1:] == doc[:-1]
+        new = np.append(True, ~(same & (sym[1:] == sym[:-1])))
+        head = np.flatnonzero(new)
+        n = np.diff(np.append(head, len(sym)))
+        tail = head + n - 1
+        left, right = self._beyond(doc, lo, hi, head, tail)
+        sym = np.where(n > 1, _mix(sym[head], n.astype(np.uint64), np.uint64(turn * 2 + 1)), sym[head])
+        start, doc, lo, hi = start[head], doc[head], left, right
+        # pairs
+        bit = (_mix(sym, np.uint64(77 + turn)) >> np.uint64(17)) & np.uint64(1) == 1
+        same = doc[1:] == doc[:-1]
+        pair = np.append(~bit[:-1] & bit[1:] & same, False)
+        second = np.append(False, pair[:-1])
+        at = np.arange(len(sym))
+        left, right = self._beyond(doc, lo, hi, at, at)
+        follow = np.minimum(at + 1, len(sym) - 1)
+        lo2 = np.where(bit, left, lo)  # a right symbol that stands alone depends on its left neighbour
+        hi2 = np.where(pair, hi[follow], np.where(bit, hi, right))  # and a left one on its right neighbour
+        sym = np.where(pair, _mix(sym, sym[follow], np.uint64(turn * 2 + 2)), sym)
+        keep = ~second
+        self.levels.append((sym[keep], start[keep], lo2[keep], hi2[keep]))
 
     @staticmethod
     def _beyond(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray, head: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,36 +154,42 @@ class Words:
 
     def names(self, turns: int, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The name that stands for each of the windows w (_NONE: none), and the names once for each place they stem from."""
-        best = np.full(len(self.name) + 1, _NONE)
+        n, before, after = len(self.name), _BEFORE[turns], _AFTER[turns]
         sym, start, lo, hi = self.symbols(turns)
-        ok = (lo >= 0) & (hi < _FAR) & (hi - lo <= WINDOW)
+        ok = (lo >= start - before) & (hi <= start + after)
         sym, start, lo, hi = sym[ok], start[ok], lo[ok], hi[ok]
-        name = _mix(self.sequence_prints(lo, hi, 3), sym, (start - lo).astype(np.uint64)) & ~np.uint64(1)
-        fits = [np.flatnonzero((lo - back + WINDOW >= hi) & (lo >= back)) for back in range(WINDOW)]
-        for back, f in enumerate(fits):
-            np.minimum.at(best, lo[f] - back, name[f])
-        used, valid = np.zeros(len(name), bool), np.zeros(len(self.name) + 1, bool)
-        valid[w] = True
-        for back, f in enumerate(fits):
-            p = lo[f] - back
-            used[f[(best[p] == name[f]) & valid[p]]] = True
-        own, places = best[w], name[used]
+        at = np.full(n + WINDOW, _NONE)
+        at[start] = _mix(self.sequence_prints(lo, hi, 3), sym, (start - lo).astype(np.uint64)) & ~np.uint64(1)
+        # a window from p on holds the witnesses of the symbols that start in p + before ... p + WINDOW - after
+        width = WINDOW - after - before + 1
+        best, size = at[before:], 1
+        while size < width:
+            step = min(size, width - size)
+            best = np.minimum(best[:-step], best[step:])
+            size += step
+        own = best[w]
+        stands = np.full(n + 1, _NONE)
+        stands[w] = own
+        used = np.zeros(len(at), bool)
+        for back in range(before, before + width):
+            used[back : back + n] |= at[back : back + n] == stands[:n]
+        used &= at != _NONE
+        places = at[used]
         alone = own == _NONE
         if turns == 1 and alone.any():
             own[alone] = self.sequence_prints(w[alone], w[alone] + WINDOW, 3) | np.uint64(1)
             places = np.concatenate([places, own[alone]])
         return own, places
 
-    def open(self, answers: Answers, turns: int) -> np.ndarray:
-        """The windows that are still open after the answers of some rounds."""
-        w = self.windows()
-        for turn in range(turns):
-            own, places = self.names(turn + 1, w)
-            keys = np.unique(places)
-            shared = keys[answers.bits(turn, keys)]
-            at = np.minimum(np.searchsorted(shared, own), max(0, len(shared) - 1))
-            w = w[(own == _NONE) | (shared[at] == own if len(shared) else False)]
-        return w
+    def still_open(self, w: np.ndarray, turn: int, answers: Answers) -> np.ndarray:
+        """Which of the windows w stay open after the answers of a round."""
+        own, places = self.names(turn + 1, w)
+        keys = np.unique(places)
+        shared = keys[answers.bits(turn, keys)]
+        if not len(shared):
+            return w[own == _NONE]
+        at = np.minimum(np.searchsorted(shared, own), len(shared) - 1)
+        return w[(own == _NONE) | (shared[at] == own)]
 
 
 def _by_reducer(keys: np.ndarray, n: int) -> list[tuple[int, np.ndarray]]:
@@ -192,6 +209,17 @@ class Answers:
         for kind, r, b in zip(t.column("kind").to_pylist(), t.column("r").to_pylist(), t.column("bits").to_pylist(), strict=True):
             self.rows.setdefault(kind, {})[r] = b
 
+    def state(self, words: Words, turns: int) -> np.ndarray:
+        """The group's windows that are open after the answers of some rounds: those that it noted itself, less what came since."""
+        w, known = words.windows(), 0
+        for done in range(turns, 0, -1):
+            if bits := self.rows.get(_STATE - done):
+                w, known = w[np.unpackbits(np.frombuffer(bits[0], np.uint8), count=len(w)).astype(bool)], done
+                break
+        for turn in range(known, turns):
+            w = words.still_open(w, turn, self)
+        return w
+
     def bits(self, kind: int, keys: np.ndarray) -> np.ndarray:
         out, rows = np.zeros(len(keys), bool), self.rows.get(kind)
         for r, at in _by_reducer(keys, self.n) if rows else ():
@@ -214,6 +242,14 @@ def _answers(t: pa.Table, kind: int, flags: np.ndarray) -> pa.Table:
     return pa.table({"__g": pa.array([x[0] for x in rows], pa.int32()), "kind": pa.array([kind] * len(rows), pa.int32()), "r": pa.array([x[1] for x in rows], pa.int32()), "bits": pa.array([x[2] for x in rows], pa.binary())})
 
 
+def _noted(t: pa.Table) -> tuple[pa.Table, pa.Table]:
+    """The rows of entries, and the answers that hand the groups' own notes back."""
+    own = np.asarray(t.column("n")) < 0
+    notes = t.filter(pa.array(own))
+    back = pa.table({"__g": notes.column("__g"), "kind": notes.column("n"), "r": pa.array([0] * notes.num_rows, pa.int32()), "bits": notes.column("more")}, schema=pa.schema([("__g", pa.int32()), ("kind", pa.int32()), ("r", pa.int32()), ("bits", pa.binary())]))
+    return t.filter(pa.array(~own)), back
+
+
 def _joined(t: pa.Table, column: str, dtype: str) -> np.ndarray:
     return np.frombuffer(b"".join(t.column(column).to_pylist()), dtype)
 
@@ -228,10 +264,19 @@ class Steps:
         """A group's names after one more turn, each with a bit that tells whether it stems from several places in the group."""
         if not t.num_rows:
             return _rows(0, [])
-        words = Words(t.column("text"))
-        w = words.open(Answers(answers, self.n), turn) if answers is not None else words.windows()
+        words, g = Words(t.column("text")), t.column("__g")[0].as_py()
+        w = words.windows() if answers is None else Answers(answers, self.n).state(words, turn)
         keys, counts = np.unique(words.names(turn + 1, w)[1], return_counts=True)
-        return _rows(t.column("__g")[0].as_py(), [(r, keys[at].tobytes(), np.packbits(counts[at] > 1).tobytes(), len(at)) for r, at in _by_reducer(keys, self.n)])
+        rows = [(r, keys[at].tobytes(), np.packbits(counts[at] > 1).tobytes(), len(at)) for r, at in _by_reducer(keys, self.n)]
+        return _rows(g, rows + self.note(g, words, w, turn))
+
+    def note(self, g: int, words: Words, w: np.ndarray, turns: int) -> list[tuple[int, bytes, bytes, int]]:
+        """A row for some reducer to hand back: a bit for each window of the group."""
+        if not turns:
+            return []
+        is_open = np.zeros(len(words.name), bool)
+        is_open[w] = True
+        return [(g % self.n, b"", np.packbits(is_open[words.windows()]).tobytes(), _STATE - turns)]
 
     def named(self, own: GroupedData, answers: DataFrame, turn: int) -> DataFrame:
         return own.cogroup(answers.groupBy("__g")).applyInArrow(lambda t, bits: self.name(turn, t, bits), _KEYS)
@@ -241,17 +286,20 @@ class Steps:
 
     def share(self, turn: int, t: pa.Table) -> pa.Table:
         """Which names are shared."""
+        t, noted = _noted(t)
+        if not t.num_rows:
+            return noted
         keys = _joined(t, "keys", "u8")
         several = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) for b, n in zip(t.column("more").to_pylist(), t.column("n").to_pylist(), strict=True)])
         distinct, back, counts = np.unique(keys, return_inverse=True, return_counts=True)
         often = counts > 1
         often[back[several]] = True
-        return _answers(t, turn, often[back])
+        return pa.concat_tables([_answers(t, turn, often[back]), noted])
 
-    def candidates(self, t: pa.Table, answers: Answers) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def candidates(self, t: pa.Table, answers: Answers) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The group's words; for the open windows: start, document id, position; distinct prints and the windows' places among them."""
         words = Words(t.column("text"))
-        w = words.open(answers, ROUNDS)
+        found = w = answers.state(words, ROUNDS)
         k = t.column("__k").to_numpy()[words.doc[w]]
         pos = w - words.doc_lo[w]
         one = words.sequence_prints(w, w + WINDOW, 5)
@@ -259,19 +307,23 @@ class Steps:
         order = np.lexsort((pos, k, two, one))
         w, k, pos, one, two = w[order], k[order], pos[order], one[order], two[order]
         new = np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1])) if len(w) else np.zeros(0, bool)
-        return words, w, k, pos, np.flatnonzero(new), np.cumsum(new) - 1, one, two
+        return words, w, k, pos, np.flatnonzero(new), np.cumsum(new) - 1, one, two, found
 
     def compare(self, t: pa.Table, bits: pa.Table) -> pa.Table:
         """A group's distinct windows with the first place of each."""
         if not t.num_rows or not bits.num_rows:
             return _rows(0, [])
-        _, _, k, pos, head, _, one, two = self.candidates(t, Answers(bits, self.n))
+        words, _, k, pos, head, _, one, two, w = self.candidates(t, Answers(bits, self.n))
         packed = np.zeros(len(head), "u8,u4,i8,u4")
         packed["f0"], packed["f1"], packed["f2"], packed["f3"] = one[head], two[head], k[head], pos[head]
-        return _rows(t.column("__g")[0].as_py(), [(r, packed[at].tobytes(), b"", len(at)) for r, at in _by_reducer(one[head], self.n)])
+        g = t.column("__g")[0].as_py()
+        return _rows(g, [(r, packed[at].tobytes(), b"", len(at)) for r, at in _by_reducer(one[head], self.n)] + self.note(g, words, w, ROUNDS))
 
     def first(self, t: pa.Table) -> pa.Table:
         """Which windows also start earlier in another group."""
+        t, noted = _noted(t)
+        if not t.num_rows:
+            return noted
         x = _joined(t, "keys", "u8,u4,i8,u4")
         order = np.lexsort((x["f3"], x["f2"], x["f1"], x["f0"]))
         y = x[order]
@@ -280,7 +332,7 @@ class Steps:
         later = (y["f2"] != y["f2"][head]) | (y["f3"] != y["f3"][head])
         flags = np.zeros(len(x), bool)
         flags[order] = later
-        return _answers(t, ROUNDS, flags)
+        return pa.concat_tables([_answers(t, ROUNDS, flags), noted])
 
     def remove(self, t: pa.Table, bits: pa.Table, names: tuple[str, str, str]) -> pa.Table:
         """The group's rows with the number of words, of removed ones, and the kept text."""
@@ -288,7 +340,7 @@ class Steps:
         if not t.num_rows:
             return out.append_column(names[0], pa.array([], pa.int64())).append_column(names[1], pa.array([], pa.int64())).append_column(names[2], pa.array([], pa.string()))
         answers = Answers(bits, self.n)
-        words, w, k, pos, head, place, one, _ = self.candidates(t, answers)
+        words, w, k, pos, head, place, one, _, _ = self.candidates(t, answers)
         elsewhere = answers.bits(ROUNDS, one[head])
         repeated = elsewhere[place] | (k != k[head][place]) | (pos != pos[head][place]) if len(w) else np.zeros(0, bool)
         cover = np.zeros(len(words.name) + 1, np.int64)
