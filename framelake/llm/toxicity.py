@@ -35,12 +35,16 @@ LETTERS = re.compile(r"[^\W\d_]+")
 INSULTS = ("idiot", "moron", "stupid", "dumb", "pathetic", "worthless", "trash", "scum", "loser", "clown", "disgusting", "garbage", "imbecile", "retard", "bastard", "vermin", "filth")
 #: Lengths of word beginnings that can vote.
 STEMS = (4, 5, 6, 7)
+#: Words whose votes a worker remembers.
+KNOWN = 100_000
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
 
 
 #: Look-alikes of letters (fixed values).
 ALIKE = str.maketrans("013457@$!|", "oieastasil")
+MASKS = "0123456789@$!|*._-"
+MASK = re.compile(r"[0-9@$!|*._-]+(?=[^\W\d_])")
 MASKED = re.compile(r"[^\W\d_]+(?:[0-9@$!|*._-]+[^\W\d_]+)+")
 TRIPLE = re.compile(r"([^\W\d_])\1\1+")
 #: Addresses to the reader, and what may stand between one and the word (fixed values).
@@ -53,13 +57,26 @@ def words(text: str | None) -> set[str]:
     return set(LETTERS.findall(text.lower())) if text else set()
 
 
+def masked(low: str) -> Iterator[str]:
+    """Words with mask characters between their letters: found from such characters, as words without any are many."""
+    end = 0
+    for m in MASK.finditer(low):
+        at = m.start()
+        if at and at >= end and low[at - 1].isalpha():
+            while at and (low[at - 1].isalpha() or low[at - 1] in MASKS):
+                at -= 1
+            if whole := MASKED.search(low, at):
+                end = whole.end()
+                yield whole[0]
+
+
 def odd(text: str | None, ws: set[str]) -> set[tuple[str, str]]:
     """What the patterns find: kind and plain word, whether or not the lexicon has the word."""
     if not text:
         return set()
     low = text.lower()
     out = set()
-    for m in MASKED.findall(low):
+    for m in masked(low):
         out |= {("masked", m.translate(ALIKE)), ("masked", "".join(LETTERS.findall(m)))}
     if TRIPLE.search(" ".join(ws)):
         for w in ws:
@@ -83,15 +100,23 @@ class Model:
         self.index = {v: i for i, v in enumerate(self.voters)}
         self.heads = sorted({len(v) - 1 for v in self.voters if v[-1] == "*"})
 
-    def lexicon(self, w: str) -> list[int]:
-        return [i for i in [self.index.get("=" + w), *(self.index.get(w[:n] + "*") for n in self.heads if len(w) >= n)] if i is not None]
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def lexicon(self, w: str) -> tuple[int, ...]:
+        own = self.known.get(w)
+        if own is None:
+            if len(self.known) >= KNOWN:
+                self.known.clear()
+            found = [self.index.get("=" + w), *(self.index.get(w[:n] + "*") for n in self.heads if len(w) >= n)]
+            own = self.known[w] = tuple(i for i in found if i is not None)
+        return own
 
     def features(self, ws: set[str], found: set[tuple[str, str]]) -> tuple[list[int], float]:
         hits, spoken = set(), 0
         for w in ws:
-            own = self.lexicon(w)
-            hits.update(own)
-            spoken += bool(own)
+            if own := self.lexicon(w):
+                hits.update(own)
+                spoken += 1
         for kind, w in found:
             if own := self.lexicon(w):
                 hits.add(self.index["~" + kind])
