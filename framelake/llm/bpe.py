@@ -41,7 +41,7 @@ from framelake.llm.hashing import equal, hashes
 SPACE = "\t-\r \x85\xa0\N{OGHAM SPACE MARK}\N{EN QUAD}-\N{HAIR SPACE}\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}\N{NARROW NO-BREAK SPACE}\N{MEDIUM MATHEMATICAL SPACE}\N{IDEOGRAPHIC SPACE}"
 UNIT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 #: Units kept in a worker's cache, and bytes of text encoded together.
-CACHE, TOGETHER_BYTES, TOGETHER = 400_000, 4_000_000, 2048
+CACHE, TOGETHER_BYTES, TOGETHER = 1_200_000, 4_000_000, 2048
 #: Longest text that is cut into units by whole arrays; a longer one is cut by the pattern, a unit at a time.
 LONGEST = 16_000_000
 #: Tokens on either side of a join that the first window takes.
@@ -81,10 +81,10 @@ def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Encoder:
     """The tokenizer of a file, with a cache of units."""
 
-    def __init__(self, path: str, leaf: int = 4096) -> None:
+    def __init__(self, path: str, leaf: int = 8192) -> None:
         from tokenizers import Tokenizer, models
 
-        self.leaf = leaf
+        self.leaf = leaf  # bytes; a leaf more or less is a window more or less
         self.library = Tokenizer.from_file(path)
         self.library.no_padding()
         self.library.no_truncation()
@@ -113,18 +113,18 @@ class Encoder:
     def _forget(self) -> None:
         """The cache: sorted hashes of units, with where their bytes lie in text and their ids in known."""
         self.keys = np.zeros(0, np.uint64)
-        self.where, self.count, self.at_text, self.n_text = (np.zeros(0, np.int64) for _ in range(4))
+        self.where, self.count, self.at_text, self.n_text = (np.zeros(0, np.int32) for _ in range(4))
         self.known, self.text = np.zeros(0, np.uint32), np.zeros(0, np.uint8)
 
     def _learn(self, keys: np.ndarray, ids: list[list[int]], raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> None:
-        n = np.array([len(x) for x in ids], np.int64)
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.where = np.concatenate([self.where, len(self.known) + np.cumsum(n) - n])[order]
-        self.count = np.concatenate([self.count, n])[order]
-        self.at_text = np.concatenate([self.at_text, len(self.text) + np.cumsum(lengths) - lengths])[order]
-        self.n_text = np.concatenate([self.n_text, lengths])[order]
+        n = np.array([len(x) for x in ids], np.int32)
+        place = np.searchsorted(self.keys, keys)  # the new keys are sorted too
+
+        def put(old: np.ndarray, new: np.ndarray) -> np.ndarray:
+            return np.insert(old, place, new.astype(old.dtype))
+
+        self.where, self.at_text = put(self.where, len(self.known) + np.cumsum(n) - n), put(self.at_text, len(self.text) + np.cumsum(lengths) - lengths)
+        self.keys, self.count, self.n_text = put(self.keys, keys), put(self.count, n), put(self.n_text, lengths)
         self.known = np.concatenate([self.known, np.fromiter(chain.from_iterable(ids), np.uint32, int(n.sum()))])
         self.text = np.concatenate([self.text, gather(raw, starts, lengths)])
 
@@ -276,10 +276,10 @@ class Encoder:
             ids = self._library([raw[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
             return np.fromiter(chain.from_iterable(ids), np.uint32), np.array([len(x) for x in ids], np.int64)
         found = found[back]
-        n = self.count[found]
+        n = self.count[found].astype(np.int64)
         total = np.append(0, np.cumsum(n))
         edge = total[np.searchsorted(starts, offsets)]
-        return gather(self.known, self.where[found], n), np.diff(edge)
+        return gather(self.known, self.where[found].astype(np.int64), n), np.diff(edge)
 
     def _lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.keys, keys)
