@@ -1,28 +1,29 @@
 """HTML extraction with site template removal.
 
-Every page is tokenised into elements.  For each element outside the main content (and for each container inside it)
-a hash of its whole subtree is emitted; Spark counts them for each host, once for each page, and the subtrees that
-recur on many pages of a host are that site's template and are deleted.  Elements that are no article text by their
-nature (scripts, styles, menus, headers, footers, asides, forms, adverts, notices, comments) go as well, by tag, role,
-or by class and id, as a site may have too few pages for counting.  Outside the main content one word of a class or id
-is enough; inside it takes a name that says it in full, or such a word on a container of links.  Pages of a host whose main content has the
-same text (mirrors, print views) count once.
-
-The main content is the page's article elements, else its main element or one with that role, else the body.
-Plain text blocks of the main content (paragraphs, headings, list items, quotes) and containers that hold such blocks
-with text besides links are never template: a passage, list or table that many articles share is still text of each.
-So the counts change the text only through other containers inside the main content, as on pages without an article or
-main element; what lies outside is left out by the choice of the main content.
+Every page is tokenised into elements.  For each element a hash of its whole subtree is taken, all of them in one pass
+from the leaves up; Spark counts them for each host, once for each page, and the subtrees that recur on many pages of a
+host are that site's template and are deleted from the whole page.  Pages of a host whose text is the same (mirrors,
+print views) count once.  Only then the main content is chosen from what is left: the page's article elements, else its
+main element or one with that role, else the body.  Elements that are no article text by their nature (scripts, styles,
+menus, headers, footers, asides, forms, adverts, notices, comments) go by tag, role, or class and id.  Outside the main
+content one word of a class or id is enough, as a site may have too few pages for counting; inside it takes a name
+that says it in full, or such a word on a container of links, or the counts.
+
+What holds main content or plain text is never template: articles, a main element and all around them, and inside the
+main content text blocks (paragraphs, headings, list items, quotes) and containers that hold such blocks with text
+besides links: a passage, list or table that many articles share is still text of each.
 
 Null pages are empty and give an empty text.  Null or broken urls belong to one host without a name.  Repeated rows
 count as one page for the template and get equal rows.  Unclosed and stray tags are closed and skipped; of a page cut
-short, what is there is kept.  Further columns are left out.
+short, what is there is kept; a quote that is never closed ends with its tag.  Elements may be nested to any depth.
+Further columns are left out.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,8 +35,10 @@ from pyspark.sql import functions as F
 from framelake.llm.bpe import pieces
 from framelake.llm.common import written
 
-#: A token: comment, declaration, or tag with its attributes.
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
+#: A token: comment, declaration, or tag with its attributes.  A quote that has no end in its tag is an ordinary character.
+_AFTER = r"(?=\s*/?>|\s+[a-zA-Z@:_-]+\s*[=/>])"
+_ATTRS = rf"""(?:[^>=]++|=\s*+"[^"<]*+"(?=[\s/>])|=\s*+'[^'<]*+'(?=[\s/>])|=\s*+"[^"]*+"{_AFTER}|=\s*+'[^']*+'{_AFTER}|=)*+"""
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)({_ATTRS})>", re.S)
 ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Elements by kind (fixed values of the HTML standard).  RAW content is skipped; of NESTED elements up to their own end.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -73,11 +76,18 @@ class Node:
     tag: str
     attrs: str
     children: list = field(default_factory=list)  # nodes and strings
+    hash: int = 0  # of the subtree
 
 
 def parse(page: str) -> Node:
     root = Node("#root", "")
     stack = [root]
+    is_open: Counter[str] = Counter()  # how many elements of a tag are open
+
+    def close(i: int) -> None:
+        is_open.subtract(x.tag for x in stack[i:])
+        del stack[i:]
+
     at = 0
     n = len(page)
     while at < n:
@@ -95,26 +105,18 @@ def parse(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if is_open[tag] > 0:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in BLOCK:
-                    break
-        if tag in IMPLIED:
-            close, stop = IMPLIED[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in close:
-                    del stack[i:]
-                    break
-                if stack[i].tag in stop:
-                    break
+        if tag in CLOSES_P and is_open["p"] > 0:
+            i = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in BLOCK)
+            if stack[i].tag == "p":
+                close(i)
+        if tag in IMPLIED and any(is_open[x] > 0 for x in IMPLIED[tag][0]):
+            ended, stop = IMPLIED[tag]
+            i = next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag in ended or stack[i].tag in stop)
+            if stack[i].tag in ended:
+                close(i)
         node = Node(tag, m[3] or "")
         stack[-1].children.append(node)
         if tag in NESTED:
@@ -126,6 +128,7 @@ def parse(page: str) -> Node:
             at = end.end() if end else n if tag in ("script", "style") else parent_end(page, at, stack[-1].tag)
         elif tag not in VOID and not (m[3] or "").endswith("/") or tag in ("p", "div", "span", "a"):
             stack.append(node)
+            is_open[tag] += 1
     return root
 
 
@@ -170,113 +173,134 @@ def unwanted(node: Node, in_main: bool) -> bool:
     return node.tag not in TEXT_BLOCKS and mostly_links(node)
 
 
-def mostly_links(node: Node) -> bool:
-    """Whether links hold at least three quarters of the text, and no heading or paragraph has text outside them."""
-    n = [0, 0]
-    own = False
+def walk(root: Node, enter=None) -> Iterator[tuple[Node | str, Node, int]]:
+    """What is below root, in page order, with its parent and depth, without recursion; enter(node) tells whether to go into a node."""
+    stack = [(root, iter(root.children))]
+    while stack:
+        parent, rest = stack[-1]
+        c = next(rest, None)
+        if c is None:
+            stack.pop()
+            continue
+        yield c, parent, len(stack)
+        if isinstance(c, Node) and (enter is None or enter(c)):
+            stack.append((c, iter(c.children)))
 
-    def walk(x: Node, in_link: bool, in_block: bool) -> None:
-        nonlocal own
-        for c in x.children:
-            if isinstance(c, str):
-                if m := len("".join(c.split())):
-                    n[in_link] += m
-                    own |= in_block and not in_link
-            elif c.tag not in RAW:
-                walk(c, in_link or c.tag == "a", in_block or c.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"))
 
-    walk(node, False, False)
-    return not own and n[1] >= 3 * n[0]
+def inherited(root: Node, of: frozenset[str], enter) -> Iterator[tuple[str, bool]]:
+    """The strings below root with whether an element of these tags is around them, within root."""
+    inside = [False]
+    for c, parent, depth in walk(root, enter):
+        del inside[depth:]
+        if isinstance(c, str):
+            yield c, inside[-1]
+        else:
+            inside.append(inside[-1] or c.tag in of)
+
+
+def mostly_links(node: Node) -> bool:
+    """Whether links hold at least three quarters of the text, and no heading or paragraph has text outside them."""
+    text = lambda x: len("".join(x.split()))
+    linked = sum(text(x) for x, a in inherited(node, frozenset("a"), lambda c: c.tag not in RAW) if a)
+    alone = sum(text(x) for x, a in inherited(node, frozenset("a"), lambda c: c.tag not in RAW) if not a)
+    own = any(a and x.strip() for x, a in inherited(node, frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split()), lambda c: c.tag not in RAW and c.tag != "a"))
+    return not own and linked >= 3 * alone
 
 
 def mains(root: Node) -> list[Node]:
     found: dict[str, list[Node]] = {"article": [], "main": [], "body": []}
-
-    def walk(node: Node, inside: str) -> None:
-        for c in node.children:
-            if not isinstance(c, Node) or (c.tag != "header" and unwanted(c, False)):
-                continue
-            tag = c.tag
-            if tag != "article" and c.attrs and re.search(r"\brole\s*=\s*[\"']?main\b", c.attrs):
-                tag = "main"
-            if tag == "article" and attributes(c).get("role") == "article":
-                tag = "article"
-            if tag in found and tag != inside:
-                found[tag].append(c)
-            if tag != "article":
-                walk(c, tag if tag in found else inside)
-
-    walk(root, "")
+    skipped: set[int] = set()
+    inside = [""]  # the main element around, by depth
+    for c, _, depth in walk(root, lambda c: id(c) not in skipped):
+        del inside[depth:]
+        if not isinstance(c, Node):
+            continue
+        if c.tag != "header" and unwanted(c, False):
+            skipped.add(id(c))
+            continue
+        tag = c.tag
+        if tag != "article" and c.attrs and re.search(r"\brole\s*=\s*[\"']?main\b", c.attrs):
+            tag = "main"
+        if tag in found and tag != inside[-1]:
+            found[tag].append(c)
+        if tag == "article":
+            skipped.add(id(c))
+        else:
+            inside.append(tag if tag in found else inside[-1])
     return found["article"] or found["main"] or found["body"] or [root]
 
 
-def digest(node: Node, out: list[tuple[Node, int]]) -> int:
-    """Hash of the subtree; out gets those of all elements below and of the node."""
+def digest(node: Node) -> None:
+    """Sets the hash of a node whose children have theirs."""
     h = xxhash.xxh64(node.tag)
     h.update(node.attrs.strip())
     for c in node.children:
-        if isinstance(c, str):
-            if s := c.strip():
-                h.update(b"\0" + s.encode("utf-8", "replace"))
-        else:
-            h.update(digest(c, out).to_bytes(8, "little"))
-    v = h.intdigest()
-    out.append((node, v))
-    return v
-
-
-def prose(node: Node, inside: bool = False) -> bool:
-    """Whether the subtree holds a text block with text besides links."""
-    for c in node.children:
-        if isinstance(c, str):
-            if inside and c.strip():
-                return True
-        elif c.tag != "a" and not unwanted(c, True) and prose(c, inside or c.tag in PROSE):
-            return True
-    return False
+        if not isinstance(c, str):
+            h.update(c.hash.to_bytes(8, "little"))
+        elif s := c.strip():
+            h.update(b"\0" + s.encode("utf-8", "replace"))
+    node.hash = h.intdigest()
 
 
 def signed(h: int) -> int:
     return h - 2**64 if h >= 2**63 else h
 
 
-def candidates(root: Node) -> list[int]:
-    """Distinct subtree hashes of what could be template, as signed 64-bit integers."""
+def candidates(root: Node) -> dict[int, list[Node]]:
+    """What could be template: the elements by their subtree hash, as signed 64-bit integers."""
     main = {id(x) for x in mains(root)}
-    hashes: set[int] = set()
-
-    def walk(node: Node, in_main: bool) -> bool:
-        """Whether the subtree holds main content."""
-        holds = False
-        for c in node.children:
-            if isinstance(c, Node):
-                inside = in_main or id(c) in main
-                if inside and c.tag in TEXT_BLOCKS:
-                    continue
-                own = walk(c, inside) or id(c) in main
-                if own:
-                    holds = True
-                elif c.tag not in RAW and c.tag not in VOID and not (inside and prose(c)):
-                    hashes.add(digest(c, []))
-        return holds
-
-    walk(root, False)
-    return [signed(h) for h in hashes]
+    in_main, plain = set(main), set()  # plain: text blocks of the main content, and what is in them
+    parents: dict[int, Node] = {}
+    order: list[Node] = []
+    for c, parent, _ in walk(root):
+        if isinstance(c, Node):
+            parents[id(c)] = parent
+            order.append(c)
+            if id(parent) in in_main:
+                in_main.add(id(c))
+                if id(c) not in main and (c.tag in TEXT_BLOCKS or id(parent) in plain):
+                    plain.add(id(c))
+    holds = set(main)  # what is around main content
+    text: set[int] = set()  # elements with text besides links and what is unwanted
+    prose: set[int] = set()  # elements that hold a text block with such text
+    out: dict[int, list[Node]] = {}
+    for c in reversed(order):  # children come before their parents
+        digest(c)
+        me, up = id(c), id(parents[id(c)])
+        if any(isinstance(x, str) and x.strip() for x in c.children):
+            text.add(me)
+        if c.tag != "a" and me in in_main and (me in text or me in prose) and not unwanted(c, True):
+            if me in text:
+                text.add(up)
+            if me in prose or c.tag in PROSE and me in text:
+                prose.add(up)
+        if me in holds:
+            holds.add(up)
+        elif me not in plain and c.tag not in RAW and c.tag not in VOID and me not in prose:
+            out.setdefault(signed(c.hash), []).append(c)
+    return out
 
 
 def seen_on(page: str | None) -> tuple[int, list[int]]:
-    """Hash of the main content's text, and the candidates."""
+    """Hash of the page's text without template removal, and the hashes of the candidates."""
     if not page:
         return 0, []
     root = parse(page)
-    return signed(xxhash.xxh64_intdigest(text_of(root).encode("utf-8", "replace"))), candidates(root)
+    return signed(xxhash.xxh64_intdigest(text_of(root).encode("utf-8", "replace"))), list(candidates(root))
 
 
 def extract(page: str, template: frozenset[int] = frozenset()) -> str:
-    return text_of(parse(page), template)
+    """The main text of a page whose template subtrees are deleted first."""
+    root = parse(page)
+    if template:
+        gone = {id(x) for h, nodes in candidates(root).items() if h in template for x in nodes}
+        for node in [root, *(c for c, _, _ in walk(root, lambda c: id(c) not in gone) if isinstance(c, Node) and id(c) not in gone)]:
+            # a deleted block still ends the line that it stood in
+            node.children = [Node("hr", "") if isinstance(c, Node) and id(c) in gone else c for c in node.children]
+    return text_of(root)
 
 
-def text_of(root: Node, template: frozenset[int] = frozenset()) -> str:
+def text_of(root: Node) -> str:
     blocks: list[str] = []
     line: list[str] = []
 
@@ -286,30 +310,26 @@ def text_of(root: Node, template: frozenset[int] = frozenset()) -> str:
                 blocks.append(s)
             line.clear()
 
-    def walk(node: Node) -> None:
-        for c in node.children:
+    for m in mains(root):
+        flush()
+        dropped: set[int] = set()
+        open_blocks: list[int] = []  # depths of the blocks that are open
+        for c, _, depth in walk(m, lambda c: id(c) not in dropped):
+            while open_blocks and open_blocks[-1] >= depth:
+                open_blocks.pop()
+                flush()
             if isinstance(c, str):
                 line.append(c)
                 continue
             if unwanted(c, True):
+                dropped.add(id(c))
                 if c.tag in BLOCK:
                     flush()
-                continue
-            if template and c.tag not in TEXT_BLOCKS and signed(digest(c, [])) in template and not prose(c):
-                flush()
-                continue
-            if c.tag == "br":
+            elif c.tag == "br":
                 line.append("\n")
             elif c.tag in BLOCK:
                 flush()
-                walk(c)
-                flush()
-            else:
-                walk(c)
-
-    for m in mains(root):
-        flush()
-        walk(m)
+                open_blocks.append(depth)
         flush()
     return "\n\n".join(blocks)
 

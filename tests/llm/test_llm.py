@@ -195,6 +195,77 @@ def test_copies_and_shared_blocks_stay(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("tag", ["div", "p", "li", "b", "article", "section class='ad'", "ul", "td"])
+def test_deep_nesting(tag):
+    name = tag.split()[0]
+    assert htmltext.extract(f"<body><p>x</p>{f'<{tag}>' * 100000}</body>") in ("x", "")
+    htmltext.seen_on(f"<article><p>x</p>{f'<{tag}>' * 20000}y{f'</{name}>' * 20000}</article>")
+    assert htmltext.extract("<article><p>x</p>" + "</b></div>" * 100000 + "<p>y</p></article>") == "x\n\ny"
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    ('<article><p>see <a href="x>link</a> here</p><p class="b">two</p></article>', "see link here\n\ntwo"),
+    ("<article><p>see <a href='x>link</a> here</p><p>it's</p></article>", "see link here\n\nit's"),
+    ('<article><p>a <a title="x > y" href=z>b</a> c</p></article>', "a b c"),
+    ('<article><p>a <img alt="1 < 2" src="q"> b</p></article>', "a b"),
+    ('<article><p>5 < 6 and "so" on</p></article>', '5 < 6 and "so" on'),
+    ("<article><p " + 'a="b" ' * 5000 + ">x</p></article>", "x"),
+    ("<article><p>x</p><p " + 'a="b" ' * 5000, "x"),
+    ('<article><div class="entry-header"><h1>Title</h1></div><p class="side-by-side">one</p><div class="form-factor"><p>two</p></div></article>', "Title\n\none\n\ntwo"),
+])
+def test_quotes_and_names(html, want):
+    assert htmltext.extract(html) == want
+
+
+def brute_templates(pages, least_pages=5, least_share=0.2):
+    """host -> hashes of its template, by plain loops over distinct pages."""
+    by_host, texts = {}, {}
+    for host, html in {(h, x) for h, x in pages if x}:
+        main, found = htmltext.seen_on(html)
+        texts.setdefault(host, set()).add(main)
+        for h in found:
+            by_host.setdefault(host, {}).setdefault(h, set()).add(main)
+    return {host: {h for h, on in found.items() if len(on) >= least_pages and len(on) >= least_share * len(texts[host])} for host, found in by_host.items()}
+
+
+def test_templates_against_brute_force(spark):
+    """On the given pages: the same templates, and the same texts from them."""
+    pages = spark.read.parquet(f"{SF.replace('sf0.001', 'sf0.01')}/pages.parquet")
+    rows = pages.withColumn("host", htmltext.host_of()).collect()
+    want = brute_templates([(r.host, r.html) for r in rows])
+    got = {r.page_id: r.text for r in htmltext.extracted(pages).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        assert got[r.page_id] == htmltext.extract(r.html, frozenset(want[r.host]))
+    # of each article, all text and nothing else: what is left of its markup by a plain pattern
+    import html as entities
+
+    for r in rows:
+        body = re.sub(r"(?s)<!--.*?-->|<(script|style|aside|form|nav|footer|header)\b.*?</\1>", "", "".join(re.findall(r"(?s)<article\b[^>]*>(.*?)(?:</article>|$)", r.html)))
+        words = entities.unescape(re.sub(r"<[a-zA-Z/][^>]*>", " ", body)).split()
+        assert got[r.page_id].split() == words
+
+
+def test_counts_decide_where_names_do_not(spark):
+    """Sites without article elements whose boilerplate has no telling names: with the template step the text is the page's own, without it it is not."""
+    rows, want = [], {}
+    for i in range(12):
+        own = "".join(f"<p>own {i} {k}</p>" for k in range(3))
+        rows.append((i, f"https://x.org/{i}", f"<body><div class=q1><a href=/a>Start</a> <a href=/b>Shop</a></div><div><div class=z9><span>Call us now</span></div>{own}<div><i>Best of the web</i></div></div><div>Copyright</div></body>"))
+        want[i] = "\n\n".join(f"own {i} {k}" for k in range(3))
+    got = {r.page_id: r.text for r in htmltext.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
+    assert all("Call us now" in htmltext.extract(h) and "Copyright" in htmltext.extract(h) for _, _, h in rows)
+
+
+def test_extraction_of_no_pages_and_clashing_columns(spark):
+    schema = "page_id int, url string, html string, pk int, host int, template int, text int, n_chars int"
+    assert htmltext.extracted(spark.createDataFrame([], schema)).count() == 0
+    long = "<article>" + "<p>word</p>" * 100000 + "</article>"
+    got = htmltext.extracted(spark.createDataFrame([(1, "u", long, 1, 2, 3, 4, 5), (1, "u", long, 1, 2, 3, 4, 5)], schema)).collect()
+    assert [r.n_chars for r in got] == [6 * 100000 - 2] * 2
+
+
 # --- fingerprints
 
 
