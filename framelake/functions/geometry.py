@@ -13,9 +13,9 @@ REACH, LEAST_MARKERS = 2.0, 3
 LEAST_COVERAGE, LEAST_RATIO, MOST_RATIO = 0.5, 0.5, 2.0
 
 
-def four_points(corners: Column, nested: bool = False) -> Column:
-    """Corners as detectors give them may have one more leading axis."""
-    return F.flatten(corners) if nested else corners
+def four_points(corners: Column) -> Column:
+    """Corners as detectors give them, with one more leading axis, as four points of doubles."""
+    return F.transform(F.flatten(corners), lambda p: F.transform(p, lambda v: v.cast("double")))
 
 
 def _xy(p: Column) -> tuple[Column, Column]:
@@ -108,10 +108,3 @@ def coverage(mask: Column, points: Column, width: int, height: int) -> Column:
 def normal_area(mask: Column, side: Column) -> Column:
     """Set pixels in units of a marker's area; a side of 0 is an error, as division by zero is."""
     return F.size(F.filter(mask, lambda b: b)) / (side * side)
-
-
-def healthy(any_pixel: Column, has_markers: Column, covered: Column, area: Column, reference: Column) -> Column:
-    """Not empty, and with markers in view: enough coverage, and an area like the reference's, if there is one."""
-    ratio = area / reference
-    fits = F.when(reference.isNull(), F.lit(True)).otherwise(ratio.between(LEAST_RATIO, MOST_RATIO))
-    return F.when(~any_pixel, F.lit(False)).when(~has_markers, F.lit(True)).when(covered < LEAST_COVERAGE, F.lit(False)).otherwise(fits)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import platform
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framelake.settings import Sheet
+
 
 def tool_versions() -> F.Column:
     import numpy as np
@@ -60,11 +62,22 @@ def selection_document(kept: DataFrame, totals: DataFrame, dictionary: str, min_
     return rows.select("session_id", doc.alias("manifest"))
 
 
-def markers_of(frames: DataFrame, manifests: DataFrame) -> DataFrame:
+def markers_of(manifests: DataFrame) -> DataFrame:
     """Each frame of a manifest with its markers; a name that the map lacks has none."""
     rows = manifests.select("session_id", "manifest.marker_detections", F.posexplode("manifest.frames").alias("frame_index", "filename"))
     got = F.try_element_at("marker_detections", F.col("filename"))
-    return rows.select("session_id", "frame_index", "filename", F.coalesce(got, F.filter(F.coalesce(got, F.flatten(F.map_values("marker_detections"))), lambda m: F.lit(False))).alias("markers"))
+    none = F.array().cast(manifests.schema["manifest"].dataType["marker_detections"].dataType.valueType)
+    return rows.select("session_id", "frame_index", "filename", F.coalesce(got, none).alias("markers"))
+
+
+def sheet_manifest(spark: SparkSession, sheet: Sheet) -> DataFrame:
+    """sheet: the record of a set of marker images, one row."""
+    side = sheet.side_pixels + 2 * sheet.margin_pixels
+    ids = F.sequence(F.lit(0), F.lit(sheet.num_markers - 1))
+    now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    mm = F.round(F.lit(side) / F.lit(sheet.dpi) * 25.4, 3)
+    record = F.struct(F.lit(sheet.dictionary).alias("dictionary"), F.lit(sheet.num_markers).alias("num_markers"), ids.alias("ids"), F.lit(sheet.side_pixels).alias("side_pixels"), F.lit(sheet.margin_pixels).alias("margin_pixels"), F.lit(side).alias("total_image_side_pixels"), F.lit(sheet.dpi).alias("dpi"), mm.alias("total_image_side_mm"), now.alias("generated_at"))
+    return spark.range(1).select(record.alias("sheet"))
 
 
 def source_counts(rows: DataFrame, by: list[str], source: str = "source") -> DataFrame:

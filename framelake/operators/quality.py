@@ -2,28 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Fence width, consistency factor, least population (fixed values).
 MAD_K, CONSISTENT, LEAST = 3.0, 1.4826, 3
+#: Rows of a group that may be held at once; cuts of a quantile sketch, and one over its error in rank.
+EXACT, CELLS, ACCURACY = 1_000_000, 256, 10_000
+
+
+def _same(a: str, b: str, by: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in by])
+
+
+def medians(rows: DataFrame, by: list[str], value: str, exact: int = EXACT) -> DataFrame:
+    """by, n, median: exact, for groups of any size.
+
+    Where no group has more than ``exact`` rows, the built-in median holds a group's values.  Otherwise each group's
+    range is narrowed first: a quantile sketch of bounded size gives CELLS cuts, whose ranks are off by one in ACCURACY
+    at most, and the cells that can hold the two middle ranks stay, until what stays of every group is few.  Only counts
+    and cuts are shuffled until then; what stays is ranked at the end.
+    """
+    rows = rows.select(*by, F.col(value).cast("double").alias("__v"))
+    value = "__v"
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"))
+    most = sizes.agg(F.max("n")).first()[0] or 0
+    if most <= exact:
+        return rows.groupBy(*by).agg(F.count("*").alias("n"), F.median(value).alias("median"))
+    none = F.lit(None).cast("double")
+    kept = sizes.select(*by, "n", F.lit(0).cast("long").alias("below"), none.alias("lo"), none.alias("hi"))
+    lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
+    while most > exact:  # each turn's plan reads the one before once
+        cuts = _within(rows, kept, by, value).groupBy(*by, "n", "below").agg(F.count("*").alias("left"), F.percentile_approx("v", [i / CELLS for i in range(CELLS + 1)], ACCURACY).alias("cuts"))
+        at = lambda rank, side: (rank - F.col("below")) / F.col("left") * CELLS + side * 2.0 * CELLS / ACCURACY
+        first, last = F.greatest(F.floor(at(lower, -1)), F.lit(0)), F.least(F.ceil(at(upper, 1)), F.lit(CELLS))
+        ranges = cuts.select(*by, "n", *[F.element_at("cuts", (x + 1).cast("int")).alias(name) for x, name in ((first, "lo"), (last, "hi"))])
+        found = rows.alias("r").join(ranges.alias("k"), _same("r", "k", by)).select(*[F.col(f"k.{c}").alias(c) for c in by], "n", "lo", "hi", F.col(f"r.{value}").alias("v"))
+        kept = found.groupBy(*by, "n", "lo", "hi").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"), F.count_if(F.col("v").between(F.col("lo"), F.col("hi"))).alias("left"))
+        now = kept.where("lo < hi").agg(F.max("left")).first()[0] or 0  # one value repeated needs no narrowing
+        if now >= most:
+            break
+        most = now
+    counted = _within(rows, kept, by, value).groupBy(*by, "n", "below", "v").agg(F.count("*").alias("m"))
+    ranked = counted.withColumn("upto", F.col("below") + F.sum("m").over(Window.partitionBy(*by).orderBy("v")))
+    middle = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col("v")))
+    return ranked.groupBy(*by, "n").agg(((middle(lower) + middle(upper)) / 2).alias("median"))
+
+
+def _within(rows: DataFrame, kept: DataFrame, by: list[str], value: str) -> DataFrame:
+    """by, n, below, v of the rows within their group's range."""
+    both = rows.alias("r").join(kept.alias("k"), _same("r", "k", by)).select(*[F.col(f"k.{c}").alias(c) for c in by], "n", "below", "lo", "hi", F.col(f"r.{value}").cast("double").alias("v"))
+    return both.where(F.col("lo").isNull() | F.col("v").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
 
 
-def fence(scores: DataFrame, by: list[str], score: str = "score") -> DataFrame:
+def fence(scores: DataFrame, by: list[str], score: str = "score", exact: int = EXACT) -> DataFrame:
     """by, frames_scored, median, mad, threshold: one row for each session.
 
     Null scores (unreadable frames) are not in the population.  Sessions of fewer than three scores get null figures.
-    The medians are exact.  Their state is a counted value map for each session and task, so a hot session is
-    pre-aggregated before the shuffle; the table of figures has one row for each session and is broadcast by size only.
     """
     known = scores.where(F.col(score).isNotNull())
-    mid = known.groupBy(*by).agg(F.count("*").alias("frames_scored"), F.median(score).alias("median"))
-    same = [F.col(f"s.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    off = known.alias("s").join(mid.alias("m"), cond).select(*[F.col(f"m.{c}").alias(c) for c in by], "frames_scored", "median", F.abs(F.col(score) - F.col("median")).alias("off"))
-    out = off.groupBy(*by).agg(F.first("frames_scored").alias("frames_scored"), F.first("median").alias("median"), F.median("off").alias("mad"))
+    mid = medians(known, by, score, exact)
+    off = known.alias("s").join(mid.alias("m"), _same("s", "m", by)).select(*[F.col(f"m.{c}").alias(c) for c in by], F.abs(F.col(f"s.{score}") - F.col("m.median")).alias("off"))
+    spread = medians(off, by, "off", exact).withColumnRenamed("median", "mad").drop("n")
+    out = mid.alias("m").join(spread.alias("s"), _same("m", "s", by)).select(*[F.col(f"m.{c}").alias(c) for c in by], F.col("n").alias("frames_scored"), "median", "mad")
     enough = F.col("frames_scored") >= LEAST
     return out.select(*by, "frames_scored", F.when(enough, F.col("median")).alias("median"), F.when(enough, F.col("mad")).alias("mad"), F.when(enough, F.greatest(F.col("median") - MAD_K * CONSISTENT * F.col("mad"), F.lit(0.0))).alias("threshold"))
 

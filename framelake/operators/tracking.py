@@ -1,74 +1,92 @@
-"""The tracking state machine, as a fold over a session's ordered frames.
+"""The tracking state machine: one transition, State.decide, for tables, streams and sessions of images.
 
-Frames come with what a tracker would give: the tracked mask's area and coverage, whether markers are in view, and
-the areas of the two candidates (detector box, marker box) where there are any.  The fold is one expression over the
-sorted array of a session's frames; sessions run in parallel, frames of a session in order.
+A session's frames run in order through one State; sessions run in parallel.  What a tracker offers for a frame is taken
+one offer at a time, as an offer may cost a model call: the tracked mask while tracking, then the detector's box, then the
+markers' box.  Tables bring the offers' areas as columns.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from typing import Any, Protocol
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelake.functions.geometry import LEAST_COVERAGE, LEAST_RATIO, MOST_RATIO
 from framelake.operators import raster
 
 SOURCES = ("tracked", "dino", "aruco_box", "fallback_full")
+STATS = (*(f"frames_{s}" for s in SOURCES), "reanchors", "track_resets")
 
 
-def _fits(area: Column, cov: Column, marked: Column, ref: Column) -> Column:
-    near = F.coalesce((area / ref).between(LEAST_RATIO, MOST_RATIO), F.lit(True))
-    return F.coalesce((area > 0) & (~marked | ((cov >= LEAST_COVERAGE) & near)), F.lit(False))
+@dataclass
+class State:
+    """What a session carries from frame to frame."""
 
+    on: bool = False
+    ref: float | None = None
 
-def fold(rows: DataFrame, session: str, order: list[str]) -> DataFrame:
-    """session, frames_* of the four sources, reanchors, track_resets.
+    def decide(self, marked: bool, offers: Iterable[tuple[int, float | None, float]]) -> tuple[int, bool, bool]:
+        """Takes the first offer (source, area, coverage) that is good; gives source, whether re-anchored, whether lost."""
+        was = self.on
+        for source, area, covered in offers:
+            if not area or area < 0:
+                continue
+            like = self.ref is None or LEAST_RATIO <= area / self.ref <= MOST_RATIO
+            if not marked or (like and covered >= LEAST_COVERAGE):
+                self.on, self.ref = True, area if marked else self.ref
+                return source, was and source > 0, False
+        self.on, self.ref = False, None
+        return len(SOURCES) - 1, False, was
 
-    rows: session, order, area, cov, marked, a1, a2 (null: no such candidate).
-    """
-    frames = F.array_sort(F.collect_list(F.struct(*order, "area", "cov", "marked", "a1", "a2")))
-    zero = F.lit(0).cast("long")
-    start = F.struct(F.lit(False).alias("on"), F.lit(None).cast("double").alias("ref"), *[zero.alias(n) for n in ("n0", "n1", "n2", "n3", "re", "lost")])
+    def row(self, area: float | None, cov: float | None, marked: bool, a1: float | None, a2: float | None) -> tuple[int, bool, bool]:
+        """The same for a frame whose offers are known; candidates cover all markers."""
+        tracked = [(0, area, cov if cov is not None else 0.0)] if self.on else []
+        return self.decide(marked, [*tracked, (1, a1, 1.0), (2, a2, 1.0)])
 
-    def step(s: Column, f: Column) -> Column:
-        one = F.lit(1.0)
-        src = F.when(s["on"] & _fits(f["area"], f["cov"], f["marked"], s["ref"]), 0).when(_fits(f["a1"], one, f["marked"], s["ref"]), 1).when(_fits(f["a2"], one, f["marked"], s["ref"]), 2).otherwise(3)
 
-        def after(src: Column) -> Column:
-            got = F.when(src == 0, f["area"]).when(src == 1, f["a1"]).otherwise(f["a2"])
-            ref = F.when(src == 3, F.lit(None)).when(~f["marked"], s["ref"]).otherwise(got)
-            n = [(s[f"n{k}"] + (src == k).cast("long")).alias(f"n{k}") for k in range(4)]
-            return F.struct((src < 3).alias("on"), ref.alias("ref"), *n, (s["re"] + (s["on"] & src.isin(1, 2)).cast("long")).alias("re"), (s["lost"] + (s["on"] & (src == 3)).cast("long")).alias("lost"))
+def decisions(rows: DataFrame, session: str, order: list[str]) -> DataFrame:
+    """session, the order columns, source, reanchor, track_reset of every frame.
 
-        return F.element_at(F.transform(F.array(src), after), 1)
+    rows: session, order, area, cov, marked, a1, a2 (null: no such candidate).  A session's frames come sorted to one
+    task and pass through it one by one, so memory is that of a batch whatever a session's length.
+    """
+    own = rows.select(session, *order, *(F.col(c).cast("double") for c in ("area", "cov")), "marked", *(F.col(c).cast("double") for c in ("a1", "a2")))
+    head = [f for f in own.schema.fields if f.name == session or f.name in order]
+    schema = T.StructType([*head, T.StructField("source", T.IntegerType()), T.StructField("reanchor", T.IntegerType()), T.StructField("track_reset", T.IntegerType())])
+    n = len(head)
 
-    done = rows.groupBy(session).agg(F.aggregate(frames, start, step).alias("s"))
-    return done.select(session, *[F.col(f"s.n{k}").alias(f"frames_{n}") for k, n in enumerate(SOURCES)], F.col("s.re").alias("reanchors"), F.col("s.lost").alias("track_resets"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, current = State(), None
+        for b in batches:
+            out: tuple[list, list, list] = ([], [], [])
+            cols = [c.to_pylist() for c in b.columns]
+            for key, *rest in zip(cols[0], *cols[n:], strict=True):
+                if current != (key,):
+                    state, current = State(), (key,)
+                area, cov, marked, a1, a2 = rest
+                for own_list, x in zip(out, state.row(area, cov, bool(marked), a1, a2), strict=True):
+                    own_list.append(int(x))
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], *(pa.array(x, pa.int32()) for x in out)], schema.fieldNames())
 
+    return own.repartition(session).sortWithinPartitions(session, *order).mapInArrow(run, schema)
 
-@dataclass
-class State:
-    """What a session carries from frame to frame."""
-
-    on: bool = False
-    ref: float | None = None
 
-    def step(self, area: float, cov: float, marked: bool, a1: float | None, a2: float | None) -> tuple[int, bool, bool]:
-        """Source, whether it was a re-anchor, whether the track was lost."""
+def counters(decided: DataFrame, session: str) -> DataFrame:
+    """session, frames_* of the four sources, reanchors, track_resets."""
+    n = [F.count_if(F.col("source") == i).alias(f"frames_{s}") for i, s in enumerate(SOURCES)]
+    return decided.groupBy(session).agg(*n, F.sum(F.col("reanchor").cast("long")).alias("reanchors"), F.sum(F.col("track_reset").cast("long")).alias("track_resets"))
 
-        def fits(a: float | None, c: float) -> bool:
-            return a is not None and a > 0 and (not marked or (c >= LEAST_COVERAGE and (self.ref is None or LEAST_RATIO <= a / self.ref <= MOST_RATIO)))
 
-        was = self.on
-        src = 0 if was and fits(area, cov) else 1 if fits(a1, 1.0) else 2 if fits(a2, 1.0) else 3
-        self.on = src < 3
-        self.ref = None if src == 3 else self.ref if not marked else (area, a1, a2)[src]
-        return src, was and src in (1, 2), was and src == 3
+def fold(rows: DataFrame, session: str, order: list[str]) -> DataFrame:
+    """The counters of every session."""
+    return counters(decisions(rows, session, order), session)
 
 
 class Tracker(Protocol):
@@ -124,71 +142,68 @@ class BoxTracker:
 
 
 class Session:
-    """Drives a tracker through one session's frames: lazily detects, re-anchors, or falls back to the whole image."""
+    """Drives a tracker through one session's frames."""
 
     def __init__(self, tracker: Tracker) -> None:
-        self.tracker, self.on, self.ref = tracker, False, None
-        self.counts = dict.fromkeys(SOURCES, 0)
-        self.reanchors = self.track_resets = 0
-
-    def _prompts(self, rgb: np.ndarray, corners: list[np.ndarray]) -> Iterator[tuple[np.ndarray, str]]:
-        boxes, scores = self.tracker.detect(rgb)
-        if (box := raster.best_box(boxes, scores, raster.centers(corners))) is not None:
-            yield box, "dino"
-        if (box := raster.marker_box(corners, rgb.shape[1], rgb.shape[0])) is not None:
-            yield box, "aruco_box"
-
-    def _healthy(self, mask: np.ndarray, corners: list[np.ndarray]) -> bool:
-        if not mask.any():
-            return False
-        if not corners:
-            return True
-        if raster.coverage(mask, corners) < LEAST_COVERAGE:
-            return False
-        return self.ref is None or LEAST_RATIO <= raster.normal_area(mask, corners) / self.ref <= MOST_RATIO
-
-    def frame(self, rgb: np.ndarray, corners: list[np.ndarray]) -> tuple[np.ndarray, str]:
-        was, found = self.on, None
-        if was and self._healthy(seg := self.tracker.step(rgb), corners):
-            found = seg, "tracked"
-        else:
-            for box, source in self._prompts(rgb, corners):
-                seg = self.tracker.correct(box) if was else self.tracker.start(rgb, box)
-                if self._healthy(seg, corners):
-                    found = seg, source
-                    self.reanchors += was
-                    break
-        if found is None:
-            self.track_resets += was
-            self.on, self.ref = False, None
-            self.counts["fallback_full"] += 1
-            return np.full(rgb.shape[:2], 255, np.uint8), "fallback_full"
-        self.on = True
-        if corners:
-            self.ref = raster.normal_area(found[0], corners)
-        self.counts[found[1]] += 1
-        return raster.finished(found[0], corners), found[1]
+        self.tracker, self.state = tracker, State()
+        self.counts = Counter()
+
+    def frame(self, rgb: np.ndarray, corners: list[np.ndarray]) -> tuple[np.ndarray, str, bool, bool]:
+        """Mask, source, whether it was a re-anchor, whether the track was lost."""
+        marks, masks = raster.Marks(corners), []
+
+        def offer(source: int, mask: np.ndarray) -> tuple[int, float, float]:
+            masks.append(mask)
+            return source, *marks.measured(mask)
+
+        def offers() -> Iterator[tuple[int, float, float]]:
+            on = self.state.on
+            if on:
+                yield offer(0, self.tracker.step(rgb))
+            again = self.tracker.correct if on else lambda box: self.tracker.start(rgb, box)
+            if (box := marks.choose(*self.tracker.detect(rgb))) is not None:
+                yield offer(1, again(box))
+            if (box := marks.prompt(rgb.shape)) is not None:
+                yield offer(2, again(box))
+
+        source, again, lost = self.state.decide(bool(len(marks)), offers())
+        self.counts.update({f"frames_{SOURCES[source]}": 1, "reanchors": int(again), "track_resets": int(lost)})
+        if source == len(SOURCES) - 1:
+            return np.full(rgb.shape[:2], 255, np.uint8), SOURCES[source], again, lost
+        return raster.finished(masks[-1], marks), SOURCES[source], again, lost
 
     def stats(self) -> dict[str, Any]:
-        return {**{f"frames_{k}": v for k, v in self.counts.items()}, "reanchors": self.reanchors, "track_resets": self.track_resets, **self.tracker.info}
+        return {k: self.counts[k] for k in STATS} | dict(self.tracker.info)
 
 
 def masks(frames: DataFrame, tracker: type = BoxTracker) -> DataFrame:
-    """session_id, frame_index, filename, source, png of every readable frame; a session is one group, in frame order.
+    """session_id, frame_index, filename, source, reanchor, track_reset, png of every readable frame.
 
-    frames: session_id, frame_index, filename, height, width, data (BGR bytes; null if unreadable), corners.
+    frames: session_id, frame_index, filename, height, width, data (gray or BGR bytes; null if unreadable), corners.  A session's
+    frames come sorted to one task and pass through it one by one.
     """
-    import pandas as pd
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, out = Session(tracker()), []
-        for r in pdf.sort_values("frame_index").itertuples():
-            if r.data is None or r.height is None or r.height <= 0:
-                continue
-            rgb = np.frombuffer(r.data, np.uint8).reshape(int(r.height), int(r.width), 3)[:, :, ::-1]
-            corners = [np.array([list(p) for p in c], float) for c in (r.corners if r.corners is not None else [])]
-            mask, source = own.frame(rgb, corners)
-            out.append((r.session_id, r.frame_index, r.filename, source, raster.png(mask)))
-        return pd.DataFrame(out, columns=["session_id", "frame_index", "filename", "source", "png"])
-
-    return frames.groupBy("session_id").applyInPandas(run, "session_id string, frame_index int, filename string, source string, png binary")
+    schema = "session_id string, frame_index int, filename string, source string, reanchor int, track_reset int, png binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        session, current = Session(tracker()), None
+        for b in batches:
+            for r in b.to_pylist():
+                if current != (r["session_id"],):
+                    session, current = Session(tracker()), (r["session_id"],)
+                if r["data"] is None or not r["height"] or r["height"] < 0:
+                    continue
+                pixels = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], -1)
+                rgb = np.repeat(pixels, 3, axis=2) if pixels.shape[2] < 3 else pixels[:, :, 2::-1]  # gray, or BGR with or without alpha
+                mask, source, again, lost = session.frame(rgb, [np.array(c, float) for c in r["corners"] or []])
+                row = [r["session_id"], r["frame_index"], r["filename"], source, int(again), int(lost), raster.png(mask)]
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["session_id", "frame_index", "filename", "source", "reanchor", "track_reset", "png"])
+
+    own = frames.select("session_id", F.col("frame_index").cast("int").alias("frame_index"), "filename", "height", "width", "data", "corners")
+    return own.repartition("session_id").sortWithinPartitions("session_id", "frame_index").mapInArrow(run, schema)
+
+
+def mask_stats(done: DataFrame, info: dict[str, str]) -> DataFrame:
+    """session_id and the record of a session's masks: counters, and the tracker's own fields, which win."""
+    named = done.withColumn("source", F.array_position(F.array(*map(F.lit, SOURCES)), F.col("source")) - 1)
+    out = counters(named, "session_id").withColumns({c: F.col(c).cast("int") for c in STATS})
+    return out.withColumns({k: F.lit(v) for k, v in info.items()})

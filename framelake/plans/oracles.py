@@ -107,9 +107,36 @@ l as (select a.vec_id, u.v + d.v + l.v + r2.v - 4 * a.v as x from r a
   join r r2 on r2.vec_id = a.vec_id and r2.y = a.y and r2.x = case when a.x = 7 then 6 else a.x + 1 end)
 select vec_id, round(var_pop(x), 6) as sharpness from l group by 1""",
     "pixel_union_dilate": "with" + _RASTER + """,
-u as (select vec_id, i, y, x, v > 1.0 or (y between label % 5 and label % 5 + 2 and x between label % 5 and label % 5 + 2) as b from r),
-g as (select a.vec_id, a.i, a.b, bool_or(n.b) as g from u a join u n on n.vec_id = a.vec_id and abs(n.x - a.x) + abs(n.y - a.y) <= 1 group by 1, 2, 3)
-select vec_id, count(*) filter (where b) as n_union, count(*) filter (where g) as n_grown, string_agg(case when g then '1' else '0' end, '' order by i) as bits from g group by 1""",
+u as (select vec_id, i, y, x, v > 1.0 or (y between label % 4 and label % 4 + 4 and x between label % 4 and label % 4 + 4) as b from r),
+g as (select a.vec_id, a.i, bool_or(n.b) as g from u a join u n on n.vec_id = a.vec_id and abs(n.x - a.x) + abs(n.y - a.y) <= 1 group by 1, 2)
+select vec_id, count(*) filter (where g) as n_grown, string_agg(case when g then '1' else '0' end, '' order by i) as bits from g group by 1""",
+    "image_scan": "with" + _RASTER.replace("embedding[i + 1]::double", "least(255, greatest(0, round_even(128 + 32 * embedding[i + 1]::double, 0)))") + """,
+l as (select a.vec_id, a.label, u.v + d.v + l.v + r2.v - 4 * a.v as x from r a
+  join r u on u.vec_id = a.vec_id and u.x = a.x and u.y = case when a.y = 0 then 1 else a.y - 1 end
+  join r d on d.vec_id = a.vec_id and d.x = a.x and d.y = case when a.y = 7 then 6 else a.y + 1 end
+  join r l on l.vec_id = a.vec_id and l.y = a.y and l.x = case when a.x = 0 then 1 else a.x - 1 end
+  join r r2 on r2.vec_id = a.vec_id and r2.y = a.y and r2.x = case when a.x = 7 then 6 else a.x + 1 end)
+select 's' || label as session_id, vec_id, 8::bigint as height, 8::bigint as width, round(var_pop(x), 6) as sharpness from l group by vec_id, label""",
+    "mjpeg_source": """
+with v as (select n_nationkey, n_name, 2 * n_nationkey + 1 as n from nation)
+select 'n' || n_nationkey as session_id, n::bigint as total_frames, 64::bigint as width, 48::bigint as height, i::bigint as frame_index, round(i / 25.0::double, 4) as timestamp_s,
+  'frame_' || lpad(i::varchar, length(n::varchar)::int, '0') || '.jpg' as filename, n_name || ' ' || i as shot
+from v, unnest(range(0, n, 3)) as t(i)""",
+    "marker_detect": """
+with s as (select s_suppkey, 60 + 6 * (s_suppkey % 4) as side, 20 + s_suppkey % 7 as m from supplier)
+select s_suppkey, 1::bigint as markers, (s_suppkey % 50)::bigint as id, m::bigint as left, m::bigint as top, (m + side - 1)::bigint as right, (m + side - 1)::bigint as bottom from s""",
+    "mask_png": """
+select 'n' || n_nationkey as session_id, 'f' || i || '.jpg.png' as filename, (10 * (n_nationkey % 5 + 3))::bigint as white, 1::bigint as frames_dino, 2::bigint as frames_tracked, 'cpu' as device
+from nation, unnest(range(0, 3)) as t(i)""",
+    "manifest_document": "with" + _FRAMES + "," + _LINES + "," + _REJECTED + f""",
+n as (select o_orderkey, count(*) as m, string_agg(id::varchar, ',' order by k) as ids from li where {_VALID} group by 1),
+k as (select fr.*, m, ids from fr join n using (o_orderkey) where o_orderkey not in (select o_orderkey from rej)),
+g as (select session_id, count(*) as kept, string_agg(filename, ',' order by frame_index) as frames, string_agg(ids, ',' order by frame_index) as ids from k group by 1),
+t as (select session_id, count(*) as total from fr group by 1)
+select session_id, case when c_custkey is null then '' else 'camera,' end || 'dictionary,frames,frames_filtered_out,marker_detections,min_markers,total_frames_input' as keys,
+  'DICT_4X4_250' as dictionary, 1::bigint as min_markers, total as total_frames_input, total - coalesce(kept, 0) as frames_filtered_out, coalesce(frames, '') as frames, coalesce(ids, '') as ids,
+  case when c_custkey is not null then 640::bigint end as width_px, c_custkey is not null as null_kept
+from t left join g using (session_id) left join (select * from customer where c_acctbal > 0) c on c.c_custkey = t.session_id""",
     "tracking_fold": _TRACK,
     "tracking_stream": _TRACK,
     "source_counts": """

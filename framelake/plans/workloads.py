@@ -7,16 +7,18 @@ embeddings are 8 x 8 rasters; pages are containers' bytes and event properties J
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framelake import settings
 from framelake.functions import geometry, probe, records
-from framelake.operators import documents, quality, selection, tracking
+from framelake.operators import documents, flat, quality, raster, selection, tracking
+from framelake.sources import files, sinks, video
 
 WHITELIST = list(range(0, 50, 3))
 
@@ -55,8 +57,16 @@ def markers(spark: SparkSession, d: str) -> DataFrame:
     return own.select(F.col("l_orderkey").alias("o_orderkey"), F.transform("a", lambda x: F.struct(x["id"].alias("id"), x["corners"].alias("corners"))).alias("markers"), F.transform("a", lambda x: x["score"]).alias("scores"))
 
 
-def corners_of(name: str):
-    return F.transform(name, lambda m: m["corners"])
+def flat_markers(spark: SparkSession, d: str) -> DataFrame:
+    """o_orderkey, id, score, place and the corners as columns; place is the marker's in its frame."""
+    h = F.col("side") / 2
+    at = {"x1": F.col("cx") - h, "y1": F.col("cy") - h, "x2": F.col("cx") + h, "y2": F.col("cy") - h, "x3": F.col("cx") + h, "y3": F.col("cy") + h, "x4": F.col("cx") - h, "y4": F.col("cy") + h}
+    return lines(spark, d).withColumnRenamed("l_orderkey", "o_orderkey").withColumns(at)
+
+
+def counted(spark: SparkSession, d: str) -> DataFrame:
+    """o_orderkey, markers_detected: where only the number of markers counts."""
+    return lines(spark, d).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").cast("int").alias("markers_detected"))
 
 
 def detected(spark: SparkSession, d: str) -> DataFrame:
@@ -90,8 +100,9 @@ def stride_sample(spark: SparkSession, d: str) -> DataFrame:
 
 
 def frames_left_detections(spark: SparkSession, d: str) -> DataFrame:
-    out = detected(spark, d).groupBy("session_id")
-    return out.agg(F.count("*").alias("total_frames"), F.count_if(F.col("markers_detected") > 0).alias("frames_with_detections"), F.sum("markers_detected").alias("markers"))
+    out = frames(spark, d).join(counted(spark, d), "o_orderkey", "left").groupBy("session_id")
+    n = F.coalesce("markers_detected", F.lit(0))
+    return out.agg(F.count("*").alias("total_frames"), F.count_if(n > 0).alias("frames_with_detections"), F.sum(n).alias("markers"))
 
 
 def whitelist_markers(spark: SparkSession, d: str) -> DataFrame:
@@ -106,7 +117,8 @@ def zip_shorter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def min_marker_filter(spark: SparkSession, d: str) -> DataFrame:
-    return selection.select(detected(spark, d), 3, on=["o_orderkey"]).select("session_id", "frame_index", "filename", F.col("markers_detected").cast("long").alias("markers_detected"))
+    rows = frames(spark, d).join(counted(spark, d), "o_orderkey", "left").withColumn("markers_detected", F.coalesce("markers_detected", F.lit(0)))
+    return selection.select(rows, 3, on=["o_orderkey"]).select("session_id", "frame_index", "filename", F.col("markers_detected").cast("long").alias("markers_detected"))
 
 
 def _rejected(spark: SparkSession, d: str) -> DataFrame:
@@ -128,24 +140,38 @@ def _kept(spark: SparkSession, d: str) -> DataFrame:
     return selection.select(detected(spark, d), 1, WHITELIST, _rejected(spark, d), there, ["o_orderkey"])
 
 
+def _kept_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The same selection where only the number of valid markers counts: the whitelist is a filter of the lines."""
+    valid = lines(spark, d).where(F.col("id").isin(WHITELIST)).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").cast("int").alias("markers_detected"))
+    # a frame of a counted line has a file, so the counts take the listing's place
+    return selection.select(frames(spark, d).join(valid, "o_orderkey"), 1, rejected=_rejected(spark, d), on=["o_orderkey"])
+
+
 def selection_manifest(spark: SparkSession, d: str) -> DataFrame:
     """The whole chain: blur fence over all frames, whitelist, least count, existing files; one row for each session."""
     total = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("session_id")).agg(F.count("*").alias("total_frames_input"))
-    kept = _kept(spark, d).groupBy("session_id").agg(F.count("*").alias("kept"), F.sum("markers_detected").alias("markers"), F.min("frame_index").cast("long").alias("first_frame"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("frame_index", "filename"))), lambda x: x["filename"]), ",").alias("frames"))
+    kept = _kept_counts(spark, d).groupBy("session_id").agg(F.count("*").alias("kept"), F.sum("markers_detected").alias("markers"), F.min("frame_index").cast("long").alias("first_frame"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("frame_index", "filename"))), lambda x: x["filename"]), ",").alias("frames"))
     out = total.join(kept, "session_id", "left")
     n = F.coalesce("kept", F.lit(0))
     return out.select("session_id", "total_frames_input", (F.col("total_frames_input") - n).alias("frames_filtered_out"), F.coalesce("markers", F.lit(0)).alias("markers"), "first_frame", F.coalesce("frames", F.lit("")).alias("frames"))
 
 
-def manifest_document(spark: SparkSession, d: str) -> DataFrame:
-    """JSON text of each session's manifest (rows only: SQL engines print JSON differently)."""
+def manifest_json(spark: SparkSession, d: str) -> DataFrame:
+    """session_id, json: the text of each session's manifest."""
     o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("session_id")).agg(F.count("*").alias("total_frames_input"))
     kept = _kept(spark, d)
-    video = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("session_id"), F.lit(None).cast("double").alias("focal_length_35mm"), F.lit(640).alias("width"), F.lit(480).alias("height"))
-    m = documents.selection_document(kept, o, "DICT_4X4_250", 1, cameras=documents.camera(o, video))
+    video_ = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("session_id"), F.lit(None).cast("double").alias("focal_length_35mm"), F.lit(640).alias("width"), F.lit(480).alias("height"))
+    m = documents.selection_document(kept, o, "DICT_4X4_250", 1, cameras=documents.camera(o, video_))
     return m.select("session_id", records.encoded(F.col("manifest").dropFields("tool_versions").withField("tool_versions", F.lit(None).cast("struct<python:string>")), "SELECTION").alias("json"))
 
 
+def manifest_document(spark: SparkSession, d: str) -> DataFrame:
+    """Each session's manifest, written as JSON text and read back into fields."""
+    m = manifest_json(spark, d).select("session_id", "json", records.decoded(F.col("json"), "SELECTION").alias("r"), F.concat_ws(",", F.array_sort(F.json_object_keys("json"))).alias("keys"))
+    marks = F.flatten(F.transform("r.frames", lambda f: F.transform(F.try_element_at("r.marker_detections", f), lambda x: x["id"].cast("string"))))
+    return m.select("session_id", "keys", "r.dictionary", F.col("r.min_markers").cast("long").alias("min_markers"), F.col("r.total_frames_input").cast("long").alias("total_frames_input"), F.col("r.frames_filtered_out").cast("long").alias("frames_filtered_out"), F.array_join("r.frames", ",").alias("frames"), F.array_join(marks, ",").alias("ids"), F.col("r.camera.width_px").cast("long").alias("width_px"), F.col("json").contains('"focal_length_35mm":null').alias("null_kept"))
+
+
 def camera_left_join(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "orders").select(F.col("o_custkey").alias("session_id"))
     v = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("session_id"), F.when(F.col("c_acctbal") > 5000, F.col("c_acctbal")).alias("focal_length_35mm"), F.col("c_nationkey").alias("width"), F.length("c_name").alias("height"))
@@ -159,23 +185,21 @@ def map_last_wins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def box_prompt(spark: SparkSession, d: str) -> DataFrame:
-    m = markers(spark, d).select("o_orderkey", corners_of("markers").alias("c")).where(F.size("c") >= geometry.LEAST_MARKERS)
-    b = m.select("o_orderkey", geometry.marker_box(F.col("c"), F.lit(60), F.lit(20)).alias("b"))
-    return rounded(b.select("o_orderkey", "b.*"), "x0", "y0", "x1", "y1")
+    return rounded(flat.prompts(flat_markers(spark, d), ["o_orderkey"], 60, 20), "x0", "y0", "x1", "y1")
 
 
 def marker_centers_sides(spark: SparkSession, d: str) -> DataFrame:
-    m = markers(spark, d).select("o_orderkey", corners_of("markers").alias("m"))
-    m = m.select("o_orderkey", geometry.centers(F.col("m")).alias("c"), geometry.median_side(F.col("m")).alias("median_side"))
-    total = lambda k: F.aggregate("c", F.lit(0.0), lambda a, p: a + p[k])
-    return rounded(m.select("o_orderkey", total("x").alias("sum_x"), total("y").alias("sum_y"), "median_side"), "sum_x", "sum_y", "median_side")
+    m = flat_markers(spark, d)
+    side = flat.corner_rows(m, ["o_orderkey"]).groupBy("o_orderkey").agg(F.median("side").alias("median_side"))
+    mid = m.groupBy("o_orderkey").agg(F.sum(flat.middle("x")).alias("sum_x"), F.sum(flat.middle("y")).alias("sum_y"))
+    return rounded(mid.join(side, "o_orderkey"), "sum_x", "sum_y", "median_side")
 
 
 def point_in_box_top1(spark: SparkSession, d: str) -> DataFrame:
-    m = markers(spark, d).select("o_orderkey", F.zip_with("markers", "scores", lambda x, s: F.struct(geometry.center(x["corners"]).alias("c"), s.alias("s"))).alias("z"))
-    boxes = F.transform("z", lambda x: F.struct((x["c"]["x"] - 10).alias("x0"), (x["c"]["y"] - 3).alias("y0"), (x["c"]["x"] + 10).alias("x1"), (x["c"]["y"] + 3).alias("y1"), x["s"].alias("score")))
-    b = m.select("o_orderkey", geometry.best_box(boxes, F.transform("z", lambda x: x["c"])).alias("b")).where("b is not null")
-    return rounded(b.select("o_orderkey", "b.x0", "b.y0", "b.score"), "x0", "y0", "score")
+    m = flat_markers(spark, d).select("o_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cx", "cy", "side", "score", flat.middle("x").alias("x"), flat.middle("y").alias("y"))
+    w = Window.partitionBy("o_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "cx", "cy", "side")
+    boxes = m.select("o_orderkey", (F.col("x") - 10).alias("x0"), (F.col("y") - 3).alias("y0"), (F.col("x") + 10).alias("x1"), (F.col("y") + 3).alias("y1"), "score", F.row_number().over(w).alias("place"))
+    return rounded(flat.best_boxes(boxes, m, ["o_orderkey"]).select("o_orderkey", "box.x0", "box.y0", "box.score"), "x0", "y0", "score")
 
 
 def rasters(spark: SparkSession, d: str) -> DataFrame:
@@ -189,31 +213,103 @@ def coverage_and_area(spark: SparkSession, d: str) -> DataFrame:
 
 
 def laplacian_sharpness(spark: SparkSession, d: str) -> DataFrame:
-    at = lambda r, c: F.element_at("v", (r * 8 + c + 1).cast("int"))
-    mirror = lambda x: F.when(x < 0, 1).when(x > 7, 6).otherwise(x)
+    return rounded(rasters(spark, d).select("vec_id", raster.sharpness_of("v", 8).alias("sharpness")), "sharpness")
+
 
-    def lap(i):
-        r, c = F.floor(i / 8), i % 8
-        return at(mirror(r - 1), c) + at(mirror(r + 1), c) + at(r, mirror(c - 1)) + at(r, mirror(c + 1)) - 4 * at(r, c)
+def pixel_union_dilate(spark: SparkSession, d: str) -> DataFrame:
+    """The raster's mask and a filled marker of side 4 at the place its label says, grown by a disk of radius 1."""
+    at = (F.col("label") % 4).cast("double")
+    corners = F.array(F.array(F.array(at, at), F.array(at + 4, at), F.array(at + 4, at + 4), F.array(at, at + 4)))
+    r = rasters(spark, d).select("vec_id", F.transform("v", lambda x: x > 1).alias("mask"), corners.alias("corners"))
+    g = r.select("vec_id", raster.finished_of("mask", "corners", 8).alias("g"))
+    return g.select("vec_id", F.size(F.filter("g", lambda b: b)).cast("long").alias("n_grown"), F.array_join(F.transform("g", lambda b: F.when(b, "1").otherwise("0")), "").alias("bits"))
 
-    rows = rasters(spark, d).select("vec_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(63)), lap)).alias("x"))
-    return rounded(rows.groupBy("vec_id").agg(F.var_pop("x").alias("sharpness")), "sharpness")
 
+# --- generated files ---------------------------------------------------------------------------------------------
 
-def pixel_union_dilate(spark: SparkSession, d: str) -> DataFrame:
-    """The raster's mask and a filled square, grown by a disk of radius 1."""
-    r = rasters(spark, d)
-    corner = (F.col("label") % 5).cast("int")
 
-    def on(i):
-        y, x = F.floor(i / 8).cast("int"), i % 8
-        return (F.element_at("v", i + 1) > 1.0) | (y.between(corner, corner + 2) & x.between(corner, corner + 2))
+def folder(spark: SparkSession, what: str) -> str:
+    """A new folder below spark.checkpoint.dir, which all machines share; one is made only where there are no other machines."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        import tempfile
+
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="framelake-"))
+        base = spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def _pixels(values: str, width: int):
+    """PNG bytes of row-major rasters, numbers as gray steps around 128."""
+    def run(v: pd.Series) -> pd.Series:
+        return pd.Series([raster.png(np.clip(np.rint(128 + 32 * np.asarray(x, float)), 0, 255).astype(np.uint8).reshape(-1, width)) for x in v])
+
+    return F.pandas_udf(run, "binary")(F.col(values))
 
-    r = r.withColumn("u", F.transform(F.sequence(F.lit(0), F.lit(63)), on))
-    near = lambda i: F.element_at("u", i + 1) | ((i % 8 > 0) & F.element_at("u", F.greatest(i, F.lit(1)))) | ((i % 8 < 7) & F.element_at("u", F.least(i + 2, F.lit(64)))) | ((i > 7) & F.element_at("u", F.greatest(i - 7, F.lit(1)))) | ((i < 56) & F.element_at("u", F.least(i + 9, F.lit(64))))
-    r = r.withColumn("g", F.transform(F.sequence(F.lit(0), F.lit(63)), near))
-    n = lambda c: F.size(F.filter(c, lambda b: b)).cast("long")
-    return r.select("vec_id", n("u").alias("n_union"), n("g").alias("n_grown"), F.array_join(F.transform("g", lambda b: F.when(b, "1").otherwise("0")), "").alias("bits"))
+
+def image_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Rasters written as PNG files and read back by the image source: sizes and sharpness of every file."""
+    at = folder(spark, "images")
+    named = rasters(spark, d).select(F.concat(F.lit("s"), F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string"), F.lit(".png")).alias("name"), _pixels("v", 8).alias("png"))
+    sinks.bytes_files(named, at, "name", "png")
+    found = files.readable(files.images(spark, f"{at}/*"))
+    out = found.select("session_id", F.regexp_extract("filename", r"^\d+", 0).cast("long").alias("vec_id"), F.col("image.height").cast("long").alias("height"), F.col("image.width").cast("long").alias("width"), raster.sharpness().alias("sharpness"))
+    return rounded(out, "sharpness")
+
+
+def mjpeg_source(spark: SparkSession, d: str) -> DataFrame:
+    """A video for each nation, as long as its key tells, read back by the source with a stride of 3."""
+    at = folder(spark, "videos")
+
+    def write(part) -> None:
+        for r in part:
+            shots = [b"\xff\xd8" + f"{r['n_name']} {i}".encode() + b"\xff\xd9" for i in range(2 * r["n_nationkey"] + 1)]
+            video.write_avi(sinks.target(at, f"n{r['n_nationkey']}.avi"), shots, 25, 64, 48)
+
+    table(spark, d, "nation").select("n_nationkey", "n_name").foreachPartition(write)
+    rows = video.frames(spark, at, 3)
+    text = F.expr("decode(substring(jpeg, 3, octet_length(jpeg) - 4), 'UTF-8')")
+    stamp = records.timestamp_s(F.col("frame_index"), F.col("fps"))
+    return rows.select("session_id", F.col("total_frames").cast("long").alias("total_frames"), F.col("width").cast("long").alias("width"), F.col("height").cast("long").alias("height"), F.col("frame_index").cast("long").alias("frame_index"), stamp.alias("timestamp_s"), records.frame_filename(F.col("frame_index"), F.col("total_frames")).alias("filename"), text.alias("shot"))
+
+
+def marker_detect(spark: SparkSession, d: str) -> DataFrame:
+    """A marker image for each supplier, found again: id and the corners."""
+    at, words = folder(spark, "markers"), raster.code_words(4, 50)
+
+    def draw(i: pd.Series) -> pd.Series:
+        return pd.Series([raster.png(raster.with_margin(raster.marker(words[x % 50], 60 + 6 * (x % 4)), 20 + x % 7)) for x in i])
+
+    s = table(spark, d, "supplier").select(F.concat(F.lit("m/"), F.col("s_suppkey").cast("string"), F.lit(".png")).alias("name"), F.pandas_udf(draw, "binary")(F.col("s_suppkey")).alias("png"))
+    sinks.bytes_files(s, at, "name", "png")
+    found = raster.detections(files.images(spark, f"{at}/m"), words)
+    m = F.element_at("markers", 1)
+    corner = lambda i, k: F.rint(F.element_at(F.element_at(m["corners"], i), k)).cast("long")
+    return found.select(F.regexp_extract("filename", r"^\d+", 0).cast("long").alias("s_suppkey"), F.size("markers").cast("long").alias("markers"), m["id"].cast("long").alias("id"), corner(1, 1).alias("left"), corner(1, 2).alias("top"), corner(3, 1).alias("right"), corner(3, 2).alias("bottom"))
+
+
+def mask_png(spark: SparkSession, d: str) -> DataFrame:
+    """Frames with a bright box, tracked by the stand-in and written as mask files; the first frame's box is kept."""
+    at = folder(spark, "masks")
+
+    def draw(x: pd.Series, w: pd.Series) -> pd.Series:
+        out = []
+        for a, b in zip(x, w, strict=True):
+            g = np.zeros((24, 32, 3), np.uint8)
+            g[4:14, a : a + b] = 200
+            out.append(g.tobytes())
+        return pd.Series(out)
+
+    n = table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("session_id"), "n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(2))).alias("frame_index"))
+    f = n.select("session_id", "frame_index", F.concat(F.lit("f"), F.col("frame_index").cast("string"), F.lit(".jpg")).alias("filename"), F.lit(24).alias("height"), F.lit(32).alias("width"), F.pandas_udf(draw, "binary")((F.col("n_nationkey") % 20 + F.col("frame_index")).cast("int"), (F.col("n_nationkey") % 5 + 3).cast("int")).alias("data"), F.array().cast("array<array<array<double>>>").alias("corners"))
+    done = tracking.masks(f)
+    sinks.mask_files(done, at)
+    stats = tracking.mask_stats(done, tracking.BoxTracker().info).select("session_id", "frames_dino", "frames_tracked", "device")
+    data = files.images(spark, f"{at}/*/filtered/masks").select(F.regexp_extract("image.origin", r"([^/]+)/filtered/masks/[^/]+$", 1).alias("session_id"), "filename", F.length(F.regexp_replace(F.hex("image.data"), "FF", "x")).alias("length"), F.octet_length("image.data").alias("n"))
+    white = data.select("session_id", "filename", (2 * F.col("n") - F.col("length")).cast("long").alias("white"))
+    return white.join(stats, "session_id").select("session_id", "filename", "white", F.col("frames_dino").cast("long").alias("frames_dino"), F.col("frames_tracked").cast("long").alias("frames_tracked"), "device")
 
 
 def signal(e: DataFrame) -> DataFrame:
@@ -230,13 +326,7 @@ def tracking_stream(spark: SparkSession, d: str) -> DataFrame:
     """The same machine over a stream; its counters are the batch fold's."""
     from framelake.streaming import tracker
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="framelake-")
-        spark.sparkContext.setCheckpointDir(base)
-    at = os.path.join(base, f"tracker-{uuid.uuid4().hex}")
+    at = folder(spark, "tracker")
     stream = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")  # a pattern, as a stream's plain path must be a folder
     out = tracker.drained(spark, signal(stream), f"{at}/out", f"{at}/state")
     n = [F.count_if(F.col("source") == i).alias(f"frames_{s}") for i, s in enumerate(tracking.SOURCES)]
@@ -282,14 +372,12 @@ def dictionary_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 def last_reference(spark: SparkSession, d: str) -> DataFrame:
     """Last known reference carried over frames without markers, were every frame accepted."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
     e = table(spark, d, "events").withColumn("ref", F.when(F.col("event_type") != "signup", F.col("value")))
     return e.select("event_id", F.last("ref", True).over(w).alias("reference")).withColumn("reference", F.round("reference", 6))
 
 
-OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_stream, source_counts, last_reference, regex_probe, json_required_keys, config_precedence, sheet_layout, dictionary_lookup)
+OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_stream, source_counts, last_reference, regex_probe, json_required_keys, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, marker_detect, mask_png)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

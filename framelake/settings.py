@@ -18,6 +18,11 @@ VIDEO_ENDINGS = ("mp4", "mov", "avi", "mkv", "m4v")
 DEVICES = ("auto", "cuda", "cpu")
 
 
+#: Least scores of a text-prompted detector's boxes and words (fixed values).
+BOX_SCORE, TEXT_SCORE = 0.4, 0.3
+
+
+# The sections and keys of the YAML file and their defaults (fixed values).
 @dataclass
 class Extraction:
     stride: int = 1
@@ -83,6 +88,18 @@ def load(path: str | None) -> Settings:
         return overlay(Settings(), yaml.safe_load(f) or {})
 
 
+def configure_logging() -> None:
+    """Time, level and message on standard error, from INFO on."""
+    import logging
+
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+
+
+def strong_enough(score: Column, text_score: Column) -> Column:
+    """A detector's box that counts: above both thresholds."""
+    return (score > BOX_SCORE) & (text_score > TEXT_SCORE)
+
+
 def first_given(*options: Any) -> Any:
     """The first option that is not None: argument, file, default."""
     return next((x for x in options if x is not None), None)

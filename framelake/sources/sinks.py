@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import os
 import shutil
 import uuid
 import zlib
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def _target(folder: str, name: str) -> str:
-    path = os.path.join(folder, name)
+def target(folder: str, name: str) -> str:
+    """A path below a folder that all machines mount (a plain path or file://); its own folder is made."""
+    path = os.path.join(folder.removeprefix("file://").removeprefix("file:"), name)
     os.makedirs(os.path.dirname(path), exist_ok=True)
     return path
 
@@ -31,7 +33,7 @@ def bytes_files(rows: DataFrame, folder: str, name: str, data: str) -> None:
 
     def write(part: Iterator) -> None:
         for r in part:
-            _replace(_target(folder, r[name]), bytes(r[data]))
+            _replace(target(folder, r[name]), bytes(r[data]))
 
     rows.select(name, data).foreachPartition(write)
 
@@ -51,21 +53,28 @@ def marker_files(markers: DataFrame, folder: str) -> None:
     bytes_files(markers.withColumn("name", F.concat(F.lit("marker_"), "id", F.lit(".png"))), folder, "name", "png")
 
 
-def copies(rows: DataFrame, source: str, target: str) -> None:
+def copies(rows: DataFrame, source: str, to: str) -> None:
     """Copies the files of (session_id, filename) with their times; missing ones are skipped."""
 
     def copy(part: Iterator) -> None:
         for r in part:
-            old = os.path.join(source, r["session_id"], r["filename"])
+            old = os.path.join(source.removeprefix("file://").removeprefix("file:"), r["session_id"], r["filename"])
             if os.path.exists(old):
-                shutil.copy2(old, _target(target, os.path.join(r["session_id"], "filtered", r["filename"])))
+                shutil.copy2(old, target(to, os.path.join(r["session_id"], "filtered", r["filename"])))
 
     rows.select("session_id", "filename").foreachPartition(copy)
 
 
 def json_documents(docs: DataFrame, text: Column, folder: str, name: str) -> None:
-    """A JSON file for each session; an older one is replaced as a whole."""
-    bytes_files(docs.select(F.concat_ws("/", "session_id", F.lit(name)).alias("name"), text.cast("binary").alias("data")), folder, "name", "data")
+    """A JSON file for each session, indented by 2; an older one is replaced as a whole."""
+    path = F.when(F.col("session_id") == "", F.lit(name)).otherwise(F.concat_ws("/", "session_id", F.lit(name)))
+
+    def write(part: Iterator) -> None:
+        for r in part:
+            _replace(target(folder, r["name"]), json.dumps(json.loads(r["text"]), indent=2).encode())
+
+    # a file may be one that the plan reads: each is replaced by a rename after all its session's row was made
+    docs.select(path.alias("name"), text.alias("text")).foreachPartition(write)
 
 
 def updated_manifest(old: DataFrame, stats: DataFrame, mask_dir: str) -> DataFrame:
@@ -75,6 +84,28 @@ def updated_manifest(old: DataFrame, stats: DataFrame, mask_dir: str) -> DataFra
     return rows.withColumn("manifest", F.col("manifest").dropFields("mask_dir", "mask_generation")).withColumn("manifest", F.col("manifest").withField("mask_dir", F.when(done, F.lit(mask_dir))).withField("mask_generation", F.col("__stats"))).drop("__stats")
 
 
+def logged(rows: DataFrame, what: str, every: int = 50) -> DataFrame:
+    """The same rows; each task logs how many it has passed on after every so many, and at its end."""
+    import logging
+
+    def run(batches: Iterator) -> Iterator:
+        log, n = logging.getLogger("framelake"), 0
+        for b in batches:
+            for k in range(n // every + 1, (n + b.num_rows) // every + 1):
+                log.info("%s: %d rows", what, k * every)
+            n += b.num_rows
+            yield b
+        log.info("%s: %d rows, done", what, n)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def counted(rows: DataFrame, what: str) -> tuple[DataFrame, Observation]:
+    """The same rows and an observation whose get() tells their number once an action has run."""
+    seen = Observation(what)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def sheet_pdf(rasters: list, labels: list[str], cells: list[tuple[int, float, float]], side_mm: float, page: tuple[float, float], path: str) -> None:
     """Marker sheets as a PDF: gray rasters at (page, x, y) in mm with a label, and a scale bar on each page."""
     pt = 72 / 25.4

@@ -1,7 +1,8 @@
 """Video source: AVI files with motion JPEG, as a Python data source with a reader for each range of frames.
 
 ``spark.read.format("mjpeg").option("stride", 5).load(path)`` gives session_id, source_video, fps, total_frames, width,
-height, frame_index, jpeg.  With option headers=true there is one row for each video.  A frame whose bytes are no JPEG
+height, frame_index, jpeg.  With option headers=true there is one row for each video, whose edges are the bytes that can
+hold its camera data: the whole file, or both ends of a large one, which are read by themselves.  A frame whose bytes are no JPEG
 is skipped (a gap, not a failure).
 """
 
@@ -19,7 +20,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from framelake.functions import probe
 
-SCHEMA = "session_id string, source_video string, fps double, total_frames int, width int, height int, frame_index int, jpeg binary"
+SCHEMA = "session_id string, source_video string, fps double, total_frames int, width int, height int, frame_index int, jpeg binary, edges binary"
 
 
 @dataclass
@@ -65,13 +66,26 @@ def session_of(path: str) -> str:
 @dataclass
 class FrameRange(InputPartition):
     path: str
-    first: int
-    last: int
+    total: int = 0
+    fps: float = 0.0
+    size: tuple[int, int] = (0, 0)
+    places: tuple[tuple[int, int, int], ...] = ()  # index, offset, bytes of the frames that are asked for
+
+
+def edges(path: str) -> bytes:
+    """The whole file, or its first and last EDGE bytes."""
+    n = os.path.getsize(path)
+    with open(path, "rb") as f:
+        if n <= 2 * probe.EDGE:
+            return f.read()
+        head = f.read(probe.EDGE)
+        f.seek(n - probe.EDGE)
+        return head + f.read()
 
 
 class Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
-        self.path = options["path"]
+        self.path = options["path"].removeprefix("file://").removeprefix("file:")
         self.stride = int(options.get("stride", "1"))
         self.headers = options.get("headers", "false") == "true"
         self.per_task = int(options.get("framesPerTask", "512"))
@@ -83,26 +97,26 @@ class Reader(DataSourceReader):
         if not paths:
             raise FileNotFoundError(self.path)
         if self.headers:
-            return [FrameRange(p, 0, 0) for p in paths]
-        step = self.per_task * max(1, self.stride)
-        return [FrameRange(p, i, min(i + step, n)) for p in paths for n in [len(header(p).frames)] for i in range(0, max(n, 1), step)]
+            return [FrameRange(p) for p in paths]
+        out = []
+        for p in paths:  # chunk heads only; each task gets the places of its own frames
+            h = header(p)
+            some = [(i, *h.frames[i]) for i in range(0, len(h.frames), self.stride)] if self.stride > 0 else []
+            out += [FrameRange(p, len(h.frames), h.fps, (h.width, h.height), tuple(some[k : k + self.per_task])) for k in range(0, max(1, len(some)), self.per_task)]
+        return out
 
     def read(self, part: FrameRange) -> Iterator[tuple]:
-        h = header(part.path)
-        base = (session_of(part.path), part.path, h.fps, len(h.frames), h.width, h.height)
         if self.headers:
-            yield (*base, None, None)
-            return
-        if self.stride < 0:
+            h = header(part.path)
+            yield session_of(part.path), part.path, h.fps, len(h.frames), h.width, h.height, None, None, edges(part.path)
             return
+        base = (session_of(part.path), part.path, part.fps, part.total, *part.size)
         with open(part.path, "rb") as f:
-            for i in range(part.first, part.last):
-                if i % self.stride == 0:
-                    at, size = h.frames[i]
-                    f.seek(at)
-                    data = f.read(size)
-                    if data[:2] == b"\xff\xd8":
-                        yield (*base, i, data)
+            for i, at, size in part.places:
+                f.seek(at)
+                data = f.read(size)
+                if data[:2] == b"\xff\xd8":
+                    yield (*base, i, data, None)
 
 
 class MotionJpeg(DataSource):
@@ -119,15 +133,14 @@ class MotionJpeg(DataSource):
 
 def frames(spark: SparkSession, path: str, stride: int = 1) -> DataFrame:
     spark.dataSource.register(MotionJpeg)
-    return spark.read.format("mjpeg").option("stride", stride).load(path)
+    return spark.read.format("mjpeg").option("stride", stride).load(path).drop("edges")
 
 
 def headers(spark: SparkSession, path: str) -> DataFrame:
     """One row for each video, with its focal length where the container tells it."""
     spark.dataSource.register(MotionJpeg)
     known = spark.read.format("mjpeg").option("headers", "true").load(path).drop("frame_index", "jpeg")
-    focal = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"([^/]+?)\.[^./]*$", 1).alias("session_id"), probe.focal_35mm(probe.as_text(probe.edges(F.col("content")))).alias("focal_length_35mm"))
-    return known.join(focal, "session_id", "left")
+    return known.withColumn("focal_length_35mm", probe.focal_35mm(probe.as_text(F.col("edges")))).drop("edges")
 
 
 def write_avi(path: str, jpegs: list[bytes], fps: int, width: int, height: int) -> None:

@@ -1,7 +1,7 @@
 """The tracking state machine over a stream: the state of a session is two values, kept in the state store.
 
-Frames of a session must arrive in order across micro-batches; within one they are sorted.  A session whose state has
-been cleared starts anew.
+Frames of a session must arrive in order across micro-batches; within one they are sorted.  A lost track clears the
+session's state, as a session that searches without a reference is one that has just begun.
 """
 
 from __future__ import annotations
@@ -31,9 +31,12 @@ class Machine(StatefulProcessor):
         frames = pd.concat(list(rows)).sort_values(["ts", "event_id"])
         out = []
         for r in frames.itertuples():
-            src, again, lost = own.step(r.area, r.cov, bool(r.marked), _none(r.a1), _none(r.a2))
+            src, again, lost = own.row(_none(r.area), _none(r.cov), bool(r.marked), _none(r.a1), _none(r.a2))
             out.append((key[0], r.event_id, src, int(again), int(lost)))
-        self.state.update((own.on, own.ref))
+        if own.on:
+            self.state.update((own.on, own.ref))
+        else:
+            self.state.clear()
         yield pd.DataFrame(out, columns=["user_id", "event_id", "source", "reanchor", "track_reset"])
 
     def close(self) -> None:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from framelake import schemas, settings
 from framelake.functions import geometry, probe, records
-from framelake.operators import documents, quality, raster, selection, tracking
+from framelake.operators import documents, flat, quality, raster, selection, tracking
+from framelake.plans import programs
 from framelake.sources import files, sinks, video
 
 
@@ -15,12 +16,13 @@ def one(spark, c):
     return spark.range(1).select(c.alias("x")).first()["x"]
 
 
-def squares(*mids, side=20):
-    h = side / 2
-    return [[[x - h, y - h], [x + h, y - h], [x + h, y + h], [x - h, y + h]] for x, y in mids]
+def diamond(x, y, r):
+    """A marker that stands on its tip."""
+    return [[x, y - r], [x + r, y], [x, y + r], [x - r, y]]
 
 
-THREE = squares((100, 100), (200, 100), (150, 180))
+#: Four markers of unlike size in a 90 x 70 image.
+FOUR = [diamond(20.0, 15.0, 6.0), diamond(45.0, 22.0, 4.0), diamond(62.0, 40.0, 8.0), diamond(30.0, 50.0, 5.0)]
 
 
 def lit(spark, value, kind):
@@ -72,20 +74,93 @@ def test_fence_rules(spark):
 
 
 def test_geometry(spark):
-    m = lit(spark, THREE, "array<array<array<double>>>")
-    b = m.select(geometry.marker_box(F.col("v"), F.lit(320), F.lit(240)).alias("b")).first()["b"]
-    assert tuple(b) == (50.0, 50.0, 250.0, 230.0)
-    assert m.select(geometry.marker_box(F.slice("v", 1, 2), F.lit(320), F.lit(240)).alias("b")).first()["b"] is None
-    assert m.select(geometry.median_side(F.col("v"))).first()[0] == 20.0
-    boxes = lit(spark, [(0.0, 0.0, 50.0, 50.0, 0.9), (80.0, 70.0, 230.0, 200.0, 0.5), (80.0, 70.0, 230.0, 200.0, 0.5)], "array<struct<x0:double,y0:double,x1:double,y1:double,score:double>>")
-    pts = F.array(*[F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in ((100, 100), (200, 100), (150, 180))])
-    assert boxes.select(geometry.best_box(F.col("v"), pts).alias("b")).first()["b"].x0 == 80.0
-    none = F.filter(pts, lambda p: p["x"] < 0)
-    assert boxes.select(geometry.best_box(F.col("v"), none).alias("b")).first()["b"].score == 0.9
-    assert raster.marker_box([np.array(c) for c in THREE], 320, 240).tolist() == [50, 50, 250, 230]
-
-
-@pytest.mark.parametrize(("payload", "want"), [(b"FocalLengthIn35mmFilm>27/1<", 27.0), (b"exif:focallengthin35mmfilm=\"24\"", 24.0), (b"com.apple.quicktime.camera.focal_length.35mm_equivalent" + bytes(20) + b"26.5", 26.5), (b"FocalLengthIn35mmFilm=9000", None), (b"FocalLengthIn35mmFilm=24/0", None), (b"nothing", None)])
+    """Array expressions, flat plans and numpy give the same boxes and choices, and those of plain loops."""
+    m = lit(spark, FOUR, "array<array<array<double>>>")
+    side = float(np.median([np.hypot(6, 6), np.hypot(4, 4), np.hypot(8, 8), np.hypot(5, 5)]))
+    xs, ys = [p[0] for q in FOUR for p in q], [p[1] for q in FOUR for p in q]
+    want = [max(0, min(xs) - 2 * side), max(0, min(ys) - 2 * side), min(89, max(xs) + 2 * side), min(69, max(ys) + 2 * side)]
+    assert m.select(geometry.median_side(F.col("v"))).first()[0] == pytest.approx(side)
+    assert list(m.select(geometry.marker_box(F.col("v"), F.lit(90), F.lit(70)).alias("b")).first()["b"]) == pytest.approx(want)
+    assert m.select(geometry.marker_box(F.slice("v", 2, 2), F.lit(90), F.lit(70)).alias("b")).first()["b"] is None
+    marks = raster.Marks(FOUR)
+    assert marks.prompt((70, 90)).tolist() == pytest.approx(want) and raster.Marks(FOUR[:2]).prompt((70, 90)) is None
+    cols = [c for xy in flat.CORNERS for c in xy]
+    rows = spark.createDataFrame([(1, *[float(v) for p in q for v in p]) for q in FOUR] + [(2, *[float(v) for p in q for v in p]) for q in FOUR[:2]], ["k", *cols])
+    got = flat.prompts(rows, ["k"], 90, 70).collect()
+    assert [r.k for r in got] == [1] and list(got[0])[1:] == pytest.approx(want)
+    boxes = [(0.0, 0.0, 50.0, 30.0, 0.4), (10.0, 10.0, 70.0, 45.0, 0.3), (10.0, 10.0, 70.0, 45.0, 0.3), (80.0, 60.0, 89.0, 69.0, 0.99)]
+    b = lit(spark, boxes, "array<struct<x0:double,y0:double,x1:double,y1:double,score:double>>")
+    pts = m.select(F.explode(geometry.centers(F.col("v"))).alias("p")).select(F.lit(1).alias("k"), "p.x", "p.y")
+    mids = F.array(*[F.struct(F.lit(r.x).alias("x"), F.lit(r.y).alias("y")) for r in pts.orderBy("x").collect()])
+    for points, flat_points, np_marks, place in ((mids, pts, marks, 1), (F.filter(mids, lambda p: p["x"] < 0), pts.where("false"), raster.Marks([]), 3), (F.array(F.struct(F.lit(85.0).alias("x"), F.lit(5.0).alias("y"))), spark.createDataFrame([(1, 85.0, 5.0)], "k int, x double, y double"), raster.Marks([diamond(85.0, 5.0, 2.0)]), None)):
+        x = b.select(geometry.best_box(F.col("v"), points).alias("b")).first()["b"]
+        y = flat.best_boxes(spark.createDataFrame([(1, *v, i) for i, v in enumerate(boxes)], "k int, x0 double, y0 double, x1 double, y1 double, score double, place int"), flat_points, ["k"]).collect()
+        z = np_marks.choose(np.array(boxes)[:, :4], np.array(boxes)[:, 4])
+        assert (x is None) == (not y) == (z is None) == (place is None)
+        if place is not None:
+            assert tuple(x) == boxes[place] and y[0].box.place == place and z.tolist() == list(boxes[place][:4])
+    nested = lit(spark, [[[[1, 2], [3, 4], [5, 6], [7, 8]]]], "array<array<array<array<int>>>>")
+    assert nested.select(F.transform("v", geometry.four_points).alias("x")).first()["x"] == [[[1.0, 2.0], [3.0, 4.0], [5.0, 6.0], [7.0, 8.0]]]
+
+
+def test_measures():
+    mask = np.zeros((70, 90), bool)
+    mask[10:30, 15:50] = True
+    marks = raster.Marks(FOUR)
+    area, covered = marks.measured(mask)
+    assert covered == 0.5 and area == pytest.approx(700 / marks.side**2) and raster.Marks([]).measured(mask) == (700.0, 1.0)
+    with pytest.raises(ZeroDivisionError):
+        raster.Marks([[[3, 3]] * 4]).measured(mask)
+
+
+@pytest.mark.parametrize("quad", [[[5, 5], [30, 8], [28, 30], [4, 25]], [[5, 5], [30, 30], [30, 5], [5, 30]], [[5, 5], [30, 5], [12, 12], [5, 30]], [[-9, 10], [50, 10], [50, 14], [-9, 14]], [[60, 60], [70, 60], [70, 70], [60, 70]]])
+def test_polygons_against_crossing_counts(quad):
+    got = np.zeros((40, 40), bool)
+    raster.polygon(got, np.array(quad, float))
+    for y in range(40):
+        for x in range(40):
+            crossings, near = 0, 9.0
+            for (xa, ya), (xb, yb) in zip(quad, quad[1:] + quad[:1]):
+                if (ya <= y) != (yb <= y) and x < xa + (y - ya) * (xb - xa) / (yb - ya):
+                    crossings += 1
+                t = np.clip(((x - xa) * (xb - xa) + (y - ya) * (yb - ya)) / max(1, (xb - xa) ** 2 + (yb - ya) ** 2), 0, 1)
+                near = min(near, np.hypot(x - xa - t * (xb - xa), y - ya - t * (yb - ya)))
+            if near > 0.8:  # pixels on an edge's line count as inside
+                assert got[y, x] == (crossings % 2 == 1), (x, y)
+            elif near < 0.1:
+                assert got[y, x]
+
+
+@pytest.mark.parametrize("exact", [40, 10**6])
+def test_medians_of_groups_of_any_size(spark, exact):
+    rng = np.random.default_rng(7)
+    groups = {"a": rng.normal(size=3000), "b": rng.integers(0, 4, 2001).astype(float), "c": np.full(500, 2.5), "d": rng.exponential(size=7), "e": np.array([1.0]), "f": np.r_[np.zeros(400), rng.random(400)], None: rng.random(1000)}
+    d = spark.createDataFrame([(k, float(v)) for k, vs in groups.items() for v in vs], "g string, v double")
+    got = {r.g: (r.n, r.median) for r in quality.medians(d, ["g"], "v", exact).collect()}
+    assert set(got) == set(groups) and all(got[k] == (len(v), pytest.approx(np.median(v), abs=0)) for k, v in groups.items())
+    f = {r.g: r for r in quality.fence(d, ["g"], "v", exact).collect()}
+    for k, v in groups.items():
+        if len(v) >= 3:
+            mad = np.median(np.abs(v - np.median(v)))
+            assert f[k].mad == pytest.approx(mad, abs=1e-15) and f[k].threshold == pytest.approx(max(np.median(v) - 3 * 1.4826 * mad, 0))
+    assert quality.medians(d.where("false"), ["g"], "v", exact).count() == 0
+
+
+TAG, KEY = b"FocalLengthIn35mmFilm", probe.APPLE.encode()
+
+
+@pytest.mark.parametrize(("payload", "want"), [
+    (TAG + b"='77'", 77.0),
+    (TAG.upper() + b": 105/3;", 35.0),
+    (TAG + b"=31/0 " + TAG + b"=44", 44.0),
+    (TAG + b"=5 " + TAG + b"=200", 200.0),
+    (TAG + b"=201", None),
+    (KEY + b"....33.25", 33.25),
+    (KEY.upper() + b"....33.25", None),
+    (KEY + bytes(64) + b"33", None),
+    (TAG + b"=9 " + KEY + b" 10", 10.0),
+    (b"", None),
+])
 def test_focal(spark, payload, want):
     d = spark.createDataFrame([(bytearray(bytes(64) + payload + bytes(64)),)], "v binary")
     assert d.select(probe.focal_35mm(probe.as_text(probe.edges(F.col("v"))))).first()[0] == want
@@ -121,48 +196,64 @@ def test_last_wins(spark):
     assert documents.last_wins(r, ["session_id"], "filename", "m", "frame_index").first()["entries"] == {"a": "y", "b": "z"}
 
 
-class Scripted(tracking.BoxTracker):
-    """Segments are the box; steps at the given calls are empty."""
+class Lists(tracking.BoxTracker):
+    """Answers from lists: what the detector sees in each frame, and of each segment whether it comes out empty."""
 
-    def __init__(self, empty=(), fail=False, start_empty=False, boxes=True):
+    def __init__(self, seen, empty=""):
         super().__init__()
-        self.calls, self.steps, self.empty, self.fail, self.start_empty, self.boxes = [], 0, set(empty), fail, start_empty, boxes
+        self.log, self.seen, self.empty = "", list(seen), empty
 
     def detect(self, rgb):
-        self.calls.append("detect")
-        return (np.array([[80.0, 70, 230, 200]]), np.array([0.9])) if self.boxes else (np.zeros((0, 4)), np.zeros(0))
-
-    def start(self, rgb, box):
-        self.calls.append("start")
-        m = super().start(rgb, box)
-        return m & False if self.start_empty and self.calls.count("start") == 1 else m
-
-    def step(self, rgb):
-        self.calls.append("step")
-        self.steps += 1
-        m = super().step(rgb)
-        return m & False if self.steps in self.empty else m
-
-    def correct(self, box):
-        self.calls.append("correct")
-        m = super().correct(box)
-        return m & False if self.fail else m
-
-
-@pytest.mark.parametrize(("tracker", "n", "corners", "calls", "counts"), [
-    (Scripted(), 3, 3, "detect start step step", dict(frames_dino=1, frames_tracked=2)),
-    (Scripted(empty=[1]), 3, 3, "detect start step detect correct step", dict(frames_dino=2, frames_tracked=1, reanchors=1)),
-    (Scripted(empty=[1], fail=True), 3, 3, "detect start step detect correct correct detect start", dict(frames_dino=2, frames_fallback_full=1, track_resets=1)),
-    (Scripted(start_empty=True), 1, 3, "detect start start", dict(frames_aruco_box=1)),
-    (Scripted(boxes=False), 2, 1, "detect detect", dict(frames_fallback_full=2)),
+        self.log += "D"
+        box = self.seen.pop(0)
+        return (np.array([box], float), np.ones(1)) if box else (np.zeros((0, 4)), np.zeros(0))
+
+    def _mask(self, box):
+        self.log += "m"
+        return super()._mask(box) & (self.empty[self.log.count("m") - 1 : self.log.count("m")] != "x")
+
+
+WIDE = [10, 8, 75, 60]
+
+
+@pytest.mark.parametrize(("seen", "empty", "marks", "log", "sources", "events"), [
+    # found at once, then followed without asking the detector again
+    ([WIDE], "", [4, 4, 0, 4], "Dmmmm", "dino tracked tracked tracked", (0, 0)),
+    # the second frame's track is empty: corrected by the detector's box
+    ([WIDE, WIDE], ".x..", [4, 4, 4], "DmmDmm", "dino dino tracked", (1, 0)),
+    # corrected by the markers' box, as the detector sees nothing
+    ([WIDE, None], ".x..", [4, 4], "DmmDm", "dino aruco_box", (1, 0)),
+    # nothing helps: the whole image, and the search begins anew
+    ([WIDE, WIDE, WIDE], ".xxx.", [4, 4, 0], "DmmDmmDm", "dino fallback_full dino", (0, 1)),
+    # two markers make no box, and the detector's box holds none of them
+    ([[80, 60, 89, 69], None], "", [2, 0], "DD", "fallback_full fallback_full", (0, 0)),
+    # the area jumps from one frame to the next: the track is no longer trusted
+    ([WIDE, [12, 9, 70, 55]], "", [4, 4], "DmmDm", "dino dino", (1, 0)),
 ])
-def test_sessions(tracker, n, corners, calls, counts):
-    s = tracking.Session(tracker)
-    for _ in range(n):
-        s.frame(np.zeros((240, 320, 3), np.uint8), [np.array(c) for c in THREE[:corners]])
-    assert " ".join(tracker.calls) == calls
-    got = {k: v for k, v in s.stats().items() if v and k.startswith(("frames", "re", "track"))}
-    assert got == counts
+def test_sessions(seen, empty, marks, log, sources, events):
+    tracker = Lists(seen, empty)
+    session = tracking.Session(tracker)
+    got = []
+    for i, n in enumerate(marks):
+        if log == "DmmDm" and sources == "dino dino" and i:
+            tracker.box = np.array([44, 21, 46, 23])  # the model has lost most of it
+        got.append(session.frame(np.zeros((70, 90, 3), np.uint8), [np.array(c) for c in FOUR[:n]])[1])
+    assert tracker.log == log and " ".join(got) == sources
+    stats = session.stats()
+    assert (stats["reanchors"], stats["track_resets"]) == events and sum(stats[f"frames_{s}"] for s in tracking.SOURCES) == len(marks) and stats["device"] == "cpu"
+
+
+def test_state_keeps_and_drops_its_reference():
+    s = tracking.State()
+    assert s.row(5.0, 1.0, True, None, 40.0) == (2, False, False) and s.ref == 40.0
+    assert s.row(21.0, 0.5, True, None, None) == (0, False, False) and s.ref == 21.0
+    assert s.row(900.0, 0.0, False, None, None) == (0, False, False) and s.ref == 21.0
+    assert s.row(43.0, 1.0, True, 42.0, None) == (1, True, False) and s.ref == 42.0
+    assert s.row(42.0, 0.49, True, 0.0, 20.9) == (3, False, True) and (s.on, s.ref) == (False, None)
+    with pytest.raises(RuntimeError):
+        tracking.BoxTracker().step(np.zeros((2, 2, 3)))
+    with pytest.raises(RuntimeError):
+        tracking.BoxTracker().correct(np.zeros(4))
 
 
 def test_rasters():
@@ -176,9 +267,19 @@ def test_rasters():
     d = raster.dilated(m, 3)
     y, x = np.nonzero(d)
     assert d[20, 22:29].all() and d[17:24, 25].all() and ((y - 20) ** 2 + (x - 25) ** 2 <= 3.6**2).all()
-    f = raster.finished(np.zeros((240, 320), bool), [np.array(c) for c in THREE])
-    assert f[100, 100] == 255 and f[100, 115] == 255 and f[100, 116] == 0
-    assert (raster.finished(m, []) == m * 255).all()
+    marks = raster.Marks(FOUR)
+    f, grow = raster.finished(np.zeros((70, 90), bool), marks), int(np.rint(0.25 * marks.side))
+    assert grow == 2 and f[40, 62] == 255 and f[40, 62 + 8 + grow] == 255 and f[40, 62 + 8 + grow + 1] == 0
+    assert (raster.finished(m, raster.Marks([])) == m * 255).all()
+
+
+def test_words_from_a_table(tmp_path):
+    words = raster.code_words(4, 3)
+    (tmp_path / "t.txt").write_text("\n".join(" ".join(map(str, w.ravel())) for w in words))
+    assert (raster.words_from(str(tmp_path / "t.txt")) == words).all()
+    (tmp_path / "t.txt").write_text("101")
+    with pytest.raises(ValueError):
+        raster.words_from(str(tmp_path / "t.txt"))
 
 
 def test_markers_are_found_again():
@@ -228,3 +329,101 @@ def test_video_source(spark, tmp_path):
     assert sorted(os.listdir(tmp_path / "out" / "clip"))[:2] == ["frame_00.jpg", "frame_01.jpg"]
     with pytest.raises(Exception):
         video.frames(spark, str(tmp_path / "none.avi")).collect()
+
+
+def jpeg(spark, gray):
+    """JPEG bytes of a gray image, by the JVM's encoder."""
+    jvm, (h, w) = spark._jvm, gray.shape
+    image = jvm.java.awt.image.BufferedImage(w, h, 10)
+    px = spark.sparkContext._gateway.new_array(jvm.int, h * w)
+    for i, v in enumerate(gray.ravel().tolist()):
+        px[i] = v
+    image.getRaster().setPixels(0, 0, w, h, px)
+    out = jvm.java.io.ByteArrayOutputStream()
+    jvm.javax.imageio.ImageIO.write(image, "jpg", out)
+    return bytes(out.toByteArray())
+
+
+def test_programs_from_video_to_masks(spark, tmp_path):
+    """extract, detect, choose, mask and sheet, each from the files of the one before."""
+    words = raster.code_words(4, 30)
+
+    def shot(ids, grain):
+        g = np.full((60, 150), 255, np.uint8)
+        for k, i in enumerate(ids):
+            g[10:46, 6 + 48 * k : 42 + 48 * k] = raster.marker(words[i], 36)
+        return g if grain else np.full((60, 150), 90, np.uint8)
+
+    frames = [shot([3, 7, 9], 1), shot([], 1), shot([3, 7, 9], 1), shot([], 1), shot([3, 20], 1), shot([], 1), shot([], 0)]
+    clip, out = str(tmp_path / "walk.avi"), str(tmp_path / "out")
+    video.write_avi(clip, [jpeg(spark, g) for g in frames], 10, 150, 60)
+    with open(clip, "ab") as f:
+        f.write(b"FocalLengthIn35mmFilm=28")
+    rows = programs.extract(spark, clip, out, stride=2)
+    assert sorted(r.filename for r in rows.collect()) == [f"frame_{i}.jpg" for i in (0, 2, 4, 6)]
+    meta = json.loads(open(f"{out}/walk/metadata.json").read())
+    assert (meta["total_frames"], meta["frames_extracted"], meta["stride"], meta["resolution"], meta["focal_length_35mm"]) == (7, 4, 2, {"width": 150, "height": 60}, 28.0)
+    assert meta["frames"][1] == {"frame_index": 2, "timestamp_s": 0.2, "filename": "frame_2.jpg"} and open(f"{out}/walk/metadata.json").read().startswith('{\n  "')
+    programs.detect(spark, out, words)
+    found = json.loads(open(f"{out}/walk/detections.json").read())
+    assert (found["dictionary"], found["total_frames"], found["frames_with_detections"]) == ("DICT_4X4_250", 4, 3)
+    assert [d["marker_ids"] for d in found["detections"]] == [[3, 7, 9], [3, 7, 9], [3, 20], []]
+    programs.choose(spark, out, min_markers=2, valid_ids=[3, 7, 9])
+    made = json.loads(open(f"{out}/walk/manifest.json").read())
+    assert made["frames"] == ["frame_0.jpg", "frame_2.jpg"] and made["frames_filtered_out"] == 2 and "mask_dir" not in made
+    assert made["sharpness"]["frames_scored"] == 4 and made["camera"] == {"focal_length_35mm": 28.0, "width_px": 150, "height_px": 60}
+    assert sorted(os.listdir(f"{out}/walk/filtered")) == ["frame_0.jpg", "frame_2.jpg"]
+    stats = programs.mask(spark, out).collect()[0]
+    made = json.loads(open(f"{out}/walk/manifest.json").read())
+    assert made["mask_dir"] == "masks" and made["mask_generation"]["frames_tracked"] + made["mask_generation"]["frames_dino"] + made["mask_generation"]["frames_aruco_box"] + made["mask_generation"]["frames_fallback_full"] == 2
+    assert made["mask_generation"]["detector_model"] == stats["detector_model"] == "bright" and made["frames"] == ["frame_0.jpg", "frame_2.jpg"]
+    assert sorted(os.listdir(f"{out}/walk/filtered/masks")) == ["frame_0.jpg.png", "frame_2.jpg.png"]
+    programs.sheet(spark, str(tmp_path / "sheet"), words, num_markers=8, side_pixels=60, margin_pixels=10, dpi=100)
+    sheet = json.loads(open(tmp_path / "sheet" / "manifest.json").read())
+    assert (sheet["ids"], sheet["total_image_side_pixels"], sheet["total_image_side_mm"], sheet["dictionary"]) == (list(range(8)), 80, 20.32, "DICT_4X4_50") and sheet["generated_at"].endswith("+00:00")
+    assert len([f for f in os.listdir(tmp_path / "sheet") if f.endswith(".png")]) == 8 and (tmp_path / "sheet" / "sheet.pdf").read_bytes().count(b"/Subtype /Image") == 8
+
+
+@pytest.mark.parametrize(("name", "doc"), [
+    ("FRAME", {"frame_index": 1, "timestamp_s": 0.5, "filename": "f"}),
+    ("VIDEO", {"source_video": "v", "fps": 25.0, "total_frames": 9, "resolution": {"width": 4, "height": 3}, "stride": 2, "frames_extracted": 1, "extracted_at": "t", "opencv_version": "n", "frames": [{"frame_index": 0, "timestamp_s": 0.0, "filename": "a"}]}),
+    ("DETECTION", {"filename": "f", "frame_index": 1, "markers_detected": 1, "marker_ids": [4], "corners": [[[0.0, 1.0], [2.0, 3.0]]]}),
+    ("DETECTIONS", {"dictionary": "D", "total_frames": 1, "frames_with_detections": 0, "detections": []}),
+    ("MARKER", {"id": 3, "corners": [[0.0, 0.5]]}),
+    ("SHEET", {"dictionary": "D", "num_markers": 1, "ids": [0], "side_pixels": 5, "margin_pixels": 1, "total_image_side_pixels": 7, "dpi": 300, "total_image_side_mm": 0.593, "generated_at": "t"}),
+])
+def test_every_record_comes_back(spark, tmp_path, name, doc):
+    (tmp_path / "s9").mkdir()
+    (tmp_path / "s9" / "x.json").write_text(json.dumps(doc | {"unknown": 1}))
+    d = files.documents(spark, f"{tmp_path}/*/x.json", name)
+    assert json.loads(d.select(records.encoded(F.col("record"), name)).first()[0]) == doc and d.first().session_id == "s9"
+    gone = next(iter(schemas.required(name)))
+    (tmp_path / "s9" / "x.json").write_text(json.dumps({k: v for k, v in doc.items() if k != gone}))
+    with pytest.raises(Exception, match=f"missing keys {gone}"):
+        files.documents(spark, f"{tmp_path}/*/x.json", name).collect()
+    (tmp_path / "s9" / "x.json").write_text("{broken")
+    with pytest.raises(Exception):
+        files.documents(spark, f"{tmp_path}/*/x.json", name).collect()
+    with pytest.raises(Exception):
+        files.documents(spark, f"{tmp_path}/*/none.json", name).collect()
+
+
+def test_large_files_are_probed_at_both_ends(tmp_path, monkeypatch):
+    monkeypatch.setattr(probe, "EDGE", 10)
+    p = tmp_path / "v"
+    for n in (5, 20, 21, 100):
+        p.write_bytes(bytes(range(n)))
+        assert video.edges(str(p)) == (bytes(range(n)) if n <= 20 else bytes(range(10)) + bytes(range(n - 10, n)))
+
+
+def test_progress_and_names(spark, caplog):
+    rows, seen = sinks.counted(spark.range(7), "seven")
+    assert rows.count() == 7 and seen.get["rows"] == 7
+    assert sinks.logged(spark.range(130), "steps").count() == 130
+    assert settings.device("auto", True) == "cuda" and settings.device("auto") == "cpu" and settings.session_name("/a/b.c.mp4", "1") == "b.c_1"
+    with pytest.raises(ValueError):
+        settings.device("tpu")
+    with pytest.raises(RuntimeError):
+        settings.device("cuda", False)
+    d = spark.createDataFrame([("/x/A.MoV", 0.41, 0.31), ("/x/b.txt", 0.4, 0.9)], "p string, s double, t double")
+    assert [tuple(r) for r in d.select(settings.is_video(F.col("p")), settings.strong_enough(F.col("s"), F.col("t")), settings.session_column(F.col("p"), F.lit("2024-01-02 03:04:05").cast("timestamp"))).collect()] == [(True, True, "A_20240102_030405"), (False, False, "b_20240102_030405")]

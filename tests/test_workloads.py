@@ -12,7 +12,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_manifest_document_keeps_nested_nulls(spark):
-    got = [r["json"] for r in workloads.manifest_document(spark, SF).collect()]
+    got = [r["json"] for r in workloads.manifest_json(spark, SF).collect()]
     assert got and all('"dictionary":"DICT_4X4_250"' in j and "mask_dir" not in j and "sharpness" not in j for j in got)
     assert any('"camera":{"focal_length_35mm":null,"width_px":640' in j for j in got)
 
