@@ -68,6 +68,8 @@ respond disqus disqus-thread share-buttons share-bar share-box share-links socia
 related related-posts related-articles related-content related-links related-stories recommended recommendations trending widget widgets
 pagination pager toolbar search-form login-form skip-link""".split())
 DROPPED_STARTS = frozenset("ad ads advert adverts advertisement adsense".split())
+#: Bytes of template hashes that may be broadcast.
+SMALL = 4_000_000
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 
 
@@ -339,8 +341,9 @@ def host_of(url: str = "url"):
 
 
 def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2) -> DataFrame:
-    """page key -> the template subtrees on that page: pk, template (array).
+    """host, template: the template subtrees of each host that has any (array).
 
+    The table has a row for each host and at most 1 / least_share times as many hashes of it as a page has elements.
     A subtree is template if it is on least_pages pages of the host at least and on least_share of them, pages with the
     same main text counted once.
     """
@@ -356,13 +359,16 @@ def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2)
     per_host = seen.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     often = rows.select("host", "h", "main").distinct().groupBy("host", "h").agg(F.count("*").alias("n")).where(f"n >= {least_pages}")
     often = often.join(per_host, "host").where(F.col("n") >= least_share * F.col("pages")).select("host", "h")
-    return rows.join(often, ["host", "h"]).groupBy("pk").agg(F.collect_set("h").alias("template"))
+    return often.groupBy("host").agg(F.collect_list("h").alias("template"))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row."""
     keyed = pages.select("page_id", "url", "html", host_of().alias("host"), F.xxhash64("page_id", "url", "html").alias("pk"))
-    found = keyed.join(templates(keyed), "pk", "left").select("page_id", "url", "html", "template")
+    # written first, so that its size is known before the pages move: a small table goes to them, else they are dealt by host
+    marks = written(templates(keyed), "templates")
+    size = marks.agg(F.coalesce(F.sum(8 * F.size("template") + F.octet_length("host") + 32), F.lit(0))).first()[0]
+    found = keyed.join(F.broadcast(marks) if size <= SMALL else marks, "host", "left").select("page_id", "url", "html", "template")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):

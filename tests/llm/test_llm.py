@@ -169,7 +169,9 @@ def test_unclosed_and_self_closed(html, want):
     assert htmltext.extract(html) == want
 
 
-def test_site_template(spark):
+@pytest.mark.parametrize("small", [0, 4_000_000])
+def test_site_template(spark, monkeypatch, small):
+    monkeypatch.setattr(htmltext, "SMALL", small)
     bar = "<div><span>follow us everywhere</span></div>"
     rows = [(i, f"https://a.org/{i}", f"<body>{bar}<div><p>text {i}</p><p>shared by all</p></div></body>") for i in range(8)]
     rows += [(8, "https://b.org/1", f"<body>{bar}<p>alone</p></body>"), (9, None, None), (9, None, None)]
