@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from framelake import settings
 from framelake.functions import geometry, probe, records
 from framelake.operators import documents, flat, quality, raster, selection, tracking
-from framelake.sources import files, sinks, video
+from framelake.sources import files, sinks, storage, video
 
 WHITELIST = list(range(0, 50, 3))
 
@@ -266,7 +266,7 @@ def mjpeg_source(spark: SparkSession, d: str) -> DataFrame:
     def write(part) -> None:
         for r in part:
             shots = [b"\xff\xd8" + f"{r['n_name']} {i}".encode() + b"\xff\xd9" for i in range(2 * r["n_nationkey"] + 1)]
-            video.write_avi(sinks.target(at, f"n{r['n_nationkey']}.avi"), shots, 25, 64, 48)
+            video.write_avi(storage.joined(at, f"n{r['n_nationkey']}.avi"), shots, 25, 64, 48)
 
     table(spark, d, "nation").select("n_nationkey", "n_name").foreachPartition(write)
     rows = video.frames(spark, at, 3)

@@ -3,29 +3,13 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
-import uuid
 import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-
-def target(folder: str, name: str) -> str:
-    """A path below a folder that all machines mount (a plain path or file://); its own folder is made."""
-    path = os.path.join(folder.removeprefix("file://").removeprefix("file:"), name)
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    return path
-
-
-def _replace(path: str, data: bytes) -> None:
-    """Written beside and renamed, so a task that is tried again leaves no half file."""
-    part = f"{path}.{uuid.uuid4().hex}"
-    with open(part, "wb") as f:
-        f.write(data)
-    os.replace(part, path)
+from framelake.sources import storage
 
 
 def bytes_files(rows: DataFrame, folder: str, name: str, data: str) -> None:
@@ -33,7 +17,7 @@ def bytes_files(rows: DataFrame, folder: str, name: str, data: str) -> None:
 
     def write(part: Iterator) -> None:
         for r in part:
-            _replace(target(folder, r[name]), bytes(r[data]))
+            storage.replaced(storage.joined(folder, r[name]), bytes(r[data]))
 
     rows.select(name, data).foreachPartition(write)
 
@@ -54,13 +38,11 @@ def marker_files(markers: DataFrame, folder: str) -> None:
 
 
 def copies(rows: DataFrame, source: str, to: str) -> None:
-    """Copies the files of (session_id, filename) with their times; missing ones are skipped."""
+    """Copies the files of (session_id, filename), with their times on a mount; missing ones are skipped."""
 
     def copy(part: Iterator) -> None:
         for r in part:
-            old = os.path.join(source.removeprefix("file://").removeprefix("file:"), r["session_id"], r["filename"])
-            if os.path.exists(old):
-                shutil.copy2(old, target(to, os.path.join(r["session_id"], "filtered", r["filename"])))
+            storage.copied(storage.joined(source, f"{r['session_id']}/{r['filename']}"), storage.joined(to, f"{r['session_id']}/filtered/{r['filename']}"))
 
     rows.select("session_id", "filename").foreachPartition(copy)
 
@@ -71,7 +53,7 @@ def json_documents(docs: DataFrame, text: Column, folder: str, name: str) -> Non
 
     def write(part: Iterator) -> None:
         for r in part:
-            _replace(target(folder, r["name"]), json.dumps(json.loads(r["text"]), indent=2).encode())
+            storage.replaced(storage.joined(folder, r["name"]), json.dumps(json.loads(r["text"]), indent=2).encode())
 
     # a file may be one that the plan reads: each is replaced by a rename after all its session's row was made
     docs.select(path.alias("name"), text.alias("text")).foreachPartition(write)
@@ -135,4 +117,4 @@ def sheet_pdf(rasters: list, labels: list[str], cells: list[tuple[int, float, fl
         out += b"%d 0 obj\n%s\nendobj\n" % (i, o)
     table = b"".join(b"%010d 00000 n \n" % a for a in at)
     out += b"xref\n0 %d\n0000000000 65535 f \n%strailer\n<< /Size %d /Root 1 0 R >>\nstartxref\n%d\n%%%%EOF\n" % (len(at) + 1, table, len(at) + 1, len(out))
-    _replace(path, out)
+    storage.replaced(path, out)

@@ -3,22 +3,24 @@
 ``spark.read.format("mjpeg").option("stride", 5).load(path)`` gives session_id, source_video, fps, total_frames, width,
 height, frame_index, jpeg.  With option headers=true there is one row for each video, whose edges are the bytes that can
 hold its camera data: the whole file, or both ends of a large one, which are read by themselves.  A frame whose bytes are no JPEG
-is skipped (a gap, not a failure).
+is skipped (a gap, not a failure).  Files may lie wherever framelake.sources.storage reads.
 """
 
 from __future__ import annotations
 
-import glob
 import os
 import struct
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from framelake.functions import probe
+from framelake.sources import storage
 
 SCHEMA = "session_id string, source_video string, fps double, total_frames int, width int, height int, frame_index int, jpeg binary, edges binary"
 
@@ -31,18 +33,45 @@ class Header:
     frames: list[tuple[int, int]]  # offset, size
 
 
+#: An entry of the index chunk.
+ENTRY = np.dtype([("kind", "S4"), ("flags", "<u4"), ("offset", "<u4"), ("size", "<u4")])
+
+
+def indexed(f, movi: int, size: int) -> list[tuple[int, int]] | None:
+    """The frames of the list at movi from the index chunk behind it, in one read; None where there is none to go by."""
+    f.seek(movi + size + (size & 1))
+    head = f.read(8)
+    if head[:4] != b"idx1":
+        return None
+    raw = f.read(struct.unpack("<I", head[4:])[0])
+    entries = np.frombuffer(raw[: len(raw) // ENTRY.itemsize * ENTRY.itemsize], ENTRY)
+    own = entries[np.isin([k[2:] for k in entries["kind"].tolist()], [b"dc", b"db"])]
+    if not len(own):
+        return None
+    end, first = f.tell(), own[0]
+    for base in (movi, 0):  # offsets count from the list's name or from the file's start
+        f.seek(base + int(first["offset"]))
+        if f.read(8) == struct.pack("<4sI", first["kind"], int(first["size"])):
+            f.seek(end + (end & 1))
+            return list(zip((own["offset"].astype(np.int64) + base + 8).tolist(), own["size"].tolist(), strict=True))
+    return None
+
+
 def header(path: str) -> Header:
-    """Rate, size and the places of all frames; only chunk heads are read, pixels are skipped."""
+    """Rate, size and the places of all frames, from the index or else from the chunk heads; pixels are skipped."""
     fps, width, height, frames = 0.0, 0, 0, []
-    with open(path, "rb") as f:
+    with storage.opened(path) as f:
         if f.read(4) != b"RIFF" or f.seek(8) != 8 or f.read(4) != b"AVI ":
             raise ValueError(f"{path}: not an AVI file; other containers need a decoder that is not here")
-        end = os.path.getsize(path)
+        end = f.size()
         while f.tell() + 8 <= end:
             kind, size = struct.unpack("<4sI", f.read(8))
             at = f.tell()
             if kind in (b"LIST", b"RIFF"):
-                f.seek(4, 1)  # its chunks follow
+                if f.read(4) == b"movi" and (found := indexed(f, at, size)):
+                    frames += found
+                    continue
+                f.seek(at + 4)  # its chunks follow
                 continue
             if kind == b"avih":
                 h = struct.unpack("<14I", f.read(56))
@@ -74,8 +103,8 @@ class FrameRange(InputPartition):
 
 def edges(path: str) -> bytes:
     """The whole file, or its first and last EDGE bytes."""
-    n = os.path.getsize(path)
-    with open(path, "rb") as f:
+    with storage.opened(path) as f:
+        n = f.size()
         if n <= 2 * probe.EDGE:
             return f.read()
         head = f.read(probe.EDGE)
@@ -85,7 +114,7 @@ def edges(path: str) -> bytes:
 
 class Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]) -> None:
-        self.path = options["path"].removeprefix("file://").removeprefix("file:")
+        self.path = options["path"]
         self.stride = int(options.get("stride", "1"))
         self.headers = options.get("headers", "false") == "true"
         self.per_task = int(options.get("framesPerTask", "512"))
@@ -93,14 +122,15 @@ class Reader(DataSourceReader):
             raise ValueError("stride must not be zero")
 
     def partitions(self) -> list[FrameRange]:
-        paths = sorted(glob.glob(self.path) if not os.path.isdir(self.path) else glob.glob(f"{self.path}/*.avi"))
+        paths = storage.listed(storage.joined(self.path, "*.avi") if storage.is_folder(self.path) else self.path)
         if not paths:
             raise FileNotFoundError(self.path)
         if self.headers:
             return [FrameRange(p) for p in paths]
         out = []
-        for p in paths:  # chunk heads only; each task gets the places of its own frames
-            h = header(p)
+        with ThreadPoolExecutor(16) as pool:
+            found = pool.map(header, paths)
+        for p, h in zip(paths, found, strict=True):  # each task gets the places of its own frames
             some = [(i, *h.frames[i]) for i in range(0, len(h.frames), self.stride)] if self.stride > 0 else []
             out += [FrameRange(p, len(h.frames), h.fps, (h.width, h.height), tuple(some[k : k + self.per_task])) for k in range(0, max(1, len(some)), self.per_task)]
         return out
@@ -111,7 +141,7 @@ class Reader(DataSourceReader):
             yield session_of(part.path), part.path, h.fps, len(h.frames), h.width, h.height, None, None, edges(part.path)
             return
         base = (session_of(part.path), part.path, part.fps, part.total, *part.size)
-        with open(part.path, "rb") as f:
+        with storage.opened(part.path) as f:
             for i, at, size in part.places:
                 f.seek(at)
                 data = f.read(size)
@@ -143,13 +173,15 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
     return known.withColumn("focal_length_35mm", probe.focal_35mm(probe.as_text(F.col("edges")))).drop("edges")
 
 
-def write_avi(path: str, jpegs: list[bytes], fps: int, width: int, height: int) -> None:
+def write_avi(path: str, jpegs: list[bytes], fps: int, width: int, height: int, with_index: bool = True) -> None:
     """A plain motion JPEG file, for tests and exports."""
     chunk = lambda k, d: k + struct.pack("<I", len(d)) + d + b"\0" * (len(d) & 1)
     lst = lambda k, d: chunk(b"LIST", k + d)
     avih = struct.pack("<14I", 1000000 // fps, 0, 0, 0, len(jpegs), 0, 1, 0, width, height, 0, 0, 0, 0)
     strh = struct.pack("<4s4sIHHIIIIIIIIHHHH", b"vids", b"MJPG", 0, 0, 0, 0, 1, fps, 0, len(jpegs), 0, 0, 0, 0, 0, width, height)
     strf = struct.pack("<IiiHH4sIiiII", 40, width, height, 1, 24, b"MJPG", width * height * 3, 0, 0, 0, 0)
-    body = lst(b"hdrl", chunk(b"avih", avih) + lst(b"strl", chunk(b"strh", strh) + chunk(b"strf", strf))) + lst(b"movi", b"".join(chunk(b"00dc", j) for j in jpegs))
-    with open(path, "wb") as f:
-        f.write(b"RIFF" + struct.pack("<I", len(body) + 4) + b"AVI " + body)
+    frames = [chunk(b"00dc", j) for j in jpegs]
+    offset = np.cumsum([4, *map(len, frames)])[:-1].tolist()
+    index = b"".join(struct.pack("<4sIII", b"00dc", 16, o, len(j)) for o, j in zip(offset, jpegs, strict=True)) if with_index else b""
+    body = lst(b"hdrl", chunk(b"avih", avih) + lst(b"strl", chunk(b"strh", strh) + chunk(b"strf", strf))) + lst(b"movi", b"".join(frames)) + (chunk(b"idx1", index) if with_index else b"")
+    storage.replaced(path, b"RIFF" + struct.pack("<I", len(body) + 4) + b"AVI " + body)

@@ -9,7 +9,7 @@ from framelake import schemas, settings
 from framelake.functions import geometry, probe, records
 from framelake.operators import documents, flat, quality, raster, selection, tracking
 from framelake.plans import programs
-from framelake.sources import files, sinks, video
+from framelake.sources import files, sinks, storage, video
 
 
 def one(spark, c):
@@ -293,6 +293,46 @@ def test_markers_are_found_again():
     assert raster.detect(np.zeros((200, 200), np.uint8), words) == ([], [])
 
 
+def test_markers_in_uneven_light():
+    words = raster.code_words(4, 20)
+    g = np.full((200, 420), 255, np.uint8)
+    for k, i in enumerate((4, 11, 17)):
+        g[50:150, 30 + 130 * k : 130 + 130 * k] = raster.marker(words[i], 100)
+    light = np.linspace(0.2, 1, 420)
+    shaded = np.rint((0.25 + 0.75 * (g / 255)) * 255 * light).astype(np.uint8)
+    # the left marker's white is darker than the middle of the image's range
+    assert shaded[:, :130].max() < (int(shaded.max()) + int(shaded.min())) / 2
+    ids, corners = raster.detect(shaded, words)
+    assert ids == [4, 11, 17]
+    for k, c in enumerate(corners):
+        x = 30 + 130 * k
+        assert np.allclose(c, [[x, 50], [x + 99, 50], [x + 99, 149], [x, 149]], atol=2)
+    twice = np.concatenate([shaded[:, :150], shaded[:, :150]], axis=1)
+    assert raster.detect(twice, words)[0] == [4, 4]  # one word in two places
+
+
+def test_regions_against_a_flood():
+    rng = np.random.default_rng(5)
+    for share in (0.45, 0.6, 0.7):
+        dark = rng.random((40, 60)) < share
+        left, want = {tuple(p) for p in np.argwhere(dark)}, []
+        while left:
+            todo, own = [left.pop()], []
+            while todo:
+                y, x = todo.pop()
+                own.append((x, y))
+                near = {(y + 1, x), (y - 1, x), (y, x + 1), (y, x - 1)} & left
+                left -= near
+                todo += near
+            x0, y0 = np.min(own, axis=0)
+            x1, y1 = np.max(own, axis=0)
+            if x1 - x0 >= 3 and y1 - y0 >= 3 and x0 > 0 and y0 > 0 and x1 < 59 and y1 < 39:
+                want.append((x0, y0, x1, y1))
+        got = [(*e.min(axis=0), *e.max(axis=0)) for e in raster._regions(dark, 3)]
+        assert sorted(got) == sorted(want)
+    assert list(raster._regions(np.zeros((5, 5), bool), 1)) == []
+
+
 def test_files_through_spark(spark, tmp_path):
     words = raster.code_words(4, 5)
     shots = tmp_path / "shots" / "s1"
@@ -331,6 +371,43 @@ def test_video_source(spark, tmp_path):
         video.frames(spark, str(tmp_path / "none.avi")).collect()
 
 
+@pytest.mark.parametrize("with_index", [True, False])
+def test_frames_by_index_and_by_heads(tmp_path, with_index):
+    p = str(tmp_path / "clip.avi")
+    shots = [b"\xff\xd8" + bytes(i) + b"\xff\xd9" for i in (3, 0, 8, 1)]
+    video.write_avi(p, shots, 25, 4, 4, with_index)
+    raw = (tmp_path / "clip.avi").read_bytes()
+    assert (b"idx1" in raw) == with_index
+    assert [raw[a : a + n] for a, n in video.header(p).frames] == shots
+    with storage.opened(p) as f:
+        assert (video.indexed(f, raw.index(b"movi"), int.from_bytes(raw[raw.index(b"movi") - 4 : raw.index(b"movi")], "little")) is not None) == with_index
+    if with_index:  # offsets from the file's start, and an index that is wrong
+        at, base = raw.index(b"idx1") + 8, raw.index(b"movi")
+        for shift in (base, 1):
+            moved = bytearray(raw)
+            for k in range(len(shots)):
+                i = at + 16 * k + 8
+                moved[i : i + 4] = (int.from_bytes(raw[i : i + 4], "little") + shift).to_bytes(4, "little")
+            (tmp_path / "clip.avi").write_bytes(bytes(moved))
+            assert [raw[a : a + n] for a, n in video.header(p).frames] == shots
+
+
+@pytest.mark.parametrize("root", ["{tmp}", "file://{tmp}", "file:{tmp}", "mock://box"])
+def test_storage(tmp_path, root):
+    root = root.format(tmp=tmp_path)
+    for name in ("a/x.avi", "a/y.avi", "a/z.txt", "b/x.avi", "a/deep/x.avi"):
+        storage.replaced(storage.joined(root, name), name.encode())
+    storage.replaced(storage.joined(root, "a/x.avi"), b"new")
+    with storage.opened(storage.joined(root, "a/x.avi")) as f:
+        assert f.read() == b"new" and f.size() == 3 and f.seek(1) == 1 and f.read(1) == b"e"
+    ends = lambda pattern: [p.rpartition("/")[0][-1:] + p[-6:] for p in storage.listed(storage.joined(root, pattern))]
+    assert ends("a/*.avi") == ["a/x.avi", "a/y.avi"] and ends("*/x.avi") == ["a/x.avi", "b/x.avi"] and ends("c/*") == [] and ends("a/x.avi") == ["a/x.avi"] and ends("none") == []
+    assert all(storage.exists(p) for p in storage.listed(storage.joined(root, "*/[xz].*")))
+    assert storage.is_folder(storage.joined(root, "a")) and not storage.exists(storage.joined(root, "a"))
+    assert storage.copied(storage.joined(root, "a/y.avi"), storage.joined(root, "c/d/y.avi")) and not storage.copied(storage.joined(root, "none"), storage.joined(root, "c/n"))
+    assert storage.exists(storage.joined(root, "c/d/y.avi")) and storage.local(root) == (not root.startswith("mock"))
+
+
 def jpeg(spark, gray):
     """JPEG bytes of a gray image, by the JVM's encoder."""
     jvm, (h, w) = spark._jvm, gray.shape
