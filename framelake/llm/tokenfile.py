@@ -6,8 +6,8 @@ sequence has the same length, sequence i of a shard lies at a known place of a k
 gives it without a copy.  A second Arrow file of each shard lists its documents: doc_id, offset within the shard,
 number of ids.
 
-Null texts are empty: only the end id.  Null ids come first; repeated ids follow each other, by text.  An empty table
-gives no files and no rows.  Other input columns are left out.
+Null texts are empty: only the end id.  Null ids come first; repeated ids follow each other, by text, and lie in as many
+shards as their number asks for, unless their texts start alike.  An empty table gives no files and no rows.  Other input columns are left out.
 """
 
 from __future__ import annotations
@@ -24,20 +24,16 @@ from pyspark.sql import functions as F
 
 from framelake.llm.bpe import encoder, pieces
 from framelake.llm.common import fresh, written
+from framelake.sources.storage import local, located
 
-
-def _filesystem(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+#: Characters of a text that deal the rows of one id out over the shards.
+HEAD = 64
 
 
 def _open(uri: str) -> pa.NativeFile:
     """Memory-mapped where the file is local, else a random-access stream."""
-    from pyarrow import fs
-
-    system, path = _filesystem(uri)
-    return pa.memory_map(path) if isinstance(system, fs.LocalFileSystem) else system.open_input_file(path)
+    system, path = located(uri)
+    return pa.memory_map(path) if local(uri) else system.open_input_file(path)
 
 
 class Writer:
@@ -45,7 +41,7 @@ class Writer:
 
     def __init__(self, base: str, length: int, dtype: pa.DataType, rows: int = 1024) -> None:
         self.path, self.length, self.dtype, self.rows = base, length, dtype, rows
-        system, at = _filesystem(base)
+        system, at = located(base)
         self.schema = pa.schema([("ids", pa.list_(dtype, length)), ("mask", pa.list_(pa.bool_(), length))])
         self.sinks = [system.open_output_stream(f"{at}.{x}") for x in ("arrow", "index")]
         self.out = pa.ipc.new_file(self.sinks[0], self.schema)
@@ -138,7 +134,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, fold
     """
     spark = docs.sparkSession
     folder = folder or fresh(spark, "tokens")
-    system, at = _filesystem(folder)
+    system, at = located(folder)
     system.create_dir(at, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,7 +149,8 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, fold
             out.close()
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([out.path]), pa.array([out.total], pa.int64())], ["shard", "base", "n_ids"])
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # the start of a text sorts as the text does, so an id on very many rows (all null ids, say) is in many shards
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id", F.substring("text", 1, HEAD)).sortWithinPartitions("doc_id", "text")
     return written(ordered.mapInArrow(run, "shard int, base string, n_ids long"), "manifest")
 
 

@@ -376,6 +376,23 @@ def test_token_files(spark, docs, empty, library):
     assert tokenfile.read(spark, tokenfile.write(empty, queries.vocabulary(), 2)).count() == 0
 
 
+def test_token_files_deal_one_id_out(spark, library):
+    texts = [f"{i * 7919 % 1000:03d} {prose(i, 5)}" for i in range(1000)]
+    rows = spark.createDataFrame([(None, t) for t in texts] + [(5, "last")], "doc_id long, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # or shards as small as these are one
+    try:
+        manifest = tokenfile.write(rows, queries.vocabulary(), 2)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["n_ids"] for r in manifest.collect()]
+    assert len(sizes) > 2 and max(sizes) < 0.6 * sum(sizes)
+    got, at = tokenfile.read(spark, manifest).orderBy("start").collect(), 0
+    for (i, t), g in zip([*((None, t) for t in sorted(texts)), (5, "last")], got, strict=True):
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        assert (g.doc_id, g.start, g.n_tokens, g.ids_crc32) == (i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
 # --- toxicity and language
 
 
