@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from framelake.llm.common import small_batches
 from framelake.llm.hashing import equal, hashes
 
 #: White space of the byte-level pre-tokenizer's pattern (fixed value: Unicode White_Space).
@@ -351,6 +352,7 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = TOGETHER) -> Iterator[
 
 def encoded(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",), text: str = "text", with_ids: bool = False) -> DataFrame:
     """Columns of keep, n_tokens, ids_sha256, decoded_sha256, and with with_ids the ids as an array."""
+    small_batches(docs.sparkSession)
     keep = tuple(c for c in keep if c not in ("n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] * with_ids)))
     kept = docs.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids

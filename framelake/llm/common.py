@@ -15,6 +15,8 @@ WORDS = re.compile(WORD)
 WORDS_B = re.compile(WORD.encode())
 #: Stands for a null doc_id inside the operators; it sorts before every other id.
 NULL_ID = -(2**63)
+#: Setting that bounds the batches on their way to Python, and its value where a session sets none.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +52,12 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds batches for Python by bytes for the rest of the session, as rows may be of any length; a bound that is set stays."""
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, BATCH_BYTES)
+
+
 def key(c: str | Column = "doc_id") -> Column:
     """doc_id as a long without nulls."""
     c = F.col(c) if isinstance(c, str) else c

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelake.llm.bpe import pieces
-from framelake.llm.common import written
+from framelake.llm.common import small_batches, written
 
 #: A token: comment, declaration, or tag with its attributes.  A quote that has no end in its tag is an ordinary character.
 _AFTER = r"(?=\s*/?>|\s+[a-zA-Z@:_-]+\s*[=/>])"
@@ -364,6 +364,7 @@ def templates(pages: DataFrame, least_pages: int = 5, least_share: float = 0.2)
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row."""
+    small_batches(pages.sparkSession)
     keyed = pages.select("page_id", "url", "html", host_of().alias("host"), F.xxhash64("page_id", "url", "html").alias("pk"))
     # written first, so that its size is known before the pages move: a small table goes to them, else they are dealt by host
     marks = written(templates(keyed), "templates")

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framelake.llm.bpe import pieces
+from framelake.llm.common import small_batches
 
 LETTER = re.compile(r"[^\W\d_]")
 OTHER = re.compile(r"[\W\d_]+")
@@ -79,6 +80,7 @@ class Compared:
 
 def predict(docs: DataFrame, dicts: dict[str, bytes], level: int = 3, slice_bytes: int = 4096, margin: float = 0.6) -> DataFrame:
     """doc_id, lang_pred, score, rejected (score below margin)."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(dicts)  # a sample of bounded size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framelake.llm.bpe import pieces
-from framelake.llm.common import WORDS_B, key, unkey, written
+from framelake.llm.common import WORDS_B, key, small_batches, unkey, written
 from framelake.llm.components import components
 from framelake.llm.hashing import hashes
 
@@ -205,6 +205,7 @@ def joined(docs: DataFrame, percent: int, key_of: str, by_id: bool) -> tuple[Dat
     t is the text's hash, rep the smallest id of the row's class, node the class's vertex (null without words), v the
     row's: its class, or the id where there is none.  by_id links the vertices of one id to each other.
     """
+    small_batches(docs.sparkSession)
     base = docs.select(key(key_of).alias("k"), F.xxhash64("text").alias("t"), "text")
     sigs = written(signed(base), "signatures")
     # written, so that both sides of the joins below are dealt anew and a hot class can be split

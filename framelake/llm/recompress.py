@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.llm.bpe import _IS_SPACE, gather
-from framelake.llm.common import key
+from framelake.llm.common import key, small_batches
 from framelake.llm.hashing import hashes
 
 #: Words of a window; Spark rounds, each of one more turn; bytes of text for each group of documents and each reducer.
@@ -361,6 +361,7 @@ class Steps:
 
 def deduped(docs: DataFrame, group_bytes: int = GROUP_BYTES, names: tuple[str, str, str] = ("n_words", "n_removed", "kept")) -> DataFrame:
     """All columns of docs (doc_id, text, ...) with n_words, n_removed, and kept (the words that stay, one space between), or as names says."""
+    small_batches(docs.sparkSession)
     docs = docs.drop(*names)
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_groups = int(max(24, -(-total // group_bytes)))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framelake.llm.bpe import encoder, pieces
-from framelake.llm.common import fresh, written
+from framelake.llm.common import fresh, small_batches, written
 from framelake.sources.storage import local, located
 
 #: Characters of a text that deal the rows of one id out over the shards.
@@ -133,6 +133,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, length: int = 2048, fold
     attempt that counted, so retries and speculative tasks do no harm.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     folder = folder or fresh(spark, "tokens")
     system, at = located(folder)
     system.create_dir(at, recursive=True)

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake.llm.bpe import pieces
+from framelake.llm.common import small_batches
 
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Insults that vote from the start (fixed values).
@@ -175,6 +176,7 @@ def linear(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 400)
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 8000, most: int = 300, min_evidence: float = 12.0) -> Model:
     """Fits on about ``sample`` labelled rows at most, drawn by the hash of their id (the documented bound)."""
+    small_batches(docs.sparkSession)
     usable_labels = labels.where(usable & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     n = usable_labels.count()
     rate = min(1.0, sample / max(n, 1))
@@ -240,6 +242,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = 8000,
 
 def probability(model: Model, text: str | Column = "text") -> Column:
     """The score of a text.  Only the text goes to Python and only the score comes back."""
+    small_batches(SparkSession.active())
     sent = SparkSession.active().sparkContext.broadcast(model)  # some hundred voters
 
     @F.arrow_udf("double")
