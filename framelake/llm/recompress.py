@@ -19,7 +19,8 @@ windows are taken for equal with a probability of about 1e-9), and the first sta
 Documents are dealt into groups of bounded size by a hash of id and text, so an id on many rows (all null ids, say) is
 spread; only rows that repeat both are one group.  A group sends each reducer one packed row of distinct entries (its own repeats are combined before the
 shuffle, so a passage in a third of all documents gives one entry for each group) and gets back one bit for each entry,
-and with them the note, a bit a window, of what it knew to be open.
+and with them the note, a bit a window, of what it knew to be open.  Each step puts the group's rows in one order, by id
+and text, before it counts windows: a shuffle that is read again hands the rows over in another order.
 The number of reducers goes by the size of the table, not by the number of groups; a packed row holds one entry at
 least, so rows and bytes of a round are at most in proportion to the words.
 
@@ -33,6 +34,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, GroupedData
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -250,6 +252,14 @@ def _noted(t: pa.Table) -> tuple[pa.Table, pa.Table]:
     return t.filter(pa.array(~own)), back
 
 
+def _in_order(t: pa.Table) -> tuple[np.ndarray, pa.ChunkedArray, np.ndarray]:
+    """The ids and texts of a group by id and text, and the rows' places in that order; rows that repeat both have the same windows."""
+    slim = pa.table({"__k": t.column("__k"), "text": t.column("text").cast(pa.large_string())})
+    order = pc.sort_indices(slim, sort_keys=[("__k", "ascending"), ("text", "ascending")])
+    slim = slim.take(order)
+    return slim.column("__k").to_numpy(), slim.column("text"), np.argsort(order.to_numpy())
+
+
 def _joined(t: pa.Table, column: str, dtype: str) -> np.ndarray:
     return np.frombuffer(b"".join(t.column(column).to_pylist()), dtype)
 
@@ -264,7 +274,7 @@ class Steps:
         """A group's names after one more turn, each with a bit that tells whether it stems from several places in the group."""
         if not t.num_rows:
             return _rows(0, [])
-        words, g = Words(t.column("text")), t.column("__g")[0].as_py()
+        words, g = Words(_in_order(t)[1]), t.column("__g")[0].as_py()
         w = words.windows() if answers is None else Answers(answers, self.n).state(words, turn)
         keys, counts = np.unique(words.names(turn + 1, w)[1], return_counts=True)
         rows = [(r, keys[at].tobytes(), np.packbits(counts[at] > 1).tobytes(), len(at)) for r, at in _by_reducer(keys, self.n)]
@@ -296,11 +306,11 @@ class Steps:
         often[back[several]] = True
         return pa.concat_tables([_answers(t, turn, often[back]), noted])
 
-    def candidates(self, t: pa.Table, answers: Answers) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def candidates(self, ids: np.ndarray, texts: pa.ChunkedArray, answers: Answers) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The group's words; for the open windows: start, document id, position; distinct prints and the windows' places among them."""
-        words = Words(t.column("text"))
+        words = Words(texts)
         found = w = answers.state(words, ROUNDS)
-        k = t.column("__k").to_numpy()[words.doc[w]]
+        k = ids[words.doc[w]]
         pos = w - words.doc_lo[w]
         one = words.sequence_prints(w, w + WINDOW, 5)
         two = words.sequence_prints(w, w + WINDOW, 6, hashes(words.raw, words.starts, words.ends, 9)) >> np.uint64(32)
@@ -313,7 +323,8 @@ class Steps:
         """A group's distinct windows with the first place of each."""
         if not t.num_rows or not bits.num_rows:
             return _rows(0, [])
-        words, _, k, pos, head, _, one, two, w = self.candidates(t, Answers(bits, self.n))
+        ids, texts, _ = _in_order(t)
+        words, _, k, pos, head, _, one, two, w = self.candidates(ids, texts, Answers(bits, self.n))
         packed = np.zeros(len(head), "u8,u4,i8,u4")
         packed["f0"], packed["f1"], packed["f2"], packed["f3"] = one[head], two[head], k[head], pos[head]
         g = t.column("__g")[0].as_py()
@@ -340,7 +351,8 @@ class Steps:
         if not t.num_rows:
             return out.append_column(names[0], pa.array([], pa.int64())).append_column(names[1], pa.array([], pa.int64())).append_column(names[2], pa.array([], pa.string()))
         answers = Answers(bits, self.n)
-        words, w, k, pos, head, place, one, _, _ = self.candidates(t, answers)
+        ids, texts, back = _in_order(t)
+        words, w, k, pos, head, place, one, _, _ = self.candidates(ids, texts, answers)
         elsewhere = answers.bits(ROUNDS, one[head])
         repeated = elsewhere[place] | (k != k[head][place]) | (pos != pos[head][place]) if len(w) else np.zeros(0, bool)
         cover = np.zeros(len(words.name) + 1, np.int64)
@@ -354,9 +366,9 @@ class Steps:
             flat[np.cumsum(n) - 1] = 32  # the byte after each word
         size = np.bincount(words.doc[kept], weights=n, minlength=words.n_docs).astype(np.int64)
         hi = np.cumsum(size)
-        texts = [flat[i : max(i, j - 1)].tobytes() for i, j in zip(hi - size, hi, strict=True)]
-        out = out.append_column(names[0], pa.array(words.count.astype(np.int64))).append_column(names[1], pa.array((words.count - kept_n).astype(np.int64)))
-        return out.append_column(names[2], pa.array(texts, pa.binary()).cast(pa.string()))
+        kept_texts = [flat[i : max(i, j - 1)].tobytes() for i, j in zip((hi - size)[back], hi[back], strict=True)]
+        out = out.append_column(names[0], pa.array(words.count[back].astype(np.int64))).append_column(names[1], pa.array((words.count - kept_n)[back].astype(np.int64)))
+        return out.append_column(names[2], pa.array(kept_texts, pa.binary()).cast(pa.string()))
 
 
 def deduped(docs: DataFrame, group_bytes: int = GROUP_BYTES, names: tuple[str, str, str] = ("n_words", "n_removed", "kept")) -> DataFrame:
