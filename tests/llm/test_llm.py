@@ -571,6 +571,16 @@ def test_recompression_whatever_the_order_of_rows(spark, reordered):
         assert (r.n_words, r.n_removed, r.kept) == want[-(2**63) if r.doc_id is None else r.doc_id]
 
 
+def test_pipeline_removes_passages_whatever_the_order_of_rows(spark, reordered):
+    docs = spark.createDataFrame(passages(), SCHEMA).withColumn("n_chars", F.length("text").cast("long"))
+    want = brute_removed(passages())
+    got = corpus_pipeline.drop_repeated_passages(spark, docs, "").collect()
+    assert len(got) == docs.count()
+    for r in got:
+        _, n, kept = want[-(2**63) if r.doc_id is None else r.doc_id]
+        assert (" ".join(W.findall(r.text)), r.n_chars) == (kept, len(r.text)) and (n == 0 or r.text == kept)
+
+
 # --- mixing
 
 
