@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from framelake.llm.common import small_batches
+from framelake.llm.common import hand_back, small_batches
 from framelake.llm.hashing import equal, hashes
 
 #: White space of the byte-level pre-tokenizer's pattern (fixed value: Unicode White_Space).
@@ -357,7 +357,7 @@ def encoded(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",)
     kept = docs.select(*keep)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in pieces(batches):
             flat, n = enc.encode_array(b.column(b.num_columns - 1))
@@ -371,4 +371,8 @@ def encoded(docs: DataFrame, tokenizer: str, keep: tuple[str, ...] = ("doc_id",)
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from tokens(batches)
+        hand_back()
+
     return docs.select(*keep, docs[text].alias("__text")).mapInArrow(run, schema)

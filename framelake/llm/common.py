@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +61,13 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH, BATCH_BYTES)
 
 
+def hand_back() -> None:
+    """Gives the system what the allocators of this process hold without use; Spark keeps a worker for the tasks of later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def key(c: str | Column = "doc_id") -> Column:
     """doc_id as a long without nulls."""
     c = F.col(c) if isinstance(c, str) else c

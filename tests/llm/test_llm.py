@@ -732,3 +732,21 @@ def test_no_machine_local_folder_on_a_cluster():
     session = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
     with pytest.raises(ValueError):
         shared_dir(session)
+
+
+def test_memory_is_handed_back():
+    """In a process of its own: what is free between blocks in use goes back to the system."""
+    import subprocess
+    import sys
+
+    code = """
+import re
+from framelake.llm.common import hand_back
+def mb(): return int(re.search(r"VmRSS:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+blocks = [bytes(9000) for _ in range(20000)]
+del blocks[:-1]
+before = mb()
+hand_back()
+assert before - mb() > 100, (before, mb())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True)
