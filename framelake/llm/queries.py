@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framelake.llm import bpe, fingerprint, htmltext, langid, mixing, neardup, recompress, tokenfile, topk, toxicity
+from framelake.llm import bpe, cluster, fingerprint, htmltext, langid, mixing, neardup, recompress, tokenfile, topk, toxicity, warc, whiten
 from framelake.llm.common import remainder, table
 
 #: The end id that op6 appends.
@@ -65,13 +65,49 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, dicts).select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op11_gemm_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.clusters(table(spark, sf_dir, "embeddings"))
+
+
+def op12_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.read(spark, warc.write(table(spark, sf_dir, "pages")), with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_tsqr_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_ball_tree_topk, op2_minhash_neardup, op3_html_text, op4_iblt_fingerprints, op5_bpe_tree, op6_token_files, op7_toxicity, op8_substring_dedup, op9_source_mix, op10_language_id]
+    own = [op1_ball_tree_topk, op2_minhash_neardup, op3_html_text, op4_iblt_fingerprints, op5_bpe_tree, op6_token_files, op7_toxicity, op8_substring_dedup, op9_source_mix, op10_language_id, op11_gemm_clusters, op12_warc_records, op13_tsqr_whitening]
     import corpus_pipeline
 
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
+def _rounds(k: int, rounds: int, dims: int, scale: int, seed: int) -> str:
+    """k-means in SQL: a table of centroids for each round."""
+    lists = lambda x, y: f"list_sum(list_transform(list_zip({x}, {y}), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    near = lambda r: f"n{r} as (select vec_id, x, arg_min(j, (d, j)) as j, min(d) as d from (select v.vec_id, v.x, c.j, {lists('v.x', 'c.x')} as d from v, c{r} c) group by vec_id, x)"
+    step = lambda r: f"""{near(r - 1)},
+m{r} as (select j, i, sum(x[i])::hugeint as s, count(*)::hugeint as n from n{r - 1}, unnest(range(1, {dims + 1})) as t(i) group by j, i),
+g{r} as (select j, list((s - ((s % n) + n) % n) // n order by i) as x from m{r} group by j),
+c{r} as (select c.j, coalesce(g.x, c.x) as x from c{r - 1} c left join g{r} g using (j))"""
+    steps = ",\n".join(step(r) for r in range(1, rounds + 1))
+    return f"""
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor({scale} * x::double)::hugeint) as x from embeddings
+  where len(embedding) = {dims} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), h as (select x, row_number() over (order by sha256('{seed}:' || vec_id), x) - 1 as j from v),
+c0 as (select j, x from h where j < {k}),
+{steps},
+{near(rounds)},
+z as (select j, sum(d)::bigint as s from n{rounds} group by j)
+select vec_id, n.j::integer as cluster, d::bigint as distance, z.s as cluster_inertia, (select sum(s)::bigint from z) as inertia,
+  sha256(array_to_string(c.x, ',')) as centroid_sha256
+from n{rounds} n join z using (j) join c{rounds} c using (j)"""
+
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLES = {
@@ -115,6 +151,12 @@ k as (
 )
 select w.doc_id, len(w.w)::bigint as n_words, coalesce(r.n_removed, 0)::bigint as n_removed, sha256(coalesce(r.kept, '')) as kept_sha256
 from w left join r on r.doc_id = w.doc_id""",
+    "op11_gemm_clusters": _rounds(16, 3, 64, 64, 1),
+    "op12_warc_records": """
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as n, sha256(coalesce(html, '')) as d from pages),
+f as (select *, case when n >= 100 then min(page_id) over (partition by d) end as first from p)
+select page_id, n::bigint as payload_bytes, d as payload_digest, case when page_id > first then 'revisit' else 'response' end as record_type,
+  case when page_id > first then first end as refers_to from f""",
 }
 
 
