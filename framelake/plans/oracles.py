@@ -122,6 +122,14 @@ with v as (select n_nationkey, n_name, 2 * n_nationkey + 1 as n from nation)
 select 'n' || n_nationkey as session_id, n::bigint as total_frames, 64::bigint as width, 48::bigint as height, i::bigint as frame_index, round(i / 25.0::double, 4) as timestamp_s,
   'frame_' || lpad(i::varchar, length(n::varchar)::int, '0') || '.jpg' as filename, n_name || ' ' || i as shot
 from v, unnest(range(0, n, 3)) as t(i)""",
+    "video_ranges": """
+with v as (select 's' || s_suppkey as session_id, s_name, s_suppkey % 40 + 1 as n from supplier),
+f as (select session_id, n::bigint as total_frames, i::bigint as frame_index, s_name || ' ' || i as shot from v, unnest(range(0, n)) as t(i))
+select 'one' as part, * from f where session_id = 's7' and frame_index >= 2
+union all select 'every', * from f where frame_index > 10 and frame_index <= 21 and frame_index % 2 = 0""",
+    "committed_files": """
+select 'n' || c_nationkey || '/c' || c_custkey || '.txt' as name, 1::bigint as times, c_custkey || '|' || c_name || '|' || c_mktsegment as text,
+  octet_length(encode(c_custkey || '|' || c_name || '|' || c_mktsegment))::bigint as listed_bytes from customer""",
     "marker_detect": """
 with s as (select s_suppkey, 60 + 6 * (s_suppkey % 4) as side, 20 + s_suppkey % 7 as m from supplier)
 select s_suppkey, 1::bigint as markers, (s_suppkey % 50)::bigint as id, m::bigint as left, m::bigint as top, (m + side - 1)::bigint as right, (m + side - 1)::bigint as bottom from s""",

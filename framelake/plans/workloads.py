@@ -7,7 +7,6 @@ embeddings are 8 x 8 rasters; pages are containers' bytes and event properties J
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -228,19 +227,6 @@ def pixel_union_dilate(spark: SparkSession, d: str) -> DataFrame:
 # --- generated files ---------------------------------------------------------------------------------------------
 
 
-def folder(spark: SparkSession, what: str) -> str:
-    """A new folder below spark.checkpoint.dir, which all machines share; one is made only where there are no other machines."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="framelake-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
 def _pixels(values: str, width: int):
     """PNG bytes of row-major rasters, numbers as gray steps around 128."""
     def run(v: pd.Series) -> pd.Series:
@@ -251,7 +237,7 @@ def _pixels(values: str, width: int):
 
 def image_scan(spark: SparkSession, d: str) -> DataFrame:
     """Rasters written as PNG files and read back by the image source: sizes and sharpness of every file."""
-    at = folder(spark, "images")
+    at = storage.fresh(spark, "images")
     named = rasters(spark, d).select(F.concat(F.lit("s"), F.col("label").cast("string"), F.lit("/"), F.col("vec_id").cast("string"), F.lit(".png")).alias("name"), _pixels("v", 8).alias("png"))
     sinks.bytes_files(named, at, "name", "png")
     found = files.readable(files.images(spark, f"{at}/*"))
@@ -259,25 +245,67 @@ def image_scan(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out, "sharpness")
 
 
-def mjpeg_source(spark: SparkSession, d: str) -> DataFrame:
-    """A video for each nation, as long as its key tells, read back by the source with a stride of 3."""
-    at = folder(spark, "videos")
+def made_videos(rows: DataFrame, name: str, text: str, n: str) -> DataFrame:
+    """name, avi: a video of n frames for each row, which hold the text and their number instead of pixels."""
+    def run(names: pd.Series, texts: pd.Series, ns: pd.Series) -> pd.Series:
+        return pd.Series([video.avi([b"\xff\xd8" + f"{t} {i}".encode() + b"\xff\xd9" for i in range(k)], 25, 64, 48) for _, t, k in zip(names, texts, ns, strict=True)])
 
-    def write(part) -> None:
-        for r in part:
-            shots = [b"\xff\xd8" + f"{r['n_name']} {i}".encode() + b"\xff\xd9" for i in range(2 * r["n_nationkey"] + 1)]
-            video.write_avi(storage.joined(at, f"n{r['n_nationkey']}.avi"), shots, 25, 64, 48)
+    return rows.select(F.concat(name, F.lit(".avi")).alias("name"), F.pandas_udf(run, "binary")(name, text, n).alias("avi"))
 
-    table(spark, d, "nation").select("n_nationkey", "n_name").foreachPartition(write)
+
+def mjpeg_source(spark: SparkSession, d: str) -> DataFrame:
+    """A video for each nation, as long as its key tells, read back by the source with a stride of 3."""
+    at = storage.fresh(spark, "videos")
+    n = table(spark, d, "nation").select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("v"), "n_name", (2 * F.col("n_nationkey") + 1).cast("int").alias("k"))
+    sinks.bytes_files(made_videos(n, "v", "n_name", "k"), at, "name", "avi")
     rows = video.frames(spark, at, 3)
     text = F.expr("decode(substring(jpeg, 3, octet_length(jpeg) - 4), 'UTF-8')")
     stamp = records.timestamp_s(F.col("frame_index"), F.col("fps"))
     return rows.select("session_id", F.col("total_frames").cast("long").alias("total_frames"), F.col("width").cast("long").alias("width"), F.col("height").cast("long").alias("height"), F.col("frame_index").cast("long").alias("frame_index"), stamp.alias("timestamp_s"), records.frame_filename(F.col("frame_index"), F.col("total_frames")).alias("filename"), text.alias("shot"))
 
 
+def video_ranges(spark: SparkSession, d: str) -> DataFrame:
+    """Ranges of frames of one video and of all, which the source plans from its index by the pushed filters."""
+    at = storage.fresh(spark, "clips")
+    s = table(spark, d, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("v"), "s_name", (F.col("s_suppkey") % 40 + 1).cast("int").alias("k"))
+    sinks.bytes_files(made_videos(s, "v", "s_name", "k"), at, "name", "avi")
+    index = video.index(spark, at)
+    one = video.frames(spark, at, 1, index).where("session_id = 's7' and frame_index >= 2")
+    every = video.frames(spark, at, 2, index).where("frame_index > 10 and frame_index <= 21")
+    shot = F.expr("decode(substring(jpeg, 3, octet_length(jpeg) - 4), 'UTF-8')").alias("shot")
+    return one.withColumn("part", F.lit("one")).unionByName(every.withColumn("part", F.lit("every"))).select("part", "session_id", F.col("total_frames").cast("long").alias("total_frames"), F.col("frame_index").cast("long").alias("frame_index"), shot)
+
+
+def failing_once(rows: DataFrame, when: str, flag: str, together: int = 64) -> DataFrame:
+    """The same rows, so many at a time; the first attempt of a task that meets a row where the boolean column holds fails there."""
+    def run(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, together):
+                part = b.slice(i, together)
+                if any(part.column(when).to_pylist()) and not storage.exists(flag):
+                    storage.replaced(flag, b"")
+                    raise RuntimeError("this attempt fails")
+                yield part
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def committed_files(spark: SparkSession, d: str) -> DataFrame:
+    """A file for each customer, written as one job whose first attempt fails halfway: each is there once, whole."""
+    at = storage.fresh(spark, "letters")
+    c = table(spark, d, "customer")
+    text = F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
+    rows = c.select(F.concat(F.lit("n"), F.col("c_nationkey").cast("string"), F.lit("/c"), F.col("c_custkey").cast("string"), F.lit(".txt")).alias("name"), F.encode(text, "UTF-8").alias("data"), (F.col("c_custkey") % 100 == 77).alias("bad"))
+    job = sinks.committed.write(failing_once(rows, "bad", f"{at}-flag"), at, tries=3)
+    there = spark.read.format("binaryFile").load(f"{at}/*/*.txt")
+    found = there.groupBy(F.regexp_extract("path", r"([^/]+/[^/]+)$", 1).alias("name")).agg(F.count("*").alias("times"), F.first(F.decode("content", "UTF-8")).alias("text"))
+    listed = sinks.committed.manifest(spark, at, job).select("name", F.col("bytes").alias("listed_bytes"))
+    return found.join(listed, "name", "full")
+
+
 def marker_detect(spark: SparkSession, d: str) -> DataFrame:
     """A marker image for each supplier, found again: id and the corners."""
-    at, words = folder(spark, "markers"), raster.code_words(4, 50)
+    at, words = storage.fresh(spark, "markers"), raster.code_words(4, 50)
 
     def draw(i: pd.Series) -> pd.Series:
         return pd.Series([raster.png(raster.with_margin(raster.marker(words[x % 50], 60 + 6 * (x % 4)), 20 + x % 7)) for x in i])
@@ -292,7 +320,7 @@ def marker_detect(spark: SparkSession, d: str) -> DataFrame:
 
 def mask_png(spark: SparkSession, d: str) -> DataFrame:
     """Frames with a bright box, tracked by the stand-in and written as mask files; the first frame's box is kept."""
-    at = folder(spark, "masks")
+    at = storage.fresh(spark, "masks")
 
     def draw(x: pd.Series, w: pd.Series) -> pd.Series:
         out = []
@@ -326,7 +354,7 @@ def tracking_stream(spark: SparkSession, d: str) -> DataFrame:
     """The same machine over a stream; its counters are the batch fold's."""
     from framelake.streaming import tracker
 
-    at = folder(spark, "tracker")
+    at = storage.fresh(spark, "tracker")
     stream = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/events.parque[t]")  # a pattern, as a stream's plain path must be a folder
     out = tracker.drained(spark, signal(stream), f"{at}/out", f"{at}/state")
     n = [F.count_if(F.col("source") == i).alias(f"frames_{s}") for i, s in enumerate(tracking.SOURCES)]
@@ -377,7 +405,7 @@ def last_reference(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.last("ref", True).over(w).alias("reference")).withColumn("reference", F.round("reference", 6))
 
 
-OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_stream, source_counts, last_reference, regex_probe, json_required_keys, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, marker_detect, mask_png)
+OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_stream, source_counts, last_reference, regex_probe, json_required_keys, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, video_ranges, committed_files, marker_detect, mask_png)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -6,57 +6,48 @@ import json
 import zlib
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from framelake.sources import storage
+from framelake.sources import committed, storage
 
 
-def bytes_files(rows: DataFrame, folder: str, name: str, data: str) -> None:
-    """A file for each row, under a folder that all executors share."""
+def bytes_files(rows: DataFrame, folder: str, name: str, data: str, tries: int = 1) -> str:
+    """A file for each row, committed as one job, under a folder that all executors share."""
+    return committed.write(rows.select(F.col(name).alias("name"), F.col(data).cast("binary").alias("data")), folder, tries)
 
-    def write(part: Iterator) -> None:
-        for r in part:
-            storage.replaced(storage.joined(folder, r[name]), bytes(r[data]))
 
-    rows.select(name, data).foreachPartition(write)
-
-
-def jpeg_frames(frames: DataFrame, folder: str) -> None:
+def jpeg_frames(frames: DataFrame, folder: str) -> str:
     from framelake.functions.records import frame_filename
 
     name = F.concat_ws("/", "session_id", frame_filename(F.col("frame_index"), F.col("total_frames")))
-    bytes_files(frames.withColumn("name", name), folder, "name", "jpeg")
-
+    return bytes_files(frames.withColumn("name", name), folder, "name", "jpeg")
 
-def mask_files(masks: DataFrame, folder: str) -> None:
-    bytes_files(masks.withColumn("name", F.concat("session_id", F.lit("/filtered/masks/"), "filename", F.lit(".png"))), folder, "name", "png")
 
+def mask_files(masks: DataFrame, folder: str) -> str:
+    return bytes_files(masks.withColumn("name", F.concat("session_id", F.lit("/filtered/masks/"), "filename", F.lit(".png"))), folder, "name", "png")
 
-def marker_files(markers: DataFrame, folder: str) -> None:
-    bytes_files(markers.withColumn("name", F.concat(F.lit("marker_"), "id", F.lit(".png"))), folder, "name", "png")
 
+def marker_files(markers: DataFrame, folder: str) -> str:
+    return bytes_files(markers.withColumn("name", F.concat(F.lit("marker_"), "id", F.lit(".png"))), folder, "name", "png")
 
-def copies(rows: DataFrame, source: str, to: str) -> None:
-    """Copies the files of (session_id, filename), with their times on a mount; missing ones are skipped."""
 
-    def copy(part: Iterator) -> None:
-        for r in part:
-            storage.copied(storage.joined(source, f"{r['session_id']}/{r['filename']}"), storage.joined(to, f"{r['session_id']}/filtered/{r['filename']}"))
+def copies(rows: DataFrame, source: str, to: str) -> str:
+    """Copies the files of (session_id, filename), with their times on a mount, as one job; missing ones are skipped."""
+    at = F.concat_ws("/", F.lit(source.rstrip("/")), "session_id", "filename")
+    return committed.write(rows.select(F.concat_ws("/", "session_id", F.lit("filtered"), "filename").alias("name"), at.alias("source")), to)
 
-    rows.select("session_id", "filename").foreachPartition(copy)
 
-
-def json_documents(docs: DataFrame, text: Column, folder: str, name: str) -> None:
-    """A JSON file for each session, indented by 2; an older one is replaced as a whole."""
+def json_documents(docs: DataFrame, text: Column, folder: str, name: str) -> str:
+    """A JSON file for each session, indented by 2, as one job; older ones are replaced once all are there, so a plan may read them."""
     path = F.when(F.col("session_id") == "", F.lit(name)).otherwise(F.concat_ws("/", "session_id", F.lit(name)))
 
-    def write(part: Iterator) -> None:
-        for r in part:
-            storage.replaced(storage.joined(folder, r["name"]), json.dumps(json.loads(r["text"]), indent=2).encode())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([json.dumps(json.loads(t), indent=2).encode() for t in b.column(1).to_pylist()], pa.binary())], ["name", "data"])
 
-    # a file may be one that the plan reads: each is replaced by a rename after all its session's row was made
-    docs.select(path.alias("name"), text.alias("text")).foreachPartition(write)
+    return committed.write(docs.select(path.alias("name"), text.alias("text")).mapInArrow(run, "name string, data binary"), folder)
 
 
 def updated_manifest(old: DataFrame, stats: DataFrame, mask_dir: str) -> DataFrame:

@@ -6,11 +6,13 @@ import fnmatch
 import os
 import re
 import shutil
+import tempfile
 import uuid
 from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 #: Names that Hadoop's connectors have for a scheme (fixed values).
 SCHEMES = {"s3a": "s3", "s3n": "s3"}
@@ -99,3 +101,58 @@ def copied(source: str, to: str) -> bool:
             b.create_dir(new.rpartition("/")[0], recursive=True)
         fs.copy_files(old, new, a, b)
     return True
+
+
+def size(uri: str) -> int:
+    system, path = located(uri)
+    return system.get_file_info(path).size
+
+
+def moved(staged: str, to: str, size: int) -> None:
+    """Moves a file to its name, replacing what is there; a move that was done before is passed over."""
+    (system, old), (_, new) = located(staged), located(to)
+    if system.get_file_info(old).type != fs.FileType.File:
+        there = system.get_file_info(new)
+        if there.type == fs.FileType.File and there.size == size:
+            return
+        raise FileNotFoundError(staged)
+    if system.type_name not in WHOLE:
+        system.create_dir(new.rpartition("/")[0], recursive=True)
+    if system.type_name == "hdfs" and system.get_file_info(new).type == fs.FileType.File:
+        system.delete_file(new)  # a rename there goes to no name that is taken
+    system.move(old, new)
+
+
+def removed(folder: str) -> None:
+    """Takes a folder away, if it is there."""
+    system, path = located(folder)
+    if system.get_file_info(path).type == fs.FileType.Directory:
+        system.delete_dir(path)
+
+
+def removed_file(uri: str) -> None:
+    system, path = located(uri)
+    if system.get_file_info(path).type == fs.FileType.File:
+        system.delete_file(path)
+
+
+def changed(uri: str) -> int:
+    """When a file was last changed, in nanoseconds."""
+    system, path = located(uri)
+    return system.get_file_info(path).mtime_ns or 0
+
+
+def shared(spark: SparkSession) -> str:
+    """The folder that all machines share, from spark.checkpoint.dir; one is made only where none is set and there are no other machines."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="framelake-"))
+        found = spark.sparkContext.getCheckpointDir()
+    return found.rstrip("/")
+
+
+def fresh(spark: SparkSession, what: str) -> str:
+    """A path in the shared folder that no other call gets."""
+    return f"{shared(spark)}/{what}-{uuid.uuid4().hex}"
