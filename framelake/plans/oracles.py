@@ -45,6 +45,11 @@ select user_id, count(*) filter (where src = 0) as frames_tracked, count(*) filt
   count(*) filter (where was and src in (1, 2)) as reanchors, count(*) filter (where was and src = 3) as track_resets
 from w where k > 0 group by user_id"""
 
+# frames that are held back and come when the watermark, two days behind the newest of all others, has passed them
+_ON_TIME = """
+r as (select * from events where event_id % 97 <> 0 or ts > (select max(ts) from events where event_id % 97 <> 0) - interval 2 day)"""
+_TRACK_ON_TIME = _TRACK.replace("with recursive e as", "with recursive" + _ON_TIME + ",\ne as").replace("  from events\n)", "  from r\n)").replace("from (select distinct user_id from events)", "from (select distinct user_id from r)")
+
 ORACLES = {
     "robust_fence_stats": "with s as (select event_id, event_type, ln(value + 1) as score from events)," + _FENCE.format(by="event_type") + """
 select event_type, f.frames_scored, round(med, 6) as median, round(mad, 6) as mad, round(threshold, 6) as threshold,
@@ -147,6 +152,16 @@ select session_id, case when c_custkey is null then '' else 'camera,' end || 'di
 from t left join g using (session_id) left join (select * from customer where c_acctbal > 0) c on c.c_custkey = t.session_id""",
     "tracking_fold": _TRACK,
     "tracking_stream": _TRACK,
+    "tracking_ordered": _TRACK_ON_TIME.replace(" as track_resets\n", " as track_resets, null::bigint as late\n") + """
+union all select null, null, null, null, null, null, null, (select count(*) from events) - (select count(*) from r)""",
+    "tracking_memory": _TRACK_ON_TIME[: _TRACK_ON_TIME.index("select user_id, count(*) filter (where src = 0)")].replace("select user_id, row_number() over", "select user_id, event_id, row_number() over") + """,
+a as (select user_id, k, src, max(case when src in (1, 2) and not was then k end) over (partition by user_id order by k) as start from w where k > 0)
+select a.user_id, e.event_id, a.k as frame, case when src = 3 then '' else array_to_string(list_distinct_sorted, ',') end as kept
+from (select *, list_sort(list_distinct(list_concat([start], range(greatest(start, k - 7), k + 1)))) as list_distinct_sorted from a) a
+join e on e.user_id = a.user_id and e.k = a.k""",
+    "video_stream": """
+select 's' || s_suppkey as session_id, (s_suppkey % 9)::bigint as frames, (s_suppkey % 9)::bigint as numbers, (s_suppkey % 9)::bigint as total_frames
+from supplier where s_suppkey % 9 > 0""",
     "source_counts": """
 select user_id, count(*) filter (where event_type = 'click') as frames_tracked, count(*) filter (where event_type = 'view') as frames_dino,
   count(*) filter (where event_type = 'purchase') as frames_aruco_box, count(*) filter (where event_type not in ('click', 'view', 'purchase')) as frames_fallback_full

@@ -361,6 +361,62 @@ def tracking_stream(spark: SparkSession, d: str) -> DataFrame:
     return out.groupBy("user_id").agg(*n, F.sum("reanchor").alias("reanchors"), F.sum("track_reset").alias("track_resets"))
 
 
+#: How late frames may come in the ordered streams below, and how many waves they come in.
+DELAY, WAVES = 2 * 86400, 3
+
+
+def waves(spark: SparkSession, d: str, at: str) -> tuple[dict[str, int], DataFrame]:
+    """Runs the ordered machine over events that come in waves, out of order by up to DELAY, and some after all others.
+
+    The last wave also brings a row of a far time, so that the watermark passes every frame.
+    """
+    from framelake.streaming import ordered
+
+    e = table(spark, d, "events")
+    held = F.col("event_id") % 97 == 0
+    comes = ordered.arrival(F.col("ts"), F.col("event_id"), DELAY)
+    first, last = e.agg(F.min(F.unix_seconds(F.col("ts").cast("timestamp"))), F.max(F.unix_seconds(F.col("ts").cast("timestamp"))) + DELAY).first()
+    wave = F.least(F.floor((F.unix_seconds(comes.cast("timestamp")) - first) * WAVES / (last - first + 1)), F.lit(WAVES - 1))
+    total: dict[str, int] = {}
+    for i in range(WAVES + 1):
+        some = e.where(~held & (wave == i)) if i < WAVES else e.where(held).unionByName(e.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in ("user_id", "props") else (F.lit("2200-01-01").cast("timestamp").cast(f.dataType).alias("ts") if f.name == "ts" else F.col(f.name)) for f in e.schema]))
+        some.write.mode("append").parquet(f"{at}/in")
+        stream = spark.readStream.schema(e.schema).parquet(f"{at}/in")
+        for k, v in ordered.drained(spark, signal(stream), f"{at}/out", f"{at}/state", f"{DELAY} seconds").items():
+            total[k] = total.get(k, 0) + v
+    return total, spark.read.schema(ordered.OUTPUT).parquet(f"{at}/out")
+
+
+def tracking_ordered(spark: SparkSession, d: str) -> DataFrame:
+    """The machine's counters over a stream out of order, and in a row without user how many frames came too late."""
+    total, out = waves(spark, d, storage.fresh(spark, "ordered"))
+    n = [F.count_if(F.col("source") == i).alias(f"frames_{s}") for i, s in enumerate(tracking.SOURCES)]
+    own = out.groupBy("user_id").agg(*n, F.sum("reanchor").alias("reanchors"), F.sum("track_reset").alias("track_resets")).withColumn("late", F.lit(None).cast("long"))
+    row = spark.range(1).select(*[F.lit(total["late"] if f.name == "late" else None).cast(f.dataType).alias(f.name) for f in own.schema])
+    return own.unionByName(row)
+
+
+def tracking_memory(spark: SparkSession, d: str) -> DataFrame:
+    """The frames that the machine keeps after each frame: the anchor and the newest ones."""
+    _, out = waves(spark, d, storage.fresh(spark, "memory"))
+    return out.select("user_id", "event_id", "frame", F.array_join(F.transform("kept", lambda x: x.cast("string")), ",").alias("kept"))
+
+
+def video_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Videos that come to a folder in two loads, taken as a stream that is stopped and started between them: frames of each."""
+    at = storage.fresh(spark, "arriving")
+    n = table(spark, d, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("v"), "s_name", (F.col("s_suppkey") % 9).cast("int").alias("k"), "s_suppkey")
+    for rest in (0, 1):
+        sinks.bytes_files(made_videos(n.where(F.col("s_suppkey") % 2 == rest), "v", "s_name", "k"), f"{at}/in", "name", "avi")
+        query = video.stream(spark, f"{at}/in").select("session_id", "total_frames", "frame_index").writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/log").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    out = spark.read.schema("session_id string, total_frames int, frame_index int").parquet(f"{at}/out")
+    return out.groupBy("session_id").agg(F.count("*").alias("frames"), F.countDistinct("frame_index").alias("numbers"), F.max("total_frames").cast("long").alias("total_frames"))
+
+
 def source_counts(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("user_id", F.when(F.col("event_type") == "click", "tracked").when(F.col("event_type") == "view", "dino").when(F.col("event_type") == "purchase", "aruco_box").otherwise("fallback_full").alias("source"))
     return documents.source_counts(e, ["user_id"])
@@ -405,7 +461,7 @@ def last_reference(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.last("ref", True).over(w).alias("reference")).withColumn("reference", F.round("reference", 6))
 
 
-OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_stream, source_counts, last_reference, regex_probe, json_required_keys, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, video_ranges, committed_files, marker_detect, mask_png)
+OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_stream, tracking_ordered, tracking_memory, source_counts, last_reference, regex_probe, json_required_keys, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, video_ranges, video_stream, committed_files, marker_detect, mask_png)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,12 +1,14 @@
 """The tracking state machine over a stream: the state of a session is two values, kept in the state store.
 
-Frames of a session must arrive in order across micro-batches; within one they are sorted.  A lost track clears the
-session's state, as a session that searches without a reference is one that has just begun.
+Frames of a session must arrive in order across micro-batches; within one they are sorted.  Where they may not, see
+framelake.streaming.ordered.  A lost track clears the session's state, as a session that searches without a reference is
+one that has just begun.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -48,15 +50,23 @@ def tracked(frames: DataFrame) -> DataFrame:
     return frames.groupBy("user_id").transformWithStateInPandas(statefulProcessor=Machine(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
 
 
-def drained(spark: SparkSession, frames: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Runs the stream over what is there now, to a table at out."""
-    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """State stores of streams that start within are of the kind that these processors need."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, PROVIDER)
     try:
-        tracked(frames).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        yield
     finally:
         if old:
-            spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+            spark.conf.set(name, old)
         else:
-            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+            spark.conf.unset(name)
+
+
+def drained(spark: SparkSession, frames: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Runs the stream over what is there now, to a table at out."""
+    with rocksdb(spark):
+        tracked(frames).writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(OUTPUT).parquet(out)
