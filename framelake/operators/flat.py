@@ -6,6 +6,8 @@ function is one aggregation by the frame's key, which is combined before the shu
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,3 +52,63 @@ def best_boxes(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
     rank = F.struct("held", "score", (-F.col("place")).alias("place"))
     best = held.groupBy(*by).agg(F.max_by(F.struct("x0", "y0", "x1", "y1", "score", "place", "held", "points"), rank).alias("box"))
     return best.where("box.held > 0 or box.points = 0").select(*by, F.col("box").dropFields("held", "points").alias("box"))
+
+
+#: Powers of two that a grid's cells may have as sides, and how far from zero places are told apart.
+LEVELS, FAR = (-20, 1000), 1e300
+
+
+def _level(side: Column) -> Column:
+    """The power of two of the smallest cells that are as long as a side."""
+    return F.when(side > 0, F.greatest(F.lit(LEVELS[0]), F.least(F.lit(LEVELS[1]), F.ceil(F.log2(side)).cast("int")))).otherwise(F.lit(LEVELS[0])).cast("int")
+
+
+def _cell(v: Column, level: Column) -> Column:
+    most = float(2**62)
+    return F.floor(F.least(F.greatest(v / F.pow(F.lit(2.0), level), F.lit(-most)), F.lit(most)))
+
+
+def _near(v: Column) -> Column:
+    return F.least(F.greatest(v.cast("double"), F.lit(-FAR)), F.lit(FAR))
+
+
+def held_counts(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
+    """by, x0, y0, x1, y1, held of the different boxes that hold points: how many of their frame's points (x, y), borders included.
+
+    For frames of very many boxes and points.  Equal boxes and equal points are counted once first.  A box lies in four
+    cells at most of a grid whose cells are as long as its sides or up to twice as long, and each point in one cell of every
+    such grid; only boxes and points that share a cell meet, so no frame is one task and no pair of far ones is made.
+    Boxes or points with a null or NaN hold nothing and are in nothing.
+    """
+    spark = boxes.sparkSession
+    number = lambda *names: reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in names])
+    edges = ("x0", "y0", "x1", "y1")
+    own = boxes.select(*by, *(F.col(c).cast("double").alias(c) for c in edges)).where(number(*edges)).where("x0 <= x1 and y0 <= y1").distinct()
+    placed = own.withColumns({f"__{c}": _near(F.col(c)) for c in edges}).withColumns({"__u": _level(F.col("__x1") - F.col("__x0")), "__v": _level(F.col("__y1") - F.col("__y0"))})
+    grids = [(r[0], r[1]) for r in placed.select("__u", "__v").distinct().collect()]  # pairs of powers of two
+    if not grids:
+        return spark.createDataFrame([], own.schema).withColumn("held", F.lit(0).cast("long"))
+    span = lambda a, b, level: F.explode(F.sequence(_cell(F.col(a), F.col(level)), _cell(F.col(b), F.col(level))))
+    dealt = placed.withColumn("__i", span("__x0", "__x1", "__u")).withColumn("__j", span("__y0", "__y1", "__v"))
+    some = points.select(*by, F.col("x").cast("double").alias("__x"), F.col("y").cast("double").alias("__y")).where(number("__x", "__y")).groupBy(*by, "__x", "__y").agg(F.count("*").alias("__m"))
+    grid = F.explode(F.array(*[F.struct(F.lit(u).alias("__u"), F.lit(v).alias("__v")) for u, v in grids]))
+    some = some.withColumn("__g", grid).select(*by, "__x", "__y", "__m", "__g.__u", "__g.__v")
+    some = some.withColumn("__i", _cell(_near(F.col("__x")), F.col("__u"))).withColumn("__j", _cell(_near(F.col("__y")), F.col("__v")))
+    same = reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"p.{c}")) for c in by] + [F.col(f"b.{c}") == F.col(f"p.{c}") for c in ("__u", "__v", "__i", "__j")])
+    inside = F.col("p.__x").between(F.col("b.x0"), F.col("b.x1")) & F.col("p.__y").between(F.col("b.y0"), F.col("b.y1"))
+    met = dealt.alias("b").join(some.alias("p"), same & inside)
+    return met.groupBy(*[F.col(f"b.{c}").alias(c) for c in (*by, *edges)]).agg(F.sum("p.__m").alias("held"))
+
+
+def best_boxes_crowded(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
+    """best_boxes for frames of very many boxes and points."""
+    edges = ("x0", "y0", "x1", "y1")
+    held = held_counts(boxes, points, by)
+    same = reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"h.{c}")) for c in (*by, *edges)])
+    rated = boxes.alias("b").join(held.alias("h"), same, "left").select(*[F.col(f"b.{c}").alias(c) for c in (*by, *edges, "score", "place")], F.coalesce("h.held", F.lit(0)).alias("held"))
+    rank = F.struct("held", "score", (-F.col("place")).alias("place"))
+    best = rated.groupBy(*by).agg(F.max_by(F.struct(*edges, "score", "place", "held"), rank).alias("box"))
+    seen = points.select(*by).distinct().withColumn("__seen", F.lit(True))
+    there = reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by])
+    out = best.alias("b").join(seen.alias("s"), there, "left").where("b.box.held > 0 or s.__seen is null")
+    return out.select(*[F.col(f"b.{c}").alias(c) for c in by], F.col("b.box").dropFields("held").alias("box"))

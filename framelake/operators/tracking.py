@@ -14,12 +14,15 @@ from typing import Any, Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.functions.geometry import LEAST_COVERAGE, LEAST_RATIO, MOST_RATIO
 from framelake.operators import raster
+from framelake.sources import storage
 
 SOURCES = ("tracked", "dino", "aruco_box", "fallback_full")
 STATS = (*(f"frames_{s}" for s in SOURCES), "reanchors", "track_resets")
@@ -51,31 +54,79 @@ class State:
         return self.decide(marked, [*tracked, (1, a1, 1.0), (2, a2, 1.0)])
 
 
-def decisions(rows: DataFrame, session: str, order: list[str]) -> DataFrame:
+def decisions(rows: DataFrame, session: str, order: list[str], split: bool = False) -> DataFrame:
     """session, the order columns, source, reanchor, track_reset of every frame.
 
     rows: session, order, area, cov, marked, a1, a2 (null: no such candidate).  A session's frames come sorted to one
-    task and pass through it one by one, so memory is that of a batch whatever a session's length.
+    task and pass through it one by one, so memory is that of a batch whatever a session's length.  With split, for
+    sessions of very many frames, they come in segments that don't depend on each other: see segmented.
     """
     own = rows.select(session, *order, *(F.col(c).cast("double") for c in ("area", "cov")), "marked", *(F.col(c).cast("double") for c in ("a1", "a2")))
     head = [f for f in own.schema.fields if f.name == session or f.name in order]
     schema = T.StructType([*head, T.StructField("source", T.IntegerType()), T.StructField("reanchor", T.IntegerType()), T.StructField("track_reset", T.IntegerType())])
-    n = len(head)
+    n, keys = len(head), [session, "__segment"] if split else [session]
+    own = segmented(own, session, order) if split else own
+    dealt = own.repartition(*keys).sortWithinPartitions(*keys, *order).select(*keys[1:], *(f.name for f in head), "area", "cov", "marked", "a1", "a2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, current = State(), None
         for b in batches:
             out: tuple[list, list, list] = ([], [], [])
             cols = [c.to_pylist() for c in b.columns]
-            for key, *rest in zip(cols[0], *cols[n:], strict=True):
-                if current != (key,):
-                    state, current = State(), (key,)
-                area, cov, marked, a1, a2 = rest
+            for *key, area, cov, marked, a1, a2 in zip(*(cols[: len(keys)]), *cols[-5:], strict=True):
+                if current != key:
+                    state, current = State(), key
                 for own_list, x in zip(out, state.row(area, cov, bool(marked), a1, a2), strict=True):
                     own_list.append(int(x))
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], *(pa.array(x, pa.int32()) for x in out)], schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([*b.columns[len(keys) - 1 : len(keys) - 1 + n], *(pa.array(x, pa.int32()) for x in out)], schema.fieldNames())
 
-    return own.repartition(session).sortWithinPartitions(session, *order).mapInArrow(run, schema)
+    return dealt.mapInArrow(run, schema)
+
+
+def _silent(b: pa.RecordBatch) -> np.ndarray:
+    """The frames that offer nothing: whatever the state was, the machine leaves them in the state of a new session."""
+    above = [pc.fill_null(pc.greater(b.column(c), 0.0), False).to_numpy(zero_copy_only=False) for c in ("area", "a1", "a2")]
+    return ~(above[0] | above[1] | above[2])
+
+
+def segmented(own: DataFrame, session: str, order: list[str]) -> DataFrame:
+    """The frames with __segment: in order, the number of a session's segment grows by one behind each frame that offers nothing.
+
+    Such a frame belongs to the segment that it ends, so its lost track is told there.  Frames are dealt out in ranges of
+    (session, order), and each task counts within its range; what a session's earlier ranges add to the first session of a
+    range comes from one row for each range, so no task sees a whole session.
+    """
+    spark = own.sparkSession
+    ranged = own.repartitionByRange(session, *order).sortWithinPartitions(session, *order)
+    schema = T.StructType([*own.schema.fields, T.StructField("__before", T.LongType()), T.StructField("__range", T.IntegerType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, at = 0, TaskContext.get().partitionId()
+        for b in batches:
+            silent = _silent(b)
+            upto = seen + np.cumsum(silent)
+            seen = int(upto[-1]) if len(upto) else seen
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(upto - silent, pa.int64()), pa.array(np.full(b.num_rows, at, np.int32))], schema.fieldNames())
+
+    path = storage.fresh(spark, "ranges")
+    ranged.mapInArrow(run, schema).write.parquet(path)  # written, as ranges are numbered by the tasks that made them
+    counted = spark.read.schema(schema).parquet(path)
+    place = F.struct(*order)
+    ends = counted.groupBy("__range").agg(F.min_by(session, F.struct(session, place)).alias("first"), F.max_by(session, F.struct(session, place)).alias("last"), F.max(F.col("__before") + F.when(_offers(), 0).otherwise(1)).alias("silent")).orderBy("__range").collect()  # a row for each task
+    add, rows = 0, []
+    for i, r in enumerate(ends):
+        add = add if i and ends[i - 1]["last"] == r["first"] else 0
+        rows.append((r["__range"], r["first"], add))
+        # a session that fills its range goes on from what came before it, another from what its range has counted
+        add = r["silent"] + (add if r["first"] == r["last"] else 0)
+    offsets = spark.createDataFrame(rows, T.StructType([T.StructField("__range", T.IntegerType()), T.StructField("__first", own.schema[session].dataType), T.StructField("__add", T.LongType())]))
+    joined = counted.join(F.broadcast(offsets), "__range")
+    segment = F.col("__before") + F.when(F.col(session).eqNullSafe(F.col("__first")), F.col("__add")).otherwise(0)
+    return joined.select(*own.columns, segment.alias("__segment"))
+
+
+def _offers() -> Column:
+    return F.coalesce(F.col("area") > 0, F.lit(False)) | F.coalesce(F.col("a1") > 0, F.lit(False)) | F.coalesce(F.col("a2") > 0, F.lit(False))
 
 
 def counters(decided: DataFrame, session: str) -> DataFrame:
@@ -84,9 +135,9 @@ def counters(decided: DataFrame, session: str) -> DataFrame:
     return decided.groupBy(session).agg(*n, F.sum(F.col("reanchor").cast("long")).alias("reanchors"), F.sum(F.col("track_reset").cast("long")).alias("track_resets"))
 
 
-def fold(rows: DataFrame, session: str, order: list[str]) -> DataFrame:
+def fold(rows: DataFrame, session: str, order: list[str], split: bool = False) -> DataFrame:
     """The counters of every session."""
-    return counters(decisions(rows, session, order), session)
+    return counters(decisions(rows, session, order, split), session)
 
 
 class Tracker(Protocol):

@@ -45,6 +45,27 @@ select user_id, count(*) filter (where src = 0) as frames_tracked, count(*) filt
   count(*) filter (where was and src in (1, 2)) as reanchors, count(*) filter (where was and src = 3) as track_resets
 from w where k > 0 group by user_id"""
 
+# all events as one session; the step is the same, frame by frame
+_LONG = """
+with recursive e as materialized (
+  select event_id, row_number() over (order by ts, event_id) as k, case when event_id % 40 <> 0 then value end as area,
+    (props->>'$.k')::double / 100 as cov, event_type <> 'signup' as marked,
+    case when event_id % 40 <> 0 and event_type in ('click', 'view') then 20.0::double end as a1,
+    case when event_id % 40 <> 0 and event_type in ('click', 'purchase') then (props->>'$.k')::double + 40 end as a2
+  from events
+), w as (
+  select 0::bigint as k, false as was, false as tracking, null::double as ref, -1 as src, null::bigint as event_id
+  union all
+  select k, tracking, src < 3, case when src = 3 then null when not marked then ref when src = 0 then area when src = 1 then a1 else a2 end, src, event_id
+  from (
+    select e.*, w.tracking, w.ref,
+      case when w.tracking and area > 0 and (not marked or (cov >= 0.5 and coalesce(area / w.ref between 0.5 and 2.0, true))) then 0
+           when a1 > 0 and (not marked or coalesce(a1 / w.ref between 0.5 and 2.0, true)) then 1
+           when a2 > 0 and (not marked or coalesce(a2 / w.ref between 0.5 and 2.0, true)) then 2 else 3 end as src
+    from w join e on e.k = w.k + 1)
+)
+select event_id, src as source, (was and src in (1, 2))::integer as reanchor, (was and src = 3)::integer as track_reset from w where k > 0"""
+
 # frames that are held back and come when the watermark, two days behind the newest of all others, has passed them
 _ON_TIME = """
 r as (select * from events where event_id % 97 <> 0 or ts > (select max(ts) from events where event_id % 97 <> 0) - interval 2 day)"""
@@ -99,6 +120,13 @@ p as (select a.o_orderkey, a.k, a.cx - 10 as x0, a.cy - 3 as y0, a.score,
   from c a join c b using (o_orderkey) group by all),
 q as (select *, row_number() over (partition by o_orderkey order by n desc, score desc, k) as r from p where n > 0)
 select o_orderkey, round(x0, 6) as x0, round(y0, 6) as y0, round(score, 6) as score from q where r = 1""",
+    "crowded_frame": """
+with p as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice::double as x, l_quantity::double as y, l_tax::double as score, 50 + l_suppkey % 4 * 100 as w from lineitem),
+c as (select x, y, count(*) as m from p group by all),
+u as (select distinct x, y, w from p),
+h as (select u.x, u.y, u.w, sum(m)::bigint as held from u join c on c.x >= u.x - u.w and c.x <= u.x + u.w and c.y >= u.y - 1 and c.y <= u.y + 1 group by all),
+r as (select p.*, held, l_orderkey * 10 + l_linenumber as place from p join h using (x, y, w))
+select l_orderkey, l_linenumber, l_partkey, l_suppkey, held, place = (select place from r order by held desc, score desc, place limit 1) as best from r""",
     "coverage_and_area": "with" + _RASTER + """,
 n as (select vec_id, label, count(*) filter (where v > 0) as n from r group by 1, 2),
 p as (select vec_id, round_even(2.5 * i, 0)::int as x, least((label + i) % 9, 7) as y from n, unnest(range(0, 3)) as t(i)),
@@ -151,6 +179,7 @@ select session_id, case when c_custkey is null then '' else 'camera,' end || 'di
   case when c_custkey is not null then 640::bigint end as width_px, c_custkey is not null as null_kept
 from t left join g using (session_id) left join (select * from customer where c_acctbal > 0) c on c.c_custkey = t.session_id""",
     "tracking_fold": _TRACK,
+    "tracking_long_session": _LONG,
     "tracking_stream": _TRACK,
     "tracking_ordered": _TRACK_ON_TIME.replace(" as track_resets\n", " as track_resets, null::bigint as late\n") + """
 union all select null, null, null, null, null, null, null, (select count(*) from events) - (select count(*) from r)""",
@@ -178,6 +207,13 @@ select h.page_id, (select count(*) from v where v.page_id = h.page_id and v is n
     "json_required_keys": """
 select event_id, array_to_string(list_filter(['k', 'fps', 'stride'], lambda x: not list_contains(coalesce(json_keys(props), []), x)), ',') as missing,
   (props->>'$.k')::bigint as k from events""",
+    "document_scan": """
+with e as (select *, event_id % 10 as k, event_id % 50 = 6 as none from events)
+select 'event ' || event_id as source, case when k in (5, 6, 7, 8, 9) and not none then event_id end as frame_index,
+  case when k in (5, 6, 7, 8, 9) and not none then round(value, 2) end as timestamp_s, case when k in (6, 7, 8, 9) and not none then event_type end as filename,
+  case when none then 'no text' when k = 0 then 'broken JSON' when k = 1 then 'missing keys filename' when k = 2 then 'missing keys frame_index, filename'
+    when k = 3 then 'other types timestamp_s' when k = 4 then 'not an object' end as fault
+from e""",
     "config_precedence": """
 select c_custkey, coalesce(case when c_custkey % 3 = 0 then c_nationkey end, case when c_custkey % 2 = 0 then c_nationkey + 100 end, 1)::bigint as stride,
   coalesce(nullif(case when c_custkey % 5 = 0 then '' when c_custkey % 7 = 0 then c_mktsegment end, ''), 'head.') as prompt from customer""",

@@ -2,7 +2,8 @@
 
 Folders: ``out/<session>/`` holds a session's frames, metadata.json, detections.json, manifest.json, and below filtered/
 the kept frames and filtered/masks/.  Every step reads what the step before wrote, over all sessions at once.  An
-argument that is not given comes from the settings.
+argument that is not given comes from the settings.  A broken document stops a program; with rejected, a folder, it
+becomes a row of the table there and the other sessions go on.
 """
 
 from __future__ import annotations
@@ -28,11 +29,11 @@ def extract(spark: SparkSession, path: str, out: str, stride: int | None = None,
     return rows
 
 
-def detect(spark: SparkSession, out: str, words: np.ndarray, dictionary: str | None = None, settings: S.Settings | None = None) -> DataFrame:
+def detect(spark: SparkSession, out: str, words: np.ndarray, dictionary: str | None = None, settings: S.Settings | None = None, rejected: str | None = None) -> DataFrame:
     """Frames to detections.json; words: the dictionary's code words (raster.words_from reads a table)."""
     name = S.first_given(dictionary, (settings or S.Settings()).dictionary)
     S.dictionary_code(name)
-    meta = files.documents(spark, f"{out}/*/metadata.json", "VIDEO")
+    meta = files.accepted(spark, f"{out}/*/metadata.json", "VIDEO", rejected)
     found = raster.detections(files.images(spark, f"{out}/*/*.jpg"), words)
     rows = selection.detections(files.table_of(meta, "frames").drop("timestamp_s"), found, ["session_id", "filename"])
     docs = documents.detections_document(rows, meta.select("session_id", "record.frames_extracted"), name)
@@ -40,11 +41,11 @@ def detect(spark: SparkSession, out: str, words: np.ndarray, dictionary: str | N
     return rows
 
 
-def choose(spark: SparkSession, out: str, min_markers: int | None = None, valid_ids: list[int] | None = None, settings: S.Settings | None = None) -> DataFrame:
+def choose(spark: SparkSession, out: str, min_markers: int | None = None, valid_ids: list[int] | None = None, settings: S.Settings | None = None, rejected: str | None = None) -> DataFrame:
     """Blur fence over all readable frames, whitelist, least count, existing files: copies to filtered/ and manifest.json."""
     own = (settings or S.Settings()).frame_filtering
     least, valid = S.first_given(min_markers, own.min_markers), S.first_given(valid_ids, own.valid_ids)
-    docs = files.documents(spark, f"{out}/*/detections.json", "DETECTIONS")
+    docs = files.accepted(spark, f"{out}/*/detections.json", "DETECTIONS", rejected)
     rows = files.table_of(docs, "detections").withColumn("markers", records.zipped(F.col("marker_ids"), F.col("corners"))).drop("marker_ids", "corners")
     images = files.readable(files.images(spark, f"{out}/*/*.jpg"))
     scores = rows.join(images.select("session_id", "filename", raster.sharpness().alias("score")), ["session_id", "filename"]).select("session_id", "filename", "score")
@@ -53,16 +54,16 @@ def choose(spark: SparkSession, out: str, min_markers: int | None = None, valid_
     kept = selection.select(rows, least, valid, rejected, files.listing(spark, f"{out}/*/*.jpg"))
     sinks.copies(kept, out, out)
     totals = rows.groupBy("session_id").agg(F.count("*").alias("total_frames_input"))
-    meta = files.documents(spark, f"{out}/*/metadata.json", "VIDEO").select("session_id", "record.focal_length_35mm", "record.resolution.width", "record.resolution.height")
+    meta = files.accepted(spark, f"{out}/*/metadata.json", "VIDEO", rejected).select("session_id", "record.focal_length_35mm", "record.resolution.width", "record.resolution.height")
     name = docs.select("record.dictionary").first()
     made = documents.selection_document(kept, totals, name[0] if name else "", least, quality.sharpness_block(figures, rejected, ["session_id"]), documents.camera(totals, meta))
     sinks.json_documents(made, records.encoded(F.col("manifest"), "SELECTION"), out, "manifest.json")
     return kept
 
 
-def mask(spark: SparkSession, out: str, tracker: type = tracking.BoxTracker) -> DataFrame:
+def mask(spark: SparkSession, out: str, tracker: type = tracking.BoxTracker, rejected: str | None = None) -> DataFrame:
     """Kept frames to mask files and an updated manifest.json; returns each session's record."""
-    docs = files.documents(spark, f"{out}/*/manifest.json", "SELECTION").withColumnRenamed("record", "manifest")
+    docs = files.accepted(spark, f"{out}/*/manifest.json", "SELECTION", rejected).withColumnRenamed("record", "manifest")
     images = files.images(spark, f"{out}/*/*.jpg")
     rows = documents.markers_of(docs).join(images, ["session_id", "filename"])
     data = rows.select("session_id", "frame_index", "filename", "image.height", "image.width", F.when(F.col("image.height") >= 0, F.col("image.data")).alias("data"), F.transform("markers", lambda m: m["corners"]).alias("corners"))

@@ -201,6 +201,17 @@ def point_in_box_top1(spark: SparkSession, d: str) -> DataFrame:
     return rounded(flat.best_boxes(boxes, m, ["o_orderkey"]).select("o_orderkey", "box.x0", "box.y0", "box.score"), "x0", "y0", "score")
 
 
+def crowded_frame(spark: SparkSession, d: str) -> DataFrame:
+    """All lines as points and boxes of one frame: how many points each box holds, and the best box."""
+    m = table(spark, d, "lineitem").select(F.lit(1).alias("frame"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_extendedprice").cast("double").alias("x"), F.col("l_quantity").cast("double").alias("y"), F.col("l_tax").cast("double").alias("score"))
+    wide = 50 + F.col("l_suppkey") % 4 * 100
+    boxes = m.select("*", (F.col("x") - wide).alias("x0"), (F.col("y") - 1).alias("y0"), (F.col("x") + wide).alias("x1"), (F.col("y") + 1).alias("y1"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("place"))
+    held = flat.held_counts(boxes, m, ["frame"]).select("x0", "y0", "x1", "y1", "held")
+    best = flat.best_boxes_crowded(boxes, m, ["frame"]).select(F.col("box.place").alias("place"), F.lit(True).alias("best"))  # one row
+    out = boxes.join(held, ["x0", "y0", "x1", "y1"]).join(F.broadcast(best), "place", "left")
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "held", F.coalesce("best", F.lit(False)).alias("best"))
+
+
 def rasters(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").where("size(embedding) = 64").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
 
@@ -350,6 +361,14 @@ def tracking_fold(spark: SparkSession, d: str) -> DataFrame:
     return tracking.fold(signal(table(spark, d, "events")), "user_id", ["ts", "event_id"])
 
 
+def tracking_long_session(spark: SparkSession, d: str) -> DataFrame:
+    """All events as the frames of one session, some of which offer nothing: folded in segments, by many tasks."""
+    e = signal(table(spark, d, "events"))
+    offers = F.col("event_id") % 40 != 0
+    e = e.withColumns({c: F.when(offers, F.col(c)) for c in ("area", "a1", "a2")}).withColumn("session", F.lit(1).cast("long"))
+    return tracking.decisions(e, "session", ["ts", "event_id"], split=True).select("event_id", "source", "reanchor", "track_reset")
+
+
 def tracking_stream(spark: SparkSession, d: str) -> DataFrame:
     """The same machine over a stream; its counters are the batch fold's."""
     from framelake.streaming import tracker
@@ -434,6 +453,16 @@ def json_required_keys(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.array_join(miss, ",").alias("missing"), F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
+def document_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Frame records as JSON texts, some cut, short of keys or of other types: each gives its record or what is wrong with it."""
+    e = table(spark, d, "events")
+    k = F.col("event_id") % 10
+    whole = F.to_json(F.struct(F.col("event_id").alias("frame_index"), F.round("value", 2).alias("timestamp_s"), F.col("event_type").alias("filename")))
+    text = F.when(F.col("event_id") % 50 == 6, F.lit(None).cast("string")).when(k == 0, F.substring(whole, F.lit(1), F.length(whole) - 1)).when(k == 1, F.to_json(F.struct(F.col("event_id").alias("frame_index"), F.lit(1.5).alias("timestamp_s")))).when(k == 2, F.lit('{"timestamp_s": null}')).when(k == 3, F.regexp_replace(whole, r'"timestamp_s":[^,]*', '"timestamp_s":"soon"')).when(k == 4, F.concat(F.lit("["), whole, F.lit("]"))).when(k == 5, F.regexp_replace(whole, r'"filename":"[^"]*"', '"filename":null')).otherwise(whole)
+    found = files.checked(e.select(F.concat(F.lit("event "), F.col("event_id").cast("string")).alias("source"), text.alias("text")), "text", "FRAME")
+    return found.select("source", F.col("record.frame_index").cast("long").alias("frame_index"), "record.timestamp_s", "record.filename", "fault")
+
+
 def config_precedence(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 == 0, F.col("c_nationkey")).alias("cli"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_nationkey") + 100).alias("yaml"), F.when(F.col("c_custkey") % 5 == 0, "").when(F.col("c_custkey") % 7 == 0, F.col("c_mktsegment")).alias("prompt"))
     return c.select("c_custkey", settings.first_given_column(F.col("cli"), F.col("yaml"), F.lit(1)).cast("long").alias("stride"), settings.first_filled_column(F.col("prompt"), F.lit("head.")).alias("prompt"))
@@ -461,7 +490,7 @@ def last_reference(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.last("ref", True).over(w).alias("reference")).withColumn("reference", F.round("reference", 6))
 
 
-OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_stream, tracking_ordered, tracking_memory, source_counts, last_reference, regex_probe, json_required_keys, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, video_ranges, video_stream, committed_files, marker_detect, mask_png)
+OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, crowded_frame, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_long_session, tracking_stream, tracking_ordered, tracking_memory, source_counts, last_reference, regex_probe, json_required_keys, document_scan, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, video_ranges, video_stream, committed_files, marker_detect, mask_png)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
