@@ -1,4 +1,7 @@
-"""Marker geometry as column expressions: a marker is four [x, y] corners, an image's markers an array of those."""
+"""Marker geometry as column expressions: a marker is four [x, y] corners, an image's markers an array of those.
+
+Boxes around markers, and boxes by the markers in them, are plans over flat tables: framelake.operators.flat.
+"""
 
 from __future__ import annotations
 
@@ -62,44 +65,12 @@ def centers(markers: Column) -> Column:
     return F.transform(markers, center)
 
 
-def marker_box(markers: Column, width: Column, height: Column) -> Column:
-    """Box around all corners, two median sides wider, clipped to the image; null for fewer than three markers."""
-    xs = F.flatten(F.transform(markers, lambda m: F.transform(m, lambda p: F.element_at(p, 1))))
-    ys = F.flatten(F.transform(markers, lambda m: F.transform(m, lambda p: F.element_at(p, 2))))
-    clip = lambda v, top: F.least(F.greatest(v, F.lit(0.0)), (top - 1).cast("double"))
-
-    def box(v: Column) -> Column:
-        pad = v["pad"]
-        return F.struct(clip(F.array_min(v["xs"]) - pad, width).alias("x0"), clip(F.array_min(v["ys"]) - pad, height).alias("y0"), clip(F.array_max(v["xs"]) + pad, width).alias("x1"), clip(F.array_max(v["ys"]) + pad, height).alias("y1"))
-
-    parts = F.struct(xs.alias("xs"), ys.alias("ys"), (REACH * median_side(markers)).alias("pad"))
-    return F.when(F.size(markers) >= LEAST_MARKERS, bound(parts, box))
-
-
-def contained(box: Column, points: Column) -> Column:
-    """How many points lie in the box, borders included."""
-    return F.size(F.filter(points, lambda p: p["x"].between(box["x0"], box["x1"]) & p["y"].between(box["y0"], box["y1"])))
-
-
-def best_box(boxes: Column, points: Column) -> Column:
-    """The box with the most points, then the highest score, then the first; null if no box has a point.
-
-    Without points the highest score decides alone.  boxes: array of struct(x0, y0, x1, y1, score).
-    """
-
-    def best_of(v: Column) -> Column:
-        rated = F.transform(v["boxes"], lambda b, i: F.struct(contained(b, v["points"]).alias("n"), b["score"].alias("score"), (-i).alias("order"), b.alias("box")))
-        return bound(F.array_max(rated), lambda best: F.when((F.size(v["boxes"]) > 0) & ((F.size(v["points"]) == 0) | (best["n"] > 0)), best["box"]))
-
-    return bound(F.struct(boxes.alias("boxes"), points.alias("points")), best_of)
-
-
 def pixel(v: Column, size: Column | int) -> Column:
     """Nearest pixel, halves to even, clipped to the raster."""
     return F.least(F.greatest(F.rint(v), F.lit(0.0)), F.lit(size) - 1.0 if isinstance(size, int) else size - 1.0).cast("int")
 
 
-def coverage(mask: Column, points: Column, width: int, height: int) -> Column:
+def coverage(mask: Column, points: Column, width: int, height: Column | int) -> Column:
     """Share of the points whose pixel is set in a row-major mask (array of boolean); 1 without points."""
     hit = F.size(F.filter(points, lambda p: F.element_at(mask, pixel(p["y"], height) * width + pixel(p["x"], width) + 1)))
     return F.when(F.size(points) == 0, F.lit(1.0)).otherwise(hit / F.size(points))

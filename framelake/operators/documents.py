@@ -70,13 +70,18 @@ def markers_of(manifests: DataFrame) -> DataFrame:
     return rows.select("session_id", "frame_index", "filename", F.coalesce(got, none).alias("markers"))
 
 
+def total_side(sheet: Sheet) -> F.Column:
+    """Pixels of a marker's image with its margins."""
+    return F.lit(sheet.side_pixels) + 2 * F.lit(sheet.margin_pixels)
+
+
 def sheet_manifest(spark: SparkSession, sheet: Sheet) -> DataFrame:
     """sheet: the record of a set of marker images, one row."""
-    side = sheet.side_pixels + 2 * sheet.margin_pixels
+    side = total_side(sheet)
     ids = F.sequence(F.lit(0), F.lit(sheet.num_markers - 1))
     now = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
-    mm = F.round(F.lit(side) / F.lit(sheet.dpi) * 25.4, 3)
-    record = F.struct(F.lit(sheet.dictionary).alias("dictionary"), F.lit(sheet.num_markers).alias("num_markers"), ids.alias("ids"), F.lit(sheet.side_pixels).alias("side_pixels"), F.lit(sheet.margin_pixels).alias("margin_pixels"), F.lit(side).alias("total_image_side_pixels"), F.lit(sheet.dpi).alias("dpi"), mm.alias("total_image_side_mm"), now.alias("generated_at"))
+    mm = F.round(side / F.lit(sheet.dpi) * 25.4, 3)
+    record = F.struct(F.lit(sheet.dictionary).alias("dictionary"), F.lit(sheet.num_markers).alias("num_markers"), ids.alias("ids"), F.lit(sheet.side_pixels).alias("side_pixels"), F.lit(sheet.margin_pixels).alias("margin_pixels"), side.alias("total_image_side_pixels"), F.lit(sheet.dpi).alias("dpi"), mm.alias("total_image_side_mm"), now.alias("generated_at"))
     return spark.range(1).select(record.alias("sheet"))
 
 

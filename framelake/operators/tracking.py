@@ -16,12 +16,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
+from pyspark.resource import ResourceProfile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.functions.geometry import LEAST_COVERAGE, LEAST_RATIO, MOST_RATIO
 from framelake.operators import raster
+from framelake.settings import BOX_SCORE, TEXT_SCORE
 from framelake.sources import storage
 
 SOURCES = ("tracked", "dino", "aruco_box", "fallback_full")
@@ -145,7 +147,8 @@ class Tracker(Protocol):
 
     info: dict[str, str]
 
-    def detect(self, rgb: np.ndarray) -> tuple[np.ndarray, np.ndarray]: ...
+    def detect(self, rgb: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Boxes, their scores, and if there is a text prompt how well each fits it."""
 
     def start(self, rgb: np.ndarray, box: np.ndarray) -> np.ndarray: ...
 
@@ -199,6 +202,14 @@ class Session:
         self.tracker, self.state = tracker, State()
         self.counts = Counter()
 
+    def detected(self, rgb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The detector's boxes that count, and their scores."""
+        boxes, scores, *text = (np.asarray(x, float) for x in self.tracker.detect(rgb))
+        keep = scores > BOX_SCORE
+        if text:
+            keep &= text[0] > TEXT_SCORE
+        return boxes.reshape(-1, 4)[keep], scores[keep]
+
     def frame(self, rgb: np.ndarray, corners: list[np.ndarray]) -> tuple[np.ndarray, str, bool, bool]:
         """Mask, source, whether it was a re-anchor, whether the track was lost."""
         marks, masks = raster.Marks(corners), []
@@ -212,7 +223,7 @@ class Session:
             if on:
                 yield offer(0, self.tracker.step(rgb))
             again = self.tracker.correct if on else lambda box: self.tracker.start(rgb, box)
-            if (box := marks.choose(*self.tracker.detect(rgb))) is not None:
+            if (box := marks.choose(*self.detected(rgb))) is not None:
                 yield offer(1, again(box))
             if (box := marks.prompt(rgb.shape)) is not None:
                 yield offer(2, again(box))
@@ -227,30 +238,39 @@ class Session:
         return {k: self.counts[k] for k in STATS} | dict(self.tracker.info)
 
 
-def masks(frames: DataFrame, tracker: type = BoxTracker) -> DataFrame:
+#: Frames of a batch of masks.
+TOGETHER = 32
+
+
+def masks(frames: DataFrame, tracker: type = BoxTracker, profile: ResourceProfile | None = None) -> DataFrame:
     """session_id, frame_index, filename, source, reanchor, track_reset, png of every readable frame.
 
     frames: session_id, frame_index, filename, height, width, data (gray or BGR bytes; null if unreadable), corners.  A session's
-    frames come sorted to one task and pass through it one by one.
+    frames come sorted to one task and pass through it one by one.  profile: what a task of this stage asks for, as
+    settings.tracker_profile makes it.
     """
     schema = "session_id string, frame_index int, filename string, source string, reanchor int, track_reset int, png binary"
+    types = (pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         session, current = Session(tracker()), None
         for b in batches:
-            for r in b.to_pylist():
+            rows, data = [], b.column("data")
+            plain = b.drop_columns(["data"]).to_pylist()
+            for i, r in enumerate(plain):
                 if current != (r["session_id"],):
                     session, current = Session(tracker()), (r["session_id"],)
-                if r["data"] is None or not r["height"] or r["height"] < 0:
-                    continue
-                pixels = np.frombuffer(r["data"], np.uint8).reshape(r["height"], r["width"], -1)
-                rgb = np.repeat(pixels, 3, axis=2) if pixels.shape[2] < 3 else pixels[:, :, 2::-1]  # gray, or BGR with or without alpha
-                mask, source, again, lost = session.frame(rgb, [np.array(c, float) for c in r["corners"] or []])
-                row = [r["session_id"], r["frame_index"], r["filename"], source, int(again), int(lost), raster.png(mask)]
-                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, (pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary()), strict=True)], ["session_id", "frame_index", "filename", "source", "reanchor", "track_reset", "png"])
+                if data[i].is_valid and r["height"] and r["height"] > 0:
+                    pixels = np.frombuffer(data[i].as_buffer(), np.uint8).reshape(r["height"], r["width"], -1)  # the batch's own bytes
+                    rgb = np.repeat(pixels, 3, axis=2) if pixels.shape[2] < 3 else pixels[:, :, 2::-1]  # gray, or BGR with or without alpha
+                    mask, source, again, lost = session.frame(rgb, [np.array(c, float) for c in r["corners"] or []])
+                    rows.append((r["session_id"], r["frame_index"], r["filename"], source, int(again), int(lost), raster.png(mask)))
+                if rows and (len(rows) == TOGETHER or i == len(plain) - 1):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], ["session_id", "frame_index", "filename", "source", "reanchor", "track_reset", "png"])
+                    rows = []
 
     own = frames.select("session_id", F.col("frame_index").cast("int").alias("frame_index"), "filename", "height", "width", "data", "corners")
-    return own.repartition("session_id").sortWithinPartitions("session_id", "frame_index").mapInArrow(run, schema)
+    return own.repartition("session_id").sortWithinPartitions("session_id", "frame_index").mapInArrow(run, schema, profile=profile)
 
 
 def mask_stats(done: DataFrame, info: dict[str, str]) -> DataFrame:

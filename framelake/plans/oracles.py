@@ -20,7 +20,16 @@ rej as (select distinct o_orderkey from s join f using (o_orderpriority) where s
 _VALID = "id % 3 = 0"
 
 _RASTER = """
-r as (select vec_id, label, i, i // 8 as y, i % 8 as x, embedding[i + 1]::double as v from embeddings, unnest(range(0, 64)) as t(i) where len(embedding) = 64)"""
+r as (select vec_id, label, h, i, i // 8 as y, i % 8 as x, coalesce(embedding[i + 1], 0)::double as v
+  from (select *, (len(embedding) + 7) // 8 as h from embeddings), unnest(range(0, 8 * h)) as t(i))"""
+
+# the four neighbours; borders mirror, but in a raster of one line they repeat
+_LAPLACE = """
+l as (select a.vec_id, a.label, a.h, u.v + d.v + l.v + r2.v - 4 * a.v as x from r a
+  join r u on u.vec_id = a.vec_id and u.x = a.x and u.y = case when a.h = 1 then 0 when a.y = 0 then 1 else a.y - 1 end
+  join r d on d.vec_id = a.vec_id and d.x = a.x and d.y = case when a.h = 1 then 0 when a.y = a.h - 1 then a.h - 2 else a.y + 1 end
+  join r l on l.vec_id = a.vec_id and l.y = a.y and l.x = case when a.x > 0 then a.x - 1 when a.h = 1 then 0 else 1 end
+  join r r2 on r2.vec_id = a.vec_id and r2.y = a.y and r2.x = case when a.x < 7 then a.x + 1 when a.h = 1 then 7 else 6 end)"""
 
 _TRACK = """
 with recursive e as (
@@ -128,28 +137,26 @@ h as (select u.x, u.y, u.w, sum(m)::bigint as held from u join c on c.x >= u.x -
 r as (select p.*, held, l_orderkey * 10 + l_linenumber as place from p join h using (x, y, w))
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, held, place = (select place from r order by held desc, score desc, place limit 1) as best from r""",
     "coverage_and_area": "with" + _RASTER + """,
-n as (select vec_id, label, count(*) filter (where v > 0) as n from r group by 1, 2),
-p as (select vec_id, round_even(2.5 * i, 0)::int as x, least((label + i) % 9, 7) as y from n, unnest(range(0, 3)) as t(i)),
+n as (select vec_id, label, h, count(*) filter (where v > 0) as n from r group by 1, 2, 3),
+p as (select vec_id, round_even(2.5 * i, 0)::int as x, least((label + i) % 9, h - 1) as y from n, unnest(range(0, 3)) as t(i)),
 c as (select p.vec_id, avg((v > 0)::int::double) as coverage from p join r on r.vec_id = p.vec_id and r.x = p.x and r.y = p.y group by 1)
 select vec_id, round(coverage, 6) as coverage, round(n / ((label % 3 + 1) * (label % 3 + 1))::double, 6) as area, n > 0 as any_pixel from n join c using (vec_id)""",
-    "laplacian_sharpness": "with" + _RASTER + """,
-l as (select a.vec_id, u.v + d.v + l.v + r2.v - 4 * a.v as x from r a
-  join r u on u.vec_id = a.vec_id and u.x = a.x and u.y = case when a.y = 0 then 1 else a.y - 1 end
-  join r d on d.vec_id = a.vec_id and d.x = a.x and d.y = case when a.y = 7 then 6 else a.y + 1 end
-  join r l on l.vec_id = a.vec_id and l.y = a.y and l.x = case when a.x = 0 then 1 else a.x - 1 end
-  join r r2 on r2.vec_id = a.vec_id and r2.y = a.y and r2.x = case when a.x = 7 then 6 else a.x + 1 end)
-select vec_id, round(var_pop(x), 6) as sharpness from l group by 1""",
+    "laplacian_sharpness": "with" + _RASTER + "," + _LAPLACE + """
+select e.vec_id, round(s, 6) as sharpness from (select vec_id, row_number() over (partition by vec_id) as n from embeddings) e left join (select vec_id, var_pop(x) as s from l group by 1) using (vec_id)""",
     "pixel_union_dilate": "with" + _RASTER + """,
 u as (select vec_id, i, y, x, v > 1.0 or (y between label % 4 and label % 4 + 4 and x between label % 4 and label % 4 + 4) as b from r),
 g as (select a.vec_id, a.i, bool_or(n.b) as g from u a join u n on n.vec_id = a.vec_id and abs(n.x - a.x) + abs(n.y - a.y) <= 1 group by 1, 2)
 select vec_id, count(*) filter (where g) as n_grown, string_agg(case when g then '1' else '0' end, '' order by i) as bits from g group by 1""",
-    "image_scan": "with" + _RASTER.replace("embedding[i + 1]::double", "least(255, greatest(0, round_even(128 + 32 * embedding[i + 1]::double, 0)))") + """,
-l as (select a.vec_id, a.label, u.v + d.v + l.v + r2.v - 4 * a.v as x from r a
-  join r u on u.vec_id = a.vec_id and u.x = a.x and u.y = case when a.y = 0 then 1 else a.y - 1 end
-  join r d on d.vec_id = a.vec_id and d.x = a.x and d.y = case when a.y = 7 then 6 else a.y + 1 end
-  join r l on l.vec_id = a.vec_id and l.y = a.y and l.x = case when a.x = 0 then 1 else a.x - 1 end
-  join r r2 on r2.vec_id = a.vec_id and r2.y = a.y and r2.x = case when a.x = 7 then 6 else a.x + 1 end)
-select 's' || label as session_id, vec_id, 8::bigint as height, 8::bigint as width, round(var_pop(x), 6) as sharpness from l group by vec_id, label""",
+    "pixel_runs": "with" + _RASTER + """,
+u as (select vec_id, i, y, x, label, h, v > 1.0 or (y between label % 4 and label % 4 + 4 and x between label % 4 and label % 4 + 4) as b from r),
+g as (select a.vec_id, a.y, a.x from u a join u n on n.vec_id = a.vec_id and abs(n.x - a.x) + abs(n.y - a.y) <= 1 group by all having bool_or(n.b)),
+k as (select *, x - row_number() over (partition by vec_id, y order by x) as run from g),
+s as (select vec_id, y, min(x) as lo, max(x) as hi from k group by vec_id, y, run),
+c as (select vec_id, label, label % 4 + 4 * p[1] as px, label % 4 + 4 * p[2] as py from embeddings, unnest([[0, 0], [1, 0], [1, 1], [0, 1]]) as t(p)),
+v as (select c.vec_id, avg(coalesce(r.v > 0, false)::int) as coverage from c left join r on r.vec_id = c.vec_id and r.x = least(px, 7) and r.y = least(py, 7) group by 1)
+select vec_id, y::bigint as y, lo::bigint as lo, hi::bigint as hi, (sum(hi - lo + 1) over (partition by vec_id))::bigint as area, coverage from s join v using (vec_id)""",
+    "image_scan": "with" + _RASTER.replace("coalesce(embedding[i + 1], 0)::double", "least(255, greatest(0, round_even(128 + 32 * coalesce(embedding[i + 1], 0)::double, 0)))") + "," + _LAPLACE + """
+select 's' || label as session_id, vec_id, h::bigint as height, 8::bigint as width, round(var_pop(x), 6) as sharpness from l group by vec_id, label, h""",
     "mjpeg_source": """
 with v as (select n_nationkey, n_name, 2 * n_nationkey + 1 as n from nation)
 select 'n' || n_nationkey as session_id, n::bigint as total_frames, 64::bigint as width, 48::bigint as height, i::bigint as frame_index, round(i / 25.0::double, 4) as timestamp_s,
@@ -204,6 +211,17 @@ h as (select page_id, regexp_extract_all(t, '(?:page=|track\(|/)(\d+)(?:/(\d+))?
 v as (select page_id, i, a[i]::double / nullif(case when coalesce(b[i], '') = '' then 1.0 else b[i]::double end, 0) as v from h, unnest(range(1, len(a) + 1)) as t(i))
 select h.page_id, (select count(*) from v where v.page_id = h.page_id and v is not null) as hits,
   (select min_by(v.v, i) from v where v.page_id = h.page_id and v.v between 10 and 200) as focal_35mm from h""",
+    "focal_probe": r"""
+with p as (select page_id, page_id % 5 as k, page_id % 240 as n, coalesce(html, '') as h from pages),
+t as (select page_id, h || case when k = 0 then 'exif:focallengthIn35mmFilm="' || n || '"' when k = 1 then 'exif:focallengthIn35mmFilm><' || n * 10 || '/10'
+  when k = 2 then 'com.apple.quicktime.camera.focal_length.35mm_equivalent' || chr(0) || chr(1) || 'data ' || n || '.5mm'
+  when k = 3 then 'exif:focallengthIn35mmFilm><7/0 com.apple.quicktime.camera.focal_length.35mm_equivalent 31' else '' end as t from p),
+h as (select page_id, t, regexp_extract_all(t, '(?i)FocalLengthIn35mmFilm[^0-9]{0,4}(\d+)(?:/(\d+))?', 1) as a, regexp_extract_all(t, '(?i)FocalLengthIn35mmFilm[^0-9]{0,4}(\d+)(?:/(\d+))?', 2) as b,
+  strpos(t, 'com.apple.quicktime.camera.focal_length.35mm_equivalent') as place from t),
+v as (select page_id, i, a[i]::double / nullif(case when coalesce(b[i], '') = '' then 1.0 else b[i]::double end, 0) as v from h, unnest(range(1, len(a) + 1)) as t(i)),
+x as (select h.page_id, case when place > 0 then nullif(regexp_extract(substr(t, place + length('com.apple.quicktime.camera.focal_length.35mm_equivalent'), 64), '(\d+(?:\.\d+)?)', 1), '')::double end as apple from h)
+select x.page_id, (select count(*) from v where v.page_id = x.page_id and v is not null) as hits, apple,
+  coalesce((select min_by(v.v, i) from v where v.page_id = x.page_id and v.v between 10 and 200), case when apple between 10 and 200 then apple end) as focal_35mm from x""",
     "json_required_keys": """
 select event_id, array_to_string(list_filter(['k', 'fps', 'stride'], lambda x: not list_contains(coalesce(json_keys(props), []), x)), ',') as missing,
   (props->>'$.k')::bigint as k from events""",

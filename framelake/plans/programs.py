@@ -22,7 +22,9 @@ def extract(spark: SparkSession, path: str, out: str, stride: int | None = None,
     stride = S.first_given(stride, (settings or S.Settings()).frame_extraction.stride)
     S.check_video(path)
     shots = video.frames(spark, path, stride)
-    sinks.jpeg_frames(shots, out)
+    counted, seen = sinks.counted(shots, "frames")
+    sinks.jpeg_frames(counted, out)
+    sinks.told(seen, "frames extracted")
     rows = shots.select("session_id", records.frame(F.col("frame_index"), F.col("fps"), F.col("total_frames")).alias("f")).select("session_id", "f.*")
     docs = documents.video_metadata(video.headers(spark, path), rows, stride)
     sinks.json_documents(docs, records.encoded(F.col("metadata"), "VIDEO"), out, "metadata.json")
@@ -50,25 +52,32 @@ def choose(spark: SparkSession, out: str, min_markers: int | None = None, valid_
     images = files.readable(files.images(spark, f"{out}/*/*.jpg"))
     scores = rows.join(images.select("session_id", "filename", raster.sharpness().alias("score")), ["session_id", "filename"]).select("session_id", "filename", "score")
     figures = quality.fence(scores, ["session_id"])
-    rejected = quality.rejects(scores, figures, ["session_id"])
-    kept = selection.select(rows, least, valid, rejected, files.listing(spark, f"{out}/*/*.jpg"))
-    sinks.copies(kept, out, out)
+    blurred = quality.rejects(scores, figures, ["session_id"])
+    kept = selection.select(rows, least, valid, blurred, files.listing(spark, f"{out}/*/*.jpg"))
+    counted, seen = sinks.counted(kept, "kept")
+    sinks.copies(counted, out, out)
+    sinks.told(seen, "frames kept")
     totals = rows.groupBy("session_id").agg(F.count("*").alias("total_frames_input"))
     meta = files.accepted(spark, f"{out}/*/metadata.json", "VIDEO", rejected).select("session_id", "record.focal_length_35mm", "record.resolution.width", "record.resolution.height")
     name = docs.select("record.dictionary").first()
-    made = documents.selection_document(kept, totals, name[0] if name else "", least, quality.sharpness_block(figures, rejected, ["session_id"]), documents.camera(totals, meta))
+    made = documents.selection_document(kept, totals, name[0] if name else "", least, quality.sharpness_block(figures, blurred, ["session_id"]), documents.camera(totals, meta))
     sinks.json_documents(made, records.encoded(F.col("manifest"), "SELECTION"), out, "manifest.json")
     return kept
 
 
-def mask(spark: SparkSession, out: str, tracker: type = tracking.BoxTracker, rejected: str | None = None) -> DataFrame:
-    """Kept frames to mask files and an updated manifest.json; returns each session's record."""
+def mask(spark: SparkSession, out: str, tracker: type = tracking.BoxTracker, rejected: str | None = None, device: str = "cpu", cpus: int = 1) -> DataFrame:
+    """Kept frames to mask files and an updated manifest.json; returns each session's record.
+
+    device, cpus: what a tracker's task asks for on a cluster (settings.tracker_profile).
+    """
     docs = files.accepted(spark, f"{out}/*/manifest.json", "SELECTION", rejected).withColumnRenamed("record", "manifest")
     images = files.images(spark, f"{out}/*/*.jpg")
     rows = documents.markers_of(docs).join(images, ["session_id", "filename"])
     data = rows.select("session_id", "frame_index", "filename", "image.height", "image.width", F.when(F.col("image.height") >= 0, F.col("image.data")).alias("data"), F.transform("markers", lambda m: m["corners"]).alias("corners"))
-    done = tracking.masks(data, tracker)
-    sinks.mask_files(done, out)
+    done = tracking.masks(data, tracker, S.tracker_profile(spark, device, cpus))
+    counted, seen = sinks.counted(done, "masks")
+    sinks.mask_files(counted, out)
+    sinks.told(seen, "masks made")
     stats = tracking.mask_stats(done, tracker().info)
     made = sinks.updated_manifest(docs, stats, "masks")
     sinks.json_documents(made, records.encoded(F.col("manifest"), "SELECTION"), out, "manifest.json")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from framelake import settings
 from framelake.functions import geometry, probe, records
-from framelake.operators import documents, flat, quality, raster, selection, tracking
+from framelake.operators import documents, flat, quality, raster, runs, selection, tracking
 from framelake.sources import files, sinks, storage, video
 
 WHITELIST = list(range(0, 50, 3))
@@ -105,8 +105,10 @@ def frames_left_detections(spark: SparkSession, d: str) -> DataFrame:
 
 
 def whitelist_markers(spark: SparkSession, d: str) -> DataFrame:
-    m = markers(spark, d).select("o_orderkey", F.size("markers").alias("before"), records.whitelisted(F.col("markers"), WHITELIST).alias("m"))
-    return m.select("o_orderkey", F.col("before").cast("long").alias("before"), F.size("m").cast("long").alias("after"), F.array_join(F.transform("m", lambda x: x["id"].cast("string")), ",").alias("ids"))
+    valid = F.col("id").isin(WHITELIST)
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey", "cx", "cy", "side", F.col("id").cast("string").alias("id"))  # the lines' order
+    m = lines(spark, d).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("before"), F.count_if(valid).alias("after"), F.sort_array(F.collect_list(F.when(valid, place))).alias("m"))
+    return m.select("o_orderkey", "before", "after", F.array_join(F.col("m.id"), ",").alias("ids"))
 
 
 def zip_shorter(spark: SparkSession, d: str) -> DataFrame:
@@ -213,35 +215,53 @@ def crowded_frame(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rasters(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "embeddings").where("size(embedding) = 64").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    """vec_id, label, v, h: embeddings as rasters 8 wide and h high, dark where they end within a line or hold nulls."""
+    e = table(spark, d, "embeddings").selectExpr("vec_id", "label", "coalesce(cast(embedding as array<double>), cast(array() as array<double>)) as v")
+    whole = "transform(concat(v, array_repeat(0D, pmod(-size(v), 8))), x -> coalesce(x, 0D))"
+    return e.selectExpr("vec_id", "label", f"case when size(v) % 8 = 0 and not exists(v, x -> x is null) then v else {whole} end as v", "cast(ceil(size(v) / 8) as int) as h")
 
 
 def coverage_and_area(spark: SparkSession, d: str) -> DataFrame:
     points = F.array(*[F.struct(F.lit(2.5 * i).alias("x"), ((F.col("label") + i) % 9).cast("double").alias("y")) for i in range(3)])
-    r = rasters(spark, d).withColumn("mask", F.transform("v", lambda x: x > 0))
-    return rounded(r.select("vec_id", geometry.coverage(F.col("mask"), points, 8, 8).alias("coverage"), geometry.normal_area(F.col("mask"), (F.col("label") % 3 + 1).cast("double")).alias("area"), F.exists("mask", lambda b: b).alias("any_pixel")), "coverage", "area")
+    r = rasters(spark, d).where("h > 0").withColumn("mask", F.transform("v", lambda x: x > 0))
+    return rounded(r.select("vec_id", geometry.coverage(F.col("mask"), points, 8, F.col("h")).alias("coverage"), geometry.normal_area(F.col("mask"), (F.col("label") % 3 + 1).cast("double")).alias("area"), F.exists("mask", lambda b: b).alias("any_pixel")), "coverage", "area")
 
 
 def laplacian_sharpness(spark: SparkSession, d: str) -> DataFrame:
     return rounded(rasters(spark, d).select("vec_id", raster.sharpness_of("v", 8).alias("sharpness")), "sharpness")
 
 
-def pixel_union_dilate(spark: SparkSession, d: str) -> DataFrame:
-    """The raster's mask and a filled marker of side 4 at the place its label says, grown by a disk of radius 1."""
+def marked_rasters(spark: SparkSession, d: str) -> DataFrame:
+    """vec_id, mask, corners, h: each raster's bright pixels, and a marker of side 4 at the place its label says."""
     at = (F.col("label") % 4).cast("double")
     corners = F.array(F.array(F.array(at, at), F.array(at + 4, at), F.array(at + 4, at + 4), F.array(at, at + 4)))
-    r = rasters(spark, d).select("vec_id", F.transform("v", lambda x: x > 1).alias("mask"), corners.alias("corners"))
-    g = r.select("vec_id", raster.finished_of("mask", "corners", 8).alias("g"))
+    return rasters(spark, d).where("h > 0").select("vec_id", F.transform("v", lambda x: x > 1).alias("mask"), corners.alias("corners"), "h")
+
+
+def pixel_union_dilate(spark: SparkSession, d: str) -> DataFrame:
+    """The raster's mask and its marker, grown by a disk of radius 1."""
+    g = marked_rasters(spark, d).select("vec_id", raster.finished_of("mask", "corners", 8).alias("g"))
     return g.select("vec_id", F.size(F.filter("g", lambda b: b)).cast("long").alias("n_grown"), F.array_join(F.transform("g", lambda b: F.when(b, "1").otherwise("0")), "").alias("bits"))
 
 
+def pixel_runs(spark: SparkSession, d: str) -> DataFrame:
+    """The same unions as runs of pixels, with each one's area and the share of its marker's corners and middle that it covers."""
+    m = marked_rasters(spark, d)
+    own = runs.finished(m, ["vec_id"], "mask", "corners", geometry.median_side(F.col("corners")), 8, F.col("h"))
+    points = m.select("vec_id", F.explode(F.element_at("corners", 1)).alias("p")).select("vec_id", F.element_at("p", 1).alias("x"), F.element_at("p", 2).alias("y"))
+    # of the bare mask, as a track's coverage is
+    bare = runs.coverage(runs.of_masks(rasters(spark, d).select("vec_id", F.transform("v", lambda x: x > 0).alias("mask")), ["vec_id"], "mask", 8), points, ["vec_id"], 8, 8)
+    out = own.join(runs.areas(own, ["vec_id"]), "vec_id").join(bare, "vec_id")
+    return out.select("vec_id", F.col("y").cast("long").alias("y"), F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"), "area", "coverage")
+
+
 # --- generated files ---------------------------------------------------------------------------------------------
 
 
 def _pixels(values: str, width: int):
     """PNG bytes of row-major rasters, numbers as gray steps around 128."""
     def run(v: pd.Series) -> pd.Series:
-        return pd.Series([raster.png(np.clip(np.rint(128 + 32 * np.asarray(x, float)), 0, 255).astype(np.uint8).reshape(-1, width)) for x in v])
+        return pd.Series([raster.png(np.clip(np.rint(128 + 32 * np.asarray(x, float)), 0, 255).astype(np.uint8).reshape(-1, width)) if len(x) else None for x in v])
 
     return F.pandas_udf(run, "binary")(F.col(values))
 
@@ -447,6 +467,16 @@ def regex_probe(spark: SparkSession, d: str) -> DataFrame:
     return p.select("page_id", F.size(every).cast("long").alias("hits"), F.try_element_at(F.filter(every, probe.plausible), F.lit(1)).alias("focal_35mm"))
 
 
+def focal_probe(spark: SparkSession, d: str) -> DataFrame:
+    """The pages' bytes, with camera data of either kind behind some of them, as containers: focal length and where it is from."""
+    k, n = F.col("page_id") % 5, F.col("page_id") % 240
+    xmp, apple = F.concat(F.lit("exif:focallengthIn35mmFilm"), F.when(k == 0, F.lit('="')).otherwise(F.lit("><"))), F.lit(probe.APPLE)
+    data = F.when(k == 0, F.concat(xmp, n.cast("string"), F.lit('"'))).when(k == 1, F.concat(xmp, (n * 10).cast("string"), F.lit("/10"))).when(k == 2, F.concat(apple, F.lit("\u0000\u0001data "), n.cast("string"), F.lit(".5mm"))).when(k == 3, F.concat(xmp, F.lit("7/0 "), apple, F.lit(" 31"))).otherwise("")
+    p = table(spark, d, "pages").select("page_id", F.encode(F.concat(F.coalesce("html", F.lit("")), data), "UTF-8").alias("content"))
+    text = probe.as_text(probe.edges(F.col("content")))
+    return p.select("page_id", F.size(probe.candidates(text)).cast("long").alias("hits"), probe.apple(text).alias("apple"), probe.focal_35mm(text).alias("focal_35mm"))
+
+
 def json_required_keys(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
     miss = records.missing_keys(F.col("props"), ["k", "fps", "stride"])
@@ -472,7 +502,7 @@ def sheet_layout(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "part").select("p_partkey", F.col("p_partkey").alias("i"))
     side = records.mm(F.lit(236), F.lit(300))
     out = documents.pages_layout(p, 236 / 300 * 25.4, settings.page_size("A4"))
-    out = out.select("p_partkey", F.col("page").cast("long").alias("page"), F.col("col").cast("long").alias("col"), F.col("row").cast("long").alias("row"), "x", "y", F.lit(236 + 2 * 59).cast("long").alias("total_pixels"), side.alias("side_mm"), records.label(F.concat(F.lit("out/marker_"), "p_partkey", F.lit(".png"))).alias("label"))
+    out = out.select("p_partkey", F.col("page").cast("long").alias("page"), F.col("col").cast("long").alias("col"), F.col("row").cast("long").alias("row"), "x", "y", documents.total_side(settings.Sheet()).cast("long").alias("total_pixels"), side.alias("side_mm"), records.label(F.concat(F.lit("out/marker_"), "p_partkey", F.lit(".png"))).alias("label"))
     return out.withColumns({c: F.round(c, 3) for c in ("x", "y", "side_mm")})
 
 
@@ -490,7 +520,7 @@ def last_reference(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.last("ref", True).over(w).alias("reference")).withColumn("reference", F.round("reference", 6))
 
 
-OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, crowded_frame, coverage_and_area, laplacian_sharpness, pixel_union_dilate, tracking_fold, tracking_long_session, tracking_stream, tracking_ordered, tracking_memory, source_counts, last_reference, regex_probe, json_required_keys, document_scan, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, video_ranges, video_stream, committed_files, marker_detect, mask_png)
+OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, crowded_frame, coverage_and_area, laplacian_sharpness, pixel_union_dilate, pixel_runs, tracking_fold, tracking_long_session, tracking_stream, tracking_ordered, tracking_memory, source_counts, last_reference, regex_probe, focal_probe, json_required_keys, document_scan, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, video_ranges, video_stream, committed_files, marker_detect, mask_png)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -7,7 +7,8 @@ import re
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.resource import ExecutorResourceRequests, ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 #: Marker dictionaries: name -> (detector enum, bits a side, markers) (fixed values).
@@ -135,6 +136,24 @@ def device(name: str, gpu: bool | None = None) -> str:
     return name if name != "auto" else ("cuda" if gpu else "cpu")
 
 
+def tracker_profile(spark: SparkSession, device: str = "cpu", cpus: int = 1, gpus: float = 1.0, memory: str | None = None) -> ResourceProfile | None:
+    """What a task of a tracker's stage asks for: cores, and on cuda a share of a GPU; other stages ask for what they did.
+
+    Where executors come and go, they are asked for with as much (and with memory); elsewhere a task takes more of the
+    executors that are there, so fewer run at a time.  None in local mode, which has no profiles.
+    """
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return None
+    task = TaskResourceRequests().cpus(cpus)
+    builder = ResourceProfileBuilder()
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        executor = ExecutorResourceRequests().cores(max(cpus, int(spark.conf.get("spark.executor.cores", "1"))))
+        builder = builder.require(executor.memory(memory) if memory else executor)
+        if device == "cuda":
+            executor.resource("gpu", max(1, round(gpus)))
+    return builder.require(task.resource("gpu", gpus) if device == "cuda" else task).build
+
+
 def check_video(path: str) -> None:
     ending = path.rsplit(".", 1)[-1].lower() if "." in path else ""
     if ending not in VIDEO_ENDINGS:

@@ -21,6 +21,7 @@ an error before anything is published; a file that was there before the job is r
 from __future__ import annotations
 
 import json
+import logging
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,6 +36,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from framelake.sources import storage
 
 SCHEMA = "name string, data binary, source string"
+#: Files after which a task logs how many it has written.
+EVERY = 50
 MANIFEST = "name string, staged string, bytes long"
 _PARTS = pa.schema([("name", pa.string()), ("staged", pa.string()), ("bytes", pa.int64())])
 
@@ -55,7 +58,7 @@ class Writer(DataSourceArrowWriter):
         self.folder, self.job = options["path"].rstrip("/"), options["job"]
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Attempt:
-        attempt, rows = uuid.uuid4().hex, []
+        attempt, rows, log = uuid.uuid4().hex, [], logging.getLogger("framelake")
         top = f"{self.folder}/_jobs/{self.job}/attempts/{attempt}"
         try:
             for batch in iterator:
@@ -68,6 +71,8 @@ class Writer(DataSourceArrowWriter):
                     elif source is None or not storage.copied(source, staged):
                         continue
                     rows.append((name, staged, storage.size(staged)))
+                    if len(rows) % EVERY == 0:
+                        log.info("%s: %d files", self.folder, len(rows))
         except BaseException:
             storage.removed(top)
             raise
@@ -82,6 +87,7 @@ class Writer(DataSourceArrowWriter):
         own = [m for m in messages if m is not None and m.files]
         record = {"attempts": [m.id for m in own], "files": sum(m.files for m in own), "bytes": sum(m.bytes for m in own)}
         storage.replaced(f"{self.folder}/_jobs/{self.job}/_commit", json.dumps(record).encode())
+        logging.getLogger("framelake").info("%s: %d files, %d bytes, committed", self.folder, record["files"], record["bytes"])
 
     def abort(self, messages: list[Attempt | None]) -> None:  # noqa: ARG002
         storage.removed(f"{self.folder}/_jobs/{self.job}")

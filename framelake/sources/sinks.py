@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import zlib
 from collections.abc import Iterator
 
@@ -57,28 +58,17 @@ def updated_manifest(old: DataFrame, stats: DataFrame, mask_dir: str) -> DataFra
     return rows.withColumn("manifest", F.col("manifest").dropFields("mask_dir", "mask_generation")).withColumn("manifest", F.col("manifest").withField("mask_dir", F.when(done, F.lit(mask_dir))).withField("mask_generation", F.col("__stats"))).drop("__stats")
 
 
-def logged(rows: DataFrame, what: str, every: int = 50) -> DataFrame:
-    """The same rows; each task logs how many it has passed on after every so many, and at its end."""
-    import logging
-
-    def run(batches: Iterator) -> Iterator:
-        log, n = logging.getLogger("framelake"), 0
-        for b in batches:
-            for k in range(n // every + 1, (n + b.num_rows) // every + 1):
-                log.info("%s: %d rows", what, k * every)
-            n += b.num_rows
-            yield b
-        log.info("%s: %d rows, done", what, n)
-
-    return rows.mapInArrow(run, rows.schema)
-
-
 def counted(rows: DataFrame, what: str) -> tuple[DataFrame, Observation]:
     """The same rows and an observation whose get() tells their number once an action has run."""
     seen = Observation(what)
     return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def told(seen: Observation, what: str) -> None:
+    """Logs what an action has counted."""
+    logging.getLogger("framelake").info("%s: %d rows", what, seen.get["rows"])
+
+
 def sheet_pdf(rasters: list, labels: list[str], cells: list[tuple[int, float, float]], side_mm: float, page: tuple[float, float], path: str) -> None:
     """Marker sheets as a PDF: gray rasters at (page, x, y) in mm with a label, and a scale bar on each page."""
     pt = 72 / 25.4
