@@ -6,8 +6,9 @@ host are that site's template and are deleted from the whole page.  Pages of a h
 print views) count once.  Only then the main content is chosen from what is left: the page's article elements, else its
 main element or one with that role, else the body.  Elements that are no article text by their nature (scripts, styles,
 menus, headers, footers, asides, forms, adverts, notices, comments) go by tag, role, or class and id.  Outside the main
-content one word of a class or id is enough, as a site may have too few pages for counting; inside it takes a name
-that says it in full, or such a word on a container of links, or the counts.
+content one word of a class or id is enough, as a site may have too few pages for counting.  Inside it no name drops a
+heading, a paragraph or another text block, nor a container with text of its own, but for containers that say in full
+that they are reader comments, adverts or notices; others go where they are lists of links, and by the counts.
 
 What holds main content or plain text is never template: articles, a main element and all around them, and inside the
 main content text blocks (paragraphs, headings, list items, quotes) and containers that hold such blocks with text
@@ -48,26 +49,31 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th tr figcaption b i em strong span a u s code br sub sup small mark q cite abbr time".split())
 #: Blocks whose text, links aside, makes a container part of the article.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre dd dt td th figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCK - {"caption", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "option", "legend", "summary", "body", "html"} | {"li", "dd", "dt"}
 #: What an opening tag closes among its open siblings, and where the search for them ends.
 IMPLIED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 DROPPED_TAGS = frozenset("nav footer aside form button select dialog menu head search annotation annotation-xml".split()) | RAW
-DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form note".split())
+DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 #: Words of class and id that mark what is not the article (fixed values).
 DROPPED_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored sponsors promo promos promotion
 nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars side rail header masthead topbar footer foot bottombar
 cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login paywall disclaimer
 comment comments commentlist disqus respond reply replies discussion share sharing social related recommended recommendations
 trending widget widgets tags pagination pager toolbar skip form forms search""".split())
-#: Whole names of class and id, and first words of them, that mark it inside the main content too (fixed values).
-DROPPED_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner-ad adsense sponsored sponsored-content promo-box navbar nav-bar main-nav
-site-nav navigation main-menu breadcrumb breadcrumbs sidebar sidebars side-bar site-header masthead topbar footer site-footer page-footer article-footer bottombar
-cookie-banner cookie-notice cookie-bar cookie-consent consent-banner gdpr-banner popup newsletter newsletter-signup newsletter-box newsletter-form
-subscribe subscribe-box paywall comments comment-list commentlist comments-area comments-section comment-section comment-form comment-respond
-respond disqus disqus-thread share-buttons share-bar share-box share-links social-share social-links social-buttons social-media
-related related-posts related-articles related-content related-links related-stories recommended recommendations trending widget widgets
-pagination pager toolbar search-form login-form skip-link""".split())
-DROPPED_STARTS = frozenset("ad ads advert adverts advertisement adsense".split())
+#: Whole names that mark a container inside the main content as something else, whatever it holds: reader comments by class
+#: or id, adverts and notices by class (fixed values).
+COMMENT_NAMES = frozenset("comments comment-list commentlist comments-area comments-section comment-section comment-form comment-respond respond disqus disqus-thread".split())
+NOTICE_NAMES = frozenset("""ad ads advert adverts advertisement banner-ad adsense sponsored sponsored-content promo-box cookie-banner cookie-notice cookie-bar cookie-consent
+    consent-banner gdpr-banner popup newsletter-signup newsletter-box newsletter-form subscribe-box""".split())
+NOTICE_STARTS = frozenset("ad ads advert adverts advertisement adsense".split())
+#: Whole names that mark it where it holds links, and besides them headings at most (fixed values).
+LINK_NAMES = frozenset("""advertising navbar nav-bar main-nav site-nav navigation main-menu breadcrumb breadcrumbs sidebar sidebars side-bar site-header masthead
+    topbar footer site-footer page-footer article-footer bottombar newsletter subscribe paywall share-buttons share-bar share-box share-links social-share
+    social-links social-buttons social-media related related-posts related-articles related-content related-links related-stories recommended
+    recommendations trending widget widgets pagination pager toolbar search-form login-form skip-link""".split())
+#: Characters of a label beside links ("Share this:").
+LABEL = 30
 #: Bytes of template hashes that may be broadcast.
 SMALL = 4_000_000
 SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
@@ -168,11 +174,17 @@ def unwanted(node: Node, in_main: bool) -> bool:
     loose = any(w.lower() in DROPPED_WORDS for k in ("class", "id") if a.get(k) for w in SPLIT.split(a[k]))
     if not loose or not in_main:
         return loose
-    for name in f"{a.get('class', '')} {a.get('id', '')}".split():
-        parts = [w.lower() for w in SPLIT.split(name) if w]
-        if "-".join(parts) in DROPPED_NAMES or (parts and parts[0] in DROPPED_STARTS and node.tag not in TEXT_BLOCKS):
-            return True
-    return node.tag not in TEXT_BLOCKS and mostly_links(node)
+    if node.tag in TEXT_BLOCKS:  # a heading's or paragraph's name is an anchor or a style
+        return False
+    named = False
+    for kind in ("class", "id"):
+        for name in a.get(kind, "").split():
+            parts = [w.lower() for w in SPLIT.split(name) if w]
+            whole = "-".join(parts)
+            if whole in COMMENT_NAMES or kind == "class" and (whole in NOTICE_NAMES or parts and parts[0] in NOTICE_STARTS):
+                return True
+            named |= whole in LINK_NAMES or whole in NOTICE_NAMES
+    return link_list(node) if named else mostly_links(node)
 
 
 def walk(root: Node, enter=None) -> Iterator[tuple[Node | str, Node, int]]:
@@ -200,6 +212,16 @@ def inherited(root: Node, of: frozenset[str], enter) -> Iterator[tuple[str, bool
             inside.append(inside[-1] or c.tag in of)
 
 
+def link_list(node: Node) -> bool:
+    """Whether there are links, no paragraph, list item or quote has text outside them, and besides headings they hold most of the text, but for a label."""
+    text = lambda x: len("".join(x.split()))
+    into = lambda c: c.tag not in RAW
+    linked = sum(text(x) for x, a in inherited(node, frozenset("a"), into) if a)
+    own = any(a and x.strip() for x, a in inherited(node, PROSE - HEADINGS, lambda c: into(c) and c.tag != "a"))
+    alone = sum(text(x) for x, _ in inherited(node, frozenset(), lambda c: into(c) and c.tag != "a" and c.tag not in HEADINGS))
+    return linked > 0 and alone <= max(linked, LABEL) and not own
+
+
 def mostly_links(node: Node) -> bool:
     """Whether links hold at least three quarters of the text, and no heading or paragraph has text outside them."""
     text = lambda x: len("".join(x.split()))

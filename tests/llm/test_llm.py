@@ -157,6 +157,46 @@ def test_one_word_drops_no_article_text(name, tag):
     assert htmltext.extract(page("<article><p>x</p><div class='share-tools'><a href=/>Share</a></div><div class=comment-list><p>bad</p></div></article>")) == "x"
 
 
+ARTICLE_FORMS = [
+    "<section id='recommendations'><h2>kept</h2><p>text</p></section>", "<h2 id='recommendations'>kept</h2><p>text</p>", "<h2 id='comments'>kept</h2><p>text</p>", "<h2 id='footer'>kept</h2><p>text</p>", "<p id='advertising'>kept</p><p>text</p>",
+    "<p class='related'>kept</p><p>text</p>", "<section class='navigation'><h2>kept</h2><p>text</p></section>", "<section id='paywall'><h2>kept</h2><p>text</p></section>", "<section id='trending'><h2>kept</h2><p>text</p></section>", "<div role='note'>kept</div><p>text</p>",
+    "<section id='ads'><h2>kept</h2><p>text</p></section>", "<div class='related-work'>kept</div><p>text</p>", "<ul class='related'><li>kept</li><li>text</li></ul>", "<section class='navigation'>kept</section><p>text</p>", "<blockquote class='newsletter'>kept</blockquote><p>text</p>",
+    "<section class='related'><h2>kept</h2><p>text <a href=/></a></p></section>",
+]
+
+
+@pytest.mark.parametrize("form", ARTICLE_FORMS)
+@pytest.mark.parametrize("frame", ["<article>{}</article>", "<main>{}</main>", "<article><div>{}</div></article>"])
+def test_names_drop_no_text_of_the_article(form, frame):
+    assert htmltext.extract(page(frame.format(form))) == "kept\n\ntext"
+
+
+@pytest.mark.parametrize("form", [
+    "<div class='related-posts'><h3>Related</h3><ul><li><a href=/1>one</a></li><li><a href=/2>two</a></li></ul></div>", "<div class='share-buttons'><span>Share:</span> <a href=/>there</a></div>", "<div class='pagination'><a href=/2>next page</a></div>",
+    "<section id='comments'><h2>2 comments</h2><div><p>bad</p></div></section>", "<div class='ad'><p>buy this</p></div>", "<div class='ad-slot wide'>buy this</div>", "<div class='cookie-notice'><p>we use cookies</p></div>", "<ol class='comment-list'><li>bad</li></ol>",
+    "<div class='newsletter-signup'><p>write to us</p></div>", "<div role='navigation'><p>go</p></div>", "<div class='toolbar'><a href=/>print this</a> or <a href=/>save it</a></div>", "<div id='sponsored'><a href=/>a thing to buy</a></div>",
+])
+def test_what_is_not_the_article_still_goes(form):
+    assert htmltext.extract(page(f"<article><p>kept</p>{form}<p>text</p></article>")) == "kept\n\ntext"
+
+
+def test_counts_alone_give_the_given_pages_texts(spark, monkeypatch):
+    """With all lists of names and roles empty and no article element to go by, the counted templates leave of the given pages what the article is."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").toPandas()
+    want = [htmltext.extract(h) for h in pages["html"]]
+    for name in ("DROPPED_WORDS", "COMMENT_NAMES", "NOTICE_NAMES", "NOTICE_STARTS", "LINK_NAMES", "DROPPED_ROLES"):
+        monkeypatch.setattr(htmltext, name, frozenset())
+    assert [htmltext.extract(h) for h in pages["html"]] == want
+    # a site's frame in divisions without names; what it holds is the same on its pages
+    bars = [f"<div><div><a href=/{w}>{w}</a> <a href=/>home</a></div><div>call us on {w}</div></div>" for w in ("one", "two", "three")]
+    framed = [re.sub('(?s)<div class="ad">(.*?)</div>', r"<aside>\1</aside>", h).replace("<article>", bars[i % 3] + "<div>").replace("</article>", "</div><div>all rights of the house</div>") for i, h in zip(pages["page_id"], pages["html"])]
+    rows = [(int(i), f"https://h{i % 3}.org/{i}", h) for i, h in zip(pages["page_id"], framed)]
+    plain = sum(htmltext.extract(h) == w for (_, _, h), w in zip(rows, want))
+    marks = {r.host: frozenset(r.template) for r in htmltext.templates(spark.createDataFrame(rows, "pk long, url string, html string").withColumn("host", htmltext.host_of())).collect()}
+    got = [htmltext.extract(h, marks[f"h{i % 3}.org"]) for i, _, h in rows]
+    assert plain == 0 and len(marks) == 3 and got == want  # 250 of 250 by the counts, none without them
+
+
 @pytest.mark.parametrize(("html", "want"), [
     ("<article><p>a <svg class='i'/> b</p><p>c</p></article>", "a b\n\nc"),
     ("<article><p>a <svg/> b</p><p>c <svg><g>no</g></svg> d</p></article>", "a b\n\nc d"),
