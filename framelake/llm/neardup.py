@@ -37,6 +37,8 @@ from framelake.llm.hashing import hashes
 #: Words of a shingle, bands, coordinates of a band.
 SHINGLE, BANDS, ROWS = 5, 32, 4
 COORDINATES = BANDS * ROWS
+#: Members of a block of a large bucket.
+BLOCK = 512
 #: Step of the circular shift, and constants of the two permutations of 32-bit numbers (odd, hence bijective).
 STEP = 0x9E3779B1
 MIX = (0x85EBCA6B, 0xC2B2AE35, 0x7FEB352D, 0x846CA68B)
@@ -158,18 +160,23 @@ def _alike(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(s) + len(t) - common)
 
 
-def rest_links(buckets: DataFrame, least_equal: int, percent: int, block: int = 512) -> DataFrame:
+def pairs_of_blocks(buckets: DataFrame, block: int) -> DataFrame:
+    """bucket, k, comp, own, i, j: a bucket's members dealt into blocks, each member once for each pair of blocks that holds its own."""
+    sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    rows = buckets.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.select("bucket", "k", "comp", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+
+def rest_links(buckets: DataFrame, sets: DataFrame, least_equal: int, percent: int, block: int = BLOCK) -> DataFrame:
     """Links (a, b) of one bucket that join components which the stars left apart.
 
-    buckets: bucket, k, comp, sig, full.  A bucket of many members is dealt out as pairs of blocks, each one group.
-    Pairs whose signatures agree in least_equal coordinates are compared on their sets, unless links found before
-    have joined their components; so a group gives fewer links than it has members.
+    buckets: bucket, k, comp; sets: k, sig, full.  A bucket of many members is dealt out as pairs of blocks, each one group
+    and a task's work of its own: the sets join the members once these are dealt, so the groups go to tasks by all of
+    (bucket, i, j).  Pairs whose signatures agree in least_equal coordinates are compared on their sets, unless links found
+    before have joined their components; so a group gives fewer links than it has members.
     """
-    sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    rows = buckets.join(sizes, "bucket")
-    own = F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows = rows.withColumn("own", own).withColumn("other", other).select("bucket", "k", "comp", "sig", "full", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = pairs_of_blocks(buckets, block).join(sets, "k")
 
     def run(t: pa.Table) -> pa.Table:
         k, comp, own, i = (t.column(c).to_numpy() for c in ("k", "comp", "own", "i"))
@@ -199,7 +206,7 @@ def rest_links(buckets: DataFrame, least_equal: int, percent: int, block: int =
     return rows.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long")
 
 
-def joined(docs: DataFrame, percent: int, key_of: str, by_id: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+def joined(docs: DataFrame, percent: int, key_of: str, by_id: bool, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (k, t, n, rep, node, v), classes (cls, rep, node), and the components of the vertices (node, component).
 
     t is the text's hash, rep the smallest id of the row's class, node the class's vertex (null without words), v the
@@ -232,11 +239,10 @@ def joined(docs: DataFrame, percent: int, key_of: str, by_id: bool) -> tuple[Dat
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
     rest = written(placed.join(mixed, "bucket"), "rest")
     needed = distinct.select("k", "sig").join(rest.select("k").distinct(), "k", "left_semi").join(with_sets(texts.join(rest.select("k").distinct(), "k", "left_semi")), "k")
-    rest = rest.join(needed, "k")
     # six standard deviations below the threshold's expectation
     p = percent / 100
     least = int(COORDINATES * p - 6 * (COORDINATES * p * (1 - p)) ** 0.5)
-    more = linked(written(rest_links(rest, least, percent).distinct(), "rest-links"), texts, percent)
+    more = linked(written(rest_links(rest, needed, least, percent, block).distinct(), "rest-links"), texts, percent)
     links = links.unionByName(written(more, "linked"))
     if by_id:
         repeated = rows.groupBy("k").agg(F.min("v").alias("x"), F.max("v").alias("y")).where("x != y").select("k")
@@ -244,9 +250,9 @@ def joined(docs: DataFrame, percent: int, key_of: str, by_id: bool) -> tuple[Dat
     return rows, reps, written(components(links), "components")
 
 
-def clusters(docs: DataFrame, percent: int = 85, key_of: str = "doc_id") -> DataFrame:
+def clusters(docs: DataFrame, percent: int = 85, key_of: str = "doc_id", block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, class_id of every document."""
-    rows, reps, found = joined(docs, percent, key_of, by_id=True)
+    rows, reps, found = joined(docs, percent, key_of, by_id=True, block=block)
     # a component goes by its smallest id; vertices that are no class are ids
     least = found.join(reps.select("node", "rep"), "node", "left").groupBy("component").agg(F.min(F.coalesce("rep", "node")).alias("least"))
     named = found.join(least, "component").select(F.col("node").alias("v"), F.col("least").alias("component"))

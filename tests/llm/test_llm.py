@@ -95,8 +95,9 @@ def test_neardup_against_brute_force(docs, empty):
     assert neardup.clusters(empty).count() == 0
 
 
-def test_neardup_cluster_without_a_hub(spark):
-    """A chain of copies, each like its neighbours only, and a star whose hub has the largest id."""
+@pytest.mark.parametrize("block", [512, 7, 2])
+def test_neardup_cluster_without_a_hub(spark, block):
+    """A chain of copies, each like its neighbours only, and a star whose hub has the largest id; buckets of one block and of many."""
     rows, words = [], prose(11, 300).split(" ")
     for i in range(25):
         rows.append((i, " ".join(words), None, None))
@@ -105,10 +106,52 @@ def test_neardup_cluster_without_a_hub(spark):
     for i in range(30):
         rows.append((100 + i, " ".join(w if k not in (i * 6, i * 6 + 3) else f"e{i}" for k, w in enumerate(hub)), None, None))
     rows.append((999, " ".join(hub), None, None))
-    got = {r.doc_id: r.component_id for r in neardup.clusters(spark.createDataFrame(rows, SCHEMA)).collect()}
+    got = {r.doc_id: r.component_id for r in neardup.clusters(spark.createDataFrame(rows, SCHEMA), block=block).collect()}
     assert got == brute_components(rows, 85)
 
 
+def test_one_bucket_is_many_tasks(spark):
+    """A bucket of 5,000 members: every pair of members meets in one pair of blocks, and the pairs go to many tasks."""
+    members = spark.range(5000).select(F.lit("0:x").alias("bucket"), F.col("id").alias("k"), F.col("id").alias("comp"))
+    rows = neardup.pairs_of_blocks(members, 512).cache()
+    groups = rows.groupBy("i", "j").agg(F.count("*").alias("n")).collect()
+    assert len(groups) == 10 * 11 // 2 and max(r["n"] for r in groups) < 2 * 700 and rows.count() == 5000 * 10
+    sets = spark.createDataFrame([(0, b"", b"")], "k long, sig binary, full binary")
+    plan = neardup.rest_links(members, sets, 1, 85)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(bucket#\d+, i#\d+, j#\d+", plan)
+    tasks = rows.repartition(8, "bucket", "i", "j").select(F.spark_partition_id().alias("at")).groupBy("at").count().collect()
+    assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 0.4 * 50000
+
+
+def test_rest_links_across_blocks(spark):
+    """Members of one bucket with components of their own, in blocks of all sizes: joined as brute force joins them."""
+    base = prose(21, 120).split(" ")
+    texts = {}
+    for i in range(60):
+        words = list(base)
+        for k in range(i % 12):
+            words[(i // 12 * 20 + k * 7) % 120] = f"n{i // 12}.{k}"
+        texts[i] = " ".join(words)
+    rows = [(i, t, None, None) for i, t in texts.items()]
+    signed = {i: neardup.shingle_hashes(neardup.normal(t))[0] for i, t in texts.items()}
+    sets_ = spark.createDataFrame([(i, neardup.signature(h).tobytes(), h.tobytes()) for i, h in signed.items()], "k long, sig binary, full binary")
+    met = [i for i in texts if (neardup.signature(signed[i])[:4] == neardup.signature(signed[0])[:4]).all()]
+    members = spark.createDataFrame([("0:x", i, i) for i in met], "bucket string, k long, comp long")
+    assert len(met) > 8
+
+    def parts(links):
+        root = {i: i for i in met}
+        for a, b in links:
+            x, y = root[a], root[b]
+            root = {i: min(x, y) if r in (x, y) else r for i, r in root.items()}
+        return root
+
+    alike = [(a, b) for a in met for b in met if a < b and 100 * len(sets(texts[a]) & sets(texts[b])) >= 85 * len(sets(texts[a]) | sets(texts[b]))]
+    for block in (2, 5, 512):
+        links = [(r["a"], r["b"]) for r in neardup.rest_links(members, sets_, 1, 85, block).collect()]
+        assert set(links) <= set(alike) and parts(links) == parts(alike)
+
+
 def several_texts():
     """Ids, and missing ids, with several unlike texts, whose near and exact copies have other ids."""
     rows = []
