@@ -78,6 +78,20 @@ def unkey(c: str) -> Column:
     return F.when(F.col(c) != NULL_ID, F.col(c))
 
 
+def free_prefix(df: DataFrame) -> str:
+    """Underscores that no column of df begins with, for columns that are put beside them for a while."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def in_order(df: DataFrame) -> Column:
+    """A struct of all columns by which any two rows that differ have an order; maps are compared as their text."""
+    plain = lambda t: not any(x in t.simpleString() for x in ("map<", "variant"))
+    return F.struct(*[F.col(f"`{f.name}`") if plain(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`"))).alias(f.name) for f in df.schema])
+
+
 def remainder(c: str, m: int) -> Column:
     """crc32 of the id as text, modulo m: the folds that the contracts fix."""
     return F.pmod(F.crc32(F.col(c).cast("string").cast("binary")), F.lit(m))

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from framelake.llm.common import WORD, key, unkey, written
+from framelake.llm.common import WORD, free_prefix, in_order, key, unkey, written
 
 #: Weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -152,13 +152,15 @@ def taken(docs: DataFrame, block: int = 64, slots: int = 4096, seed: int = 17) -
 def mixed(docs: DataFrame, block: int = 64, slots: int = 4096, seed: int = 17) -> DataFrame:
     """The mix as documents: a row for each document and pass with the words that were taken, white space as one space."""
     placed, _, use = mix(docs, block, slots, seed)
-    cut = spread(placed, block).join(use.hint("merge"), ["rank", "b"]).groupBy("k", "tie", "lo", "turn").agg(F.array_sort(F.collect_list(F.struct("a", "z"))).alias("__cuts"), F.sum(F.col("z") - F.col("a")).alias("__n"))
-    cut = cut.select(F.col("k").alias("__k"), F.col("tie").alias("__tie"), "__cuts", "__n")
-    text = docs.withColumns({"__k": key(), "__tie": tie()})
-    text = text.dropDuplicates(["__k", "__tie"])  # repeated rows share the text; each has cuts of its own
-    rows = text.join(cut, ["__k", "__tie"])
+    p = free_prefix(docs)
+    cut = spread(placed, block).join(use.hint("merge"), ["rank", "b"]).groupBy("k", "tie", "lo", "turn").agg(F.array_sort(F.collect_list(F.struct("a", "z"))).alias(f"{p}cuts"), F.sum(F.col("z") - F.col("a")).alias(f"{p}n"))
+    cut = cut.select(F.col("k").alias(f"{p}k"), F.col("tie").alias(f"{p}tie"), f"{p}cuts", f"{p}n")
+    # rows that repeat id, text and source share the text, of the first of them by all columns; each has cuts of its own
+    keyed = docs.withColumns({f"{p}k": key(), f"{p}tie": tie()})
+    text = keyed.groupBy(f"{p}k", f"{p}tie").agg(F.min_by(F.struct(*docs.columns), in_order(docs)).alias(f"{p}row")).select(f"{p}k", f"{p}tie", f"{p}row.*")
+    rows = text.join(cut, [f"{p}k", f"{p}tie"])
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    whole = F.size("__w") == F.col("__n")
-    some = F.array_join(F.flatten(F.transform("__cuts", lambda c: F.slice("__w", (c["a"] + 1).cast("int"), (c["z"] - c["a"]).cast("int")))), " ")
-    rows = rows.withColumn("__w", words).withColumn("text", F.when(whole, F.col("text")).otherwise(some))
+    whole = F.size(f"{p}w") == F.col(f"{p}n")
+    some = F.array_join(F.flatten(F.transform(f"{p}cuts", lambda c: F.slice(f"{p}w", (c["a"] + 1).cast("int"), (c["z"] - c["a"]).cast("int")))), " ")
+    rows = rows.withColumn(f"{p}w", words).withColumn("text", F.when(whole, F.col("text")).otherwise(some))
     return rows.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

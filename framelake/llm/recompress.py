@@ -17,7 +17,7 @@ are independent of each other from the words' bytes on (64 and 32 bits, so two u
 windows are taken for equal with a probability of about 1e-9), and the first start of each is found.
 
 Documents are dealt into groups of bounded size by a hash of id and text, so an id on many rows (all null ids, say) is
-spread; only rows that repeat both are one group.  A group sends each reducer one packed row of distinct entries (its own repeats are combined before the
+spread; rows that repeat both are read as one document, and get its result by a join.  A group sends each reducer one packed row of distinct entries (its own repeats are combined before the
 shuffle, so a passage in a third of all documents gives one entry for each group) and gets back one bit for each entry,
 and with them the note, a bit a window, of what it knew to be open.  Each step puts the group's rows in one order, by id
 and text, before it counts windows: a shuffle that is read again hands the rows over in another order.
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framelake.llm.bpe import _IS_SPACE, gather
-from framelake.llm.common import key, small_batches
+from framelake.llm.common import free_prefix, key, small_batches, written
 from framelake.llm.hashing import hashes
 
 #: Words of a window; Spark rounds, each of one more turn; bytes of text for each group of documents and each reducer.
@@ -253,13 +253,17 @@ def _noted(t: pa.Table) -> tuple[pa.Table, pa.Table]:
 
 
 def _in_order(t: pa.Table) -> tuple[np.ndarray, pa.ChunkedArray, np.ndarray]:
-    """The ids and texts of a group by id and text, and the rows' places in that order; rows that repeat both have the same windows."""
-    slim = pa.table({"__k": t.column("__k"), "text": t.column("text").cast(pa.large_string())})
+    """The ids and texts of a group by id and text, and the rows' places in that order; its group and id are the last columns."""
+    slim = pa.table({"__k": t.column(t.num_columns - 1), "text": t.column("text").cast(pa.large_string())})
     order = pc.sort_indices(slim, sort_keys=[("__k", "ascending"), ("text", "ascending")])
     slim = slim.take(order)
     return slim.column("__k").to_numpy(), slim.column("text"), np.argsort(order.to_numpy())
 
 
+def _group(t: pa.Table) -> int:
+    return t.column(t.num_columns - 2)[0].as_py()
+
+
 def _joined(t: pa.Table, column: str, dtype: str) -> np.ndarray:
     return np.frombuffer(b"".join(t.column(column).to_pylist()), dtype)
 
@@ -274,7 +278,7 @@ class Steps:
         """A group's names after one more turn, each with a bit that tells whether it stems from several places in the group."""
         if not t.num_rows:
             return _rows(0, [])
-        words, g = Words(_in_order(t)[1]), t.column("__g")[0].as_py()
+        words, g = Words(_in_order(t)[1]), _group(t)
         w = words.windows() if answers is None else Answers(answers, self.n).state(words, turn)
         keys, counts = np.unique(words.names(turn + 1, w)[1], return_counts=True)
         rows = [(r, keys[at].tobytes(), np.packbits(counts[at] > 1).tobytes(), len(at)) for r, at in _by_reducer(keys, self.n)]
@@ -327,7 +331,7 @@ class Steps:
         words, _, k, pos, head, _, one, two, w = self.candidates(ids, texts, Answers(bits, self.n))
         packed = np.zeros(len(head), "u8,u4,i8,u4")
         packed["f0"], packed["f1"], packed["f2"], packed["f3"] = one[head], two[head], k[head], pos[head]
-        g = t.column("__g")[0].as_py()
+        g = _group(t)
         return _rows(g, [(r, packed[at].tobytes(), b"", len(at)) for r, at in _by_reducer(one[head], self.n)] + self.note(g, words, w, ROUNDS))
 
     def first(self, t: pa.Table) -> pa.Table:
@@ -347,7 +351,7 @@ class Steps:
 
     def remove(self, t: pa.Table, bits: pa.Table, names: tuple[str, str, str]) -> pa.Table:
         """The group's rows with the number of words, of removed ones, and the kept text."""
-        out = t.drop_columns(["__g", "__k"])
+        out = t.select(t.column_names[:-2])
         if not t.num_rows:
             return out.append_column(names[0], pa.array([], pa.int64())).append_column(names[1], pa.array([], pa.int64())).append_column(names[2], pa.array([], pa.string()))
         answers = Answers(bits, self.n)
@@ -375,12 +379,28 @@ def deduped(docs: DataFrame, group_bytes: int = GROUP_BYTES, names: tuple[str, s
     """All columns of docs (doc_id, text, ...) with n_words, n_removed, and kept (the words that stay, one space between), or as names says."""
     small_batches(docs.sparkSession)
     docs = docs.drop(*names)
-    total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    p = free_prefix(docs)
+    # a row for each id and text; where some are repeated, those rows are dealt out by themselves and joined at the end
+    each = written(docs.groupBy(key().alias(f"{p}k"), F.xxhash64("text").alias(f"{p}t")).agg(F.count("*").alias("n"), F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("size")), "distinct-texts")
+    total, most = each.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if most <= 1:
+        return _deduped(docs, p, total, group_bytes, names)
+    again = each.where("n > 1").select(f"{p}k", f"{p}t")
+    keyed = docs.withColumns({f"{p}k": key(), f"{p}t": F.xxhash64("text")})
+    copies = keyed.join(again, [f"{p}k", f"{p}t"], "left_semi")
+    one = copies.groupBy(f"{p}k", f"{p}t").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    single = keyed.join(again, [f"{p}k", f"{p}t"], "left_anti").withColumns({f"{p}k": F.lit(None).cast("long"), f"{p}t": F.lit(None).cast("long")})
+    done = written(_deduped(single.unionByName(one, allowMissingColumns=True), f"{p}_", total, group_bytes, names), "passages")
+    found = done.where(f"{p}t is not null").select(f"{p}k", f"{p}t", *names)
+    return done.where(f"{p}t is null").select(*docs.columns, *names).unionByName(copies.join(found, [f"{p}k", f"{p}t"]).select(*docs.columns, *names))
+
+
+def _deduped(docs: DataFrame, p: str, total: int, group_bytes: int, names: tuple[str, str, str]) -> DataFrame:
     n_groups = int(max(24, -(-total // group_bytes)))
     steps = Steps(int(max(24, -(-total // REDUCER_BYTES))))
     dealt = F.pmod(F.xxhash64(key(), "text"), F.lit(n_groups)).cast("int")
-    slim = docs.withColumns({"__g": dealt, "__k": key()})
-    own = slim.groupBy("__g")
+    slim = docs.withColumns({f"{p}g": dealt, f"{p}own": key()})
+    own = slim.groupBy(f"{p}g")
     answers = steps.counted(own.applyInArrow(lambda t: steps.name(0, t), _KEYS), 0)
     for turn in range(1, ROUNDS):
         answers = answers.unionByName(steps.counted(steps.named(own, answers, turn), turn))
