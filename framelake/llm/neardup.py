@@ -161,9 +161,8 @@ def _alike(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
 
 
 def pairs_of_blocks(buckets: DataFrame, block: int) -> DataFrame:
-    """bucket, k, comp, own, i, j: a bucket's members dealt into blocks, each member once for each pair of blocks that holds its own."""
-    sizes = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    rows = buckets.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+    """bucket, k, comp, own, i, j: a bucket's members (bucket, k, comp, m; m of them) dealt into blocks, each member once for each pair of blocks that holds its own."""
+    rows = buckets.withColumn("blocks", F.ceil(F.col("m") / block).cast("int")).withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return rows.select("bucket", "k", "comp", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
@@ -171,7 +170,7 @@ def pairs_of_blocks(buckets: DataFrame, block: int) -> DataFrame:
 def rest_links(buckets: DataFrame, sets: DataFrame, least_equal: int, percent: int, block: int = BLOCK) -> DataFrame:
     """Links (a, b) of one bucket that join components which the stars left apart.
 
-    buckets: bucket, k, comp; sets: k, sig, full.  A bucket of many members is dealt out as pairs of blocks, each one group
+    buckets: bucket, k, comp, m; sets: k, sig, full.  A bucket of many members is dealt out as pairs of blocks, each one group
     and a task's work of its own: the sets join the members once these are dealt, so the groups go to tasks by all of
     (bucket, i, j).  Pairs whose signatures agree in least_equal coordinates are compared on their sets, unless links found
     before have joined their components; so a group gives fewer links than it has members.
@@ -234,8 +233,8 @@ def joined(docs: DataFrame, percent: int, key_of: str, by_id: bool, block: int =
     links = written(linked(star, texts, percent), "linked")
     found = components(links)
     # the smallest member of a bucket has been compared with all others; what is left are pairs of these
-    others = members.where("m > 2 and k != first").select("bucket", "k")
-    placed = others.join(found.withColumnRenamed("node", "k"), "k", "left").select("bucket", "k", F.coalesce("component", "k").alias("comp"))
+    others = members.where("m > 2 and k != first").select("bucket", "k", (F.col("m") - 1).alias("m"))
+    placed = others.join(found.withColumnRenamed("node", "k"), "k", "left").select("bucket", "k", "m", F.coalesce("component", "k").alias("comp"))
     mixed = placed.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("bucket")
     rest = written(placed.join(mixed, "bucket"), "rest")
     needed = distinct.select("k", "sig").join(rest.select("k").distinct(), "k", "left_semi").join(with_sets(texts.join(rest.select("k").distinct(), "k", "left_semi")), "k")

@@ -112,7 +112,7 @@ def test_neardup_cluster_without_a_hub(spark, block):
 
 def test_one_bucket_is_many_tasks(spark):
     """A bucket of 5,000 members: every pair of members meets in one pair of blocks, and the pairs go to many tasks."""
-    members = spark.range(5000).select(F.lit("0:x").alias("bucket"), F.col("id").alias("k"), F.col("id").alias("comp"))
+    members = spark.range(5000).select(F.lit("0:x").alias("bucket"), F.col("id").alias("k"), F.col("id").alias("comp"), F.lit(5000).alias("m"))
     rows = neardup.pairs_of_blocks(members, 512).cache()
     groups = rows.groupBy("i", "j").agg(F.count("*").alias("n")).collect()
     assert len(groups) == 10 * 11 // 2 and max(r["n"] for r in groups) < 2 * 700 and rows.count() == 5000 * 10
@@ -136,7 +136,7 @@ def test_rest_links_across_blocks(spark):
     signed = {i: neardup.shingle_hashes(neardup.normal(t))[0] for i, t in texts.items()}
     sets_ = spark.createDataFrame([(i, neardup.signature(h).tobytes(), h.tobytes()) for i, h in signed.items()], "k long, sig binary, full binary")
     met = [i for i in texts if (neardup.signature(signed[i])[:4] == neardup.signature(signed[0])[:4]).all()]
-    members = spark.createDataFrame([("0:x", i, i) for i in met], "bucket string, k long, comp long")
+    members = spark.createDataFrame([("0:x", i, i, len(met)) for i in met], "bucket string, k long, comp long, m long")
     assert len(met) > 8
 
     def parts(links):
