@@ -86,6 +86,8 @@ select event_type, f.frames_scored, round(med, 6) as median, round(mad, 6) as ma
   (select count(*) from s where s.event_type = f.event_type and score < threshold) as frames_rejected from f""",
     "robust_fence_rejects": "with s as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, ln(l_extendedprice) as score from lineitem)," + _FENCE.format(by="l_returnflag") + """
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag from s join f using (l_returnflag) where score < threshold""",
+    "robust_fence_growing": "with t as (select l_returnflag, l_orderkey % 3 as day, ln(l_extendedprice) as score from lineitem), s as (select l_returnflag || k as g, l_returnflag, k, score from t, unnest(range(1, 4)) as u(k) where day < k)," + _FENCE.format(by="g") + """
+select x.l_returnflag, x.k as days, f.frames_scored, round(med, 6) as median, round(mad, 6) as mad, round(threshold, 6) as threshold from f join (select distinct g, l_returnflag, k from s) x using (g)""",
     "stride_sample": """
 select user_id, event_id as frame_index, round(event_id / 29.97::double, 4) as timestamp_s,
   'frame_' || lpad(event_id::varchar, length((select count(*) from events)::varchar)::int, '0') || '.jpg' as filename

@@ -8,6 +8,7 @@ embeddings are 8 x 8 rasters; pages are containers' bytes and event properties J
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from framelake import settings
 from framelake.functions import geometry, probe, records
-from framelake.operators import documents, flat, quality, raster, runs, selection, tracking
+from framelake.operators import documents, flat, growing, quality, raster, runs, selection, tracking
 from framelake.sources import files, sinks, storage, video
 
 WHITELIST = list(range(0, 50, 3))
@@ -91,6 +92,16 @@ def robust_fence_rejects(spark: SparkSession, d: str) -> DataFrame:
     return quality.rejects(s, quality.fence(s, ["l_returnflag"]), ["l_returnflag"]).drop("score")
 
 
+def robust_fence_growing(spark: SparkSession, d: str) -> DataFrame:
+    """The fence after each of three increments of scores, from the state that is kept between them."""
+    s = table(spark, d, "lineitem").select("l_returnflag", F.log("l_extendedprice").alias("score"), (F.col("l_orderkey") % 3).alias("day"))
+    kept, out = growing.Scores(spark, storage.fresh(spark, "scores"), ["l_returnflag"]), []
+    for day in range(3):
+        kept.add(s.where(F.col("day") == day))
+        out.append(kept.fence().withColumn("days", F.lit(day + 1).cast("long")))
+    return rounded(reduce(DataFrame.unionByName, out), "median", "mad", "threshold")
+
+
 def stride_sample(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select(F.col("event_id").alias("i"), "user_id")
     total = e.agg(F.count("*").alias("total"))  # one row
@@ -520,7 +531,7 @@ def last_reference(spark: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", F.last("ref", True).over(w).alias("reference")).withColumn("reference", F.round("reference", 6))
 
 
-OWN = (robust_fence_stats, robust_fence_rejects, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, crowded_frame, coverage_and_area, laplacian_sharpness, pixel_union_dilate, pixel_runs, tracking_fold, tracking_long_session, tracking_stream, tracking_ordered, tracking_memory, source_counts, last_reference, regex_probe, focal_probe, json_required_keys, document_scan, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, video_ranges, video_stream, committed_files, marker_detect, mask_png)
+OWN = (robust_fence_stats, robust_fence_rejects, robust_fence_growing, stride_sample, frames_left_detections, whitelist_markers, zip_shorter, min_marker_filter, anti_reject_set, semi_exists, selection_manifest, manifest_document, camera_left_join, map_last_wins, box_prompt, marker_centers_sides, point_in_box_top1, crowded_frame, coverage_and_area, laplacian_sharpness, pixel_union_dilate, pixel_runs, tracking_fold, tracking_long_session, tracking_stream, tracking_ordered, tracking_memory, source_counts, last_reference, regex_probe, focal_probe, json_required_keys, document_scan, config_precedence, sheet_layout, dictionary_lookup, image_scan, mjpeg_source, video_ranges, video_stream, committed_files, marker_detect, mask_png)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
