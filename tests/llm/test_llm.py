@@ -609,7 +609,7 @@ def test_few_windows_stay_open(spark):
     import pyarrow as pa
 
     texts = [prose(i, 400) for i in range(40)] + [prose(50, 100)] * 2
-    steps, t = recompress.Steps(1), pa.table({"__g": pa.array([0] * 42, pa.int32()), "__k": pa.array(range(42)), "text": pa.array(texts)})
+    steps, t = recompress.Steps(1), pa.table({"text": pa.array(texts), "__g": pa.array([0] * 42, pa.int32()), "__own": pa.array(range(42))})
     n, answers = [], None
     for turn in range(recompress.ROUNDS):
         share = steps.share(turn, steps.name(turn, t, answers))
