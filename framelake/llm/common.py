@@ -86,10 +86,10 @@ def free_prefix(df: DataFrame) -> str:
     return prefix
 
 
-def in_order(df: DataFrame) -> Column:
-    """A struct of all columns by which any two rows that differ have an order; maps are compared as their text."""
+def in_order(df: DataFrame, but: tuple[str, ...] = ()) -> Column:
+    """A struct of all columns but some by which any two rows that differ there have an order; maps are compared as their text."""
     plain = lambda t: not any(x in t.simpleString() for x in ("map<", "variant"))
-    return F.struct(*[F.col(f"`{f.name}`") if plain(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`"))).alias(f.name) for f in df.schema])
+    return F.struct(F.lit(0).alias("none"), *[F.col(f"`{f.name}`") if plain(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`"))).alias(f.name) for f in df.schema if f.name not in but])
 
 
 def remainder(c: str, m: int) -> Column:

@@ -157,7 +157,7 @@ def mixed(docs: DataFrame, block: int = 64, slots: int = 4096, seed: int = 17) -
     cut = cut.select(F.col("k").alias(f"{p}k"), F.col("tie").alias(f"{p}tie"), f"{p}cuts", f"{p}n")
     # rows that repeat id, text and source share the text, of the first of them by all columns; each has cuts of its own
     keyed = docs.withColumns({f"{p}k": key(), f"{p}tie": tie()})
-    text = keyed.groupBy(f"{p}k", f"{p}tie").agg(F.min_by(F.struct(*docs.columns), in_order(docs)).alias(f"{p}row")).select(f"{p}k", f"{p}tie", f"{p}row.*")
+    text = keyed.groupBy(f"{p}k", f"{p}tie").agg(F.min_by(F.struct(*docs.columns), in_order(docs, ("doc_id", "text", "source"))).alias(f"{p}row")).select(f"{p}k", f"{p}tie", f"{p}row.*")
     rows = text.join(cut, [f"{p}k", f"{p}tie"])
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
     whole = F.size(f"{p}w") == F.col(f"{p}n")

@@ -46,7 +46,7 @@ def plain(rows):
 def test_free_prefix(spark):
     assert free_prefix(spark.createDataFrame([], "a int, _b int")) == "__" and free_prefix(spark.createDataFrame([], "__a int, ____b int")) == "_____"
     df = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 2})], "x int, m map<string,int>")
-    assert df.agg(F.min(in_order(df))).first()[0]["m"] == '{"m":{"a":1}}'
+    assert df.agg(F.min(in_order(df))).first()[0]["m"] == '{"m":{"a":1}}' and df.agg(F.max(in_order(df, ("m",)))).first()[0].asDict() == {"none": 0, "x": 1}
 
 
 @pytest.mark.parametrize("names", [(), NAMES])
