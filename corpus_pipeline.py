@@ -34,7 +34,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     p = free_prefix(docs)
     kept = neardup.representatives(docs, percent=SIMILAR).select(F.col("k").alias(f"{p}k"), F.col("t").alias(f"{p}t"))
     rows = docs.withColumns({f"{p}k": key(), f"{p}t": F.xxhash64("text")}).join(kept, [f"{p}k", f"{p}t"], "left_semi")
-    return rows.groupBy(f"{p}k", f"{p}t").agg(F.min_by(F.struct(*docs.columns), in_order(docs)).alias(f"{p}row")).select(f"{p}row.*")
+    return rows.groupBy(f"{p}k", f"{p}t").agg(F.min_by(F.struct(*docs.columns), in_order(docs, ("doc_id", "text"))).alias(f"{p}row")).select(f"{p}row.*")
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
