@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery, StreamingQueryListener
 
 from framelake.operators.tracking import SOURCES, State
-from framelake.streaming.tracker import rocksdb
+from framelake.streaming.tracker import keyed, rocksdb, session
 
 #: Frames before the current one whose outputs the machine's tracker still reads.
 WINDOW = 7
@@ -100,7 +100,7 @@ class Ordered(StatefulProcessor):
             was, n = own.on, n + 1
             source, again, lost = own.row(area, cov, marked, a1, a2)
             memory.add(n, source, (area, a1, a2, None)[source], own.on and not was)
-            out.append((key[0], event_id, n, source, int(again), int(lost), sorted(memory.kept)))
+            out.append((session(key), event_id, n, source, int(again), int(lost), sorted(memory.kept)))
         self.track.update((own.on, own.ref, n))
         for k in memory.before.keys() - memory.kept.keys():
             self.memory.removeKey((k,))
@@ -120,7 +120,7 @@ def tracked(frames: DataFrame, delay: str, window: int = WINDOW) -> DataFrame:
     so are those of times that pandas doesn't hold (before 1678, after 2261).
     """
     known = frames.where(F.year("ts").between(1678, 2261)).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    return known.withColumn("t", F.unix_micros("ts")).groupBy("user_id").transformWithStateInPandas(statefulProcessor=Ordered(window), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime")
+    return keyed(known.withColumn("t", F.unix_micros("ts"))).transformWithStateInPandas(statefulProcessor=Ordered(window), outputStructType=OUTPUT, outputMode="Append", timeMode="EventTime")
 
 
 def figures(query: StreamingQuery) -> dict[str, int]:

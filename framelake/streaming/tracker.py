@@ -12,6 +12,7 @@ from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from framelake.operators.tracking import State
@@ -24,6 +25,16 @@ def _none(x: float) -> float | None:
     return None if pd.isna(x) else float(x)
 
 
+def keyed(frames: DataFrame):
+    """Frames by session.  The key holds no null: beside one in a batch, pandas makes all numbers floats, which Spark takes for null keys."""
+    return frames.withColumns({"__none": F.col("user_id").isNull(), "user_id": F.coalesce("user_id", F.lit(0))}).groupBy("user_id", "__none")
+
+
+def session(key: tuple) -> int | None:
+    """The session of a key of keyed."""
+    return None if key[1] else int(key[0])
+
+
 class Machine(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("track", "on boolean, ref double")
@@ -34,7 +45,7 @@ class Machine(StatefulProcessor):
         out = []
         for r in frames.itertuples():
             src, again, lost = own.row(_none(r.area), _none(r.cov), bool(r.marked), _none(r.a1), _none(r.a2))
-            out.append((key[0], r.event_id, src, int(again), int(lost)))
+            out.append((session(key), r.event_id, src, int(again), int(lost)))
         if own.on:
             self.state.update((own.on, own.ref))
         else:
@@ -47,7 +58,7 @@ class Machine(StatefulProcessor):
 
 def tracked(frames: DataFrame) -> DataFrame:
     """A row for each frame of a stream of (user_id, ts, event_id, area, cov, marked, a1, a2)."""
-    return frames.groupBy("user_id").transformWithStateInPandas(statefulProcessor=Machine(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
+    return keyed(frames).transformWithStateInPandas(statefulProcessor=Machine(), outputStructType=OUTPUT, outputMode="Append", timeMode="None")
 
 
 @contextmanager

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from framelake.operators import tracking
 from framelake.plans import workloads
-from framelake.streaming import ordered
+from framelake.streaming import ordered, tracker
 
 SCHEMA = "user_id long, ts timestamp, event_id long, area double, cov double, marked boolean, a1 double, a2 double"
 START = datetime(2024, 1, 1)
@@ -69,6 +69,25 @@ def test_any_order_within_the_delay(spark, tmp_path):
     assert found(spark, tmp_path) == want  # a restarted stream, in the order of time
 
 
+def test_a_frame_without_user_leaves_the_others_theirs(spark, tmp_path):
+    """In one batch: pandas holds its keys as floats then."""
+    rows = frames(5, 3, 20)
+    load(spark, [(r[0] + 2**60, *r[1:]) for r in rows] + [(None, START + timedelta(seconds=5), -3, 1.0, 1.0, None, None, None), (None, START + timedelta(days=1), -4, None, None, False, None, None)], str(tmp_path / "in"))
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        drain(spark, tmp_path, "5 seconds")
+        spark.read.schema(SCHEMA).parquet(str(tmp_path / "in")).where("event_id <> -4").write.parquet(str(tmp_path / "batch"))
+        tracker.drained(spark, spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "batch")), str(tmp_path / "plain"), str(tmp_path / "track"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want = plain(rows, 3) | {-3: (1, 3, 0, 0, [])}
+    assert found(spark, tmp_path) == want
+    users = {r[2]: r[0] + 2**60 for r in rows} | {-3: None}
+    for at in ("out", "plain"):
+        got = spark.read.parquet(str(tmp_path / at)).collect()
+        assert {r["event_id"]: (r["user_id"], r["source"]) for r in got} == {e: (u, want[e][1]) for e, u in users.items()}
+
+
 def test_frames_come_out_as_the_watermark_passes_and_late_ones_are_counted(spark, tmp_path):
     rows = frames(3, 2, 50)
     on_time = [r for r in rows if r[2] % 10 != 4]
