@@ -6,12 +6,17 @@ function is one aggregation by the frame's key, which is combined before the shu
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from framelake.functions.geometry import LEAST_MARKERS, REACH
+from framelake.sources import storage
 
 CORNERS = tuple((f"x{i}", f"y{i}") for i in range(1, 5))
 
@@ -54,56 +59,136 @@ def best_boxes(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
     return best.where("box.held > 0 or box.points = 0").select(*by, F.col("box").dropFields("held", "points").alias("box"))
 
 
-#: Powers of two that a grid's cells may have as sides, and how far from zero places are told apart.
-LEVELS, FAR = (-20, 1000), 1e300
+#: Points of a strip of a crowded table, most strips, boxes that are counted together, points for each strip that place the cuts.
+STRIP, STRIPS, ASKED, TRIED = 65_536, 512, 262_144, 64
+EDGES = ("x0", "y0", "x1", "y1")
 
 
-def _level(side: Column) -> Column:
-    """The power of two of the smallest cells that are as long as a side."""
-    return F.when(side > 0, F.greatest(F.lit(LEVELS[0]), F.least(F.lit(LEVELS[1]), F.ceil(F.log2(side)).cast("int")))).otherwise(F.lit(LEVELS[0])).cast("int")
+def _upto(keys: list[np.ndarray], at: list[np.ndarray], same: bool) -> np.ndarray:
+    """How many of the keys (columns, the first weighs most) come before each place, or with same are equal to it."""
+    n = len(keys[0])
+    kind = np.concatenate([np.zeros(n), np.full(len(at[0]), 1 if same else -1)])
+    order = np.lexsort([kind, *[np.concatenate(c) for c in zip(keys[::-1], at[::-1], strict=True)]])
+    own = order < n
+    out = np.empty(len(at[0]), np.int64)
+    out[order[~own] - n] = np.cumsum(own)[~own]
+    return out
 
 
-def _cell(v: Column, level: Column) -> Column:
-    most = float(2**62)
-    return F.floor(F.least(F.greatest(v / F.pow(F.lit(2.0), level), F.lit(-most)), F.lit(most)))
+def _below(values: np.ndarray, weights: np.ndarray, lo: np.ndarray, hi: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """The weight of the entries up to hi, less that up to lo, whose value is below most: bit by bit, zeros put first (a wavelet matrix)."""
+    total = np.zeros(len(lo), np.int64)
+    for bit in reversed(range(int(max(values.max(initial=0), most.max(initial=0))).bit_length())):
+        one, up = (values >> bit & 1).astype(bool), (most >> bit & 1).astype(bool)
+        zeros, heavy = (np.concatenate([[0], np.cumsum(c)]) for c in (~one, np.where(one, 0, weights)))
+        total += np.where(up, heavy[hi] - heavy[lo], 0)
+        lo, hi = (np.where(up, zeros[-1] + i - zeros[i], zeros[i]) for i in (lo, hi))
+        order = np.concatenate([np.flatnonzero(~one), np.flatnonzero(one)])
+        values, weights = values[order], weights[order]
+    return total
 
 
-def _near(v: Column) -> Column:
-    return F.least(F.greatest(v.cast("double"), F.lit(-FAR)), F.lit(FAR))
+def _columns(t: pa.Table | pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [t.column(c).to_numpy(zero_copy_only=False) if isinstance(t, pa.RecordBatch) else t.column(c).to_numpy() for c in names]
 
 
 def held_counts(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
     """by, x0, y0, x1, y1, held of the different boxes that hold points: how many of their frame's points (x, y), borders included.
 
-    For frames of very many boxes and points.  Equal boxes and equal points are counted once first.  A box lies in four
-    cells at most of a grid whose cells are as long as its sides or up to twice as long, and each point in one cell of every
-    such grid; only boxes and points that share a cell meet, so no frame is one task and no pair of far ones is made.
-    Boxes or points with a null or NaN hold nothing and are in nothing.
+    For frames of very many boxes and points, whose pairs are not made.  Equal boxes and equal points are counted once
+    first.  Points are cut into strips by (frame, x, y) and into bands by (frame, y, x), of about as many points each.  A box holds
+    what is up to its right edge less what is before its left one, each up to its top less before its bottom; of each such
+    count, whole strips and bands come from a table of their sums, the rest from the strips of its sides and the bands of
+    its ends.  So each point goes to two tasks' groups and each box to four at most, and a group is counted by sorting.  The cuts lie
+    between some of the points, which tells how even the groups are and no more.  Boxes or points with a null or NaN hold
+    nothing and are in nothing.
     """
-    spark = boxes.sparkSession
+    spark, at = boxes.sparkSession, storage.fresh(boxes.sparkSession, "crowd")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{at}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{at}/{name}")
+
     number = lambda *names: reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in names])
-    edges = ("x0", "y0", "x1", "y1")
-    own = boxes.select(*by, *(F.col(c).cast("double").alias(c) for c in edges)).where(number(*edges)).where("x0 <= x1 and y0 <= y1").distinct()
-    placed = own.withColumns({f"__{c}": _near(F.col(c)) for c in edges}).withColumns({"__u": _level(F.col("__x1") - F.col("__x0")), "__v": _level(F.col("__y1") - F.col("__y0"))})
-    grids = [(r[0], r[1]) for r in placed.select("__u", "__v").distinct().collect()]  # pairs of powers of two
-    if not grids:
-        return spark.createDataFrame([], own.schema).withColumn("held", F.lit(0).cast("long"))
-    span = lambda a, b, level: F.explode(F.sequence(_cell(F.col(a), F.col(level)), _cell(F.col(b), F.col(level))))
-    dealt = placed.withColumn("__i", span("__x0", "__x1", "__u")).withColumn("__j", span("__y0", "__y1", "__v"))
-    some = points.select(*by, F.col("x").cast("double").alias("__x"), F.col("y").cast("double").alias("__y")).where(number("__x", "__y")).groupBy(*by, "__x", "__y").agg(F.count("*").alias("__m"))
-    grid = F.explode(F.array(*[F.struct(F.lit(u).alias("__u"), F.lit(v).alias("__v")) for u, v in grids]))
-    some = some.withColumn("__g", grid).select(*by, "__x", "__y", "__m", "__g.__u", "__g.__v")
-    some = some.withColumn("__i", _cell(_near(F.col("__x")), F.col("__u"))).withColumn("__j", _cell(_near(F.col("__y")), F.col("__v")))
-    same = reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"p.{c}")) for c in by] + [F.col(f"b.{c}") == F.col(f"p.{c}") for c in ("__u", "__v", "__i", "__j")])
-    inside = F.col("p.__x").between(F.col("b.x0"), F.col("b.x1")) & F.col("p.__y").between(F.col("b.y0"), F.col("b.y1"))
-    met = dealt.alias("b").join(some.alias("p"), same & inside)
-    return met.groupBy(*[F.col(f"b.{c}").alias(c) for c in (*by, *edges)]).agg(F.sum("p.__m").alias("held"))
-
-
-def best_boxes_crowded(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
-    """best_boxes for frames of very many boxes and points."""
-    edges = ("x0", "y0", "x1", "y1")
-    held = held_counts(boxes, points, by)
+    own = kept(boxes.select(*by, *(F.col(c).cast("double").alias(c) for c in EDGES)).where(number(*EDGES)).where("x0 <= x1 and y0 <= y1").distinct(), "boxes")
+    some = kept(points.select(*by, F.col("x").cast("double").alias("__x"), F.col("y").cast("double").alias("__y")).where(number("__x", "__y")).groupBy(*by, "__x", "__y").agg(F.count("*").alias("__m")), "points")
+    all_, seed = own.select(*by).union(some.select(*by)).distinct(), 0
+    frame = lambda: F.xxhash64(*by, *[F.col(c).isNull() for c in by], F.lit(seed)).alias("__f")
+    while len(set(all_.select(frame()).agg(F.count("*"), F.count_distinct("__f")).first())) > 1:  # two frames of one number
+        seed += 1
+    some = some.select(frame(), "__x", "__y", "__m")
+    strips = max(1, min(STRIPS, -(-some.count() // STRIP)))
+    tried = some.select("__f", "__x", "__y").orderBy(F.xxhash64("__f", "__x", "__y")).limit(TRIED * strips).toArrow()
+    f, x, y = _columns(tried, "__f", "__x", "__y")
+    cut = lambda a, b: [c[np.lexsort((b, a, f))][TRIED::TRIED] for c in (f, a, b)]
+    across, along = cut(x, y), cut(y, x)
+    placed_as = T.StructType([*some.schema, T.StructField("__strip", T.IntegerType()), T.StructField("__band", T.IntegerType())])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            f, x, y = _columns(b, "__f", "__x", "__y")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_upto(across, [f, x, y], True), pa.int32()), pa.array(_upto(along, [f, y, x], True), pa.int32())], placed_as.names)
+
+    placed = kept(some.mapInArrow(place, placed_as), "placed")
+    sums = np.zeros((len(across[0]) + 2, len(along[0]) + 2), np.int64)  # of all before a strip and before a band
+    for r in placed.groupBy("__strip", "__band").agg(F.sum("__m")).collect():  # STRIPS^2 rows at most
+        sums[r[0] + 1, r[1] + 1] = r[2]
+    sums = sums.cumsum(0).cumsum(1)
+    own = own.select(*by, *EDGES, frame())
+    sides = ("__s0", "__s1", "__b0", "__b1")
+    asked_as = T.StructType([*own.schema, *[T.StructField(c, T.IntegerType()) for c in sides], T.StructField("held", T.LongType())])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            f, x0, y0, x1, y1 = _columns(b, "__f", *EDGES)
+            far = np.full(len(f), np.inf)
+            s0, s1, b0, b1 = (_upto(cuts, [f, v, side], True) for cuts, v, side in ((across, x0, -far), (across, x1, far), (along, y0, -far), (along, y1, far)))
+            whole = sums[s1, b1] - sums[s0, b1] - sums[s1, b0] + sums[s0, b0]
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, pa.int32()) for c in (s0, s1, b0, b1)), pa.array(whole)], asked_as.names)
+
+    asked = kept(own.mapInArrow(ask, asked_as), "asked")
+    counted_as = T.StructType([*[asked.schema[c] for c in (*by, *EDGES)], T.StructField("held", T.LongType())])
+
+    def counted(group: str, edges: tuple[str, str], ends: tuple[str, str], first: str, second: str | None, others: tuple[str, str]) -> DataFrame:
+        """What the groups at the edges of an axis add; the other axis tells by its edges, or by its strips."""
+        rows = asked.withColumn("__at", F.explode(F.array_distinct(F.array(*ends))))
+        n = {r["__at"]: r["count"] for r in rows.groupBy("__at").count().collect()}  # STRIPS rows at most
+        shares = F.lit([-(-n.get(i, 0) // ASKED) for i in range(len(across[0]) + 1)])
+        share = F.pmod(F.xxhash64("__f", *EDGES), F.get(shares, F.col("__at"))).cast("int")
+        parts = placed.withColumn("__at", F.col(group)).where(F.get(shares, F.col("__at")) > 0).withColumn("__part", F.explode(F.sequence(F.lit(0), F.get(shares, F.col("__at")) - 1)))
+
+        def count(boxes: pa.Table, points: pa.Table) -> pa.Table:
+            f, v, w = _columns(points, "__f", first, "__m")
+            g, lo, hi, at, to, here = _columns(boxes, "__f", *edges, *ends, "__at")
+            low = np.where(at == here, _upto([f, v], [g, lo], False), 0)
+            high = np.where(to == here, _upto([f, v], [g, hi], True), 0)
+            least, most = _columns(boxes, *others)
+            if second is None:
+                (values,) = _columns(points, "__strip")
+            else:
+                (u,) = _columns(points, second)
+                values = np.empty(len(u), np.int64)
+                values[np.lexsort((u, f))] = np.arange(len(u))
+                least, most = _upto([f, u], [g, least], False), _upto([f, u], [g, most], True)
+            order, n = np.lexsort((v, f)), len(g)
+            both = _below(values[order].astype(np.int64), w[order], np.tile(low, 2), np.tile(high, 2), np.concatenate([most, least]).astype(np.int64))
+            return pa.Table.from_arrays([*(boxes.column(c) for c in counted_as.names[:-1]), pa.array(both[:n] - both[n:])], counted_as.names)
+
+        return rows.withColumn("__part", share).groupBy("__at", "__part").cogroup(parts.groupBy("__at", "__part")).applyInArrow(count, counted_as)
+
+    strips_ = counted("__strip", ("x0", "x1"), ("__s0", "__s1"), "__x", "__y", ("y0", "y1"))
+    bands = counted("__band", ("y0", "y1"), ("__b0", "__b1"), "__y", None, ("__s0", "__s1"))
+    every = asked.select(*counted_as.names).unionByName(strips_).unionByName(bands)
+    return kept(every.groupBy(*by, *EDGES).agg(F.sum("held").alias("held")).where("held > 0"), "held")
+
+
+def best_boxes_crowded(boxes: DataFrame, points: DataFrame, by: list[str], held: DataFrame | None = None) -> DataFrame:
+    """best_boxes for frames of very many boxes and points; held: their held_counts, if they are there."""
+    edges = EDGES
+    held = held_counts(boxes, points, by) if held is None else held
+    most = held.groupBy(*by).agg(F.max("held").alias("most"))
+    top = reduce(lambda a, b: a & b, [F.col(f"h.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by])
+    held = held.alias("h").join(most.alias("m"), top & (F.col("h.held") == F.col("m.most"))).select("h.*")  # others can't be best
     same = reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"h.{c}")) for c in (*by, *edges)])
     rated = boxes.alias("b").join(held.alias("h"), same, "left").select(*[F.col(f"b.{c}").alias(c) for c in (*by, *edges, "score", "place")], F.coalesce("h.held", F.lit(0)).alias("held"))
     rank = F.struct("held", "score", (-F.col("place")).alias("place"))

@@ -76,6 +76,47 @@ def test_grid_counts_against_brute_force(spark):
     assert got == want and len(got) > 50
 
 
+@pytest.mark.parametrize(("strip", "asked"), [(8, 7), (40, 1000)])
+def test_boxes_over_many_strips(spark, monkeypatch, strip, asked):
+    """Boxes within, along and across strips and bands, and places that repeat."""
+    for k, v in (("STRIP", strip), ("ASKED", asked), ("TRIED", 2)):
+        monkeypatch.setattr(flat, k, v)
+    r = random.Random(strip)
+    place = lambda: (r.choice([0.0, -0.0, 1.5, float(r.randint(-9, 9)), r.uniform(-9, 9), math.inf, -math.inf]), float(r.randint(0, 4)))
+    points = [(r.choice([1, 1, 1, None, 2]), *place()) for _ in range(400)]
+    boxes = []
+    for i in range(300):
+        (a, b), (c, d) = place(), place()
+        boxes.append((r.choice([1, 1, 1, None, 2]), min(a, c), min(b, d), max(a, c), max(b, d), 0.5, i))
+    got = {tuple(x)[:5]: x["held"] for x in flat.held_counts(spark.createDataFrame(boxes, BOXES), spark.createDataFrame(points, POINTS), ["f"]).collect()}
+    want = {b[:5]: sum(p[0] == b[0] and b[1] <= p[1] <= b[3] and b[2] <= p[2] <= b[4] for p in points) for b in boxes}
+    assert got == {b: n for b, n in want.items() if n}
+
+
+def rows_made(spark, since):
+    """The most rows that a step of the plans run since then gave."""
+    store, most = spark._jsparkSession.sharedState().statusStore(), 0
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    for e in range(since, store.executionsCount()):
+        at = store.executionsList().apply(e).executionId()
+        nodes, values = store.planGraph(at).allNodes(), store.executionMetrics(at)
+        for i in range(nodes.size()):
+            metrics = nodes.apply(i).metrics()
+            own = [metrics.apply(k) for k in range(metrics.size()) if metrics.apply(k).name() == "number of output rows"]
+            most = max([most, *(int(values.apply(m.accumulatorId()).replace(",", "")) for m in own if values.contains(m.accumulatorId()))])
+    return most
+
+
+def test_crowded_frames_meet_no_pairs(spark):
+    """n boxes that hold n points each: rows grow with n, not with its square."""
+    n = 2000
+    boxes, points = [(1, -float(i), 0.0, 1.0, 1.0, 0.5, i) for i in range(n)], [(1, i / n, 0.5) for i in range(n)]
+    since = spark._jsparkSession.sharedState().statusStore().executionsCount()
+    held = flat.held_counts(spark.createDataFrame(boxes, BOXES), spark.createDataFrame(points, POINTS), ["f"])
+    assert held.agg(F.count("*"), F.min("held"), F.max("held")).first() == (n, n, n)
+    assert n <= rows_made(spark, since) < 10 * n
+
+
 def test_crowded_frames_have_the_same_best_boxes(spark):
     boxes, points = boxes_and_points(2, [1, 2], 30)
     clean = lambda rows: [r for r in rows if all(v is not None and not (isinstance(v, float) and math.isnan(v)) for v in r)]
