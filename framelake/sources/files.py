@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framelake import schemas, settings
 from framelake.functions import records
+from framelake.sources import storage
+
+#: Names of a batch of a listing, bytes beyond which a batch of files ends.
+NAMES, BYTES = 10_000, 8 << 20
 
 
 def images(spark: SparkSession, path: str) -> DataFrame:
@@ -23,6 +30,43 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select(settings.session_of(F.col("path")).alias("session_id"), F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"))
 
 
+def contents(spark: SparkSession, folder: str, ending: str) -> DataFrame:
+    """name (below the folder), content of the files of this ending in its folders.
+
+    Only the folders are listed by the driver: executors list each one's files, deal them out by name and read them, so
+    nothing about a file goes through the driver.
+    """
+    tops = spark.createDataFrame(pa.table({"top": pa.array(storage.folders(folder), pa.string())})).repartition("top")
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for top in b.column(0).to_pylist():
+                names = storage.names(storage.joined(folder, top), ending)
+                for i in range(0, len(names), NAMES):
+                    yield pa.RecordBatch.from_arrays([pa.array([f"{top}/{n}" for n in names[i : i + NAMES]], pa.string())], ["name"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, held = [], 0
+            for name in b.column(0).to_pylist():
+                with storage.opened(storage.joined(folder, name)) as f:
+                    rows.append((name, f.read()))
+                held += len(rows[-1][1])
+                if held > BYTES:
+                    yield _read(rows)
+                    rows, held = [], 0
+            if rows:
+                yield _read(rows)
+
+    tasks = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return tops.mapInArrow(listed, "name string").repartition(tasks, "name").mapInArrow(read, "name string, content binary")
+
+
+def _read(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
+    names, data = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(data, pa.binary())], ["name", "content"])
+
+
 def documents(spark: SparkSession, path: str, name: str) -> DataFrame:
     """session_id, record: JSON files of one record each.  A missing file, broken JSON and missing keys are errors."""
     raw = spark.read.text(path, wholetext=True).select(settings.session_of(F.input_file_name()).alias("session_id"), F.input_file_name().alias("path"), F.col("value"))

@@ -54,15 +54,34 @@ def is_folder(uri: str) -> bool:
 
 def listed(pattern: str) -> list[str]:
     """The files that a pattern names, sorted; *, ? and [] stand for characters of one name."""
+    return [path for path, _, _ in described(pattern)]
+
+
+def described(pattern: str) -> list[tuple[str, int, int]]:
+    """The same with when each was last changed, in nanoseconds, and its size, as the listing tells them."""
     system, path = located(pattern)
     names = path.split("/")
     wild = next((i for i, n in enumerate(names) if re.search(r"[*?\[]", n)), None)
     if wild is None:
-        return [pattern] if exists(pattern) else []
+        return [(pattern, changed(pattern), size(pattern))] if exists(pattern) else []
     root = "" if isinstance(system, fs.LocalFileSystem) else pattern.removesuffix(path)
     found = system.get_file_info(fs.FileSelector("/".join(names[:wild]) or "/", recursive=wild < len(names) - 1, allow_not_found=True))
-    own = ((x.path, x.path.split("/")) for x in found if x.type == fs.FileType.File)
-    return sorted(root + p for p, parts in own if len(parts) == len(names) and all(map(fnmatch.fnmatchcase, parts, names)))
+    own = ((x, x.path.split("/")) for x in found if x.type == fs.FileType.File)
+    return sorted((root + x.path, x.mtime_ns or 0, x.size or 0) for x, parts in own if len(parts) == len(names) and all(map(fnmatch.fnmatchcase, parts, names)))
+
+
+def folders(uri: str) -> list[str]:
+    """The names of a folder's folders but those that Spark's readers pass over."""
+    system, path = located(uri)
+    found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return sorted(x.base_name for x in found if x.type == fs.FileType.Directory and not x.base_name.startswith(("_", ".")))
+
+
+def names(folder: str, ending: str) -> list[str]:
+    """The names of a folder's files of an ending but those that Spark's readers pass over."""
+    system, path = located(folder)
+    found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return [x.base_name for x in found if x.type == fs.FileType.File and x.base_name.endswith(ending) and not x.base_name.startswith(("_", "."))]
 
 
 def opened(uri: str) -> pa.NativeFile:

@@ -84,6 +84,31 @@ def test_copies_and_documents_are_jobs(spark, tmp_path):
     assert files.listing(spark, str(tmp_path / "doc" / "*" / "*.json")).count() == 2
 
 
+def to_driver(spark, run):
+    """Bytes of results that the tasks of run sent to the driver."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    status, store = spark.sparkContext.statusTracker(), spark._jsc.sc().statusStore()
+    return sum(store.lastStageAttempt(s).resultSize() for j in status.getJobIdsForGroup("counted") for s in status.getJobInfo(j).stageIds)
+
+
+def test_files_are_listed_by_the_executors(spark, tmp_path):
+    for top in ("a", "b [1]", "_jobs", ".b"):
+        (tmp_path / top).mkdir()
+        for i in range(1500):
+            (tmp_path / top / f"f{i}.txt").write_bytes(b"%d" % i)
+    for other in ("a/x.png", "a/_x.txt", "a/.x.txt", "top.txt"):
+        (tmp_path / other).write_bytes(b"")
+    own = files.contents(spark, str(tmp_path), ".txt")
+    assert {r["name"]: bytes(r["content"]) for r in own.collect()} == {f"{top}/f{i}.txt": b"%d" % i for top in ("a", "b [1]") for i in range(1500)}
+    assert to_driver(spark, lambda: files.contents(spark, str(tmp_path), ".txt").agg(F.count("*")).collect()) < 100_000
+    assert files.contents(spark, str(tmp_path / "none"), ".txt").count() == 0
+
+
 # --- videos ------------------------------------------------------------------------------------------------------
 
 
