@@ -1,17 +1,17 @@
-"""Video source: AVI files with motion JPEG, as a Python data source with a reader for each range of frames.
+"""Video source: AVI files with motion JPEG, as a Python data source with a reader for ranges of frames.
 
 An index table comes first: executors parse the files' heads, each file in one task, and write for every frame its number,
 place and size, one row group for each video.  ``frames`` builds it where none is given.  From there on the driver reads
 the footers of the index alone: a row group's statistics name its video and its rows are the video's frames, so filters on
 session_id and frame_index and the stride are met by choosing row groups and ranges of their rows, and a task reads the
-rows of its own range and then those frames.  No video is opened on the driver.
+rows of its own ranges, of short videos several, and then those frames.  No video is opened on the driver.
 
 The index gives session_id, source_video, fps, total_frames, width, height, frame_index, jpeg.  ``headers`` gives one row
 for each video, whose edges are the bytes that can hold its camera data: the whole file, or both ends of a large one,
 which are read by themselves.  A frame whose bytes are no JPEG is skipped (a gap, not a failure); a file that is no video,
 or whose frame rate isn't above 0, is an error.  Files may lie wherever framelake.sources.storage reads.
 
-``spark.read.format("mjpeg").load(path)`` without an index reads each video in one task, which parses its head itself.
+``spark.read.format("mjpeg").load(path)`` without an index reads each video in one task, which parses its head itself and that of other small ones.
 ``stream`` takes the videos of a folder as they come: see Arrivals.
 """
 
@@ -108,13 +108,18 @@ INDEX = pa.schema([("session_id", pa.string()), ("source_video", pa.string()), (
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 
-def listed(path: str) -> list[str]:
-    found = storage.listed(storage.joined(path, "*.avi") if storage.is_folder(path) else path)
+def described(path: str) -> list[tuple[str, int, int]]:
+    """Path, time of change and size of the videos below path."""
+    found = storage.described(storage.joined(path, "*.avi") if storage.is_folder(path) else path)
     if not found:
         raise FileNotFoundError(path)
     return found
 
 
+def listed(path: str) -> list[str]:
+    return [p for p, _, _ in described(path)]
+
+
 def entries(path: str) -> pa.Table:
     """A video's part of the index."""
     h = header(path)
@@ -130,7 +135,7 @@ def index(spark: SparkSession, path: str, at: str | None = None) -> str:
     Each attempt of a task writes a file of its own; the table ``parts`` names those of the attempts that counted.
     """
     at = at or storage.fresh(spark, "video-index")
-    paths = spark.createDataFrame([(p,) for p in listed(path)], "path string")
+    paths = spark.createDataFrame(pa.table({"path": pa.array(listed(path), pa.string())}))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, sink, out, videos, rows = f"{at}/{uuid.uuid4().hex}.parquet", None, None, 0, 0
@@ -163,22 +168,37 @@ def parts_of(at: str) -> list[str]:
 
 
 @dataclass
-class FrameRange(InputPartition):
-    """Every step-th of the rows lo ... hi of a row group of the index."""
+class FrameRanges(InputPartition):
+    """Every step-th of the rows lo ... hi of row groups (group, lo, hi) of a file of the index."""
 
     part: str
-    group: int
-    lo: int
-    hi: int
+    ranges: list[tuple[int, int, int]]
     step: int
 
 
 @dataclass
-class OneVideo(InputPartition):
-    path: str
+class Videos(InputPartition):
+    paths: list[str]
     headers: bool
 
 
+#: Most files of a task that parses heads itself, and the bytes beyond which it takes no more.
+FILES, BYTES = 256, 32 << 20
+
+
+def together(found: Iterable[tuple[str, int]], headers: bool) -> list[Videos]:
+    """Files (path, size) as tasks: small ones share one, in order."""
+    out: list[Videos] = []
+    bytes_ = 0
+    for path, n in found:
+        if not out or len(out[-1].paths) == FILES or bytes_ + n > BYTES:
+            out.append(Videos([], headers))
+            bytes_ = 0
+        out[-1].paths.append(path)
+        bytes_ += n
+    return out
+
+
 @dataclass
 class Wanted:
     """The frames that pushed filters ask for: those of some sessions (None: all), from lo to hi."""
@@ -252,48 +272,57 @@ class Reader(DataSourceReader):
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         return [f for f in filters if self.headers or not self.wanted.take(f)]
 
-    def partitions(self) -> list[FrameRange] | list[OneVideo]:
+    def partitions(self) -> list[FrameRanges] | list[Videos]:
         if self.index is None:
-            named = [OneVideo(p, self.headers) for p in listed(self.path)]
-            return [v for v in named if self.wanted.sessions is None or session_of(v.path) in self.wanted.sessions]
-        out: list[FrameRange] = []
+            return together(((p, n) for p, _, n in described(self.path) if self.wanted.sessions is None or session_of(p) in self.wanted.sessions), self.headers)
+        out: list[FrameRanges] = []
         if self.stride < 0:
             return out
         step = self.per_task * self.stride
         for part in parts_of(self.index):
             with storage.opened(part) as f:
                 footer = pq.ParquetFile(f).metadata
+            left = 0  # of the frames that the last task may take
             for g in range(footer.num_row_groups):
                 group = footer.row_group(g)
-                of = group.column(0).statistics
-                if self.wanted.sessions is not None and of is not None and of.has_min_max and of.min not in self.wanted.sessions:
+                of = group.column(0).statistics if self.wanted.sessions is not None else None
+                if of is not None and of.has_min_max and of.min not in self.wanted.sessions:
                     continue
                 lo, hi = self.wanted.rows(group.num_rows)
                 lo = -(-lo // self.stride) * self.stride
-                out += [FrameRange(part, g, k, min(hi, k + step), self.stride) for k in range(lo, hi, step)]
+                for k in range(lo, hi, step):
+                    n = -(-(min(hi, k + step) - k) // self.stride)
+                    if n > left:
+                        out.append(FrameRanges(part, [], self.stride))
+                        left = self.per_task
+                    out[-1].ranges.append((g, k, min(hi, k + step)))
+                    left -= n
         return out
 
-    def read(self, part: FrameRange | OneVideo | None) -> Iterator[tuple]:
+    def read(self, part: FrameRanges | Videos | None) -> Iterator[tuple]:
         if part is None:  # Spark's single task where there is nothing to plan
             return
-        if isinstance(part, OneVideo):
-            h = header(part.path)
-            base = (session_of(part.path), part.path, h.fps, len(h.frames), h.width, h.height)
-            if part.headers:
-                yield (*base, None, None, edges(part.path))
-            elif self.stride > 0:
-                yield from shots(part.path, ((i, *at) for i, at in enumerate(h.frames) if i % self.stride == 0 and self.wanted.has(i)), base)
+        if isinstance(part, Videos):
+            for path in part.paths:
+                h = header(path)
+                base = (session_of(path), path, h.fps, len(h.frames), h.width, h.height)
+                if part.headers:
+                    yield (*base, None, None, edges(path))
+                elif self.stride > 0:
+                    yield from shots(path, ((i, *at) for i, at in enumerate(h.frames) if i % self.stride == 0 and self.wanted.has(i)), base)
             return
         with storage.opened(part.part) as f:
-            rows = pq.ParquetFile(f).read_row_group(part.group).slice(part.lo, part.hi - part.lo)
-        if not rows.num_rows:
-            return
-        base = tuple(rows.column(c)[0].as_py() for c in range(6))
-        if self.wanted.sessions is not None and base[0] not in self.wanted.sessions:  # where statistics don't tell
-            return
-        own = rows.take(pa.array(np.arange(0, rows.num_rows, part.step)))
-        places = zip(*(own.column(c).to_pylist() for c in ("frame_index", "offset", "size")), strict=True)
-        yield from shots(base[1], (x for x in places if self.wanted.has(x[0])), base)
+            index = pq.ParquetFile(f)
+            for group, lo, hi in part.ranges:
+                rows = index.read_row_group(group).slice(lo, hi - lo)
+                if not rows.num_rows:
+                    continue
+                base = tuple(rows.column(c)[0].as_py() for c in range(6))
+                if self.wanted.sessions is not None and base[0] not in self.wanted.sessions:  # where statistics don't tell
+                    continue
+                own = rows.take(pa.array(np.arange(0, rows.num_rows, part.step)))
+                places = zip(*(own.column(c).to_pylist() for c in ("frame_index", "offset", "size")), strict=True)
+                yield from shots(base[1], (x for x in places if self.wanted.has(x[0])), base)
 
 
 class Arrivals(DataSourceStreamReader):
@@ -301,7 +330,7 @@ class Arrivals(DataSourceStreamReader):
 
     Files have to come whole and not change (by a rename, or on a store that shows whole files).  One that shows up with
     an older time than a file that was taken is not seen; as the times are whole, files of one nanosecond are told
-    apart by name.  With maxFiles, a batch takes at most so many; each file is read by one task, which parses its head.
+    apart by name.  With maxFiles, a batch takes at most so many; a file's task parses its head, and small files share one.
     """
 
     def __init__(self, options: dict[str, str]) -> None:
@@ -311,26 +340,27 @@ class Arrivals(DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return {"time": -1, "name": ""}
 
-    def _files(self, start: dict, end: dict | None = None) -> list[tuple[int, str]]:
-        own = sorted((storage.changed(p), p) for p in storage.listed(storage.joined(self.path, "*.avi")))
-        return [x for x in own if (start["time"], start["name"]) < x and (end is None or x <= (end["time"], end["name"]))]
+    def _files(self, start: dict, end: dict | None = None) -> list[tuple[int, str, int]]:
+        own = sorted((time, p, n) for p, time, n in storage.described(storage.joined(self.path, "*.avi")))
+        return [x for x in own if (start["time"], start["name"]) < x[:2] and (end is None or x[:2] <= (end["time"], end["name"]))]
 
     def latestOffset(self) -> dict:
         new = self._files(self.given)
         if new:
-            time, name = new[: self.most or None][-1]
+            time, name, _ = new[: self.most or None][-1]
             self.given = {"time": time, "name": name}
         return self.given
 
-    def partitions(self, start: dict, end: dict) -> list[OneVideo]:
+    def partitions(self, start: dict, end: dict) -> list[Videos]:
         # a restarted query goes on from the offset of its log, not from this object's
         self.given = max(self.given, end, key=lambda o: (o["time"], o["name"]))
-        return [OneVideo(p, False) for _, p in self._files(start, end)]
+        return together(((p, n) for _, p, n in self._files(start, end)), False)
 
-    def read(self, part: OneVideo) -> Iterator[tuple]:
-        h = header(part.path)
-        base = (session_of(part.path), part.path, h.fps, len(h.frames), h.width, h.height)
-        yield from shots(part.path, ((i, *at) for i, at in enumerate(h.frames)), base)
+    def read(self, part: Videos) -> Iterator[tuple]:
+        for path in part.paths:
+            h = header(path)
+            base = (session_of(path), path, h.fps, len(h.frames), h.width, h.height)
+            yield from shots(path, ((i, *at) for i, at in enumerate(h.frames)), base)
 
     def commit(self, end: dict) -> None:
         pass

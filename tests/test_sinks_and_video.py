@@ -192,3 +192,29 @@ def test_videos_as_they_come(spark, clips, tmp_path):
     assert drain() == 1
     rows = spark.read.parquet(str(tmp_path / "out"))
     assert places(rows) == sorted((v, i, f"{v}{i}") for v, n in (("a", 10), ("c", 7), ("d", 30), ("e", 3)) for i in range(n))
+
+
+def test_short_videos_share_tasks(spark, clips, tmp_path):
+    for i in range(60):
+        video.write_avi(str(tmp_path / "short" / f"v{i}.avi"), shots(3, f"v{i}-"), 25, 4, 4)
+    want = sorted((f"v{i}", k, f"v{i}-{k}") for i in range(60) for k in range(3))
+    at = video.index(spark, str(tmp_path / "short"))
+    own = video.frames(spark, str(tmp_path / "short"), 1, at)
+    assert own.rdd.getNumPartitions() == len(video.parts_of(at)) <= 4 and places(own) == want
+    few = spark.read.format("mjpeg").option("index", at).option("framesPerTask", 6).load()
+    assert 30 <= few.rdd.getNumPartitions() <= 32 and places(few) == want
+    plain = spark.read.format("mjpeg").load(str(tmp_path / "short"))
+    assert plain.rdd.getNumPartitions() == 1 and places(plain) == want
+
+
+def test_arriving_videos_share_tasks(monkeypatch, tmp_path):
+    for i in range(30):
+        video.write_avi(str(tmp_path / f"v{i}.avi"), shots(3, f"v{i}-"), 25, 4, 4)
+    came = video.Arrivals({"path": str(tmp_path)})
+    start, end = came.initialOffset(), came.latestOffset()
+    (one,) = came.partitions(start, end)
+    assert sorted(one.paths) == sorted(str(p) for p in tmp_path.glob("*.avi")) and len({(r[0], r[6]) for r in came.read(one)}) == 90
+    monkeypatch.setattr(video, "FILES", 7)
+    assert [len(p.paths) for p in came.partitions(start, end)] == [7, 7, 7, 7, 2]
+    monkeypatch.setattr(video, "BYTES", 10)
+    assert [len(p.paths) for p in came.partitions(start, end)] == [1] * 30
