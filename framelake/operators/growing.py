@@ -20,18 +20,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from framelake.operators.quality import CONSISTENT, LEAST, MAD_K
+from framelake.operators.quality import CONSISTENT, LEAST, MAD_K, bucket_of
 from framelake.sources import storage
 
-#: Buckets of an octave, an octave's place above zero, and slots that a values table is laid out in.
-PARTS, ABOVE, SLOTS = 64, 2**20, 64
-
-
-def bucket_of(v: Column) -> Column:
-    """A whole number that never falls as v grows; zero is 0, the infinities and NaN lie outside all others."""
-    size = F.floor(F.log2(F.abs(v)) * PARTS) + ABOVE
-    finite = F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
-    return F.when(F.isnan(v), F.lit(2**41)).when(v == float("inf"), F.lit(2**40)).when(v == float("-inf"), F.lit(-(2**40))).otherwise(finite).cast("long")
+#: Slots that a values table is laid out in.
+SLOTS = 64
 
 
 def _same(a: str, b: str, names: list[str]) -> Column:

@@ -7,10 +7,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framelake.sources import storage
+
 #: Fence width, consistency factor, least population (fixed values).
 MAD_K, CONSISTENT, LEAST = 3.0, 1.4826, 3
-#: Rows of a group that may be held at once; cuts of a quantile sketch, and one over its error in rank.
-EXACT, CELLS, ACCURACY = 1_000_000, 256, 10_000
+#: Rows of a group that may be held at once, and cells that a range is cut into.
+EXACT, CELLS = 1_000_000, 4096
+#: Buckets of an octave and an octave's place above zero.
+PARTS, ABOVE = 64, 2**20
+
+
+def bucket_of(v: Column) -> Column:
+    """A whole number that never falls as v grows; zero is 0, the infinities and NaN lie outside all others."""
+    size = F.floor(F.log2(F.abs(v)) * PARTS) + ABOVE
+    finite = F.when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size)
+    return F.when(F.isnan(v), F.lit(2**41)).when(v == float("inf"), F.lit(2**40)).when(v == float("-inf"), F.lit(-(2**40))).otherwise(finite).cast("long")
 
 
 def _same(a: str, b: str, by: list[str]) -> Column:
@@ -21,40 +32,54 @@ def medians(rows: DataFrame, by: list[str], value: str, exact: int = EXACT) -> D
     """by, n, median: exact, for groups of any size.
 
     Where no group has more than ``exact`` rows, the built-in median holds a group's values.  Otherwise each group's
-    range is narrowed first: a quantile sketch of bounded size gives CELLS cuts, whose ranks are off by one in ACCURACY
-    at most, and the cells that can hold the two middle ranks stay, until what stays of every group is few.  Only counts
-    and cuts are shuffled until then; what stays is ranked at the end.
+    range is narrowed first, by a count of buckets that are a part of an octave and then of CELLS equal parts of what is left,
+    to what holds the two middle ranks, until that is few rows of every group.  Only counts are shuffled until then; what stays
+    is ranked at the end.  Each pass over the rows is made once: its counts and the medians are written.
     """
+    spark, at = rows.sparkSession, storage.fresh(rows.sparkSession, "medians")
     rows = rows.select(*by, F.col(value).cast("double").alias("__v"))
-    value = "__v"
-    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"))
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{at}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{at}/{name}")
+
+    figures = (F.count("*").alias("m"), F.min("__v").alias("a"), F.max("__v").alias("b"))
+    counts = kept(rows.groupBy(*by, bucket_of(F.col("__v")).alias("cell")).agg(*figures), "buckets")
+    sizes = counts.groupBy(*by).agg(F.sum("m").alias("n"))
     most = sizes.agg(F.max("n")).first()[0] or 0
     if most <= exact:
-        return rows.groupBy(*by).agg(F.count("*").alias("n"), F.median(value).alias("median"))
-    none = F.lit(None).cast("double")
-    kept = sizes.select(*by, "n", F.lit(0).cast("long").alias("below"), none.alias("lo"), none.alias("hi"))
+        return rows.groupBy(*by).agg(F.count("*").alias("n"), F.median("__v").alias("median"))
     lower, upper = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    while most > exact:  # each turn's plan reads the one before once
-        cuts = _within(rows, kept, by, value).groupBy(*by, "n", "below").agg(F.count("*").alias("left"), F.percentile_approx("v", [i / CELLS for i in range(CELLS + 1)], ACCURACY).alias("cuts"))
-        at = lambda rank, side: (rank - F.col("below")) / F.col("left") * CELLS + side * 2.0 * CELLS / ACCURACY
-        first, last = F.greatest(F.floor(at(lower, -1)), F.lit(0)), F.least(F.ceil(at(upper, 1)), F.lit(CELLS))
-        ranges = cuts.select(*by, "n", *[F.element_at("cuts", (x + 1).cast("int")).alias(name) for x, name in ((first, "lo"), (last, "hi"))])
-        found = rows.alias("r").join(ranges.alias("k"), _same("r", "k", by)).select(*[F.col(f"k.{c}").alias(c) for c in by], "n", "lo", "hi", F.col(f"r.{value}").alias("v"))
-        kept = found.groupBy(*by, "n", "lo", "hi").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"), F.count_if(F.col("v").between(F.col("lo"), F.col("hi"))).alias("left"))
-        now = kept.where("lo < hi").agg(F.max("left")).first()[0] or 0  # one value repeated needs no narrowing
-        if now >= most:
+    own = counts.withColumns({"n": F.sum("m").over(Window.partitionBy(*by)), "below": F.lit(0).cast("long")})
+    for turn in range(64):  # a range is 2^12 times as short each time
+        ranges = kept(_middle(own, by, lower, upper), f"ranges{turn}")
+        now = ranges.where("lo < hi").agg(F.max("left")).first()[0] or 0  # one value repeated needs no narrowing
+        if now <= exact or turn and now >= most:
             break
         most = now
-    counted = _within(rows, kept, by, value).groupBy(*by, "n", "below", "v").agg(F.count("*").alias("m"))
+        v, lo, hi = F.col("v"), F.col("lo"), F.col("hi")
+        span = hi / 2 - lo / 2
+        part = F.greatest(F.lit(1), F.least(F.lit(CELLS - 1), F.floor((v / 2 - lo / 2) / F.when((span > 0) & (span < float("inf")), span) * CELLS)))
+        cell = F.when(v <= lo, 0).when(v >= hi, CELLS).otherwise(F.coalesce(part, F.lit(1)))
+        own = _within(rows, ranges, by).withColumn("cell", cell).groupBy(*by, "n", "below", "cell").agg(F.count("*").alias("m"), F.min("v").alias("a"), F.max("v").alias("b"))
+    counted = _within(rows, ranges, by).groupBy(*by, "n", "below", "v").agg(F.count("*").alias("m"))
     ranked = counted.withColumn("upto", F.col("below") + F.sum("m").over(Window.partitionBy(*by).orderBy("v")))
     middle = lambda rank: F.min(F.when(F.col("upto") >= rank, F.col("v")))
-    return ranked.groupBy(*by, "n").agg(((middle(lower) + middle(upper)) / 2).alias("median"))
+    a, b = middle(lower), middle(upper)
+    return kept(ranked.groupBy(*by, "n").agg(F.when(a == b, a).otherwise((a + b) / 2).alias("median")), "medians")
+
+
+def _middle(counts: DataFrame, by: list[str], lower: Column, upper: Column) -> DataFrame:
+    """by, n, below, left, lo, hi: from a group's counts of cells, the range of those that hold its middle ranks."""
+    upto = F.col("below") + F.sum("m").over(Window.partitionBy(*by).orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counts.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("m"))
+    return ranked.where((F.col("upto") >= lower) & (F.col("before") < upper)).groupBy(*by, "n").agg(F.min("before").alias("below"), F.sum("m").alias("left"), F.min("a").alias("lo"), F.max("b").alias("hi"))
 
 
-def _within(rows: DataFrame, kept: DataFrame, by: list[str], value: str) -> DataFrame:
-    """by, n, below, v of the rows within their group's range."""
-    both = rows.alias("r").join(kept.alias("k"), _same("r", "k", by)).select(*[F.col(f"k.{c}").alias(c) for c in by], "n", "below", "lo", "hi", F.col(f"r.{value}").cast("double").alias("v"))
-    return both.where(F.col("lo").isNull() | F.col("v").between(F.col("lo"), F.col("hi"))).drop("lo", "hi")
+def _within(rows: DataFrame, ranges: DataFrame, by: list[str]) -> DataFrame:
+    """by, n, below, lo, hi, v of the rows within their group's range."""
+    both = rows.alias("r").join(ranges.alias("k"), _same("r", "k", by)).where(F.col("r.__v").between(F.col("k.lo"), F.col("k.hi")))
+    return both.select(*[F.col(f"k.{c}").alias(c) for c in by], "n", "below", "lo", "hi", F.col("r.__v").alias("v"))
 
 
 def fence(scores: DataFrame, by: list[str], score: str = "score", exact: int = EXACT) -> DataFrame:

@@ -141,6 +141,29 @@ def test_medians_of_groups_of_any_size(spark, exact):
     assert quality.medians(d.where("false"), ["g"], "v", exact).count() == 0
 
 
+@pytest.mark.parametrize("values", [[-1e308] * 40 + [1e308] * 41, [float("-inf")] * 30 + [0.0] * 5 + [5e-324] * 6 + [float("inf")] * 30, [1.0 + i * 2**-52 for i in range(301)], [-3.0, *[-0.0, 0.0] * 50, 4.0], [float("inf")] * 50 + [1.0, 2.0], [1.0 + i / 1e6 for i in range(300)] + [1e9] * 299])
+def test_medians_of_far_and_near_values(spark, values):
+    d = spark.createDataFrame([(v,) for v in values], "v double").withColumn("g", F.lit(1))
+    assert quality.medians(d, ["g"], "v", 10).select("n", "median").first() == (len(values), pytest.approx(float(np.median(values)), abs=0))
+
+
+def test_passes_over_the_rows_of_a_fence(spark):
+    """Each pass is made once: rows are read for two medians of two passes and a few more, not again for each step."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    n = 5000
+    d = spark.range(n).selectExpr("0 as g", "1 + id / 1000.0D as v").mapInArrow(run, "g int, v double")
+    f = quality.fence(d, ["g"], "v", 1000)
+    assert quality.rejects(d, f, ["g"], "v").count() == 0
+    assert f.first()["median"] == pytest.approx(1 + (n - 1) / 2000)
+    assert seen.value <= 8 * n
+
+
 TAG, KEY = b"FocalLengthIn35mmFilm", probe.APPLE.encode()
 
 
