@@ -11,7 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,19 +44,31 @@ def middle(axis: str) -> Column:
     return sum((F.col(f"{axis}{i}") for i in range(1, 5)), F.lit(0.0)) / 4
 
 
-def best_boxes(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
+#: Rows of a task where tasks are as many as the rows ask for.
+ROWS = 250_000
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """How many tasks hold so many rows, ROWS each, but as many as there are cores at least."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS))
+
+
+def best_boxes(boxes: DataFrame, points: DataFrame, by: list[str], tasks: int | None = None) -> DataFrame:
     """by, box: of each frame's boxes (x0, y0, x1, y1, score, place) the one that holds most of its points (x, y).
 
     Then the higher score and the smaller place win.  A frame with points, none of them in a box, has no row; one without points has its highest score.
+    tasks: how many the frames are dealt to, for tables of many rows; else as the session says.
     """
-    key = [F.col(f"b.{c}").eqNullSafe(F.col(f"p.{c}")) for c in by]
-    both = boxes.alias("b").join(points.select(*by, F.col("x").cast("double"), F.col("y").cast("double")).alias("p"), [*key], "left")
-    inside = F.col("p.x").between(F.col("b.x0"), F.col("b.x1")) & F.col("p.y").between(F.col("b.y0"), F.col("b.y1"))
-    own = [F.col(f"b.{c}").alias(c) for c in (*by, "x0", "y0", "x1", "y1", "score", "place")]
-    held = both.groupBy(*own).agg(F.count_if(inside).alias("held"), F.count("p.x").alias("points"))
+    key = F.struct(*by).alias("__by")  # never null, and equal where its fields are, so that one deal serves the join and what follows
+    own = boxes.select(key, "x0", "y0", "x1", "y1", "score", "place")
+    some = points.select(key, F.col("x").cast("double").alias("__x"), F.col("y").cast("double").alias("__y"))
+    own, some = (df.repartition(tasks, "__by") if tasks else df for df in (own, some))
+    both = own.join(some, "__by", "left")
+    inside = F.col("__x").between(F.col("x0"), F.col("x1")) & F.col("__y").between(F.col("y0"), F.col("y1"))
+    held = both.groupBy("__by", "x0", "y0", "x1", "y1", "score", "place").agg(F.count_if(inside).alias("held"), F.count("__x").alias("points"))
     rank = F.struct("held", "score", (-F.col("place")).alias("place"))
-    best = held.groupBy(*by).agg(F.max_by(F.struct("x0", "y0", "x1", "y1", "score", "place", "held", "points"), rank).alias("box"))
-    return best.where("box.held > 0 or box.points = 0").select(*by, F.col("box").dropFields("held", "points").alias("box"))
+    best = held.groupBy("__by").agg(F.max_by(F.struct("x0", "y0", "x1", "y1", "score", "place", "held", "points"), rank).alias("box"))
+    return best.where("box.held > 0 or box.points = 0").select(*[F.col("__by")[c].alias(c) for c in by], F.col("box").dropFields("held", "points").alias("box"))
 
 
 #: Points of a strip of a crowded table, most strips, boxes that are counted together, points for each strip that place the cuts.

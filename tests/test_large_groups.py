@@ -5,10 +5,11 @@ import math
 import random
 
 import pytest
+from oracle import SF
 from pyspark.sql import functions as F
 
 from framelake.operators import flat, tracking
-from framelake.plans import programs
+from framelake.plans import programs, workloads
 from framelake.sources import files
 
 SIGNAL = "s long, k long, area double, cov double, marked boolean, a1 double, a2 double"
@@ -130,6 +131,17 @@ def test_crowded_frames_have_the_same_best_boxes(spark):
     assert flat.best_boxes_crowded(b, spark.createDataFrame([], POINTS), ["f"]).count() == 4
 
 
+def test_best_boxes_in_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
+    """The tasks of the joins and of the query grow with the rows, and null frames keep their own points."""
+    boxes, points = boxes_and_points(3, [1, None, 4], 20)
+    b, p = spark.createDataFrame(boxes, BOXES).where("score is not null"), spark.createDataFrame(points, POINTS)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    many = flat.best_boxes(b, p, ["f"], 11)
+    assert many.rdd.getNumPartitions() == 11 and rows(many) == rows(flat.best_boxes(b, p, ["f"])) and many.where("f is null").count() == 1
+    monkeypatch.setattr(flat, "ROWS", 500)
+    assert workloads.point_in_box_top1(spark, SF).rdd.getNumPartitions() == 12  # of 6,000 lines
+
+
 def test_faults_of_documents(spark):
     texts = {
         None: "no text", "": "broken JSON", "{": "broken JSON", '{"a": 1}, {"a": 2}': "broken JSON", '{"a": 1}], [2': "broken JSON", '{"a": 1}, "b": 2': "broken JSON", '1} {"a": 1': "broken JSON", '{"a": 1} x': "broken JSON", "[]": "not an object", "7": "not an object", "null": "not an object",
