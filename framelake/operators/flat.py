@@ -71,7 +71,7 @@ def best_boxes(boxes: DataFrame, points: DataFrame, by: list[str], tasks: int |
     return best.where("box.held > 0 or box.points = 0").select(*[F.col("__by")[c].alias(c) for c in by], F.col("box").dropFields("held", "points").alias("box"))
 
 
-#: Points of a strip of a crowded table, most strips, boxes that are counted together, points for each strip that place the cuts.
+#: Points of a strip of a crowded table, most strips, boxes that are counted together at least, points for each strip that place the cuts.
 STRIP, STRIPS, ASKED, TRIED = 65_536, 512, 262_144, 64
 EDGES = ("x0", "y0", "x1", "y1")
 
@@ -104,7 +104,25 @@ def _columns(t: pa.Table | pa.RecordBatch, *names: str) -> list[np.ndarray]:
     return [t.column(c).to_numpy(zero_copy_only=False) if isinstance(t, pa.RecordBatch) else t.column(c).to_numpy() for c in names]
 
 
-def held_counts(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame:
+#: Lets Spark delete a step's shuffle files when the step is done, instead of when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Most counts that are sent to every executor.
+SENT = 1_000_000
+
+
+def kept(df: DataFrame, at: str) -> DataFrame:
+    """The table, written to a shared folder; the shuffle files it was made from are deleted."""
+    spark = df.sparkSession
+    old = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(at)
+    finally:
+        spark.conf.set(CLEANUP, old)
+    return spark.read.schema(df.schema).parquet(at)
+
+
+def held_counts(boxes: DataFrame, points: DataFrame, by: list[str], times: str | None = None) -> DataFrame:
     """by, x0, y0, x1, y1, held of the different boxes that hold points: how many of their frame's points (x, y), borders included.
 
     For frames of very many boxes and points, whose pairs are not made.  Equal boxes and equal points are counted once
@@ -113,23 +131,21 @@ def held_counts(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame
     count, whole strips and bands come from a table of their sums, the rest from the strips of its sides and the bands of
     its ends.  So each point goes to two tasks' groups and each box to four at most, and a group is counted by sorting.  The cuts lie
     between some of the points, which tells how even the groups are and no more.  Boxes or points with a null or NaN hold
-    nothing and are in nothing.
+    nothing and are in nothing.  Of the tables between, only the counts stay in the shared folder.
+    times: the points' column that says how many points a row is; else each is one.
     """
     spark, at = boxes.sparkSession, storage.fresh(boxes.sparkSession, "crowd")
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{at}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{at}/{name}")
-
     number = lambda *names: reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in names])
-    own = kept(boxes.select(*by, *(F.col(c).cast("double").alias(c) for c in EDGES)).where(number(*EDGES)).where("x0 <= x1 and y0 <= y1").distinct(), "boxes")
-    some = kept(points.select(*by, F.col("x").cast("double").alias("__x"), F.col("y").cast("double").alias("__y")).where(number("__x", "__y")).groupBy(*by, "__x", "__y").agg(F.count("*").alias("__m")), "points")
+    own = kept(boxes.select(*by, *(F.col(c).cast("double").alias(c) for c in EDGES)).where(number(*EDGES)).where("x0 <= x1 and y0 <= y1").distinct(), f"{at}/boxes")
+    some = kept(points.select(*by, F.col("x").cast("double").alias("__x"), F.col("y").cast("double").alias("__y"), *([times] if times else [])).where(number("__x", "__y")).groupBy(*by, "__x", "__y").agg((F.sum(times) if times else F.count("*")).cast("long").alias("__m")), f"{at}/points")
     all_, seed = own.select(*by).union(some.select(*by)).distinct(), 0
     frame = lambda: F.xxhash64(*by, *[F.col(c).isNull() for c in by], F.lit(seed)).alias("__f")
     while len(set(all_.select(frame()).agg(F.count("*"), F.count_distinct("__f")).first())) > 1:  # two frames of one number
         seed += 1
     some = some.select(frame(), "__x", "__y", "__m")
-    strips = max(1, min(STRIPS, -(-some.count() // STRIP)))
+    n_points = some.count()
+    strips = max(1, min(STRIPS, -(-n_points // STRIP)))
+    together = max(ASKED, 2 * n_points // strips)  # so points are copied to half as many rows as boxes ask, at most
     tried = some.select("__f", "__x", "__y").orderBy(F.xxhash64("__f", "__x", "__y")).limit(TRIED * strips).toArrow()
     f, x, y = _columns(tried, "__f", "__x", "__y")
     cut = lambda a, b: [c[np.lexsort((b, a, f))][TRIED::TRIED] for c in (f, a, b)]
@@ -141,7 +157,8 @@ def held_counts(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame
             f, x, y = _columns(b, "__f", "__x", "__y")
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(_upto(across, [f, x, y], True), pa.int32()), pa.array(_upto(along, [f, y, x], True), pa.int32())], placed_as.names)
 
-    placed = kept(some.mapInArrow(place, placed_as), "placed")
+    placed = kept(some.mapInArrow(place, placed_as), f"{at}/placed")
+    storage.removed(f"{at}/points")
     sums = np.zeros((len(across[0]) + 2, len(along[0]) + 2), np.int64)  # of all before a strip and before a band
     for r in placed.groupBy("__strip", "__band").agg(F.sum("__m")).collect():  # STRIPS^2 rows at most
         sums[r[0] + 1, r[1] + 1] = r[2]
@@ -158,22 +175,23 @@ def held_counts(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame
             whole = sums[s1, b1] - sums[s0, b1] - sums[s1, b0] + sums[s0, b0]
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, pa.int32()) for c in (s0, s1, b0, b1)), pa.array(whole)], asked_as.names)
 
-    asked = kept(own.mapInArrow(ask, asked_as), "asked")
-    counted_as = T.StructType([*[asked.schema[c] for c in (*by, *EDGES)], T.StructField("held", T.LongType())])
+    asked = kept(own.mapInArrow(ask, asked_as).withColumn("__id", F.monotonically_increasing_id()), f"{at}/asked")
+    storage.removed(f"{at}/boxes")
+    counted_as = T.StructType([T.StructField("__id", T.LongType()), T.StructField("held", T.LongType())])
 
     def counted(group: str, edges: tuple[str, str], ends: tuple[str, str], first: str, second: str | None, others: tuple[str, str]) -> DataFrame:
         """What the groups at the edges of an axis add; the other axis tells by its edges, or by its strips."""
-        rows = asked.withColumn("__at", F.explode(F.array_distinct(F.array(*ends))))
+        rows = asked.withColumn("__at", F.explode(F.array_distinct(F.array(*ends)))).select("__id", "__f", *edges, *others, *((F.col(c) == F.col("__at")).alias(c) for c in ends), "__at")  # what a count needs
         n = {r["__at"]: r["count"] for r in rows.groupBy("__at").count().collect()}  # STRIPS rows at most
-        shares = F.lit([-(-n.get(i, 0) // ASKED) for i in range(len(across[0]) + 1)])
-        share = F.pmod(F.xxhash64("__f", *EDGES), F.get(shares, F.col("__at"))).cast("int")
-        parts = placed.withColumn("__at", F.col(group)).where(F.get(shares, F.col("__at")) > 0).withColumn("__part", F.explode(F.sequence(F.lit(0), F.get(shares, F.col("__at")) - 1)))
+        shares = F.lit([-(-n.get(i, 0) // together) for i in range(len(across[0]) + 1)])
+        share = F.pmod(F.xxhash64("__id"), F.get(shares, F.col("__at"))).cast("int")
+        parts = placed.select("__f", first, second or "__strip", "__m", F.col(group).alias("__at")).where(F.get(shares, F.col("__at")) > 0).withColumn("__part", F.explode(F.sequence(F.lit(0), F.get(shares, F.col("__at")) - 1)))
 
         def count(boxes: pa.Table, points: pa.Table) -> pa.Table:
             f, v, w = _columns(points, "__f", first, "__m")
-            g, lo, hi, at, to, here = _columns(boxes, "__f", *edges, *ends, "__at")
-            low = np.where(at == here, _upto([f, v], [g, lo], False), 0)
-            high = np.where(to == here, _upto([f, v], [g, hi], True), 0)
+            g, lo, hi, starts, stops = _columns(boxes, "__f", *edges, *ends)
+            low = np.where(starts, _upto([f, v], [g, lo], False), 0)
+            high = np.where(stops, _upto([f, v], [g, hi], True), 0)
             least, most = _columns(boxes, *others)
             if second is None:
                 (values,) = _columns(points, "__strip")
@@ -184,28 +202,46 @@ def held_counts(boxes: DataFrame, points: DataFrame, by: list[str]) -> DataFrame
                 least, most = _upto([f, u], [g, least], False), _upto([f, u], [g, most], True)
             order, n = np.lexsort((v, f)), len(g)
             both = _below(values[order].astype(np.int64), w[order], np.tile(low, 2), np.tile(high, 2), np.concatenate([most, least]).astype(np.int64))
-            return pa.Table.from_arrays([*(boxes.column(c) for c in counted_as.names[:-1]), pa.array(both[:n] - both[n:])], counted_as.names)
+            return pa.Table.from_arrays([boxes.column("__id"), pa.array(both[:n] - both[n:])], counted_as.names)
 
         return rows.withColumn("__part", share).groupBy("__at", "__part").cogroup(parts.groupBy("__at", "__part")).applyInArrow(count, counted_as)
 
-    strips_ = counted("__strip", ("x0", "x1"), ("__s0", "__s1"), "__x", "__y", ("y0", "y1"))
-    bands = counted("__band", ("y0", "y1"), ("__b0", "__b1"), "__y", None, ("__s0", "__s1"))
-    every = asked.select(*counted_as.names).unionByName(strips_).unionByName(bands)
-    return kept(every.groupBy(*by, *EDGES).agg(F.sum("held").alias("held")).where("held > 0"), "held")
+    # each is written by itself, so that the shuffles don't lie on the disks together
+    strips_ = kept(counted("__strip", ("x0", "x1"), ("__s0", "__s1"), "__x", "__y", ("y0", "y1")), f"{at}/strips")
+    bands = kept(counted("__band", ("y0", "y1"), ("__b0", "__b1"), "__y", None, ("__s0", "__s1")), f"{at}/bands")
+    storage.removed(f"{at}/placed")
+    every = asked.select(*counted_as.names, *by, *EDGES).unionByName(strips_.unionByName(bands), allowMissingColumns=True)  # a box's columns come once
+    held = every.groupBy("__id").agg(*(F.first(c, True).alias(c) for c in (*by, *EDGES)), F.sum("held").alias("held")).where("held > 0")
+    out = kept(held.select(*by, *EDGES, "held"), f"{at}/held")
+    for name in ("asked", "strips", "bands"):
+        storage.removed(f"{at}/{name}")
+    return out
+
+
+def with_held(rows: DataFrame, held: DataFrame, edges: dict[str, Column]) -> DataFrame:
+    """The rows whose box (edges: from its columns) is among the counts, of one frame, and how many points it holds.
+
+    Up to SENT counts go to every executor.  For more, rows and counts are dealt to as many tasks as the rows ask for.
+    """
+    held = held.select(*(F.col(c).alias(f"__{c}") for c in edges), "held")
+    if held.count() <= SENT:
+        held = F.broadcast(held)
+    else:
+        tasks = tasks_for(rows.sparkSession, rows.count())
+        rows, held = rows.repartition(tasks, *edges.values()), held.repartition(tasks, *(f"__{c}" for c in edges))
+    return rows.join(held, reduce(lambda a, b: a & b, [v == F.col(f"__{c}") for c, v in edges.items()])).select(*rows.columns, "held")
 
 
 def best_boxes_crowded(boxes: DataFrame, points: DataFrame, by: list[str], held: DataFrame | None = None) -> DataFrame:
     """best_boxes for frames of very many boxes and points; held: their held_counts, if they are there."""
-    edges = EDGES
+    spark = boxes.sparkSession
+    at, on = storage.fresh(spark, "best"), (*by, *EDGES)
     held = held_counts(boxes, points, by) if held is None else held
-    most = held.groupBy(*by).agg(F.max("held").alias("most"))
-    top = reduce(lambda a, b: a & b, [F.col(f"h.{c}").eqNullSafe(F.col(f"m.{c}")) for c in by])
-    held = held.alias("h").join(most.alias("m"), top & (F.col("h.held") == F.col("m.most"))).select("h.*")  # others can't be best
-    same = reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"h.{c}")) for c in (*by, *edges)])
-    rated = boxes.alias("b").join(held.alias("h"), same, "left").select(*[F.col(f"b.{c}").alias(c) for c in (*by, *edges, "score", "place")], F.coalesce("h.held", F.lit(0)).alias("held"))
-    rank = F.struct("held", "score", (-F.col("place")).alias("place"))
-    best = rated.groupBy(*by).agg(F.max_by(F.struct(*edges, "score", "place", "held"), rank).alias("box"))
-    seen = points.select(*by).distinct().withColumn("__seen", F.lit(True))
-    there = reduce(lambda a, b: a & b, [F.col(f"b.{c}").eqNullSafe(F.col(f"s.{c}")) for c in by])
-    out = best.alias("b").join(seen.alias("s"), there, "left").where("b.box.held > 0 or s.__seen is null")
-    return out.select(*[F.col(f"b.{c}").alias(c) for c in by], F.col("b.box").dropFields("held").alias("box"))
+    same = lambda a, b, names: reduce(lambda u, v: u & v, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in names])
+    # these are mostly small; as files they tell their size, so that where they are, no box is sent
+    most = kept(held.groupBy(*by).agg(F.max("held").alias("most")), f"{at}/most")
+    top = kept(held.alias("h").join(most.alias("m"), same("h", "m", by) & (F.col("h.held") == F.col("m.most"))).select(*[F.col(f"h.{c}").alias(c) for c in on]), f"{at}/top")  # others can't be best
+    seen = kept(points.select(*by).distinct(), f"{at}/seen")
+    rated = boxes.alias("b").join(top.alias("t"), same("b", "t", on), "left_semi").unionByName(boxes.alias("b").join(seen.alias("s"), same("b", "s", by), "left_anti"))
+    rank = F.struct("score", (-F.col("place")).alias("place"))
+    return rated.groupBy(*by).agg(F.max_by(F.struct(*EDGES, "score", "place"), rank).alias("box"))

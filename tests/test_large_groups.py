@@ -3,6 +3,8 @@
 import json
 import math
 import random
+import re
+from pathlib import Path
 
 import pytest
 from oracle import SF
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from framelake.operators import flat, tracking
 from framelake.plans import programs, workloads
-from framelake.sources import files
+from framelake.sources import files, storage
 
 SIGNAL = "s long, k long, area double, cov double, marked boolean, a1 double, a2 double"
 
@@ -131,6 +133,47 @@ def test_crowded_frames_have_the_same_best_boxes(spark):
     assert flat.best_boxes_crowded(b, spark.createDataFrame([], POINTS), ["f"]).count() == 4
 
 
+def test_crowded_frames_leave_their_counts_only(spark):
+    """The tables between are gone from the shared folder, and a point that stands for several counts as many."""
+    folders = lambda: {p for p in Path(storage.shared(spark)).iterdir() if p.name.startswith("crowd-")}
+    old, (boxes, points) = folders(), boxes_and_points(4, [1, None], 20)
+    b, p = spark.createDataFrame(boxes, BOXES), spark.createDataFrame(points, POINTS)
+    rows = lambda df: sorted(map(repr, df.collect()))
+    plain = flat.held_counts(b, p, ["f"])
+    (new,) = folders() - old
+    assert [c.name for c in new.iterdir()] == ["held"]
+    assert rows(flat.held_counts(b, p.groupBy("f", "x", "y").agg(F.count("*").alias("n")), ["f"], "n")) == rows(plain)
+
+
+def test_lines_of_a_crowded_frame_are_not_sent_where_counts_are_few(spark, monkeypatch):
+    exchanges = lambda df: re.findall(r"Exchange hashpartitioning\((?!frame#\d+, )", df._jdf.queryExecution().executedPlan().toString())
+    own = workloads.crowded_frame(spark, SF)
+    assert not exchanges(own)
+    monkeypatch.setattr(flat, "SENT", 0)
+    sent = workloads.crowded_frame(spark, SF)
+    assert exchanges(sent)
+    assert sorted(own.collect()) == sorted(sent.collect()) and own.count() == spark.read.parquet(f"{SF}/lineitem.parquet").count()
+
+
+def test_points_of_large_strips_are_copied_seldom(spark, monkeypatch):
+    """With strips that can't be more, what is counted together grows with their points."""
+    for k, v in (("STRIP", 8), ("STRIPS", 2), ("ASKED", 1)):
+        monkeypatch.setattr(flat, k, v)
+    n, store = 400, spark._jsparkSession.sharedState().statusStore()
+    ids = lambda: [store.executionsList().apply(i).executionId() for i in range(store.executionsList().size())]
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    last = max(ids(), default=-1)
+    held = flat.held_counts(spark.createDataFrame([(1, -float(i), 0.0, 1.0, 1.0, 0.5, i) for i in range(n)], BOXES), spark.createDataFrame([(1, i / n, 0.5) for i in range(n)], POINTS), ["f"])
+    assert held.agg(F.count("*"), F.min("held"), F.max("held")).first() == (n, n, n)
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    most = 0
+    for at in (i for i in ids() if i > last):
+        nodes, values = store.planGraph(at).allNodes(), store.executionMetrics(at)
+        metrics = [nodes.apply(i).metrics().apply(k) for i in range(nodes.size()) for k in range(nodes.apply(i).metrics().size())]
+        most = max([most, *(int(values.apply(m.accumulatorId()).replace(",", "")) for m in metrics if m.name() == "number of output rows" and values.contains(m.accumulatorId()))])
+    assert n <= most < 10 * n
+
+
 def test_best_boxes_in_as_many_tasks_as_rows_ask_for(spark, monkeypatch):
     """The tasks of the joins and of the query grow with the rows, and null frames keep their own points."""
     boxes, points = boxes_and_points(3, [1, None, 4], 20)
